@@ -1,0 +1,38 @@
+"""Plug-in points: sources, alert rules and sinks are DataFrame callables under a name."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+EventSource = Callable[[SparkSession], DataFrame]
+HolderSource = Callable[[SparkSession, int], DataFrame]
+AlertRule = Callable[[DataFrame], DataFrame]
+AlertSink = Callable[[DataFrame], None]
+
+
+class Registry:
+    """Named extension callables of one kind."""
+
+    def __init__(self, kind: str):
+        self.kind = kind
+        self._items: dict[str, Callable] = {}
+
+    def register(self, name: str, item: Callable) -> Callable:
+        if name in self._items:
+            raise ValueError(f"{self.kind} {name!r} is already registered")
+        self._items[name] = item
+        return item
+
+    def get(self, name: str) -> Callable:
+        return self._items[name]
+
+    def names(self) -> list[str]:
+        return list(self._items)
+
+
+event_sources = Registry("event source")
+holder_sources = Registry("holder source")
+alert_rules = Registry("alert rule")
+alert_sinks = Registry("alert sink")
