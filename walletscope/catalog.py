@@ -12,6 +12,7 @@ from walletscope.operators import (
     alerts, checkpoints, diagnostics, gauges, handle, ingest, lag, metrics, monitored, rates, retries,
     rules,
 )
+from walletscope.plans.settle import settle
 from walletscope.sample import (
     CUT, Sample, address, arrivals_from_events, as_of, events_from_tx, tx_from_events,
 )
@@ -410,7 +411,8 @@ def _(s: Sample) -> DataFrame:
 
 
 def _fold(s: Sample) -> DataFrame:
-    return checkpoints.checkpoint_fold(ingest.first_arrival(s.arrivals()))
+    narrow = s.arrivals().drop("raw_json", "correlation_id")
+    return checkpoints.checkpoint_fold(settle(ingest.first_arrival(narrow), "first"))
 
 
 @query("checkpoint_fold")
@@ -613,8 +615,7 @@ def _(s: Sample) -> DataFrame:
 @query("handle_batch")
 def _(s: Sample) -> DataFrame:
     """All deliveries against the state stored earlier."""
-    judged = handle.handle_batch(s.arrivals(), s.stored_events(CUT), s.checkpoints(CUT))
-    return handle.event_results(judged)
+    return handle.handle_batch(s.arrivals(), s.stored_events(CUT), s.checkpoints(CUT))
 
 
 def _arrival_stream(s: Sample) -> DataFrame:
@@ -756,4 +757,4 @@ def _(s: Sample) -> DataFrame:
               rules.rule_discovery_failed(samples),
               rules.rule_ingestion_stalled(s.chain_tx(), as_of()),
               rules.rule_lag_high(_advances(s), as_of())]
-    return rules.notification_schedule(reduce(DataFrame.unionByName, firing))
+    return rules.notification_schedule(settle(reduce(DataFrame.unionByName, firing), "firing"))

@@ -7,12 +7,15 @@ from pyspark.sql import Column, functions as F
 from walletscope import params
 
 
+INTEGER = r"^\s*([+-]?[0-9]+)\s*$"
+
+
 def integer_text(value: Column) -> Column:
     """Sign and digits of a plain integer text, NULL for anything else.
 
     The pattern guards the cast: ``12.5`` and ``1e12`` would otherwise be accepted.
     """
-    return F.nullif(F.regexp_extract(value, r"^\s*([+-]?[0-9]+)\s*$", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(value, INTEGER, 1), F.lit(""))
 
 
 def canonical_integer(value: Column) -> Column:

@@ -6,12 +6,13 @@ messages of an event stay an array on its own row until they are exploded.
 
 from __future__ import annotations
 
+from decimal import ROUND_CEILING, Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from walletscope import params
-from walletscope.functions import (
-    event_id, integer_text, plain_amount, sanitize_json, short_address, transfer_text, units,
-)
+from walletscope.functions import event_id, plain_amount, sanitize_json, short_address, transfer_text
+from walletscope.functions.amounts import INTEGER
 from walletscope.sources.pages import with_transactions
 
 _STRICT = {"columnNameOfCorruptRecord": "_bad", "allowSingleQuotes": "false",
@@ -22,6 +23,8 @@ _TYPED = (f"doc array<struct<transactions: array<{_TX}>, in_msg: {_MESSAGE}, "
           f"out_msgs: array<{_MESSAGE}>>>, _bad string")
 _LOOSE = "doc array<struct<transactions: variant, in_msg: variant, out_msgs: variant>>, _bad string"
 _ANY = "doc array<string>, _bad string"
+_HITS = ("array<struct<tx_position: int, direction: string, amount: decimal(38,9), "
+         "message: string, error: boolean>>")
 
 
 def _kind(value: Column) -> Column:
@@ -82,7 +85,8 @@ def _null_member(body: Column) -> Column:
 def _status(raw: Column, body: Column, shape: Column) -> Column:
     """``ok``, ``raw_json_parse_error`` (not JSON) or ``evaluation_error`` (JSON, wrong shape).
 
-    The stricter re-parses run only for rows that need them.
+    The re-parses run only for rows that need them: a wrong shape inside an object
+    still leaves a partial document, so an object without one is not JSON.
     """
     doc = F.get(shape["doc"], F.lit(0))
     as_any = F.from_json(body, _ANY, _STRICT)
@@ -95,7 +99,8 @@ def _status(raw: Column, body: Column, shape: Column) -> Column:
     ).otherwise(F.coalesce(F.exists(doc["out_msgs"], lambda m: m.isNull()), F.lit(False)))
     return (F.when(raw.isNull(), params.EVALUATION_ERROR)
             .when(shape["_bad"].isNotNull(),
-                  F.when(is_json, params.EVALUATION_ERROR).otherwise(params.RAW_JSON_PARSE_ERROR))
+                  F.when(shape["doc"].isNull() & raw.rlike(r"^\s*\{"), params.RAW_JSON_PARSE_ERROR)
+                  .when(is_json, params.EVALUATION_ERROR).otherwise(params.RAW_JSON_PARSE_ERROR))
             .when(F.size(shape["doc"]) != 1, params.RAW_JSON_PARSE_ERROR)
             .when(doc.isNull() | null_element, params.EVALUATION_ERROR)
             .when(F.contains(raw, F.lit("null")) & _null_member(body), params.EVALUATION_ERROR)
@@ -105,26 +110,43 @@ def _status(raw: Column, body: Column, shape: Column) -> Column:
 def _messages(tx: Column, position: Column) -> Column:
     """Messages of one transaction: the incoming one first, then outgoing in order."""
     def entry(m: Column, direction: str) -> Column:
+        digits = F.regexp_extract(m["value"], INTEGER, 1)
         return F.struct(position.alias("tx_position"), F.lit(direction).alias("direction"),
-                        m["value"].alias("value"), m["source"].alias("source"),
+                        digits.alias("digits"), m["source"].alias("source"),
                         m["destination"].alias("destination"))
 
+    incoming = F.array(entry(tx["in_msg"], "IN"))
     outgoing = F.transform(tx["out_msgs"], lambda m: entry(m, "OUT"))
-    incoming = F.filter(F.array(entry(tx["in_msg"], "IN")), lambda m: m["value"].isNotNull())
-    return F.concat(incoming, F.coalesce(outgoing, F.filter(incoming, lambda m: F.lit(False))))
+    return F.when(outgoing.isNull(), incoming).otherwise(F.concat(incoming, outgoing))
+
+
+def _qualifying(messages: Column, threshold) -> Column:
+    """Messages that reach the threshold or cannot be evaluated.
+
+    One small step per array pass: lambda bodies share no subexpressions, so each
+    value is bound once before it is used several times.
+    """
+    limit = Decimal(params.MAX_DECIMAL_UNITS)
+    least = (Decimal(str(threshold)) * params.NANO_PER_UNIT).to_integral_value(ROUND_CEILING)
+
+    def nano(m: Column) -> Column:
+        return F.struct(m["tx_position"].alias("tx_position"), m["direction"].alias("direction"),
+                        m["digits"].try_cast("decimal(29,0)").alias("nano"),
+                        m["source"].alias("source"), m["destination"].alias("destination"))
 
+    def judged(m: Column) -> Column:
+        text = transfer_text(m["direction"], message_address(m["source"]),
+                             message_address(m["destination"]))
+        amount = (m["nano"] / F.lit(params.NANO_PER_UNIT).cast("decimal(10,0)")).cast("decimal(38,9)")
+        error = (m["nano"].isNull() | (F.abs(m["nano"]) > limit)
+                 | _address_error(m["source"]) | _address_error(m["destination"]))
+        return F.struct(m["tx_position"].alias("tx_position"), m["direction"].alias("direction"),
+                        amount.alias("amount"), text.alias("message"), error.alias("error"))
 
-def _assess(m: Column, threshold) -> Column:
-    digits = integer_text(m["value"])
-    amount = units(digits)
-    hit = F.coalesce(amount >= F.lit(threshold), F.lit(False))
-    return F.struct(
-        m["tx_position"].alias("tx_position"), m["direction"].alias("direction"),
-        F.when(hit, amount).alias("amount"),
-        F.when(hit, transfer_text(m["direction"], message_address(m["source"]),
-                                  message_address(m["destination"]))).alias("message"),
-        ((digits.isNotNull() & amount.isNull())
-         | (hit & (_address_error(m["source"]) | _address_error(m["destination"])))).alias("error"))
+    numeric = F.filter(messages, lambda m: m["digits"] != "")
+    large = F.filter(F.transform(numeric, nano), lambda m: m["nano"].isNull()
+                     | (m["nano"] >= least) | (m["nano"] < -limit))
+    return F.transform(large, judged)
 
 
 def evaluate(events: DataFrame, threshold=params.ALERT_THRESHOLD, scope: str = "page") -> DataFrame:
@@ -148,9 +170,7 @@ def evaluate(events: DataFrame, threshold=params.ALERT_THRESHOLD, scope: str = "
         txs = F.filter(txs, lambda t: (t["lt"] == F.col("lt").cast("string"))
                        & (t["hash"] == F.col("tx_hash")))
     txs = F.when(doc["transactions"].isNotNull(), txs).otherwise(F.array(single))
-    found = F.flatten(F.transform(txs, lambda t, i: F.transform(
-        _messages(t, i), lambda m: _assess(m, threshold))))
-    found = F.filter(found, lambda a: a["amount"].isNotNull() | a["error"])
+    found = _qualifying(F.flatten(F.transform(txs, _messages)), threshold)
     staged = (shaped.withColumn("_status", _status(raw, body, F.col("_shape")))
               .withColumn("_found", F.when(F.col("_status") == "ok", found)).drop("_shape"))
     broken = F.exists("_found", lambda a: a["error"])
@@ -174,10 +194,6 @@ def whale_alerts(events: DataFrame, threshold=params.ALERT_THRESHOLD, scope: str
                     "_hit.amount", "_hit.direction", "_hit.message"))
 
 
-_HITS = ("array<struct<tx_position: int, direction: string, amount: decimal(38,9), "
-         "message: string, error: boolean>>")
-
-
 def page_alerts(pages: DataFrame, scope: str = "page", threshold=params.ALERT_THRESHOLD) -> DataFrame:
     """Alerts of page documents (chain, provider, address, body), each page parsed once.
 
@@ -210,11 +226,15 @@ def decisions(events: DataFrame, decided_at: Column, threshold=params.ALERT_THRE
 
 def decision_rows(judged: DataFrame, decided_at: Column) -> DataFrame:
     """The audit rows of evaluated events; ``decided_at`` is evaluated on those."""
-    rows = (judged.select(decided_at.alias("decided_at"), "event_id", "chain", "address", "provider",
-                          "correlation_id", "status",
-                          F.posexplode_outer(F.coalesce("hits", F.array().cast(_HITS)))
-                          .alias("position", "_hit"))
-            .where(F.col("status") != params.EVALUATION_ERROR))
+    # The choice of rows sits in the generator: a filter on the status would be
+    # pushed below the evaluation and run it twice.
+    no_hits = F.array().cast(_HITS)
+    found = F.coalesce("hits", no_hits)
+    listed = (F.when(F.col("status") == params.EVALUATION_ERROR, no_hits)
+              .when(F.size(found) > 0, found)
+              .otherwise(F.array(F.lit(None)).cast(_HITS)))
+    rows = judged.select(decided_at.alias("decided_at"), "event_id", "chain", "address", "provider",
+                         "correlation_id", "status", F.posexplode(listed).alias("position", "_hit"))
     sent = F.col("_hit").isNotNull()
     failed = F.col("status") == params.RAW_JSON_PARSE_ERROR
     return rows.select(
@@ -224,7 +244,7 @@ def decision_rows(judged: DataFrame, decided_at: Column) -> DataFrame:
         .otherwise(params.NO_QUALIFYING_TRANSFER).alias("reason_code"),
         F.when(sent, "console").otherwise("none").alias("channel"),
         "event_id", "correlation_id", "chain", "address", "provider",
-        F.coalesce("position", F.lit(0)).alias("position"),
+        "position",
         F.when(sent, params.ALERT_ASSET).alias("asset_id"), F.col("_hit.direction").alias("direction"),
         F.col("_hit.amount").alias("amount"), F.col("_hit.message").alias("message"))
 

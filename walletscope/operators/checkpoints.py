@@ -29,11 +29,12 @@ def checkpoint_fold(arrivals: DataFrame, checkpoints: DataFrame | None = None,
     ``advance``: first for the wallet, or lt above the checkpoint. ``conflict``:
     same lt, other hash. ``ignore``: the rest. The checkpoint before a row is the
     largest earlier lt with the hash that arrived first for it, a running maximum
-    of ``(lt, -arrival_seq, hash)``.
+    of ``(lt, -arrival_seq, hash)``. The arrivals are read twice, so hand in a
+    written table.
     """
     state = F.struct(F.col("lt"), (-F.col("arrival_seq")).alias("seq"), F.col("tx_hash"))
     seen = running_max(_seeded(arrivals, checkpoints), WALLET, ["arrival_seq"],
-                       F.floor(F.col("arrival_seq") / slice_rows), state, "before")
+                       F.expr(f"arrival_seq div {int(slice_rows)}"), state, "before")
     outcome = (F.when(F.col("before").isNull() | (F.col("lt") > F.col("before.lt")), "advance")
                .when((F.col("lt") == F.col("before.lt"))
                      & (F.col("tx_hash") != F.col("before.tx_hash")), "conflict")

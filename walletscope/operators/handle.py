@@ -1,4 +1,9 @@
-"""The event handler as one set-wise job: dedupe, checkpoint, evaluate."""
+"""The event handler as set-wise steps: dedupe, checkpoint, evaluate.
+
+Document bodies are shuffled once, by the dedupe. Checkpointing works on narrow
+columns, and only the ids of conflicting events (normally few) meet the bodies
+again, as an anti join.
+"""
 
 from __future__ import annotations
 
@@ -6,35 +11,35 @@ from pyspark.sql import DataFrame, functions as F
 
 from walletscope import params
 from walletscope.operators.alerts import evaluate
-from walletscope.operators.checkpoints import checkpoint_fold
-from walletscope.operators.ingest import new_events
-
+from walletscope.operators.checkpoints import checkpoint_conflicts, checkpoint_fold
+from walletscope.operators.ingest import first_arrival, new_events
+from walletscope.plans.settle import settle
 
-def with_outcomes(fresh: DataFrame, fold: DataFrame) -> DataFrame:
-    """New events with their checkpoint outcome; both sides have one row per event id."""
-    return fresh.join(fold.select("event_id", "outcome"), "event_id")
 
+def judge(fresh: DataFrame, outcomes: DataFrame, threshold=params.ALERT_THRESHOLD) -> DataFrame:
+    """Evaluate new events; a conflicting one is stored but never evaluated."""
+    conflicts = checkpoint_conflicts(outcomes).select("event_id")
+    return (evaluate(fresh.join(conflicts, "event_id", "left_anti"), threshold)
+            .select("event_id", "chain", "address", "provider", "correlation_id", "status", "hits"))
 
-def judge(handled: DataFrame, threshold=params.ALERT_THRESHOLD) -> DataFrame:
-    """Evaluate handled events; a conflicting one is stored but never evaluated."""
-    conflict = F.col("outcome") == "conflict"
-    judged = evaluate(handled.withColumn("raw_json", F.when(~conflict, F.col("raw_json"))), threshold)
-    return judged.withColumn("status", F.when(conflict, "conflict").otherwise(F.col("status")))
 
-
-def event_results(judged: DataFrame) -> DataFrame:
+def event_results(outcomes: DataFrame, judged: DataFrame) -> DataFrame:
     """One line per new event: outcome, status, number of alerts and their total amount."""
     total = F.aggregate("hits", F.lit(0).cast("decimal(38,9)"),
                         lambda acc, h: (acc + h["amount"]).cast("decimal(38,9)"))
-    return judged.select("event_id", "chain", "address", "lt", "outcome", "status",
-                         F.coalesce(F.size("hits"), F.lit(0)).alias("alerts"),
-                         F.coalesce(total, F.lit(0).cast("decimal(38,9)")).alias("alerted_amount"))
+    per_event = judged.select("event_id", "status", F.size("hits").alias("alerts"),
+                              total.alias("alerted_amount"))
+    return outcomes.join(per_event, "event_id", "left").select(
+        "event_id", "chain", "address", "lt", "outcome",
+        F.coalesce("status", F.lit("conflict")).alias("status"),
+        F.coalesce("alerts", F.lit(0)).alias("alerts"),
+        F.coalesce("alerted_amount", F.lit(0).cast("decimal(38,9)")).alias("alerted_amount"))
 
 
 def handle_batch(arrivals: DataFrame, stored: DataFrame | None = None,
                  checkpoints: DataFrame | None = None) -> DataFrame:
-    """New events of a batch of arrivals with checkpoint outcome, status and hits."""
-    from walletscope.operators.ingest import first_arrival
-
+    """Results of one batch of arrivals against stored ids and checkpoints."""
     fresh = first_arrival(arrivals) if stored is None else new_events(arrivals, stored)
-    return judge(with_outcomes(fresh, checkpoint_fold(fresh, checkpoints)))
+    fresh = settle(fresh, "fresh")
+    outcomes = settle(checkpoint_fold(fresh, checkpoints), "outcomes")
+    return event_results(outcomes, judge(fresh, outcomes))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from walletscope import params
 from walletscope.plans.running import running_max
+from walletscope.plans.settle import settle
 
 FIRING = ["alert", "severity", "series", "starts_at", "ends_at"]
 
@@ -91,13 +92,13 @@ def rule_lag_high(advances: DataFrame, as_of: Column) -> DataFrame:
 
 
 def merge_intervals(firing: DataFrame, keys: list[str], slice_unit: str = "hour") -> DataFrame:
-    """Union of overlapping or touching intervals per key."""
+    """Union of overlapping or touching intervals per key; ``firing`` is read twice."""
     slices = F.date_trunc(slice_unit, F.col("starts_at"))
     covered = running_max(firing.select(*keys, "starts_at", "ends_at"), keys,
                           ["starts_at", "ends_at"], slices, F.col("ends_at"), "_until")
     opened = covered.withColumn(
         "_opens", F.col("_until").isNull() | (F.col("starts_at") > F.col("_until"))).drop("_until")
-    island = running_max(opened, keys, ["starts_at", F.desc("_opens")], slices,
+    island = running_max(settle(opened, "opened"), keys, ["starts_at", F.desc("_opens")], slices,
                          F.when(F.col("_opens"), F.col("starts_at")), "_island", inclusive=True)
     return (island.groupBy(*keys, "_island").agg(F.max("ends_at").alias("ends_at"))
             .withColumnRenamed("_island", "starts_at"))

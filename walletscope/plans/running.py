@@ -5,6 +5,9 @@ task; a wallet or series holding a third of all rows would sit there alone. Here
 each key is cut into slices of its order column. The frame is evaluated inside
 (key, slice), and what earlier slices contribute is carried in from one
 pre-aggregated row per slice. The result equals that of the plain window.
+
+The input is read twice (once for the slice totals, narrow), so it should be a
+table scan or a settled result, not an expensive plan.
 """
 
 from __future__ import annotations

@@ -18,7 +18,7 @@ def spread_join(big: DataFrame, state: DataFrame, on: Sequence[str], how: str, s
     repeated; all other keys join as usual. Works for inner, left, left_semi and
     left_anti, where ``state`` is the right side.
     """
-    counts = big.groupBy(*on).count()
+    counts = big.dropna(subset=list(on)).groupBy(*on).count()
     total = counts.agg(F.sum("count")).scalar()
     hot = F.broadcast(
         counts.where((F.col("count") > hot_rows) & (F.col("count") * hot_share > total))

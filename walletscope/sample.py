@@ -163,7 +163,7 @@ class Sample:
     def tx_pages(self) -> DataFrame:
         """Landing-zone documents: 20 transactions of a wallet per page, in lt order."""
         numbered = running_sum(self.chain_tx().drop("event_type", "value"), WALLET, ["lt"],
-                               F.floor(F.col("lt") / (1 << 20)), F.lit(1), "_before")
+                               F.shiftright("lt", 20), F.lit(1), "_before")
         tx = F.struct("lt", F.col("tx_hash").alias("hash"),
                       F.floor(F.unix_micros("block_time") / 1_000_000).alias("utime"),
                       F.struct(F.col("value_nano").cast("string").alias("value")).alias("in_msg"))

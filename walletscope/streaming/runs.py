@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from walletscope import params
 from walletscope.operators.alerts import decision_rows
 from walletscope.operators.checkpoints import checkpoint_fold, final_checkpoints
-from walletscope.operators.handle import event_results, judge, with_outcomes
+from walletscope.operators.handle import event_results, judge
 from walletscope.operators.ingest import first_arrival, new_events
 from walletscope.schemas import WALLET
 from walletscope.sinks.tables import (
@@ -32,7 +32,7 @@ def store_new(root: str, created_at=None) -> Callable[[DataFrame, int], None]:
     return run
 
 
-def handle(root: str, created_at=None, threshold=params.ALERT_THRESHOLD) -> Callable:
+def handle(root: str, created_at=None, decided_at=None, threshold=params.ALERT_THRESHOLD) -> Callable:
     """The whole consumer as a foreachBatch function over the tables below ``root``.
 
     The new events are written first and read back: later steps start from that
@@ -42,17 +42,20 @@ def handle(root: str, created_at=None, threshold=params.ALERT_THRESHOLD) -> Call
 
     def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
+
+        def written(rows: DataFrame, table: str) -> DataFrame:
+            write_rows(rows, root, table, number)
+            return spark.read.schema(rows.schema).parquet(f"{root}/{table}/batch={number}")
+
         store(batch, number)
         fresh = spark.read.schema(EVENT_ROW).parquet(f"{root}/events/batch={number}")
         before = read_state(spark, root, "checkpoints", number - 1) if number else None
         write_state(final_checkpoints(fresh, before), root, "checkpoints", number)
-        handled = with_outcomes(fresh, checkpoint_fold(fresh, before))
-        write_rows(judge(handled, threshold), root, "judged", number)
-        judged = spark.read.parquet(f"{root}/judged/batch={number}")
-        decided_at = F.current_timestamp() if created_at is None else created_at
-        decided = judged.where(F.col("status") != "conflict")
-        write_rows(decision_rows(decided, decided_at), root, "decisions", number)
-        write_rows(event_results(judged), root, "results", number)
+        outcomes = written(checkpoint_fold(fresh, before), "outcomes")
+        judged = written(judge(fresh, outcomes, threshold), "judged")
+        at = F.current_timestamp() if decided_at is None else decided_at
+        written(decision_rows(judged, at), "decisions")
+        written(event_results(outcomes, judged), "results")
 
     return run
 
