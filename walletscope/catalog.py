@@ -220,7 +220,13 @@ def _cycle_errors(s: Sample) -> DataFrame:
 
 @query("failed_addresses")
 def _(s: Sample) -> DataFrame:
-    return ingest.failed_address_list(
+    return ingest.failed_addresses(
+        ingest.address_results(s.monitored(), s.chain_events(), _cycle_errors(s)))
+
+
+@query("failed_address_lines")
+def _(s: Sample) -> DataFrame:
+    return ingest.failed_address_lines(
         ingest.address_results(s.monitored(), s.chain_events(), _cycle_errors(s)))
 
 
@@ -677,7 +683,7 @@ def _(s: Sample) -> DataFrame:
 @query("ingest_rate_counter_5m")
 def _(s: Sample) -> DataFrame:
     """The same rate from counter samples that start again every day."""
-    return rates.counter_rate(s.counter_samples())
+    return rates.counter_rate(settle(s.counter_samples(), "counter"))
 
 
 @query("alert_rate_5m")

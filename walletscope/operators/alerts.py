@@ -2,6 +2,8 @@
 
 ``evaluate`` parses each document once and needs no shuffle: the qualifying
 messages of an event stay an array on its own row until they are exploded.
+Explode an expression over ``hits``, not the bare column: for a bare column the
+optimizer adds a size filter, and pushing that down evaluates everything twice.
 """
 
 from __future__ import annotations
@@ -207,8 +209,8 @@ def page_alerts(pages: DataFrame, scope: str = "page", threshold=params.ALERT_TH
     txs = F.when(F.col("hits").isNotNull(), F.col("txs"))
     per_tx = read.select("chain", "provider", "address", "hits",
                          F.posexplode(txs).alias("_at", "_tx"))
-    own = F.col("hits") if scope == "page" else F.filter(
-        "hits", lambda h: h["tx_position"] == F.col("_at"))
+    own = (F.coalesce("hits", F.array().cast(_HITS)) if scope == "page" else
+           F.filter("hits", lambda h: h["tx_position"] == F.col("_at")))
     return (per_tx.select("chain", "provider", "address", "_tx", F.posexplode(own).alias("position", "_hit"))
             .select(event_id("chain", "address", F.col("_tx.lt"), F.col("_tx.hash")).alias("event_id"),
                     "chain", "address", "provider", F.col("_tx.lt").alias("lt"), "position",

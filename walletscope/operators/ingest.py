@@ -100,11 +100,18 @@ def failed_addresses(results: DataFrame) -> DataFrame:
     return results.where(F.col("error").isNotNull()).select("address", "error")
 
 
-def failed_address_list(results: DataFrame) -> DataFrame:
-    """Failure count and the joined address list of the log line."""
-    return failed_addresses(results).agg(
-        F.count("*").alias("failed"), F.expr("listagg(address, ', ') WITHIN GROUP (ORDER BY address)")
-        .alias("addresses"))
+def failed_address_lines(results: DataFrame, per_line: int = 100) -> DataFrame:
+    """The failed addresses joined into log lines of about ``per_line`` addresses.
+
+    One line for all would grow without bound; addresses are spread by hash over
+    as many lines as their number asks for.
+    """
+    listed = failed_addresses(results)
+    lines = listed.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / per_line))).scalar()
+    number = F.conv(F.substring(F.sha2("address", 256), 1, 8), 16, 10).cast("bigint") % lines
+    joined = F.expr("listagg(address, ', ') WITHIN GROUP (ORDER BY address)")
+    return (listed.groupBy(number.alias("line_no"))
+            .agg(F.count("*").alias("failed"), joined.alias("addresses")))
 
 
 def events_ingested_total(results: DataFrame, chain: str = params.CHAIN) -> DataFrame:

@@ -6,23 +6,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from walletscope.plans.hot import DEFAULT, HotRule, hot_keys
+
 
 def spread_join(big: DataFrame, state: DataFrame, on: Sequence[str], how: str, spread_by: str,
-                hot_share: int = 1000, hot_rows: int = 1_000_000, salts: int = 64) -> DataFrame:
+                rule: HotRule = DEFAULT, salts: int = 64) -> DataFrame:
     """Join ``big`` to ``state`` with the rows of hot keys spread over ``salts`` buckets.
 
-    A key is hot if it holds more than 1/``hot_share`` of all rows and more than
-    ``hot_rows`` rows. There are fewer than ``hot_share`` such keys whatever the
-    data, so broadcasting them is bounded. Their rows are salted by ``spread_by``
-    (a value, so a re-run task salts alike) and only their state rows are
-    repeated; all other keys join as usual. Works for inner, left, left_semi and
-    left_anti, where ``state`` is the right side.
+    Hot rows are salted by ``spread_by`` (a value, so a re-run task salts alike)
+    and only the state rows of hot keys are repeated; all other keys join as
+    usual. Works for inner, left, left_semi and left_anti, where ``state`` is the
+    right side.
     """
-    counts = big.dropna(subset=list(on)).groupBy(*on).count()
-    total = counts.agg(F.sum("count")).scalar()
-    hot = F.broadcast(
-        counts.where((F.col("count") > hot_rows) & (F.col("count") * hot_share > total))
-        .select(*on, F.lit(True).alias("_hot")))
+    hot = hot_keys(big, on, rule)
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(0)
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))
                     ).otherwise(F.array(F.lit(0)))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from walletscope.functions import event_id
 from walletscope.operators.gauges import series_key
@@ -67,10 +67,15 @@ def _raw_json() -> Column:
 
 
 def tx_from_events(events: DataFrame) -> DataFrame:
-    """Rows of ``events`` as transactions; works on batch and streaming input."""
+    """Rows of ``events`` as transactions; works on batch and streaming input.
+
+    Chain and provider depend on the row, so plans treat them as data and not as
+    constants that drop out of every key.
+    """
     lt = F.col("event_id")
+    known = lt.isNotNull()
     return events.select(
-        lt.alias("lt"), F.lit("ton").alias("chain"), F.lit("tonapi").alias("provider"),
+        lt.alias("lt"), F.when(known, "ton").alias("chain"), F.when(known, "tonapi").alias("provider"),
         address("user_id").alias("address"), tx_hash(lt).alias("tx_hash"),
         F.col("ts").cast("timestamp").alias("block_time"), "event_type",
         (cents("value") * 10_000_000).alias("value_nano"), "value")
@@ -232,10 +237,12 @@ class Sample:
                 .withColumn("series", series_key(F.col("labels"))))
 
     def counter_samples(self) -> DataFrame:
-        """The ingest counter per chain, sampled at full minutes, starting again every day."""
-        minutes = (self.chain_tx().groupBy("chain", F.date_trunc("minute", "block_time").alias("ts"))
-                   .agg(F.count("*").alias("n")).withColumn("_day", F.date_trunc("day", "ts")))
-        return (running_sum(minutes, ["chain", "_day"], ["ts"], F.date_trunc("day", F.col("ts")),
-                            F.col("n"), "value", inclusive=True)
+        """The ingest counter per chain, sampled at full minutes, starting again every day.
+
+        The window runs over the minutes of one day, 1440 rows at most.
+        """
+        day = Window.partitionBy("chain", F.date_trunc("day", "ts")).orderBy("ts")
+        return (self.chain_tx().groupBy("chain", F.date_trunc("minute", "block_time").alias("ts"))
+                .agg(F.count("*").alias("n"))
                 .select(F.concat(F.lit("chain="), F.col("chain")).alias("series"), "ts",
-                        F.col("value").cast("double").alias("value")))
+                        F.sum("n").over(day).cast("double").alias("value")))

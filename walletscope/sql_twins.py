@@ -374,9 +374,13 @@ TWINS: dict[str, str] = {
     "active_leases": _twin(
         f"""select lease_key, owner_id, expires_at from leases where expires_at > {_AS_OF}
             order by expires_at desc, lease_key limit 5""", "leases"),
-    "failed_addresses": _twin(
-        """select count(*) as failed, string_agg(address, ', ' order by address) as addresses
-           from cycle where error is not null""", "cycle"),
+    "failed_addresses": _twin("select address, error from cycle where error is not null", "cycle"),
+    "failed_address_lines": _twin(
+        """select line_no, count(*) as failed, string_agg(address, ', ' order by address) as addresses
+           from (select address, cast('0x' || substr(sha256(address), 1, 8) as bigint)
+                     % cast(greatest(1, ceil(count(*) over () / 100)) as bigint) as line_no
+                 from cycle where error is not null)
+           group by line_no""", "cycle"),
     "stale_checkpoints": _twin("select * from lags where lag_seconds > 900", "lags"),
     "checkpoint_lookup": _twin(
         "select * from checkpoints where chain = 'ton' and address = '0:000007' and provider = 'tonapi'",
