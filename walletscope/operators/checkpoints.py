@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from walletscope.plans.hot import DEFAULT, HotRule
 from walletscope.plans.running import running_max
 from walletscope.schemas import WALLET
 
@@ -23,7 +24,7 @@ def _seeded(arrivals: DataFrame, checkpoints: DataFrame | None) -> DataFrame:
 
 
 def checkpoint_fold(arrivals: DataFrame, checkpoints: DataFrame | None = None,
-                    slice_rows: int = SLICE_ROWS) -> DataFrame:
+                    slice_rows: int = SLICE_ROWS, rule: HotRule = DEFAULT) -> DataFrame:
     """Outcome of every newly inserted event against the checkpoint at its arrival.
 
     ``advance``: first for the wallet, or lt above the checkpoint. ``conflict``:
@@ -34,7 +35,8 @@ def checkpoint_fold(arrivals: DataFrame, checkpoints: DataFrame | None = None,
     """
     state = F.struct(F.col("lt"), (-F.col("arrival_seq")).alias("seq"), F.col("tx_hash"))
     seen = running_max(_seeded(arrivals, checkpoints), WALLET, ["arrival_seq"],
-                       F.expr(f"arrival_seq div {int(slice_rows)}"), state, "before")
+                       F.expr(f"arrival_seq div {int(slice_rows)}"), state, "before",
+                       rule=rule)
     outcome = (F.when(F.col("before").isNull() | (F.col("lt") > F.col("before.lt")), "advance")
                .when((F.col("lt") == F.col("before.lt"))
                      & (F.col("tx_hash") != F.col("before.tx_hash")), "conflict")
