@@ -51,31 +51,43 @@ def test_order_in_first_then_out(spark):
         ("IN", 300), ("OUT", 150), ("OUT", 200), ("IN", 400)]
 
 
-@pytest.mark.parametrize("value,amounts", [
+VALUES = [
     ('"50000000000"', []), ('"99999999999"', []), ('"100000000000"', [Decimal(100)]),
     ("250000000000", [Decimal(250)]), ('""', []), ('"1e12"', []), ('"12.5"', []), ("1e12", []),
     ("true", []), ("{}", []), ("[200000000000]", []), ("null", []), ('" +200000000000 "', [Decimal(200)]),
-    ('"-200000000000"', []), ('"123456789012345678901"', [Decimal("123456789012.345678901")])])
-def test_values(spark, value, amounts):
-    doc = f'{{"in_msg":{{"value":{value}}}}}'
-    assert [a for _, a, _ in found(spark, doc)] == amounts
-    assert status(spark, doc) == "ok"
+    ('"-200000000000"', []), ('"123456789012345678901"', [Decimal("123456789012.345678901")])]
 
 
-@pytest.mark.parametrize("source,text", [
+def judged(spark, documents):
+    """Status, amounts and messages of each document, in one job."""
+    rows = {r.event_id: r for r in alerts.evaluate(events(spark, *documents)).collect()}
+    ordered = [rows[f"e{i}"] for i in range(len(documents))]
+    return [(r.status, [h.amount for h in r.hits or []], [h.message for h in r.hits or []]) for r in ordered]
+
+
+def test_values(spark):
+    got = judged(spark, [f'{{"in_msg":{{"value":{value}}}}}' for value, _ in VALUES])
+    for (value, amounts), (state, found_amounts, _) in zip(VALUES, got):
+        assert (state, found_amounts) == ("ok", amounts), value
+
+
+SOURCES = [
     ('{"workchain_id":0,"address":"EQD0vdQ_Nu12345"}', "0:EQD0vdQ_..."),
     ('{"workchain_id":-1,"address":"AB"}', "-1:AB"), ('{"workchain_id":0,"address":"0:AB"}', "0:AB"),
     ('{"address":"AB"}', "AB"), ('{"workchain_id":1.5,"address":"AB"}', "AB"),
     ('{"workchain_id":99999999999,"address":"AB"}', "AB"), ('{"raw_form":"RAW"}', "RAW"),
     ('{"address":"","raw_form":"RAW"}', "RAW"), ('{"address":5,"raw_form":"RAW"}', "RAW"),
     ('{"address":5}', "unknown"), ('{"raw_form":null}', "unknown"), ("{}", "unknown"), ("7", "unknown"),
-    ("null", "unknown"), ("[]", "unknown"), ('"S"', "S")])
-def test_addresses(spark, source, text):
-    doc = f'{{"in_msg":{{"source":{source},"value":"150000000000"}}}}'
-    assert found(spark, doc) == [("IN", Decimal(150), f"Received from {text}")]
+    ("null", "unknown"), ("[]", "unknown"), ('"S"', "S")]
 
 
-@pytest.mark.parametrize("document,expected", [
+def test_addresses(spark):
+    got = judged(spark, [f'{{"in_msg":{{"source":{source},"value":"150000000000"}}}}' for source, _ in SOURCES])
+    for (source, text), (state, _, messages) in zip(SOURCES, got):
+        assert (state, messages) == ("ok", [f"Received from {text}"]), source
+
+
+STATES = [
     ("{ invalid json }", "raw_json_parse_error"), ("", "raw_json_parse_error"),
     ("   ", "raw_json_parse_error"), ('{"test": true} tail', "raw_json_parse_error"),
     ('{"a":1},{"b":2}', "raw_json_parse_error"), ("{'in_msg':{}}", "raw_json_parse_error"),
@@ -98,9 +110,13 @@ def test_addresses(spark, source, text):
     ('{"in_msg":{"value":"150000000000","destination":{"raw_form":5}}}', "evaluation_error"),
     ('{"in_msg":{"value":"1","source":{"workchain_id":"0","address":"A"}}}', "ok"),
     ('{"test": true}', "ok"), ("{}", "ok"), ('{"transactions":[]}', "ok"), ('{"note":null}', "ok"),
-    ('{"in_msg":{"value":"1","value":"150000000000"}}', "ok"), ('{"transactions":[],"in_msg":null}', "ok")])
-def test_document_status(spark, document, expected):
-    assert status(spark, document) == expected
+    ('{"in_msg":{"value":"1","value":"150000000000"}}', "ok"), ('{"transactions":[],"in_msg":null}', "ok")]
+
+
+def test_document_status(spark):
+    got = judged(spark, [document for document, _ in STATES])
+    for (document, expected), (state, _, _) in zip(STATES, got):
+        assert state == expected, document
 
 
 def test_last_duplicate_key_wins(spark):

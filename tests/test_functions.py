@@ -1,6 +1,5 @@
 from decimal import Decimal
 
-import pytest
 from pyspark.sql import functions as F
 
 from walletscope import functions as fn
@@ -31,11 +30,13 @@ def test_short_event_id_has_empty_address(spark):
     assert a == b
 
 
-@pytest.mark.parametrize("text", ["", "   ", "12345", "12345:", "12345:   ", "not-a-number:abc123",
-                                  "1:2:3", "99999999999999999999:x", "1.5:x", None])
-def test_cursor_rejects(spark, text):
-    df = spark.createDataFrame([(text,)], "v string")
-    assert df.select(fn.parse_cursor("v").alias("p")).first()["p"] is None
+BAD_CURSORS = ["", "   ", "12345", "12345:", "12345:   ", "not-a-number:abc123",
+               "1:2:3", "99999999999999999999:x", "1.5:x", None]
+
+
+def test_cursor_rejects(spark):
+    df = spark.createDataFrame([(text,) for text in BAD_CURSORS], "v string")
+    assert all(r.p is None for r in df.select(fn.parse_cursor("v").alias("p")).collect())
 
 
 def test_cursor_round_trip(spark):
@@ -46,23 +47,27 @@ def test_cursor_round_trip(spark):
     assert all(r.v == r.again for r in back)
 
 
-@pytest.mark.parametrize("text,expected", [
+INTEGERS = [
     ("999999999999999999999999999999999", "999999999999999999999999999999999"), ("invalid", "0"),
     ("", "0"), (None, "0"), (" 42 ", "42"), ("+007", "7"), ("-05", "-5"), ("-0", "0"), ("1e12", "0"),
-    ("12.5", "0"), ("9" * 60, "9" * 60), ("0", "0")])
-def test_canonical_integer(spark, text, expected):
-    df = spark.createDataFrame([(text,)], "v string")
-    assert df.select(fn.canonical_integer(F.col("v"))).first()[0] == expected
+    ("12.5", "0"), ("9" * 60, "9" * 60), ("0", "0")]
+
 
+def test_canonical_integer(spark):
+    df = spark.createDataFrame([(text,) for text, _ in INTEGERS], "v string").coalesce(1)
+    assert [r[0] for r in df.select(fn.canonical_integer(F.col("v"))).collect()] == [e for _, e in INTEGERS]
 
-@pytest.mark.parametrize("text,expected", [
+
+AMOUNTS = [
     ("150000000000", Decimal("150")), ("1", Decimal("0.000000001")), ("-5000000000", Decimal("-5")),
     ("79228162514264337593543950335", Decimal("79228162514264337593.543950335")),
-    ("79228162514264337593543950336", None), ("9" * 35, None)])
-def test_units_exact(spark, text, expected):
-    df = spark.createDataFrame([(text,)], "v string")
-    got = df.select(fn.units(F.col("v")), fn.overflows(F.col("v"))).first()
-    assert got[0] == expected and got[1] == (expected is None)
+    ("79228162514264337593543950336", None), ("9" * 35, None)]
+
+
+def test_units_exact(spark):
+    df = spark.createDataFrame([(text,) for text, _ in AMOUNTS], "v string").coalesce(1)
+    got = df.select(fn.units(F.col("v")), fn.overflows(F.col("v"))).collect()
+    assert [tuple(r) for r in got] == [(e, e is None) for _, e in AMOUNTS]
 
 
 def test_sanitize_removes_both_forms(spark):

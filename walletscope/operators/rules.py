@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from walletscope import params
+from walletscope.plans.hot import DEFAULT, HotRule
 from walletscope.plans.running import running_max
 from walletscope.plans.settle import settle
 
@@ -16,7 +17,7 @@ def _plus(ts: Column, seconds) -> Column:
 
 
 def hold_for(samples: DataFrame, condition: Column, hold_seconds: int,
-             slice_unit: str = "hour") -> DataFrame:
+             slice_unit: str = "hour", rule: HotRule = DEFAULT) -> DataFrame:
     """Stretches of consecutive samples of a series that meet ``condition`` for the hold time.
 
     Samples between the same two failing ones form a stretch, so the last failing
@@ -25,7 +26,7 @@ def hold_for(samples: DataFrame, condition: Column, hold_seconds: int,
     judged = samples.withColumn("_met", F.coalesce(condition, F.lit(False)))
     miss = F.when(~F.col("_met"), F.struct("ts", "sample_id"))
     named = running_max(judged, ["series"], ["ts", "sample_id"], F.date_trunc(slice_unit, F.col("ts")),
-                        miss, "_after")
+                        miss, "_after", rule=rule)
     held = F.unix_micros("last_at") - F.unix_micros("active_at")
     return (named.where("_met").groupBy("series", "_after")
             .agg(F.min("ts").alias("active_at"), F.max("ts").alias("last_at"),
@@ -91,15 +92,16 @@ def rule_lag_high(advances: DataFrame, as_of: Column) -> DataFrame:
                     series.alias("series"), "starts_at", "ends_at"))
 
 
-def merge_intervals(firing: DataFrame, keys: list[str], slice_unit: str = "hour") -> DataFrame:
+def merge_intervals(firing: DataFrame, keys: list[str], slice_unit: str = "hour",
+                    rule: HotRule = DEFAULT) -> DataFrame:
     """Union of overlapping or touching intervals per key; ``firing`` is read twice."""
     slices = F.date_trunc(slice_unit, F.col("starts_at"))
     covered = running_max(firing.select(*keys, "starts_at", "ends_at"), keys,
-                          ["starts_at", "ends_at"], slices, F.col("ends_at"), "_until")
+                          ["starts_at", "ends_at"], slices, F.col("ends_at"), "_until", rule=rule)
     opened = covered.withColumn(
         "_opens", F.col("_until").isNull() | (F.col("starts_at") > F.col("_until"))).drop("_until")
     island = running_max(settle(opened, "opened"), keys, ["starts_at", F.desc("_opens")], slices,
-                         F.when(F.col("_opens"), F.col("starts_at")), "_island", inclusive=True)
+                         F.when(F.col("_opens"), F.col("starts_at")), "_island", inclusive=True, rule=rule)
     return (island.groupBy(*keys, "_island").agg(F.max("ends_at").alias("ends_at"))
             .withColumnRenamed("_island", "starts_at"))
 
