@@ -217,3 +217,10 @@ def test_conflicting_event_is_not_judged(spark):
         "event_id string, chain string, address string, lt bigint, outcome string")
     rows = event_results(outcomes, judge(df, outcomes)).orderBy("event_id").collect()
     assert [(r.status, r.alerts) for r in rows] == [("ok", 1), ("conflict", 0)]
+
+
+def test_digits_written_as_escapes_still_count(spark):
+    doc = '{"in_msg":{"v\\u0061lue":"\\u0031\\u00350000000000"}}'
+    assert found(spark, doc.replace("00000000\"", "0000000000\"")) != []
+    assert found(spark, '{"in_msg":{"value":"000000000000001"}}') == []
+    assert len(found(spark, '{"in_msg":{"value":"-5"}}', threshold=-10)) == 1

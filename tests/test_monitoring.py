@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from walletscope.operators import gauges, lag, rates, retries, rules
 from walletscope.plans.hot import HotRule
 
-ALL_HOT = HotRule(rows=0, share=10**9)
+ALL_HOT = HotRule(rows=0)
 START = datetime(2024, 1, 1)
 
 

@@ -10,7 +10,7 @@ from walletscope.plans.hot import HotRule
 from walletscope.plans.running import running_max, running_sum
 from walletscope.plans.spread_join import spread_join
 
-ALL_HOT = HotRule(rows=0, share=10**9)
+ALL_HOT = HotRule(rows=0)
 ARRIVAL = ("chain string, address string, provider string, lt bigint, tx_hash string, arrival_seq bigint, "
            "event_id string, arrived_at timestamp")
 START = datetime(2024, 1, 1)
@@ -120,8 +120,9 @@ def test_hot_rule_finds_only_large_shares(spark):
     from walletscope.plans.hot import hot_keys
 
     df = spark.createDataFrame([("h",)] * 60 + [(f"k{i}",) for i in range(40)] + [(None,)], "k string")
-    assert [r.k for r in hot_keys(df, ["k"], HotRule(rows=10, share=3)).collect()] == ["h"]
-    assert hot_keys(df, ["k"], HotRule(rows=100, share=3)).count() == 0
+    assert [r.k for r in hot_keys(df, ["k"], HotRule(rows=10)).collect()] == ["h"]
+    assert [r.k for r in hot_keys(df, ["k"], HotRule(rows=0, keys=1)).collect()] == ["h"]
+    assert hot_keys(df, ["k"], HotRule(rows=100)).count() == 0
 
 
 def test_first_arrival_keeps_the_first_payload(spark):

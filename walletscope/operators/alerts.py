@@ -122,14 +122,29 @@ def _messages(tx: Column, position: Column) -> Column:
     return F.when(outgoing.isNull(), incoming).otherwise(F.concat(incoming, outgoing))
 
 
+def _least_nano(threshold) -> Decimal:
+    return (Decimal(str(threshold)) * params.NANO_PER_UNIT).to_integral_value(ROUND_CEILING)
+
+
+def _may_qualify(raw: Column, threshold) -> Column:
+    """Cheap necessary condition for any alert, checked on the text before it is parsed.
+
+    A large enough value needs that many digits in a row, unless some are written
+    as escapes.
+    """
+    least = _least_nano(threshold)
+    if least <= 0:
+        return F.lit(True)
+    return raw.rlike(f"[0-9]{{{len(str(least))}}}") | F.contains(raw, F.lit("\\u"))
+
+
 def _qualifying(messages: Column, threshold) -> Column:
     """Messages that reach the threshold or cannot be evaluated.
 
     One small step per array pass: lambda bodies share no subexpressions, so each
     value is bound once before it is used several times.
     """
-    limit = Decimal(params.MAX_DECIMAL_UNITS)
-    least = (Decimal(str(threshold)) * params.NANO_PER_UNIT).to_integral_value(ROUND_CEILING)
+    limit, least = Decimal(params.MAX_DECIMAL_UNITS), _least_nano(threshold)
 
     def nano(m: Column) -> Column:
         return F.struct(m["tx_position"].alias("tx_position"), m["direction"].alias("direction"),
@@ -188,7 +203,8 @@ def whale_alerts(events: DataFrame, threshold=params.ALERT_THRESHOLD, scope: str
     ``extra`` names further event columns to keep.
     """
     hits = F.coalesce("hits", F.array().cast(_HITS))
-    return (evaluate(events, threshold, scope)
+    likely = events.where(_may_qualify(F.col("raw_json"), threshold))
+    return (evaluate(likely, threshold, scope)
             .select("event_id", "chain", "address", "provider", "correlation_id", *extra,
                     F.posexplode(hits).alias("position", "_hit"))
             .select("event_id", "chain", "address", "provider", "correlation_id", *extra, "position",

@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from walletscope import params
-from walletscope.functions import block_time, event_id, sanitize_json
+from walletscope.functions import block_time, event_id
 from walletscope.plans.spread_join import spread_join
 from walletscope.schemas import WALLET
 
 
 def normalize_events(transactions: DataFrame) -> DataFrame:
-    """Page transactions to event messages with deterministic ids."""
+    """Page transactions (with their cleaned page body) to event messages with deterministic ids."""
     return transactions.select(
         event_id("chain", "address", "lt", "tx_hash").alias("event_id"),
         "chain", "provider", "address",
         F.struct(F.col("lt").alias("primary"), F.col("tx_hash").alias("secondary")).alias("cursor"),
         block_time("utime").alias("occurred_at"),
-        sanitize_json(F.col("body")).alias("raw_json"))
+        F.col("body").alias("raw_json"))
 
 
 def events_to_rows(messages: DataFrame) -> DataFrame:

@@ -12,14 +12,15 @@ from pyspark.sql import DataFrame, functions as F
 
 @dataclass(frozen=True)
 class HotRule:
-    """A key is hot with more than ``rows`` rows and more than 1/``share`` of all rows.
+    """A key with more than ``rows`` rows is hot, up to the ``keys`` largest.
 
-    Fewer than ``share`` keys can be hot whatever the data, so their list has a
-    proven bound and may be broadcast.
+    The list has at most ``keys`` entries whatever the data, so it may be
+    broadcast. Keys left out are no larger than the smallest listed one, that is
+    at most 1/``keys`` of all rows.
     """
 
     rows: int = 1_000_000
-    share: int = 100_000
+    keys: int = 100_000
 
 
 DEFAULT = HotRule()
@@ -32,7 +33,6 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rule: HotRule = DEFAULT) -> Dat
     adaptive plan drops whatever is joined to the empty result.
     """
     known = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    counts = df.where(known).groupBy(*keys).count()
-    total = counts.agg(F.sum("count")).scalar()
-    hot = counts.where((F.col("count") > rule.rows) & (F.col("count") * rule.share > total))
-    return F.broadcast(hot.select(*keys, F.lit(True).alias("_hot")))
+    largest = (df.where(known).groupBy(*keys).count().where(F.col("count") > rule.rows)
+               .orderBy(F.desc("count"), *keys).limit(rule.keys))
+    return F.broadcast(largest.select(*keys, F.lit(True).alias("_hot")))

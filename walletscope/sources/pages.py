@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from walletscope.functions import sanitize_json
+
 PAGE_FILE = "chain string, provider string, address string, body string"
 _TXS = "array<struct<lt: bigint, hash: string, utime: bigint>>"
 _BODY = f"transactions {_TXS}, _bad string"
@@ -37,9 +39,12 @@ def with_transactions(pages: DataFrame) -> DataFrame:
 
 
 def transactions(pages: DataFrame) -> DataFrame:
-    """One row per transaction of every whole page; a page without a list gives none."""
+    """One row per transaction of every whole page; a page without a list gives none.
+
+    The body is cleaned once per page, before it is repeated on the page's rows.
+    """
     rows = F.coalesce("txs", F.array().cast(_TXS))
-    return (with_transactions(pages)
+    return (with_transactions(pages).withColumn("body", sanitize_json(F.col("body")))
             .select("chain", "provider", "address", "body", F.explode(rows).alias("_tx"))
             .select("chain", "provider", "address", F.col("_tx.lt").alias("lt"),
                     F.col("_tx.hash").alias("tx_hash"), F.col("_tx.utime").alias("utime"), "body"))
