@@ -16,7 +16,7 @@ from walletscope.plans.settle import settle
 from walletscope.sample import (
     CUT, Sample, address, arrivals_from_events, as_of, events_from_tx, tx_from_events,
 )
-from walletscope.schemas import MONITORED_KEY, WALLET
+from walletscope.schemas import METRIC_SAMPLES, MONITORED_KEY, WALLET
 from walletscope.session import shared_dir
 from walletscope.sinks import messages as message_sink, tables as table_sink
 from walletscope.sources import holders, messages, pages
@@ -166,7 +166,10 @@ def _(s: Sample) -> DataFrame:
         lag=lag.event_lag(marks, as_of()), stale=lag.stale_wallets_by_chain(marks, as_of()),
         dead=retries.dlq_depth(retries.dead_letters(s.attempts())),
         wallets=monitored.active_wallet_count(held))
-    return rows.select("metric", gauges.series_key(F.col("labels")).alias("series"), "ts", "value")
+    root = shared_dir(s.spark, "metrics")
+    table_sink.write_rows(rows, root, "samples", 0)
+    return (s.spark.read.schema(METRIC_SAMPLES).parquet(f"{root}/samples")
+            .select("metric", gauges.series_key(F.col("labels")).alias("series"), "ts", "value"))
 
 
 # ---- projections and filters ---------------------------------------------------
@@ -297,6 +300,12 @@ def _(s: Sample) -> DataFrame:
             .select(*WALLET, "lt", "tx_hash", "block_time"))
 
 
+@query("ingest_cycle")
+def _(s: Sample) -> DataFrame:
+    return (ingest.ingest_cycle(s.chain_tx(), s.monitored(), s.checkpoints(CUT))
+            .select(*WALLET, "lt", "tx_hash", "block_time"))
+
+
 # ---- aggregations ----------------------------------------------------------------
 
 @query("addresses_per_asset")

@@ -20,9 +20,10 @@ from walletscope.sources.pages import with_transactions
 _STRICT = {"columnNameOfCorruptRecord": "_bad", "allowSingleQuotes": "false",
            "allowNonNumericNumbers": "false"}
 _MESSAGE = "struct<value: string, source: variant, destination: variant>"
-_TX = f"struct<lt: string, hash: string, in_msg: {_MESSAGE}, out_msgs: array<{_MESSAGE}>>"
-_TYPED = (f"doc array<struct<transactions: array<{_TX}>, in_msg: {_MESSAGE}, "
-          f"out_msgs: array<{_MESSAGE}>>>, _bad string")
+_PARTS = f"in_msg: {_MESSAGE}, out_msgs: array<{_MESSAGE}>"
+_TYPED = f"doc array<struct<transactions: array<struct<{_PARTS}>>, {_PARTS}>>, _bad string"
+_KEYED = (f"doc array<struct<transactions: array<struct<{_PARTS}, lt: string, hash: string>>, {_PARTS}>>, "
+          "_bad string")
 _LOOSE = "doc array<struct<transactions: variant, in_msg: variant, out_msgs: variant>>, _bad string"
 _ANY = "doc array<string>, _bad string"
 _HITS = ("array<struct<tx_position: int, direction: string, amount: decimal(38,9), "
@@ -178,14 +179,16 @@ def evaluate(events: DataFrame, threshold=params.ALERT_THRESHOLD, scope: str = "
         raise ValueError(f"unknown scope {scope!r}")
     raw = F.col("raw_json")
     body = F.concat(F.lit('{"doc":['), raw, F.lit("]}"))
-    shaped = events.withColumn("_shape", F.from_json(body, _TYPED, _STRICT))
+    own = scope == "own_tx"
+    shaped = events.withColumn("_shape", F.from_json(body, _KEYED if own else _TYPED, _STRICT))
     doc = F.get(F.col("_shape.doc"), F.lit(0))
-    single = F.struct(F.lit(None).cast("string").alias("lt"), F.lit(None).cast("string").alias("hash"),
-                      doc["in_msg"].alias("in_msg"), doc["out_msgs"].alias("out_msgs"))
     txs = doc["transactions"]
-    if scope == "own_tx":
-        txs = F.filter(txs, lambda t: (t["lt"] == F.col("lt").cast("string"))
-                       & (t["hash"] == F.col("tx_hash")))
+    if own:
+        mine = F.filter(txs, lambda t: (t["lt"] == F.col("lt").cast("string"))
+                        & (t["hash"] == F.col("tx_hash")))
+        txs = F.transform(mine, lambda t: F.struct(t["in_msg"].alias("in_msg"),
+                                                   t["out_msgs"].alias("out_msgs")))
+    single = F.struct(doc["in_msg"].alias("in_msg"), doc["out_msgs"].alias("out_msgs"))
     txs = F.when(doc["transactions"].isNotNull(), txs).otherwise(F.array(single))
     found = _qualifying(F.flatten(F.transform(txs, _messages)), threshold)
     staged = (shaped.withColumn("_status", _status(raw, body, F.col("_shape")))
@@ -202,13 +205,17 @@ def whale_alerts(events: DataFrame, threshold=params.ALERT_THRESHOLD, scope: str
 
     ``extra`` names further event columns to keep.
     """
-    hits = F.coalesce("hits", F.array().cast(_HITS))
     likely = events.where(_may_qualify(F.col("raw_json"), threshold))
-    return (evaluate(likely, threshold, scope)
-            .select("event_id", "chain", "address", "provider", "correlation_id", *extra,
-                    F.posexplode(hits).alias("position", "_hit"))
-            .select("event_id", "chain", "address", "provider", "correlation_id", *extra, "position",
-                    F.lit(asset_id).alias("asset_id"), F.col("address").alias("wallet"),
+    return alert_rows(evaluate(likely, threshold, scope), asset_id, extra)
+
+
+def alert_rows(judged: DataFrame, asset_id: str = params.ALERT_ASSET,
+               extra: tuple[str, ...] = ()) -> DataFrame:
+    """The alerts of evaluated events, one row each."""
+    hits = F.coalesce("hits", F.array().cast(_HITS))
+    kept = ["event_id", "chain", "address", "provider", "correlation_id", *extra]
+    return (judged.select(*kept, F.posexplode(hits).alias("position", "_hit"))
+            .select(*kept, "position", F.lit(asset_id).alias("asset_id"), F.col("address").alias("wallet"),
                     "_hit.amount", "_hit.direction", "_hit.message"))
 
 

@@ -71,6 +71,19 @@ def ingest_active_only(transactions: DataFrame, monitored: DataFrame, **skew) ->
     return spread_join(transactions, active_wallets(monitored), WALLET, "left_semi", "lt", **skew)
 
 
+def ingest_cycle(transactions: DataFrame, monitored: DataFrame, checkpoints: DataFrame,
+                 limit: int = params.FETCH_LIMIT, **skew) -> DataFrame:
+    """One cycle's transactions: the next ones of every active wallet after its checkpoint.
+
+    Activity and checkpoint are first brought together per wallet, so the large
+    side is joined once.
+    """
+    state = active_wallets(monitored).join(checkpoints.select(*WALLET, "last_lt"), WALLET, "left")
+    joined = spread_join(transactions, state, WALLET, "inner", "lt", **skew)
+    later = joined.where(F.col("last_lt").isNull() | (F.col("lt") > F.col("last_lt"))).drop("last_lt")
+    return limit_per_group(later, WALLET, [F.col("lt"), F.col("tx_hash")], limit)
+
+
 def address_results(monitored: DataFrame, published: DataFrame, errors: DataFrame,
                     chain: str = params.CHAIN, provider: str = params.PROVIDER) -> DataFrame:
     """Per active address: events published and error text.

@@ -22,7 +22,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     Only where that is unset and Spark runs in one local process (tests) is a
     temporary folder used.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")

@@ -430,6 +430,13 @@ TWINS: dict[str, str] = {
     "ingest_active_only": _twin(
         """select chain, address, provider, lt, tx_hash, block_time from chain_tx
            where address in (select address from monitored where is_active)""", "chain_tx", "monitored"),
+    "ingest_cycle": _twin(
+        """select t.chain, t.address, t.provider, t.lt, t.tx_hash, t.block_time from chain_tx t
+           left join old_checkpoints c on t.chain = c.chain and t.address = c.address and t.provider = c.provider
+           where (c.last_lt is null or t.lt > c.last_lt)
+                 and t.address in (select address from monitored where is_active)
+           qualify row_number() over (partition by t.chain, t.address, t.provider order by t.lt) <= 100""",
+        "old_checkpoints", "monitored"),
     # aggregations
     "addresses_per_asset": _twin(
         """select asset_id, count(*) as total_addresses, count(distinct address) as unique_addresses

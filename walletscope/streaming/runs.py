@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
 from walletscope import params
-from walletscope.operators.alerts import decision_rows
+from walletscope.operators.alerts import alert_rows, decision_rows
 from walletscope.operators.checkpoints import checkpoint_fold, final_checkpoints
 from walletscope.operators.handle import event_results, judge
 from walletscope.operators.ingest import first_arrival, new_events
@@ -15,6 +15,7 @@ from walletscope.schemas import WALLET
 from walletscope.sinks.tables import (
     EVENT_ROW, read_events, read_state, write_events, write_rows, write_state,
 )
+from walletscope.sources.registry import AlertSink
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -32,9 +33,12 @@ def store_new(root: str, created_at=None) -> Callable[[DataFrame, int], None]:
     return run
 
 
-def handle(root: str, created_at=None, decided_at=None, threshold=params.ALERT_THRESHOLD) -> Callable:
+def handle(root: str, created_at=None, decided_at=None, threshold=params.ALERT_THRESHOLD,
+           sinks: Sequence[AlertSink] = ()) -> Callable[[DataFrame, int], None]:
     """The whole consumer as a foreachBatch function over the tables below ``root``.
 
+    Each of ``sinks`` is called with the alerts of the batch.
+
     The new events are written first and read back: later steps start from that
     table, so a lost executor never repeats the dedupe.
     """
@@ -56,6 +60,8 @@ def handle(root: str, created_at=None, decided_at=None, threshold=params.ALERT_T
         at = F.current_timestamp() if decided_at is None else decided_at
         written(decision_rows(judged, at), "decisions")
         written(event_results(outcomes, judged), "results")
+        for sink in sinks:
+            sink(alert_rows(judged))
 
     return run
 
@@ -72,8 +78,14 @@ def append_available(stream: DataFrame, path: str, checkpoint: str, fmt: str = "
      .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
 
 
+def use_rocksdb(df: DataFrame) -> None:
+    """Keep streaming state in RocksDB on disk instead of on the executor heap (session wide)."""
+    df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
+
+
 def dedupe_within(stream: DataFrame, ts: str = "block_time", horizon: str = "1 day") -> DataFrame:
     """Dedupe with bounded state: copies further apart in event time than ``horizon`` may pass."""
+    use_rocksdb(stream)
     return stream.withWatermark(ts, horizon).dropDuplicatesWithinWatermark(["event_id"])
 
 
@@ -98,8 +110,8 @@ def checkpoint_versions(root: str) -> Callable[[DataFrame, int], None]:
 
 
 def run_checkpoints(stream: DataFrame, root: str, checkpoint: str) -> None:
-    """Running checkpoints in update mode; state lives in RocksDB, not on the heap."""
-    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
+    """Running checkpoints in update mode."""
+    use_rocksdb(stream)
     (running_checkpoints(stream).writeStream.outputMode("update")
      .foreachBatch(checkpoint_versions(root)).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())
