@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from walletscope.operators import alerts
+from walletscope.operators.checkpoints import checkpoint_conflicts
 from walletscope.operators.handle import event_results, judge
 from walletscope.operators.ingest import normalize_events
 from walletscope.sources.pages import bad_pages, transactions
@@ -215,7 +216,7 @@ def test_conflicting_event_is_not_judged(spark):
     outcomes = spark.createDataFrame(
         [("e0", "ton", "0:TEST123", 1000, "advance"), ("e1", "ton", "0:TEST123", 1000, "conflict")],
         "event_id string, chain string, address string, lt bigint, outcome string")
-    rows = event_results(outcomes, judge(df, outcomes)).orderBy("event_id").collect()
+    rows = event_results(outcomes, judge(df, checkpoint_conflicts(outcomes))).orderBy("event_id").collect()
     assert [(r.status, r.alerts) for r in rows] == [("ok", 1), ("conflict", 0)]
 
 

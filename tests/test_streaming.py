@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from walletscope.operators.checkpoints import checkpoint_fold, final_checkpoints
+from walletscope.operators.checkpoints import checkpoint_conflicts, checkpoint_fold, final_checkpoints
 from walletscope.operators.handle import event_results, judge
 from walletscope.operators.ingest import first_arrival
 from walletscope.sinks import messages as message_sink
@@ -53,7 +53,7 @@ def test_stream_of_three_batches_equals_one_batch(spark, landing, tmp_path):
     whole = spark.createDataFrame(deliveries(), SCHEMA)
     fresh = first_arrival(whole).cache()
     fold = checkpoint_fold(fresh)
-    expected = event_results(fold, judge(fresh, fold))
+    expected = event_results(fold, judge(fresh, checkpoint_conflicts(fold)))
     got = spark.read.parquet(f"{root}/results")
     assert got.select("batch").distinct().count() == 3
     assert sorted(map(repr, got.drop("batch").collect())) == sorted(map(repr, expected.collect()))

@@ -16,11 +16,15 @@ from walletscope.operators.ingest import first_arrival, new_events
 from walletscope.plans.settle import settle
 
 
-def judge(fresh: DataFrame, outcomes: DataFrame, threshold=params.ALERT_THRESHOLD) -> DataFrame:
-    """Evaluate new events; a conflicting one is stored but never evaluated."""
-    conflicts = checkpoint_conflicts(outcomes).select("event_id")
-    return (evaluate(fresh.join(conflicts, "event_id", "left_anti"), threshold)
-            .select("event_id", "chain", "address", "provider", "correlation_id", "status", "hits"))
+def judge(fresh: DataFrame, conflicts: DataFrame, threshold=params.ALERT_THRESHOLD) -> DataFrame:
+    """Evaluate new events; a conflicting one is stored but never evaluated.
+
+    Hand in ``conflicts`` as a written table: its file size is known when the join
+    is planned, so Spark broadcasts it if it is small and the bodies stay in place.
+    """
+    kept = fresh.join(conflicts.select("event_id"), "event_id", "left_anti")
+    return evaluate(kept, threshold).select(
+        "event_id", "chain", "address", "provider", "correlation_id", "status", "hits")
 
 
 def event_results(outcomes: DataFrame, judged: DataFrame) -> DataFrame:
@@ -42,4 +46,5 @@ def handle_batch(arrivals: DataFrame, stored: DataFrame | None = None,
     fresh = first_arrival(arrivals) if stored is None else new_events(arrivals, stored)
     fresh = settle(fresh, "fresh")
     outcomes = settle(checkpoint_fold(fresh, checkpoints), "outcomes")
-    return event_results(outcomes, judge(fresh, outcomes))
+    conflicts = settle(checkpoint_conflicts(outcomes), "conflicts")
+    return event_results(outcomes, judge(fresh, conflicts))

@@ -108,8 +108,11 @@ def active_addresses(monitored: DataFrame, chain: str = params.CHAIN,
 
 
 def active_wallet_count(monitored: DataFrame, chain: str = params.CHAIN,
-                        provider: str = params.PROVIDER) -> DataFrame:
-    return _active(monitored, chain, provider).agg(F.count_distinct("address").alias("active_wallets"))
+                        provider: str = params.PROVIDER, rsd: float | None = None) -> DataFrame:
+    """Distinct active addresses; with ``rsd`` an estimate of that relative deviation."""
+    count = (F.count_distinct("address") if rsd is None
+             else F.approx_count_distinct("address", rsd))
+    return _active(monitored, chain, provider).agg(count.alias("active_wallets"))
 
 
 def distinct_addresses(df: DataFrame) -> DataFrame:

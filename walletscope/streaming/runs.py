@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from walletscope import params
 from walletscope.operators.alerts import alert_rows, decision_rows
-from walletscope.operators.checkpoints import checkpoint_fold, final_checkpoints
+from walletscope.operators.checkpoints import checkpoint_conflicts, checkpoint_fold, final_checkpoints
 from walletscope.operators.handle import event_results, judge
 from walletscope.operators.ingest import first_arrival, new_events
 from walletscope.schemas import WALLET
@@ -56,7 +56,8 @@ def handle(root: str, created_at=None, decided_at=None, threshold=params.ALERT_T
         before = read_state(spark, root, "checkpoints", number - 1) if number else None
         write_state(final_checkpoints(fresh, before), root, "checkpoints", number)
         outcomes = written(checkpoint_fold(fresh, before), "outcomes")
-        judged = written(judge(fresh, outcomes, threshold), "judged")
+        conflicts = written(checkpoint_conflicts(outcomes), "conflicts")
+        judged = written(judge(fresh, conflicts, threshold), "judged")
         at = F.current_timestamp() if decided_at is None else decided_at
         written(decision_rows(judged, at), "decisions")
         written(event_results(outcomes, judged), "results")
