@@ -387,10 +387,9 @@ TWINS: dict[str, str] = {
         "checkpoints"),
     # joins
     "unprocessed_addresses": _twin(
-        """select m.address, m.asset_id, left(m.balance, 20) as balance
-           from monitored m left join chain_events e on m.address = e.address
-           where m.is_active group by m.address, m.asset_id, m.balance having count(e.event_id) = 0
-           order by m.address, m.asset_id, m.balance limit 10""", "monitored", "chain_events"),
+        """select distinct m.address, m.asset_id, left(m.balance, 20) as balance
+           from monitored m anti join chain_tx t on m.address = t.address where m.is_active
+           order by 1, 2, 3 limit 10""", "monitored", "chain_tx"),
     "unprocessed_wallets": _twin(
         """select distinct address, asset_id, balance from monitored
            where is_active and address not in (select address from chain_tx)""", "monitored", "chain_tx"),
@@ -442,10 +441,11 @@ TWINS: dict[str, str] = {
         """select asset_id, count(*) as total_addresses, count(distinct address) as unique_addresses
            from monitored where is_active group by asset_id""", "monitored"),
     "multi_asset_wallets": _twin(
-        """select address, count(distinct asset_id) as asset_count,
-                  string_agg(asset_id, ', ' order by asset_id) as assets
-           from monitored where is_active group by address having count(distinct asset_id) > 1
-           order by asset_count desc, address limit 10""", "monitored"),
+        """select address, cast(len(list_distinct(held)) as bigint) as asset_count,
+                  array_to_string(held, ', ') as assets
+           from (select address, list(asset_id order by asset_id) as held
+                 from monitored where is_active group by address)
+           where len(list_distinct(held)) > 1 order by asset_count desc, address limit 10""", "monitored"),
     "events_summary": _twin(
         """select count(*) as total_events, count(distinct address) as addresses_with_events,
                   count(distinct event_id) as unique_event_ids, min(block_time) as first_event,
@@ -457,32 +457,28 @@ TWINS: dict[str, str] = {
         """select count(*) as total_checkpoints, count(distinct (chain, address, provider)) as unique_addresses
            from checkpoints""", "checkpoints"),
     "checkpoint_coverage": _twin(
-        """select total_addresses, checkpointed_addresses,
-                  total_addresses - checkpointed_addresses as not_checkpointed
-           from (select (select count(distinct address) from monitored where is_active) as total_addresses,
-                        (select count(*) from checkpoints) as checkpointed_addresses)""",
-        "monitored", "checkpoints"),
+        """select h.n as total_addresses, c.n as checkpointed_addresses, h.n - c.n as not_checkpointed
+           from (select count(distinct address) as n from monitored where is_active) h,
+                (select count(*) as n from checkpoints) c""", "monitored", "checkpoints"),
     "duplicate_event_ids": _twin(
         """select event_id, count(*) as duplicates from arrivals group by event_id having count(*) > 1
            order by event_id limit 10""", "arrivals"),
     "system_summary": _twin(
-        """select 'Monitored Addresses' as metric, cast(count(*) as varchar) as value
-           from monitored where is_active
-           union all select 'Unique Wallets', cast(count(distinct address) as varchar)
-           from monitored where is_active
-           union all select 'Assets Tracked', cast(count(distinct asset_id) as varchar)
-           from monitored where is_active
-           union all select 'Total Events', cast(count(*) as varchar) from chain_tx
-           union all select 'Addresses Checkpointed', cast(count(*) as varchar) from checkpoints""",
+        """select unnest(['Monitored Addresses', 'Unique Wallets', 'Assets Tracked', 'Total Events',
+                          'Addresses Checkpointed']) as metric,
+                  cast(unnest([h.n, h.wallets, h.assets, e.n, c.n]) as varchar) as value
+           from (select count(*) as n, count(distinct address) as wallets, count(distinct asset_id) as assets
+                 from monitored where is_active) h,
+                (select count(*) as n from chain_tx) e, (select count(*) as n from checkpoints) c""",
         "monitored", "checkpoints"),
     "discovery_freshness": _twin(
         """select asset_id, min(discovered_at) as oldest_discovery, max(discovered_at) as newest_discovery
            from monitored where is_active group by asset_id""", "monitored"),
     "discovery_limit_check": _twin(
-        """select chain, asset_id, count(*) as count,
-                  case when count(*) > 100 then '⚠️ Over limit (query shows top 100 anyway)'
-                       else '✓ OK' end as status
-           from monitored where is_active group by chain, asset_id""", "monitored"),
+        """select chain, asset_id, n as count, if(n > 100, '⚠️ Over limit (query shows top 100 anyway)',
+                  '✓ OK') as status
+           from (select chain, asset_id, count(*) as n from monitored where is_active group by all)""",
+        "monitored"),
     "checkpoint_timestamps": _twin("select chain, address, updated_at from lags", "lags"),
     "active_wallet_count": _twin(
         "select count(distinct address) as active_wallets from monitored where is_active", "monitored"),
@@ -514,10 +510,10 @@ TWINS: dict[str, str] = {
         "select event_id, chain, address, provider, lt, tx_hash, arrival_seq from first_arrivals",
         "first_arrivals"),
     "top_balances_per_asset": _twin(
-        """select chain, asset_id, left(address, 42) as wallet, left(balance, 22) as balance, rank
-           from (select *, row_number() over (partition by chain, asset_id
-                     order by length(balance) desc, cast(balance as hugeint) desc, address) as rank
-                 from monitored where is_active) where rank <= 5""", "monitored"),
+        """select chain, asset_id, left(address, 42) as wallet, left(balance, 22) as balance,
+                  row_number() over (partition by chain, asset_id
+                      order by cast(balance as hugeint) desc, address) as rank
+           from monitored where is_active qualify rank <= 5""", "monitored"),
     "checkpoint_fold": _twin(
         """select chain, address, provider, event_id, lt, tx_hash, arrival_seq, outcome from fold""", "fold"),
     "checkpoint_conflicts": _twin(
