@@ -737,12 +737,12 @@ def _(s: Sample) -> DataFrame:
 
 @query("rule_dlq")
 def _(s: Sample) -> DataFrame:
-    return rules.rule_dlq(s.samples())
+    return rules.sampled_rules(s.samples(), [rules.DLQ])
 
 
 @query("rule_breaker_open")
 def _(s: Sample) -> DataFrame:
-    return rules.rule_breaker_open(s.samples())
+    return rules.sampled_rules(s.samples(), [rules.BREAKER_OPEN])
 
 
 @query("rule_ingestion_stalled")
@@ -761,15 +761,12 @@ def _(s: Sample) -> DataFrame:
 
 @query("rule_discovery_failed")
 def _(s: Sample) -> DataFrame:
-    return rules.rule_discovery_failed(s.samples())
+    return rules.sampled_rules(s.samples(), [rules.DISCOVERY_FAILED])
 
 
 @query("notification_schedule")
 def _(s: Sample) -> DataFrame:
     """Send times over the firing intervals of all five rules."""
-    samples = s.samples()
-    firing = [rules.rule_dlq(samples), rules.rule_breaker_open(samples),
-              rules.rule_discovery_failed(samples),
-              rules.rule_ingestion_stalled(s.chain_tx(), as_of()),
+    firing = [rules.sampled_rules(s.samples()), rules.rule_ingestion_stalled(s.chain_tx(), as_of()),
               rules.rule_lag_high(_advances(s), as_of())]
     return rules.notification_schedule(settle(reduce(DataFrame.unionByName, firing), "firing"))

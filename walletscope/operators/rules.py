@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from walletscope import params
@@ -16,47 +19,65 @@ def _plus(ts: Column, seconds) -> Column:
     return F.timestamp_micros(F.unix_micros(ts) + F.lit(seconds * 1_000_000).cast("bigint"))
 
 
-def hold_for(samples: DataFrame, condition: Column, hold_seconds: int,
-             slice_unit: str = "hour", rule: HotRule = DEFAULT) -> DataFrame:
-    """Stretches of consecutive samples of a series that meet ``condition`` for the hold time.
+def hold_for(samples: DataFrame, condition: Column, hold_seconds: int | str,
+             keys: Sequence[str] = ("series",), slice_unit: str = "hour",
+             rule: HotRule = DEFAULT) -> DataFrame:
+    """Stretches of consecutive samples of a key that meet ``condition`` for the hold time.
 
     Samples between the same two failing ones form a stretch, so the last failing
     sample before a row names its stretch; a stitched running maximum finds it.
+    ``hold_seconds`` is a number or the name of a key column.
     """
     judged = samples.withColumn("_met", F.coalesce(condition, F.lit(False)))
     miss = F.when(~F.col("_met"), F.struct("ts", "sample_id"))
-    named = running_max(judged, ["series"], ["ts", "sample_id"], F.date_trunc(slice_unit, F.col("ts")),
-                        miss, "_after", rule=rule)
+    named = running_max(judged, list(keys), ["ts", "sample_id"],
+                        F.date_trunc(slice_unit, F.col("ts")), miss, "_after", rule=rule)
+    hold = (F.col(hold_seconds) if isinstance(hold_seconds, str) else F.lit(hold_seconds)).cast("bigint")
     held = F.unix_micros("last_at") - F.unix_micros("active_at")
-    return (named.where("_met").groupBy("series", "_after")
+    starts = F.timestamp_micros(F.unix_micros("active_at") + hold * 1_000_000)
+    return (named.where("_met").groupBy(*keys, "_after")
             .agg(F.min("ts").alias("active_at"), F.max("ts").alias("last_at"),
                  F.count("*").alias("samples"))
-            .where(held >= hold_seconds * 1_000_000)
-            .select("series", "active_at", _plus(F.col("active_at"), hold_seconds).alias("starts_at"),
-                    F.col("last_at").alias("ends_at"), "samples"))
-
-
-def sampled_rule(samples: DataFrame, alert: str, severity: str, metric: str, condition: Column,
-                 hold_seconds: int) -> DataFrame:
-    stretches = hold_for(samples.where(F.col("metric") == metric), condition, hold_seconds)
-    return stretches.select(F.lit(alert).alias("alert"), F.lit(severity).alias("severity"),
-                            "series", "starts_at", "ends_at")
-
-
-def rule_dlq(samples: DataFrame) -> DataFrame:
-    return sampled_rule(samples, "dlq_message", "critical", "dlq_messages", F.col("value") > 0, 0)
-
-
-def rule_breaker_open(samples: DataFrame) -> DataFrame:
-    return sampled_rule(samples, "circuit_breaker_open", "critical", "circuit_breaker_state",
-                        F.col("value") == 2, 0)
-
-
-def rule_discovery_failed(samples: DataFrame) -> DataFrame:
-    age = F.unix_micros("ts") / F.lit(1e6) - F.col("value")
-    return sampled_rule(samples, "discovery_failed", "warning",
-                        "discovery_last_success_timestamp_seconds",
-                        age > params.DISCOVERY_ALERT_SECONDS, params.DISCOVERY_ALERT_HOLD_SECONDS)
+            .where(held >= hold * 1_000_000)
+            .select(*keys, "active_at", starts.alias("starts_at"), F.col("last_at").alias("ends_at"),
+                    "samples"))
+
+
+class SampledRule(NamedTuple):
+    """A rule over the samples of one metric; ``condition`` builds the test when it is used."""
+
+    alert: str
+    severity: str
+    metric: str
+    condition: Callable[[], Column]
+    hold_seconds: int
+
+
+def _discovery_age() -> Column:
+    return F.unix_micros("ts") / F.lit(1e6) - F.col("value")
+
+
+DLQ = SampledRule("dlq_message", "critical", "dlq_messages", lambda: F.col("value") > 0, 0)
+BREAKER_OPEN = SampledRule("circuit_breaker_open", "critical", "circuit_breaker_state",
+                           lambda: F.col("value") == 2, 0)
+DISCOVERY_FAILED = SampledRule(
+    "discovery_failed", "warning", "discovery_last_success_timestamp_seconds",
+    lambda: _discovery_age() > params.DISCOVERY_ALERT_SECONDS, params.DISCOVERY_ALERT_HOLD_SECONDS)
+SAMPLED_RULES = (DLQ, BREAKER_OPEN, DISCOVERY_FAILED)
+
+
+def sampled_rules(samples: DataFrame, rules: Sequence[SampledRule] = SAMPLED_RULES,
+                  hot: HotRule = DEFAULT) -> DataFrame:
+    """Firing intervals of all given rules in one pass over the samples."""
+    tests = [F.when(F.col("metric") == r.metric, F.struct(
+        F.lit(r.alert).alias("alert"), F.lit(r.severity).alias("severity"),
+        F.lit(r.hold_seconds).alias("hold"), F.coalesce(r.condition(), F.lit(False)).alias("met")))
+        for r in rules]
+    rows = (samples.where(F.col("metric").isin([r.metric for r in rules]))
+            .select("series", "ts", "sample_id", F.explode(F.array_compact(F.array(*tests))).alias("_rule"))
+            .select("series", "ts", "sample_id", "_rule.*"))
+    return hold_for(rows, F.col("met"), "hold", ["alert", "severity", "hold", "series"],
+                    rule=hot).select(*FIRING)
 
 
 def _quiet(rows: DataFrame, keys: list[str], ts: str, quiet_seconds: int, as_of: Column) -> DataFrame:
