@@ -85,6 +85,18 @@ def test_hold_edge_is_inclusive(spark):
     assert [r.series for r in rules.hold_for(df, F.col("value") > 0, 60).collect()] == ["s"]
 
 
+def test_several_rules_on_one_metric_in_one_pass(spark):
+    df = samples(spark, [("s", t, v) for t, v in ((0, 1), (60, 5), (120, 5), (180, 0), (240, 9))]).withColumn(
+        "metric", F.lit("m"))
+    low = rules.SampledRule("low", "warning", "m", lambda: F.col("value") > 0, 60)
+    high = rules.SampledRule("high", "critical", "m", lambda: F.col("value") > 4, 0)
+    other = rules.SampledRule("other", "critical", "n", lambda: F.lit(True), 0)
+    got = sorted((r.alert, r.severity, r.starts_at, r.ends_at)
+                 for r in rules.sampled_rules(df, [low, high, other]).collect())
+    assert got == [("high", "critical", at(60), at(120)), ("high", "critical", at(240), at(240)),
+                   ("low", "warning", at(60), at(120))]
+
+
 def quiet_rows(spark, rows):
     return spark.createDataFrame([("ton", a, at(t), at(t)) for a, t in rows],
                                  "chain string, address string, block_time timestamp, arrived_at timestamp")

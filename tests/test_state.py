@@ -109,7 +109,8 @@ def test_running_aggregates_equal_plain_windows(spark, rule, inclusive):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 @pytest.mark.parametrize("rule", [HotRule(), ALL_HOT])
 def test_spread_join_equals_plain_join(spark, how, rule):
-    big = spark.createDataFrame([("h" if i % 3 else f"k{i % 20}", i) for i in range(500)], "k string, lt bigint")
+    rows = [("h" if i % 3 else f"k{i % 20}", i) for i in range(500)] + [(None, i) for i in range(40)]
+    big = spark.createDataFrame(rows, "k string, lt bigint")
     state = spark.createDataFrame([("h", 1), ("k3", 2), ("k6", 3), ("gone", 4)], "k string, s bigint")
     got = spread_join(big, state, ["k"], how, "lt", rule, salts=8)
     plain = big.join(state, "k", how)

@@ -80,6 +80,18 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert before["events"] and len(set(r.event_id for r in read_events(spark, root).collect())) == len(before["events"])
 
 
+def test_batch_of_copies_only(spark, tmp_path):
+    root = str(tmp_path)
+    rows = deliveries(40)
+    step = runs.handle(root, F.col("block_time"), F.to_timestamp(F.lit("2024-02-01 00:00:00")))
+    step(spark.createDataFrame(rows, SCHEMA), 0)
+    step(spark.createDataFrame(rows, SCHEMA), 1)
+    assert spark.read.parquet(f"{root}/results/batch=1").count() == 0
+    assert spark.read.parquet(f"{root}/decisions/batch=1").count() == 0
+    first, second = (read_state(spark, root, "checkpoints", v) for v in (0, 1))
+    assert sorted(map(repr, first.collect())) == sorted(map(repr, second.collect()))
+
+
 def test_dedupe_store_is_exact_over_batches(spark, landing, tmp_path):
     root = str(tmp_path)
     runs.run_available(stream(spark, landing), runs.store_new(root, F.col("block_time")), f"{root}/log")

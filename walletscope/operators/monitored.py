@@ -24,11 +24,15 @@ def by_value() -> list[Column]:
 
 
 def all_asset_holders(parsed: list[DataFrame], limit: int = params.TOP_HOLDERS_LIMIT) -> DataFrame:
-    """Top holders of every asset source; an asset with an unreadable document is skipped whole."""
+    """Top holders of every asset source; an asset with an unreadable document is skipped whole.
+
+    The limit comes first: it cuts each asset before its rows are shuffled, and the
+    failed assets then leave out few rows.
+    """
     docs = reduce(DataFrame.unionByName, parsed)
     failed = docs.where(~F.col("readable")).select("asset_id").distinct()
-    rows = holder_rows(docs).join(failed, "asset_id", "left_anti")
-    return limit_per_group(rows, ["asset_id"], by_value(), limit)
+    top = limit_per_group(holder_rows(docs), ["asset_id"], by_value(), limit)
+    return top.join(failed, "asset_id", "left_anti")
 
 
 def discovery_stats(parsed: list[DataFrame], holders: DataFrame) -> DataFrame:

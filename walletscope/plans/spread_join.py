@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -15,11 +17,12 @@ def spread_join(big: DataFrame, state: DataFrame, on: Sequence[str], how: str, s
 
     Hot rows are salted by ``spread_by`` (a value, so a re-run task salts alike)
     and only the state rows of hot keys are repeated; all other keys join as
-    usual. Works for inner, left, left_semi and left_anti, where ``state`` is the
+    usual. Rows with a NULL key match nothing and are salted too. Works for inner, left, left_semi and left_anti, where ``state`` is the
     right side.
     """
     hot = hot_keys(big, on, rule)
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(0)
+    unknown = reduce(or_, [F.col(k).isNull() for k in on])
+    salt = F.when(F.col("_hot") | unknown, F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(0)
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))
                     ).otherwise(F.array(F.lit(0)))
     left = big.join(hot, list(on), "left").withColumn("_salt", salt.cast("int")).drop("_hot")
