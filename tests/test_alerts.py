@@ -122,6 +122,8 @@ def test_document_status(spark):
 
 def test_last_duplicate_key_wins(spark):
     assert [a for _, a, _ in found(spark, '{"in_msg":{"value":"1","value":"150000000000"}}')] == [Decimal(150)]
+    doc = '{"in_msg":{"value":"150000000000","source":{"address":"A","address":"B","workchain_id":7}}}'
+    assert [m for _, _, m in found(spark, doc)] == ["Received from 7:B"]
 
 
 def test_all_or_nothing_per_event(spark):

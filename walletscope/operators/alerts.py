@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from walletscope import params
 from walletscope.functions import event_id, plain_amount, sanitize_json, short_address, transfer_text
 from walletscope.functions.amounts import INTEGER
+from walletscope.session import last_key_wins
 from walletscope.sources.pages import with_transactions
 
 _STRICT = {"columnNameOfCorruptRecord": "_bad", "allowSingleQuotes": "false",
@@ -177,6 +178,7 @@ def evaluate(events: DataFrame, threshold=params.ALERT_THRESHOLD, scope: str = "
     """
     if scope not in ("page", "own_tx"):
         raise ValueError(f"unknown scope {scope!r}")
+    last_key_wins(events.sparkSession)
     raw = F.col("raw_json")
     body = F.concat(F.lit('{"doc":['), raw, F.lit("]}"))
     own = scope == "own_tx"

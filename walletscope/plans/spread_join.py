@@ -17,8 +17,8 @@ def spread_join(big: DataFrame, state: DataFrame, on: Sequence[str], how: str, s
 
     Hot rows are salted by ``spread_by`` (a value, so a re-run task salts alike)
     and only the state rows of hot keys are repeated; all other keys join as
-    usual. Rows with a NULL key match nothing and are salted too. Works for inner, left, left_semi and left_anti, where ``state`` is the
-    right side.
+    usual. Rows with a NULL key match nothing and are salted too. Works for inner,
+    left, left_semi and left_anti, where ``state`` is the right side.
     """
     hot = hot_keys(big, on, rule)
     unknown = reduce(or_, [F.col(k).isNull() for k in on])

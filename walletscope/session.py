@@ -1,4 +1,4 @@
-"""Session helpers: the UTC contract and the shared scratch folder."""
+"""Session helpers: the UTC contract, JSON key rule and the shared scratch folder."""
 
 from __future__ import annotations
 
@@ -15,6 +15,13 @@ def utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def last_key_wins(spark: SparkSession) -> SparkSession:
+    """Of equal keys in a JSON object the last one counts, inside variants as elsewhere."""
+    if spark.conf.get("spark.sql.variant.allowDuplicateKeys", "false") != "true":
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return spark
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for stream state and outputs, below the cluster's checkpoint folder.
 
