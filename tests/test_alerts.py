@@ -111,7 +111,8 @@ STATES = [
     ('{"in_msg":{"value":"150000000000","destination":{"raw_form":5}}}', "evaluation_error"),
     ('{"in_msg":{"value":"1","source":{"workchain_id":"0","address":"A"}}}', "ok"),
     ('{"test": true}', "ok"), ("{}", "ok"), ('{"transactions":[]}', "ok"), ('{"note":null}', "ok"),
-    ('{"in_msg":{"value":"1","value":"150000000000"}}', "ok"), ('{"transactions":[],"in_msg":null}', "ok")]
+    ('{"in_msg":{"value":"1","value":"150000000000"}}', "ok"), ('{"transactions":[],"in_msg":null}', "ok"), ('{"transactions":[],"in_msg":5,"out_msgs":{}}', "ok"),
+    ('{"transactions":[{"in_msg":5}],"in_msg":5}', "evaluation_error")]
 
 
 def test_document_status(spark):

@@ -145,7 +145,8 @@ def random_documents(count):
         if rng.random() < 0.5:
             return transaction()
         txs = odd() if rng.random() < 0.05 else listed([transaction() for _ in range(rng.randint(0, 3))])
-        return fields([("transactions", txs)] + ([("lt", "7")] if rng.random() < 0.5 else []))
+        beside = [("in_msg", odd()), ("out_msgs", odd()), ("lt", "7")]
+        return fields([("transactions", txs)] + rng.sample(beside, rng.randint(0, 2)))
 
     for _ in range(count):
         text = document()

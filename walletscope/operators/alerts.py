@@ -22,9 +22,12 @@ _STRICT = {"columnNameOfCorruptRecord": "_bad", "allowSingleQuotes": "false",
            "allowNonNumericNumbers": "false"}
 _MESSAGE = "struct<value: string, source: variant, destination: variant>"
 _PARTS = f"in_msg: {_MESSAGE}, out_msgs: array<{_MESSAGE}>"
-_TYPED = f"doc array<struct<transactions: array<struct<{_PARTS}>>, {_PARTS}>>, _bad string"
-_KEYED = (f"doc array<struct<transactions: array<struct<{_PARTS}, lt: string, hash: string>>, {_PARTS}>>, "
-          "_bad string")
+
+
+def _typed(tx: str, root: str = f", {_PARTS}") -> str:
+    return f"doc array<struct<transactions: array<struct<{tx}>>{root}>>, _bad string"
+
+
 _LOOSE = "doc array<struct<transactions: variant, in_msg: variant, out_msgs: variant>>, _bad string"
 _ANY = "doc array<string>, _bad string"
 _HITS = ("array<struct<tx_position: int, direction: string, amount: decimal(38,9), "
@@ -75,6 +78,15 @@ def _variant_null(value: Column) -> Column:
     return F.coalesce(F.is_variant_null(value), F.lit(False))
 
 
+def _listed_only(body: Column, tx: str) -> Column:
+    """The document read for its ``transactions`` alone: what stands beside the list is ignored."""
+    listed = F.from_json(body, _typed(tx, ""), _STRICT)
+    docs = F.transform(listed["doc"], lambda d: F.struct(
+        d["transactions"].alias("transactions"), F.lit(None).cast(_MESSAGE).alias("in_msg"),
+        F.lit(None).cast(f"array<{_MESSAGE}>").alias("out_msgs")))
+    return F.when(listed.isNotNull(), F.struct(docs.alias("doc"), listed["_bad"].alias("_bad")))
+
+
 def _null_member(body: Column) -> Column:
     """Whether ``transactions``, ``in_msg`` or ``out_msgs`` is present but null."""
     root = F.get(F.from_json(body, _LOOSE, _STRICT)["doc"], F.lit(0))
@@ -182,7 +194,11 @@ def evaluate(events: DataFrame, threshold=params.ALERT_THRESHOLD, scope: str = "
     raw = F.col("raw_json")
     body = F.concat(F.lit('{"doc":['), raw, F.lit("]}"))
     own = scope == "own_tx"
-    shaped = events.withColumn("_shape", F.from_json(body, _KEYED if own else _TYPED, _STRICT))
+    tx = f"{_PARTS}, lt: string, hash: string" if own else _PARTS
+    first = F.col("_first")
+    beside = first["_bad"].isNotNull() & F.get(first["doc"], F.lit(0))["transactions"].isNotNull()
+    shaped = (events.withColumn("_first", F.from_json(body, _typed(tx), _STRICT))
+              .withColumn("_shape", F.when(beside, _listed_only(body, tx)).otherwise(first)).drop("_first"))
     doc = F.get(F.col("_shape.doc"), F.lit(0))
     txs = doc["transactions"]
     if own:
