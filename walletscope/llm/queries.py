@@ -6,13 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from walletscope.llm import bpe, chat, exact_dedup, shard, topk, url_filter
+from walletscope.llm import bpe, chat, exact_dedup, packing, shard, topk, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -58,7 +66,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op3_byte_bpe, op4_url_filter, op6_top_k, op7_chat_format, op9_exact_dedup, op10_shards)}
+        op1_packing, op3_byte_bpe, op4_url_filter, op6_top_k, op7_chat_format, op9_exact_dedup, op10_shards)}
 
 TWINS: dict[str, str] = {
     "op6_top_k": """
