@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from walletscope.llm import bpe, chat, exact_dedup, packing, shard, topk, url_filter
+from walletscope.llm import bpe, chat, exact_dedup, packing, pii, shard, topk, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,21 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_table(spark, sf_dir, "documents"))
+
+    def listed(kinds: Sequence[str], spans: Column) -> Column:
+        by_kind = F.concat(*(F.filter(spans, lambda s, k=k: s["kind"] == k) for k in kinds))
+        return F.array_join(F.transform(by_kind, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.col("base")
+    every = F.array_sort(F.concat(base, F.col("added")), lambda a, b: F.when(a["start"] < b["start"], -1).when(
+        a["start"] > b["start"], 1).otherwise(0))
+    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed(pii.KINDS, base), 256).alias("base_sha256"),
+                        listed(pii.KINDS, every).alias("spans"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -66,7 +81,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_packing, op3_byte_bpe, op4_url_filter, op6_top_k, op7_chat_format, op9_exact_dedup, op10_shards)}
+        op1_packing, op2_personal_data, op3_byte_bpe, op4_url_filter, op6_top_k, op7_chat_format, op9_exact_dedup, op10_shards)}
 
 TWINS: dict[str, str] = {
     "op6_top_k": """
