@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -24,16 +24,19 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(_table(spark, sf_dir, "documents"))
 
-    def listed(kinds: Sequence[str], spans: Column) -> Column:
-        by_kind = F.concat(*(F.filter(spans, lambda s, k=k: s["kind"] == k) for k in kinds))
-        return F.array_join(F.transform(by_kind, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    def of_kind(spans: Column, kind: str) -> Column:
+        return F.filter(spans, lambda s: s["kind"] == kind)
+
+    def listed(spans: Column) -> Column:
+        by_kind = F.concat(*(of_kind(spans, k) for k in pii.KINDS))
+        return F.array_join(F.transform(by_kind, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
     base = F.col("base")
-    every = F.array_sort(F.concat(base, F.col("added")), lambda a, b: F.when(a["start"] < b["start"], -1).when(
-        a["start"] > b["start"], 1).otherwise(0))
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
-    return found.select("doc_id", *counts, F.sha2(listed(pii.KINDS, base), 256).alias("base_sha256"),
-                        listed(pii.KINDS, every).alias("spans"))
+    every = F.array_sort(F.transform(F.concat(base, F.col("added")), lambda s: F.struct(
+        s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    counts = [F.size(of_kind(base, k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(every).alias("spans"))
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
