@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from walletscope.llm import bpe, chat, exact_dedup, packing, pii, shard, topk, url_filter
+from walletscope.llm import bpe, chat, exact_dedup, packing, pii, shard, topk, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +71,17 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("loss_text", 256).alias("loss_sha256"), F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    """Junk first, then toxic: junk talk explains some of what looks like abuse."""
+    return toxicity.train(docs, labels, {"junk": F.col("quality") == 0, "toxic": F.col("toxic") == 1})
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity_model(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.judge(docs, model).select("doc_id", "p_junk", "p_toxic", "junk", "toxic")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classes(_table(spark, sf_dir, "documents"), keep="largest")
 
@@ -84,7 +95,8 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_packing, op2_personal_data, op3_byte_bpe, op4_url_filter, op6_top_k, op7_chat_format, op9_exact_dedup, op10_shards)}
+        op1_packing, op2_personal_data, op3_byte_bpe, op4_url_filter, op6_top_k, op7_chat_format, op8_toxicity,
+        op9_exact_dedup, op10_shards)}
 
 TWINS: dict[str, str] = {
     "op6_top_k": """
