@@ -20,6 +20,7 @@ Defined results
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
@@ -219,20 +220,25 @@ class Scorer:
         self.weights = np.stack([link.weights for link in self.links]) if self.links else np.zeros((0, model.how.width))
         self.parts: dict[str, tuple[float, ...] | None] = {}
 
-    def _part(self, token: str) -> tuple[float, ...] | None:
-        """None where no model has a weight for the token."""
-        part = self.weights[:, token_features(token, self.model.how)].sum(axis=1)
-        return tuple(part.tolist()) if part.any() else None
+    def _learn(self, new: list[str]) -> None:
+        """Work out the parts of new tokens; None where no model has a weight for the token."""
+        features = [token_features(t, self.model.how) for t in new]
+        lengths = np.fromiter(map(len, features), np.int64, len(features))
+        flat = np.fromiter((f for fs in features for f in fs), np.int64, int(lengths.sum()))
+        sums = np.add.reduceat(self.weights[:, flat], np.cumsum(lengths) - lengths, axis=1).T
+        some = sums.any(axis=1)
+        self.parts.update(dict.fromkeys(new))
+        self.parts.update((new[i], tuple(sums[i].tolist())) for i in np.flatnonzero(some))
 
     def probabilities(self, texts: Sequence[str]) -> np.ndarray:
         sums = np.zeros((len(texts), len(self.links)))
         if len(self.parts) > self.kept_tokens:
             self.parts = {}
+        by_text = [tokens(text) for text in texts]
         parts = self.parts
-        for i, text in enumerate(texts):
-            found = tokens(text)
-            for t in found - parts.keys():
-                parts[t] = self._part(t)
+        if new := list(set().union(*by_text) - parts.keys()):
+            self._learn(new)
+        for i, found in enumerate(by_text):
             told = [p for p in map(parts.__getitem__, found) if p]
             if told:
                 sums[i] = [sum(sorted(column)) for column in zip(*told)]  # the same sum whatever the order
@@ -245,13 +251,27 @@ class Scorer:
         return np.column_stack(chances) if chances else np.zeros((len(texts), 0))
 
 
+_SCORERS: dict[str, Scorer] = {}
+
+
+def _scorer(name: str, model: Model) -> Scorer:
+    """One scorer per model for the tasks of a Python worker."""
+    if name not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[name] = Scorer(model)
+    return _SCORERS[name]
+
+
 def _judging(model: Model, text_at: int, names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    name = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model)
+        scorer = _scorer(name, model)
         for batch in batches:
-            for first in range(0, len(batch), 1000):
-                part = batch.slice(first, 1000)
-                chances = scorer.probabilities([t or "" for t in part.column(text_at).to_pylist()])
+            texts = [t or "" for t in batch.column(text_at).to_pylist()]
+            for run_of in stretches(texts):
+                part = batch.slice(run_of.start, run_of.stop - run_of.start)
+                chances = scorer.probabilities(texts[run_of])
                 columns = [*part.columns, *(pa.array(c, pa.float64()) for c in chances.T)]
                 yield pa.RecordBatch.from_arrays(columns, names)
     return run
