@@ -248,8 +248,8 @@ def pack(docs: DataFrame, tokenizer_path: str, targets: dict[str, float] | None
 
     before = Window.partitionBy("queue").orderBy("part", F.col("source").asc_nulls_first()
                                                  ).rowsBetween(Window.unboundedPreceding, -1)
-    bases = queued.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).select(
-        F.col("source").alias("_s"), F.col("part").alias("_p"), "queue", "base")
+    bases = settle(queued.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).select(
+        F.col("source").alias("_s"), F.col("part").alias("_p"), "queue", "base"), "packing-bases")
     placed = tokens.join(bases, tokens["source"].eqNullSafe(bases["_s"]) & (tokens["part"] == bases["_p"]))
     placed = placed.select("doc_id", "source", "queue", (F.col("base") + F.col("start")).alias("first"),
                            "n_tokens", "ids")

@@ -2,8 +2,8 @@
 
 A ``tokenizers`` file whose pre-tokenizer splits texts into words gives the same ids for
 a text as for its words one by one. Plain words are met again and again, so each worker
-keeps the ids of those it has seen, up to a fixed number, and asks the tokenizer for new
-ones only. Texts with characters whose normal form or class depends on more than the
+keeps the ids of the chunks between blanks that it has seen, up to a fixed number, and asks
+the tokenizer for new words only. Texts with characters whose normal form or class depends on more than the
 character itself go through the tokenizer whole.
 """
 
@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 
@@ -20,8 +21,8 @@ from walletscope.llm.bpe import Gather, Numbered, safe_cut, stretches
 #: Characters for which normalising, lower-casing and splitting agree with the tokenizer's own.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ]*")
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-#: Distinct words kept by one worker, characters of text handled at a time, words asked for at a time.
-KEPT_WORDS, STRETCH, ASKED = 400_000, 1 << 20, 4000
+#: Distinct chunks kept by one worker, characters of text handled at a time, words asked for at a time.
+KEPT_WORDS, STRETCH, ASKED = 700_000, 1 << 21, 4000
 
 
 class WordCoder:
@@ -46,23 +47,37 @@ class WordCoder:
     def _forget(self) -> None:
         self.known, self.ids = Numbered(), Gather(np.uint32)
 
+    def _word_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words one after the other, and how many each has."""
+        lines = [" ".join(words[i:i + ASKED]) for i in range(0, len(words), ASKED)]
+        found = self.words.encode_batch_fast(lines, add_special_tokens=False)
+        flat = np.concatenate([np.zeros(0, np.int64), *(np.array(e.ids, np.int64) for e in found)])
+        ends = np.flatnonzero(self.ends[flat]) + 1  # a word's last token says so
+        return flat, np.diff(ends, prepend=0)
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Ids of new chunks, runs of characters without blanks, by way of their words."""
+        number, by_word = Numbered(), Gather(np.uint32)
+        words = [_WORDS.findall(c) for c in map(str.lower, chunks)]
+        counts = np.fromiter(map(len, words), np.int64, len(words))
+        at = np.fromiter(map(number.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
+        by_word.extend(*self._word_ids(number.new))
+        ids, lengths = by_word.take(at)
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(counts)]
+        self.ids.extend(ids, np.diff(ends, prepend=0))
+
     def _plain(self, texts: list[str]) -> list[np.ndarray]:
-        words = [_WORDS.findall(t.lower()) for t in texts]
+        chunks = [t.split() for t in texts]
         if len(self.known) > self.kept_words:
             self._forget()
-        at = np.fromiter((i for ws in words for i in map(self.known.__getitem__, ws)), np.int64,
-                         sum(map(len, words)))
-        new, self.known.new = self.known.new, []
-        lines = [" ".join(new[i:i + ASKED]) for i in range(0, len(new), ASKED)]
-        found = [np.array(e.ids, np.int64) for e in self.words.encode_batch_fast(lines, add_special_tokens=False)]
-        if found:
-            flat = np.concatenate(found)
-            ends = np.flatnonzero(self.ends[flat]) + 1
-            self.ids.extend(flat, np.diff(ends, prepend=0))
+        cuts = np.cumsum([0, *map(len, chunks)])
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(chunks)), np.int64, int(cuts[-1]))
+        if new := self.known.new:
+            self._learn(new)
+            self.known.new = []
         ids, lengths = self.ids.take(at)
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        cuts = np.cumsum([0, *map(len, words)])
-        return [ids[ends[a]:ends[b]] for a, b in zip(cuts, cuts[1:])]
+        ends = np.concatenate([[0], np.cumsum(lengths)])[cuts]
+        return [ids[a:b] for a, b in zip(ends, ends[1:])]
 
     def _other(self, text: str) -> np.ndarray:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
