@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from walletscope.llm import bpe, chat, exact_dedup, packing, pii, shard, topk, toxicity, url_filter
+from walletscope.llm import bpe, chat, exact_dedup, jaccard, packing, pii, shard, topk, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, model).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(_table(spark, sf_dir, "documents"), jaccard.Similarity(words=4, percent=85))
+
+
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -95,7 +99,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_packing, op2_personal_data, op3_byte_bpe, op4_url_filter, op6_top_k, op7_chat_format, op8_toxicity,
+        op1_packing, op2_personal_data, op3_byte_bpe, op4_url_filter, op5_jaccard_join, op6_top_k, op7_chat_format, op8_toxicity,
         op9_exact_dedup, op10_shards)}
 
 TWINS: dict[str, str] = {
