@@ -222,7 +222,8 @@ class Coder:
         return [ids[ends[a]:ends[b]] for a, b in zip(cuts, cuts[1:])]
 
     def ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return self.ids.take(self._words(words))
+        at = self._words(words)  # may replace ``ids``
+        return self.ids.take(at)
 
     def encode_long(self, text: str) -> np.ndarray:
         """As ``encode``, in stretches cut where no word can cross: before a blank between two non-blanks."""
