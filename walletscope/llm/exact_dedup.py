@@ -72,6 +72,7 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``docs`` with one row of each group of equal texts, all columns kept."""
     kept = (_with_groups(_rows(docs, id_col, text_col, hashed), keep)
             .filter(F.col("_id").eqNullSafe(F.col("_keep"))).select("_h", "_id").distinct())
-    keyed = docs.withColumns({"_h": hashed(normalized(F.col(text_col))), "_id": F.col(id_col)})
+    keyed = docs.select(F.struct(*docs.columns).alias("_doc"), hashed(normalized(F.col(text_col))).alias("_h"),
+                        F.col(id_col).alias("_id"))
     same = keyed["_h"].eqNullSafe(kept["_h"]) & keyed["_id"].eqNullSafe(kept["_id"])
-    return keyed.join(kept, same, "left_semi").dropDuplicates(["_h", "_id"]).drop("_h", "_id")
+    return keyed.join(kept, same, "left_semi").dropDuplicates(["_h", "_id"]).select("_doc.*")

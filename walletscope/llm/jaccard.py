@@ -415,5 +415,6 @@ def keep_one(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "doc
     """``docs`` with the least id of each group, wholly repeated rows once. Rows without an id stay."""
     grouped = join(docs, how, id_col, text_col).filter("doc_id IS NULL OR doc_id = component_id")
     kept = settle(grouped.select(F.col("doc_id").alias("_id")).distinct(), "jaccard-kept")
-    same = F.col(id_col).eqNullSafe(F.col("_id"))
-    return docs.join(kept, same, "left_semi").dropDuplicates([id_col, text_col])
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(id_col).alias("_of"), F.col(text_col).alias("_text"))
+    same = F.col("_of").cast("long").eqNullSafe(F.col("_id"))
+    return rows.join(kept, same, "left_semi").dropDuplicates(["_of", "_text"]).select("_doc.*")

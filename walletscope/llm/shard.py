@@ -49,12 +49,12 @@ def _shuffled(seed: int) -> Callable[[pa.Table], pa.Table]:
 def shard_documents(docs: DataFrame, shards: int, seed: int = 17, bucket_bytes: int = 64 << 20,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with size, shard (from 0) and slot (gapless from 0 in its shard)."""
-    docs = docs.drop(*OUTPUTS)
+    kept = [c for c in docs.columns if c.lower() not in OUTPUTS]
     id_, text = F.col(id_col), F.col(text_col)
     buckets = bucket_count(docs, text_col, bucket_bytes)
     key = F.xxhash64(F.lit(seed), id_, text)
-    keyed = docs.withColumns({"size": record_size(text), "_key": key, "_id_key": F.xxhash64(id_, F.lit(seed)),
-                              "_bucket": F.pmod(key, F.lit(buckets))})
+    keyed = docs.select(F.struct(*kept).alias("_row"), record_size(text).alias("size"), key.alias("_key"),
+                        F.xxhash64(id_, F.lit(seed)).alias("_id_key"), F.pmod(key, F.lit(buckets)).alias("_bucket"))
 
     counts = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     in_order = Window.orderBy("_bucket")  # over one row per bucket
@@ -78,7 +78,7 @@ def shard_documents(docs: DataFrame, shards: int, seed: int = 17, bucket_bytes:
     shard = F.when(place < edge, whole(place, base + 1)).otherwise(
         longer + whole(place - edge, F.greatest(base, F.lit(1))))
     start = shard * base + F.least(shard, longer)
-    return mixed.withColumns({"shard": shard.cast("int"), "slot": place - start}).select(*docs.columns, *OUTPUTS)
+    return mixed.select("_row.*", "size", shard.cast("int").alias("shard"), (place - start).alias("slot"))
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

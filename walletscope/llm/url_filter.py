@@ -106,10 +106,11 @@ def judge(pages: DataFrame, model: LogisticRegressionModel, rules: Sequence[Rule
           features: Features = Features(), url_col: str = "url") -> DataFrame:
     """``pages`` with host, path, rule and verdict."""
     url = F.col(url_col)
-    rows = pages.withColumns({"_host": host(url), "_path": path(url)})
+    outputs = ("host", "path", "rule", "verdict")
+    rows = pages.select(F.struct(*pages.columns).alias("_row"), host(url).alias("_host"), path(url).alias("_path"))
     rule, verdict = rule_for(F.col("_host"), F.col("_path"), rules)
     scored = model.transform(features.apply(rows, "_host", "_path"))
-    judged = scored.withColumns({
-        "host": F.col("_host"), "path": F.col("_path"), "rule": rule,
-        "verdict": F.coalesce(verdict, F.when(F.col("_block") == 1.0, "block").otherwise("allow"))})
-    return judged.drop("_host", "_path", "_features", "_raw", "_probability", "_block")
+    kept = [F.col(f"_row.`{c}`") for c in pages.columns if c.lower() not in outputs]
+    return scored.select(
+        *kept, F.col("_host").alias("host"), F.col("_path").alias("path"), rule.alias("rule"),
+        F.coalesce(verdict, F.when(F.col("_block") == 1.0, "block").otherwise("allow")).alias("verdict"))
