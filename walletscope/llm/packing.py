@@ -117,6 +117,8 @@ def schedule(tokens: np.ndarray, weights: np.ndarray, width: int) -> list[Phase]
             window += windows
         # the window in which a queue runs dry: the others take its place
         left = (tokens - spent)[active]
+        if not left.any():
+            break
         grant = np.minimum(np.diff(table, axis=0)[steps], left)
         short = min(width, int(left.sum())) - int(grant.sum())
         while short:
