@@ -15,6 +15,8 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from walletscope.llm.bpe import Gather, Numbered, safe_cut, stretches
 
@@ -22,7 +24,7 @@ from walletscope.llm.bpe import Gather, Numbered, safe_cut, stretches
 _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ]*")
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 #: Distinct chunks kept by one worker, characters of text handled at a time, words asked for at a time.
-KEPT_WORDS, STRETCH, ASKED = 700_000, 1 << 21, 4000
+KEPT_WORDS, STRETCH, ASKED = 600_000, 1 << 21, 4000
 
 
 class WordCoder:
@@ -46,8 +48,9 @@ class WordCoder:
 
     def _forget(self) -> None:
         self.known, self.ids = Numbered(), Gather(np.uint32)
+        self.word, self.word_ids = Numbered(), Gather(np.uint32)
 
-    def _word_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct words one after the other, and how many each has."""
         lines = [" ".join(words[i:i + ASKED]) for i in range(0, len(words), ASKED)]
         found = self.words.encode_batch_fast(lines, add_special_tokens=False)
@@ -57,24 +60,28 @@ class WordCoder:
 
     def _learn(self, chunks: list[str]) -> None:
         """Ids of new chunks, runs of characters without blanks, by way of their words."""
-        number, by_word = Numbered(), Gather(np.uint32)
         words = [_WORDS.findall(c) for c in map(str.lower, chunks)]
         counts = np.fromiter(map(len, words), np.int64, len(words))
-        at = np.fromiter(map(number.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
-        by_word.extend(*self._word_ids(number.new))
-        ids, lengths = by_word.take(at)
+        at = np.fromiter(map(self.word.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
+        if new := self.word.new:
+            self.word_ids.extend(*self._encoded(new))
+            self.word.new = []
+        ids, lengths = self.word_ids.take(at)
         ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(counts)]
         self.ids.extend(ids, np.diff(ends, prepend=0))
 
     def _plain(self, texts: list[str]) -> list[np.ndarray]:
-        chunks = [t.split() for t in texts]
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        chunks = split.flatten().dictionary_encode()
+        cuts = np.cumsum([0, *np.asarray(split.value_lengths()).tolist()])
         if len(self.known) > self.kept_words:
             self._forget()
-        cuts = np.cumsum([0, *map(len, chunks)])
-        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(chunks)), np.int64, int(cuts[-1]))
+        distinct = chunks.dictionary.to_pylist()
+        number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
         if new := self.known.new:
             self._learn(new)
             self.known.new = []
+        at = number[np.asarray(chunks.indices)] if distinct else number
         ids, lengths = self.ids.take(at)
         ends = np.concatenate([[0], np.cumsum(lengths)])[cuts]
         return [ids[a:b] for a, b in zip(ends, ends[1:])]
