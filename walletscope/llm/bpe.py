@@ -27,6 +27,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from walletscope.llm.worker import kept
+
 SCHEMA = "doc_id long, ids binary, decoded binary"
 #: Characters of text handled at a time, and distinct words kept by one worker.
 STRETCH, KEPT_WORDS = 1 << 21, 400_000
@@ -247,17 +249,6 @@ def safe_cut(text: str, at: int) -> int:
     return found.start() if found else len(text)
 
 
-_CODERS: dict[tuple[str, str], Coder] = {}
-
-
-def _coder(ranks_path: str, pattern: str) -> Coder:
-    """One coder for the tasks of a Python worker."""
-    if (ranks_path, pattern) not in _CODERS:
-        _CODERS.clear()
-        _CODERS[ranks_path, pattern] = Coder(ranks_path, pattern)
-    return _CODERS[ranks_path, pattern]
-
-
 def stretches(texts: list[str], most: int = STRETCH) -> Iterator[slice]:
     """Runs of texts of about ``most`` characters."""
     first = size = 0
@@ -272,7 +263,7 @@ def stretches(texts: list[str], most: int = STRETCH) -> Iterator[slice]:
 
 def _encoding(ranks_path: str, pattern: str, decoded: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(ranks_path, pattern)
+        coder = kept(("bpe", ranks_path, pattern), lambda: Coder(ranks_path, pattern))
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for part in stretches(texts):

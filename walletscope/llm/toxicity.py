@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from walletscope.llm.bpe import stretches
+from walletscope.llm.worker import kept
 from walletscope.plans.settle import settle
 
 _TOKEN = re.compile(r"[^\W\d_]+|[^\w\s]+")
@@ -114,10 +115,14 @@ class Examples:
 ODDS_LIMIT = 10.0
 
 
+def _log_ratio(pos: np.ndarray, neg: np.ndarray, positives: np.ndarray, negatives: np.ndarray) -> np.ndarray:
+    return np.log((pos + 0.5) / (positives + 1)) - np.log((neg + 0.5) / (negatives + 1))
+
+
 def _evidence(x: Examples, y: np.ndarray, how: Chain) -> np.ndarray:
     """Log ratio of a feature's rates in positive and negative documents, 0 for features not kept."""
     pos, neg = x.of(y).documents(how.width), x.of(~y).documents(how.width)
-    ratio = np.log((pos + 0.5) / (y.sum() + 1)) - np.log((neg + 0.5) / ((~y).sum() + 1))
+    ratio = _log_ratio(pos, neg, y.sum(), (~y).sum())
     return np.where((pos >= how.support) & (ratio >= how.evidence), np.minimum(ratio, 4.0), 0.0)
 
 
@@ -187,33 +192,37 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], how
                            *(T.StructField(f"y{i}", T.IntegerType()) for i in range(len(ys)))])
     examples = settle(rows.mapInArrow(_featured(how, len(ys)), schema), "toxicity-sample")
 
-    # which features can be kept at all: in enough positive documents of a category
-    positive = np.zeros((len(ys), how.width), np.int32)
+    # features that could speak for a category, with some room for the folds; few of all
+    has = np.zeros((len(ys), 2, how.width), np.int32)
+    rows_of = np.zeros((len(ys), 2))
     for r in examples.toLocalIterator():
         found = np.frombuffer(r["features"], "<i4")
         for i in range(len(ys)):
-            positive[i, found] += r[f"y{i}"] == 1
-    kept = (positive >= how.support).any(axis=0)
+            if (y := r[f"y{i}"]) is not None:
+                has[i, int(y > 0), found] += 1
+                rows_of[i, int(y > 0)] += 1
+    ratio = _log_ratio(has[:, 1], has[:, 0], rows_of[:, 1:], rows_of[:, :1])
+    told = ((has[:, 1] >= how.support) & (ratio >= how.evidence - 0.7)).any(axis=0)
     row, feature, count, fold, y = [], [], [], [], []
     for n, r in enumerate(examples.toLocalIterator()):
         found, counts = np.frombuffer(r["features"], "<i4"), np.frombuffer(r["counts"], "<i4")
-        some = kept[found]
-        row.append(np.full(int(some.sum()), n))
+        some = told[found]
+        row.append(np.full(int(some.sum()), n, np.int32))
         feature.append(found[some])
         count.append(counts[some])
         fold.append(r["fold"])
         y.append([np.nan if r[f"y{i}"] is None else float(r[f"y{i}"]) for i in range(len(ys))])
     if not y:
         return Model(tuple(categories), [None] * len(ys), how)
-    x = Examples(np.concatenate(row), np.concatenate(feature).astype(np.int64),
-                 np.concatenate(count).astype(float), len(y))
+    x = Examples(np.concatenate(row), np.concatenate(feature),
+                 np.concatenate(count).astype(np.float32), len(y))
     return Model(tuple(categories), fit_chain(x, np.array(y), np.array(fold), how), how)
 
 
 class Scorer:
     """Probabilities of texts; a token's part in each model's sum is worked out once."""
 
-    kept_tokens = 400_000
+    kept_tokens = 250_000
 
     def __init__(self, model: Model) -> None:
         self.model, self.links = model, [link for link in model.chain if link]
@@ -251,22 +260,11 @@ class Scorer:
         return np.column_stack(chances) if chances else np.zeros((len(texts), 0))
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
-def _scorer(name: str, model: Model) -> Scorer:
-    """One scorer per model for the tasks of a Python worker."""
-    if name not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[name] = Scorer(model)
-    return _SCORERS[name]
-
-
 def _judging(model: Model, text_at: int, names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(name, model)
+        scorer = kept(("toxicity", name), lambda: Scorer(model))
         for batch in batches:
             texts = [t or "" for t in batch.column(text_at).to_pylist()]
             for run_of in stretches(texts):

@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 from walletscope.llm.bpe import Gather, Numbered, safe_cut, stretches
+from walletscope.llm.worker import kept
 
 #: Characters for which normalising, lower-casing and splitting agree with the tokenizer's own.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ]*")
@@ -109,11 +110,6 @@ class WordCoder:
             yield part, [self.encode_long(some[0])] if len(some) == 1 else self.encode(some)
 
 
-_CODERS: dict[str, WordCoder] = {}
-
-
 def coder(path: str) -> WordCoder:
     """One coder for the tasks of a Python worker."""
-    if path not in _CODERS:
-        _CODERS[path] = WordCoder(path)
-    return _CODERS[path]
+    return kept(("words", path), lambda: WordCoder(path))
