@@ -6,12 +6,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 from walletscope.llm.bpe import stretches
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)  # odd multipliers
-KEPT_WORDS = 1_000_000
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -21,35 +21,39 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, kept as long as they fit."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_HASHES = WordHashes()
+def _rolled(hashes: np.ndarray, n: int) -> np.ndarray:
+    """A hash of each run of n word hashes."""
+    rows = len(hashes) - n + 1
+    h = np.full(rows, n, np.uint64)
+    for i in range(n):
+        h = mix(h * _A + hashes[i:i + rows])
+    return h
 
 
-def shingle_set(text: str | None, words: int) -> np.ndarray:
-    """The distinct shingles of a text as rising 64-bit hashes.
+def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
+    """The distinct shingles of each text as rising 64-bit hashes.
 
     A-Z are lower-cased and words end at ASCII white space. With fewer words than a
-    shingle has, the whole sequence is one; without words the set is empty.
+    shingle has, the whole sequence is one; without words the set is empty. Each
+    distinct word of the texts is hashed once.
     """
-    found = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    n = min(words, len(found))
-    if not n:
-        return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(_HASHES.__getitem__, found), np.uint64, len(found))
-    rows = len(hashes) - n + 1
-    h = np.full(rows, n, np.uint64)
-    for i in range(n):
-        h = mix(h * _A + hashes[i:i + rows])
-    return np.unique(h)
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pa.array([t or "" for t in texts], pa.large_string())))
+    found = split.flatten().dictionary_encode()
+    names = found.dictionary.to_pylist()
+    of_name = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in names), np.uint64, len(names))
+    real = np.array([bool(w) for w in names], bool)  # blanks at either end leave empty words
+    at = np.asarray(found.indices)
+    some = real[at] if len(names) else np.zeros(0, bool)
+    text_of = np.repeat(np.arange(len(texts)), np.asarray(split.value_lengths()))[some]
+    hashes = of_name[at[some]] if len(names) else np.zeros(0, np.uint64)
+    counts = np.bincount(text_of, minlength=len(texts))
+    ends = np.cumsum(counts)
+    whole = _rolled(hashes, words) if len(hashes) >= words else np.zeros(0, np.uint64)
+    sets = []
+    for end, n in zip(ends.tolist(), counts.tolist()):
+        mine = whole[end - n:end - words + 1] if n >= words else _rolled(hashes[end - n:end], n) if n else whole[:0]
+        sets.append(np.unique(mine))
+    return sets
 
 
 def fingerprint(shingles: np.ndarray) -> int:
@@ -68,5 +72,5 @@ def per_text(make: Callable[[pa.Array, list[np.ndarray]], pa.RecordBatch], words
         for batch in batches:
             texts = [t or "" for t in batch.column(text_at).to_pylist()]
             for part in stretches(texts):
-                yield make(batch.column(id_at)[part], [shingle_set(t, words) for t in texts[part]])
+                yield make(batch.column(id_at)[part], shingle_sets(texts[part], words))
     return run
