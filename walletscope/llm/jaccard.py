@@ -344,39 +344,67 @@ def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def families(sets: DataFrame, links: DataFrame, how: Similarity) -> DataFrame:
-    """All links that are needed to connect the linked among ``sets``, beyond those given.
+    """The given links, and all others that are needed to connect the linked among ``sets``.
 
     Prefixes by rarity: two linked sets share one of their rarest n - ceil(s * n) + 1
-    shingles. First every member of a list is checked against its least member. Then, of
-    each list, members outside its largest component are checked against all members of
-    other components.
+    shingles, and from where the first of them stands in both follows how many they can
+    share. First every member of a list is checked against a central one, whose shingles
+    most sets have; then those outside the list's largest component against one of them.
+    In the end, members that still lie in different components are checked against each
+    other, where sizes and places allow that they are similar.
     """
     tokens = sets.mapInArrow(_shingles, "cls long, n long, token long")
     counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
-    rare = Window.partitionBy("cls").orderBy("f", "token")
+    own = Window.partitionBy("cls")
     # shingles of one set alone come first in the order; they shorten the prefix
-    shared = tokens.join(counts, "token").withColumn("rank", F.row_number().over(rare))
-    single = F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("cls"))
-    needed = F.ceil(F.col("n") * how.percent / 100)
-    prefix = settle(shared.withColumn("single", single).filter(F.col("rank") + F.col("single") <= F.col("n") - needed + 1)
-                    .select("cls", "n", "token"), "jaccard-families")
-    least = prefix.groupBy("token").agg(F.min("cls").alias("pivot"))
-    stars = prefix.join(least, "token").filter("cls <> pivot").select(
-        F.col("pivot").alias("x"), F.col("cls").alias("y")).distinct()
-    starred = verify(stars, sets, how)
-
-    joined = components(links.unionByName(starred)).withColumnRenamed("vertex", "cls")
-    named = prefix.join(joined, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    sizes = named.groupBy("token", "component").agg(F.count(F.lit(1)).alias("m"))
-    largest = sizes.groupBy("token").agg(F.max_by("component", F.struct("m", "component")).alias("largest"),
-                                         F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    mixed = settle(named.join(largest, "token").select("token", "cls", "n", "component", "largest"), "jaccard-mixed")
-    few = mixed.filter("component <> largest").select("token", F.col("cls").alias("x"), F.col("n").alias("nx"),
-                                                      F.col("component").alias("cx"))
-    other = mixed.select("token", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
-    pairs = few.join(other, "token").filter((F.col("cx") != F.col("cy")) & how.sizes_fit(F.col("nx"), F.col("ny")))
-    pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    return starred.unionByName(verify(pairs, sets, how))
+    shared = tokens.join(counts, "token").select(
+        "cls", "n", "token", (F.row_number().over(own.orderBy("f", "token")) + F.col("n") - F.count(F.lit(1)).over(own)).alias("at"),
+        (F.sum("f").over(own) / F.col("n")).alias("central"))
+    prefix = settle(shared.filter(F.col("at") <= F.col("n") - F.ceil(F.col("n") * how.percent / 100) + 1), "jaccard-families")
+
+    def near(n: Column, i: Column, m: Column, j: Column) -> Column:
+        """Whether sets of n and m whose *first* common shingle stands at i and j can be similar."""
+        most = F.least(n - i, m - j) + 1
+        return how.sizes_fit(n, m) & (most * (100 + how.percent) >= (n + m) * how.percent)
+
+    def named(found: DataFrame) -> DataFrame:
+        """Members of lists with their components, of lists that hold more than one."""
+        joined = components(found).withColumnRenamed("vertex", "cls")
+        rows = prefix.join(joined, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+        sizes = rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("m"))
+        largest = sizes.groupBy("token").agg(F.max_by("component", F.struct("m", "component")).alias("largest"),
+                                             F.count(F.lit(1)).alias("parts")).filter("parts > 1").drop("parts")
+        return settle(rows.join(largest, "token"), "jaccard-mixed")
+
+    def starred(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+        """Links of the members of each list with the most central of ``chosen``."""
+        pivot = chosen.groupBy("token").agg(F.max(F.struct("central", "cls", "n", "at", "component")).alias("p"))
+        pairs = rows.join(pivot, "token").filter(
+            (F.col("component") != F.col("p.component")) & near(F.col("n"), F.col("at"), F.col("p.n"), F.col("p.at")))
+        return verify(pairs.select(_pair(F.col("p.cls"), F.col("cls"))).select("pair.*").distinct(), sets, how)
+
+    found = links
+    mixed = named(found)
+    found = found.unionByName(starred(mixed, mixed))
+    mixed = named(found)
+    found = found.unionByName(starred(mixed, mixed.filter("component <> largest")))
+    mixed = named(found)
+
+    # sizes and places at which members of a list can be similar at all, before any members meet
+    place = mixed.select("token", "n", "at").distinct()
+    x, y = (place.select("token", F.col("n").alias(f"n{v}"), F.col("at").alias(f"i{v}")) for v in "xy")
+    places = x.join(y, "token").filter(near(F.col("nx"), F.col("ix"), F.col("ny"), F.col("iy")))
+    few = mixed.filter("component <> largest").select(
+        "token", F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("at").alias("ix"), F.col("component").alias("cx"))
+    other = mixed.select("token", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("at").alias("iy"),
+                         F.col("component").alias("cy"))
+    pairs = few.join(places, ["token", "nx", "ix"]).join(other, ["token", "ny", "iy"]).filter("cx <> cy")
+    pairs = pairs.select(_pair(F.col("x"), F.col("y"))).select("pair.*").distinct()
+    return found.unionByName(verify(pairs, sets, how))
+
+
+def _pair(a: Column, b: Column) -> Column:
+    return F.struct(F.least(a, b).alias("x"), F.greatest(a, b).alias("y")).alias("pair")
 
 
 # --- the join ---------------------------------------------------------------------------
@@ -393,7 +421,7 @@ def links(docs: DataFrame, how: Similarity, id_col: str = "doc_id", text_col: st
     hard_pairs, stuck = search(hard_sets, how, whole=True)
     found = verify(pairs.unionByName(hard_pairs), sets, how)
     if not stuck.isEmpty():
-        found = found.unionByName(families(settle(sets.join(stuck, "cls", "left_semi"), "jaccard-stuck"), found, how))
+        found = families(settle(sets.join(stuck, "cls", "left_semi"), "jaccard-stuck"), found, how)
     return known.select("doc_id", "cls", "n"), found
 
 
