@@ -14,7 +14,8 @@ from walletscope.operators import (
 )
 from walletscope.plans.settle import settle
 from walletscope.sample import (
-    CUT, Sample, address, arrivals_from_events, as_of, events_from_tx, tx_from_events,
+    CUT, OTHER_ASSET, OTHER_CHAIN, OTHER_PROVIDER, Sample, address, arrivals_from_events, as_of, asset_wallet,
+    events_from_tx, tx_from_events,
 )
 from walletscope.schemas import METRIC_SAMPLES, MONITORED_KEY, WALLET
 from walletscope.session import shared_dir
@@ -26,13 +27,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def present(df: DataFrame) -> DataFrame:
-    """Portable result types: UTC times without zone, doubles, bigints."""
+    """Portable result types: UTC times without zone, exact decimals as text, bigints."""
     def plain(field: T.StructField):
         col = F.col(field.name)
         if isinstance(field.dataType, T.TimestampType):
             return col.cast("timestamp_ntz").alias(field.name)
         if isinstance(field.dataType, T.DecimalType):
-            return col.cast("double").alias(field.name)
+            return col.cast("string").alias(field.name)
         if isinstance(field.dataType, T.IntegerType):
             return col.cast("bigint").alias(field.name)
         return col
@@ -216,9 +217,12 @@ def _(s: Sample) -> DataFrame:
 
 
 def _cycle_errors(s: Sample) -> DataFrame:
-    """Wallets of customers in debt could not be fetched in this cycle."""
+    """Wallets of customers in debt could not be fetched in this cycle; every third on the other chain only."""
+    other = F.col("c_custkey") % 3 == 0
     return (s.table("customer").where(F.col("c_acctbal") < 0)
-            .select(address("c_custkey").alias("address"), F.lit("provider unavailable").alias("error")))
+            .select(F.when(other, OTHER_CHAIN).otherwise("ton").alias("chain"), address("c_custkey").alias("address"),
+                    F.when(other, OTHER_PROVIDER).otherwise("tonapi").alias("provider"),
+                    F.lit("provider unavailable").alias("error")))
 
 
 @query("failed_addresses")
@@ -276,11 +280,9 @@ def _(s: Sample) -> DataFrame:
     """Discovered holders plus re-discovered order wallets (several arrivals per key)."""
     found = monitored.discovered(monitored.all_asset_holders(_discovery(s)), F.lit(0).cast("bigint"))
     again = s.table("orders").select(
-        F.lit("ton").alias("chain"),
-        address("o_custkey").alias("address"),
-        F.lit("tonapi").alias("provider"), F.col("o_orderpriority").alias("asset_id"),
+        *asset_wallet("o_custkey", "o_orderpriority"), F.col("o_orderpriority").alias("asset_id"),
         F.concat(F.round(F.col("o_totalprice") * 100).cast("bigint"), F.lit("0000000")).alias("balance"),
-        F.col("o_orderkey").alias("arrival_seq")).where(F.col("asset_id") == "1-URGENT")
+        F.col("o_orderkey").alias("arrival_seq"))
     return monitored.upsert_monitored(s.monitored(), found.unionByName(again), as_of())
 
 
@@ -288,9 +290,8 @@ def _(s: Sample) -> DataFrame:
 def _(s: Sample) -> DataFrame:
     """Wallets of customers in debt are deactivated; keys that are not monitored do nothing."""
     keys = (s.table("customer").where(F.col("c_acctbal") < 0)
-            .select(F.lit("ton").alias("chain"),
-                    address("c_custkey").alias("address"),
-                    F.lit("tonapi").alias("provider"), F.lit("5-LOW").alias("asset_id")))
+            .select(F.lit(OTHER_CHAIN).alias("chain"), address("c_custkey").alias("address"),
+                    F.lit(OTHER_PROVIDER).alias("provider"), F.lit(OTHER_ASSET).alias("asset_id")))
     return monitored.deactivate_addresses(s.monitored(), keys, as_of())
 
 

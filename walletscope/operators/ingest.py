@@ -86,15 +86,16 @@ def ingest_cycle(transactions: DataFrame, monitored: DataFrame, checkpoints: Dat
 
 def address_results(monitored: DataFrame, published: DataFrame, errors: DataFrame,
                     chain: str = params.CHAIN, provider: str = params.PROVIDER) -> DataFrame:
-    """Per active address: events published and error text.
+    """Per active address of a chain and provider: events published and error text.
 
-    ``errors(address, error)`` lists failing addresses; they count as processed
-    with no events, and the others are not affected.
+    ``published`` and ``errors(chain, address, provider, error)`` may hold other chains
+    and providers, which do not count. Failing addresses are processed with no events,
+    and the others are not affected.
     """
-    addresses = (monitored.where((F.col("chain") == chain) & (F.col("provider") == provider)
-                                 & F.col("is_active")).select("address").distinct())
-    counted = published.groupBy("address").agg(F.count("*").alias("n"))
-    failures = errors.groupBy("address").agg(F.min("error").alias("error"))
+    here = (F.col("chain") == chain) & (F.col("provider") == provider)
+    addresses = monitored.where(here & F.col("is_active")).select("address").distinct()
+    counted = published.where(here).groupBy("address").agg(F.count("*").alias("n"))
+    failures = errors.where(here).groupBy("address").agg(F.min("error").alias("error"))
     return (addresses.join(counted, "address", "left").join(failures, "address", "left")
             .select("address", F.when(F.col("error").isNull(), F.coalesce("n", F.lit(0)))
                     .otherwise(0).alias("events_published"), "error"))

@@ -18,6 +18,16 @@ def _cents(amount: str) -> str:
     return f"cast(round({amount} * 100) as bigint)"
 
 
+def _units(nano: str) -> str:
+    """A non-negative amount as text with nine decimals."""
+    return f"(cast(({nano}) // 1000000000 as varchar) || '.' || lpad(cast(({nano}) % 1000000000 as varchar), 9, '0'))"
+
+
+_ASSET_CHAIN = "case when o_orderpriority = '5-LOW' then 'ever' else 'ton' end"
+_ASSET_PROVIDER = "case when o_orderpriority = '5-LOW' then 'everapi' else 'tonapi' end"
+_HERE = "chain = 'ton' and provider = 'tonapi'"
+
+
 def _short(text: str) -> str:
     return f"case when length({text}) > 10 then left({text}, 10) || '...' else {text} end"
 
@@ -33,7 +43,9 @@ def _plus(ts: str, seconds: str) -> str:
 # name -> (views it needs, body)
 _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "chain_tx": ((), f"""
-        select event_id as lt, 'ton' as chain, 'tonapi' as provider, {_address('user_id')} as address,
+        select event_id as lt, case when event_id % 5 = 0 then 'ever' else 'ton' end as chain,
+               case when event_id % 5 = 0 then 'everapi' else 'tonapi' end as provider,
+               {_address('user_id')} as address,
                substr(sha256(cast(event_id as varchar)), 1, 16) as tx_hash,
                cast(ts as timestamp) as block_time, event_type,
                {_cents('value')} * 10000000 as value_nano, value
@@ -66,7 +78,7 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         select * from arrivals
         qualify row_number() over (partition by event_id order by arrival_seq) = 1"""),
     "monitored": ((), f"""
-        select 'ton' as chain, {_address('o_custkey')} as address, 'tonapi' as provider,
+        select {_ASSET_CHAIN} as chain, {_address('o_custkey')} as address, {_ASSET_PROVIDER} as provider,
                o_orderpriority as asset_id,
                cast(sum({_cents('o_totalprice')}) as varchar) || '0000000' as balance,
                o_custkey % 10 <> 0 as is_active,
@@ -101,7 +113,7 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "alerts": (("chain_events", "transfers"), f"""
         select e.event_id, e.chain, e.address, e.provider, e.correlation_id, e.block_time,
                row_number() over (partition by e.event_id order by t.message_no) - 1 as position,
-               'TON' as asset_id, e.address as wallet, cast(t.nano as double) / 1e9 as amount,
+               'TON' as asset_id, e.address as wallet, {_units('t.nano')} as amount,
                t.direction,
                case t.direction when 'IN' then 'Received from ' else 'Sent to ' end
                    || {_short('t.other')} as message
@@ -161,9 +173,9 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "cycle": (("monitored", "chain_tx"), f"""
         select m.address, case when f.address is null then coalesce(e.n, 0) else 0 end as events_published,
                case when f.address is not null then 'provider unavailable' end as error
-        from (select distinct address from monitored where is_active) m
-        left join (select address, count(*) as n from chain_tx group by address) e on m.address = e.address
-        left join (select {_address('c_custkey')} as address from customer where c_acctbal < 0) f
+        from (select distinct address from monitored where is_active and {_HERE}) m
+        left join (select address, count(*) as n from chain_tx where {_HERE} group by address) e on m.address = e.address
+        left join (select {_address('c_custkey')} as address from customer where c_acctbal < 0 and c_custkey % 3 <> 0) f
              on m.address = f.address"""),
     "lags": (("checkpoints",), f"""
         select chain, address, max(updated_at) as updated_at,
@@ -320,7 +332,7 @@ TWINS: dict[str, str] = {
     "snk_state_tables": _twin("select * from checkpoints", "checkpoints"),
     "snk_alert_lines": _twin(
         f"""select event_id, position, '🐋 WHALE ALERT: ' || asset_id || ' - ' || {_short('wallet')} || ' '
-                || direction || ' ' || rtrim(rtrim(printf('%.9f', amount), '0'), '.') || ' | ' || message
+                || direction || ' ' || rtrim(rtrim(amount, '0'), '.') || ' | ' || message
                 || '. CorrelationId: ' || correlation_id as line from alerts""", "alerts"),
     "snk_decision_log": _twin(
         """select event_id, position, '{"timestamp":"2024-01-31T00:00:00.0000000+00:00","category":"'
@@ -329,7 +341,7 @@ TWINS: dict[str, str] = {
                || '","eventId":"' || event_id || '","correlationId":"' || correlation_id
                || '","chain":"' || chain || '","address":"' || address || '","provider":"' || provider || '"'
                || coalesce(',"assetId":"' || asset_id || '","direction":"' || direction || '","amount":'
-                   || rtrim(rtrim(printf('%.9f', amount), '0'), '.') || ',"message":"' || message || '"', '')
+                   || rtrim(rtrim(amount, '0'), '.') || ',"message":"' || message || '"', '')
                || '}' as line
            from decisions""", "decisions"),
     "snk_metric_samples": _twin(
@@ -344,20 +356,21 @@ TWINS: dict[str, str] = {
                              count(*) filter (where lag_seconds > 900) from lags group by chain
             union all select 'dlq_messages', 'queue=' || queue, count(*) filter (where disposition = 'dead')
             from letters group by queue
-            union all select 'monitored_addresses', '', count(distinct address) from monitored where is_active)""",
+            union all select 'monitored_addresses', '', count(distinct address) from monitored where is_active
+            and {_HERE})""",
         "cycle", "alerts", "lags", "letters"),
     "snk_event_messages": _twin(
         f"""select {_id('tx_hash')} as event_id, n.chain, n.provider, n.address, lt,
                    make_timestamp(utime * 1000000) as occurred_at, body as raw_json,
                    cast(32 as bigint) as correlation_width
-            from numbered n join page_bodies b on n.address = b.address and n.page_no = b.page_no""".replace(
+            from numbered n join page_bodies b on n.chain = b.chain and n.address = b.address and n.page_no = b.page_no""".replace(
                 "chain || ':' || address", "n.chain || ':' || n.address"), "page_bodies"),
     # projections and filters
     "normalize_events": _twin(
         f"""select event_id, n.chain, n.provider, n.address, lt, tx_hash, make_timestamp(utime * 1000000)
                    as occurred_at, body as raw_json
             from (select {_id('tx_hash')} as event_id, * from numbered) n
-            join page_bodies b on n.address = b.address and n.page_no = b.page_no""", "page_bodies"),
+            join page_bodies b on n.chain = b.chain and n.address = b.address and n.page_no = b.page_no""", "page_bodies"),
     "events_to_rows": _twin(
         f"""select {_id('tx_hash')} as event_id, chain, address, lt, tx_hash,
                    make_timestamp(utime * 1000000) as block_time from numbered""", "numbered"),
@@ -365,7 +378,7 @@ TWINS: dict[str, str] = {
     "active_addresses": _twin(
         f"{_WALLETS} from monitored where chain = 'ton' and provider = 'tonapi' and is_active", "monitored"),
     "large_transfers": _twin(
-        """select lt, chain, address, cast(value_nano as double) / 1e9 as amount from chain_tx
+        "select lt, chain, address, " + _units('value_nano') + """ as amount from chain_tx
            where value_nano >= 100000000000""", "chain_tx"),
     "after_cursor": _twin(
         """select t.chain, t.address, t.provider, t.lt, t.tx_hash, t.block_time from chain_tx t
@@ -414,9 +427,9 @@ TWINS: dict[str, str] = {
                     select 'ton' as chain, address, 'tonapi' as provider, asset_id, balance, 0 as seq
                     from top_holders
                     union all
-                    select 'ton', {_address('o_custkey')}, 'tonapi', o_orderpriority,
+                    select {_ASSET_CHAIN}, {_address('o_custkey')}, {_ASSET_PROVIDER}, o_orderpriority,
                            cast({_cents('o_totalprice')} as varchar) || '0000000', o_orderkey
-                    from orders where o_orderpriority = '1-URGENT')
+                    from orders)
                 group by chain, address, provider, asset_id) b
             using (chain, address, provider, asset_id)""", "monitored", "top_holders"),
     "deactivate_addresses": _twin(
@@ -428,12 +441,14 @@ TWINS: dict[str, str] = {
             on m.address = k.address and m.asset_id = '5-LOW'""", "monitored"),
     "ingest_active_only": _twin(
         """select chain, address, provider, lt, tx_hash, block_time from chain_tx
-           where address in (select address from monitored where is_active)""", "chain_tx", "monitored"),
+           where (chain, address, provider) in (select (chain, address, provider) from monitored where is_active)""",
+        "chain_tx", "monitored"),
     "ingest_cycle": _twin(
         """select t.chain, t.address, t.provider, t.lt, t.tx_hash, t.block_time from chain_tx t
            left join old_checkpoints c on t.chain = c.chain and t.address = c.address and t.provider = c.provider
            where (c.last_lt is null or t.lt > c.last_lt)
-                 and t.address in (select address from monitored where is_active)
+                 and (t.chain, t.address, t.provider) in (
+                     select (chain, address, provider) from monitored where is_active)
            qualify row_number() over (partition by t.chain, t.address, t.provider order by t.lt) <= 100""",
         "old_checkpoints", "monitored"),
     # aggregations
@@ -481,7 +496,7 @@ TWINS: dict[str, str] = {
         "monitored"),
     "checkpoint_timestamps": _twin("select chain, address, updated_at from lags", "lags"),
     "active_wallet_count": _twin(
-        "select count(distinct address) as active_wallets from monitored where is_active", "monitored"),
+        f"select count(distinct address) as active_wallets from monitored where is_active and {_HERE}", "monitored"),
     "ingest_result": _twin(
         """select count(*) as addresses_processed,
                   cast(sum(events_published) as bigint) as total_events_published,
@@ -566,7 +581,7 @@ TWINS: dict[str, str] = {
                        else correlation_id end as given_id,
                   cast(case event_type when 'click' then 6 else 32 end as bigint) as width
            from chain_events""", "chain_events"),
-    "to_units": _twin("select lt, cast(value_nano as double) / 1e9 as amount from chain_tx", "chain_tx"),
+    "to_units": _twin(f"select lt, {_units('value_nano')} as amount from chain_tx", "chain_tx"),
     "message_addresses": _twin(
         """select event_id, cast(0 as bigint) as position, '0:SRC' || lpad(cast(lt % 97 as varchar), 8, '0') as source,
                   address as destination from chain_events where event_type = 'purchase'
@@ -595,13 +610,13 @@ TWINS: dict[str, str] = {
         f"""select {_id('tx_hash')} as event_id, n.chain, n.address, n.provider, n.lt, h.position, h.amount,
                    'IN' as direction, 'Received from unknown' as message
             from numbered n join (
-                select address as a, page_no, cast(value_nano as double) / 1e9 as amount,
-                       row_number() over (partition by address, page_no order by lt) - 1 as position
+                select chain as c, address as a, page_no, {_units('value_nano')} as amount,
+                       row_number() over (partition by chain, address, page_no order by lt) - 1 as position
                 from numbered where value_nano >= 100000000000) h
-            on n.address = h.a and n.page_no = h.page_no""", "numbered"),
+            on n.chain = h.c and n.address = h.a and n.page_no = h.page_no""", "numbered"),
     "page_alerts_own_tx": _twin(
         f"""select {_id('tx_hash')} as event_id, chain, address, provider, lt, cast(0 as bigint) as position,
-                   cast(value_nano as double) / 1e9 as amount, 'IN' as direction,
+                   {_units('value_nano')} as amount, 'IN' as direction,
                    'Received from unknown' as message
             from numbered where value_nano >= 100000000000""", "numbered"),
     "dead_letters": _twin("select * from letters", "letters"),
@@ -648,18 +663,18 @@ _HANDLED = """
            case when h.outcome = 'conflict' then 'conflict' when h.event_type = 'error'
                 then 'raw_json_parse_error' else 'ok' end as status,
            case when h.outcome = 'conflict' then 0 else coalesce(a.n, 0) end as alerts,
-           case when h.outcome = 'conflict' then 0.0::double else coalesce(a.total, 0.0::double) end
+           case when h.outcome = 'conflict' then '0.000000000' else coalesce(a.total, '0.000000000') end
                as alerted_amount
     from {source} h left join (
-        select lt, count(*) as n, cast(sum(nano) as double) / 1e9 as total from transfers
+        select lt, count(*) as n, {total} as total from transfers
         where nano >= 100000000000 group by lt) a on h.lt = a.lt"""
-TWINS["handle_batch"] = _twin(_HANDLED.format(source="handled"), "handled", "transfers")
-TWINS["handle_stream"] = _twin(_HANDLED.format(source="fold"), "fold", "transfers")
+TWINS["handle_batch"] = _twin(_HANDLED.format(source="handled", total=_units("cast(sum(nano) as bigint)")), "handled", "transfers")
+TWINS["handle_stream"] = _twin(_HANDLED.format(source="fold", total=_units("cast(sum(nano) as bigint)")), "fold", "transfers")
 TWINS["dedupe_stream"] = TWINS["first_arrival"]
 TWINS["dedupe_stream_bounded"] = _twin(
     "select event_id, chain, address, provider, lt, tx_hash from first_arrivals", "first_arrivals")
 TWINS["checkpoint_stream"] = TWINS["snk_state_tables"]
 # Counter samples: the first minute of the series has no predecessor and adds nothing.
 TWINS["ingest_rate_counter_5m"] = _twin(
-    _rate("""(select 'chain=' || series as series, minute, cast(case when minute = min(minute) over ()
+    _rate("""(select 'chain=' || series as series, minute, cast(case when minute = min(minute) over (partition by series)
                      then 0 else n end as double) as n from minutes)""").format(total="sum(m.n)"), "minutes")
