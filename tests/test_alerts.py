@@ -205,13 +205,14 @@ def test_pages(spark):
     rows = page(spark, tx(12345, 1), tx(12346, 2)).unionByName(page(spark)).unionByName(
         spark.createDataFrame([("ton", "tonapi", "B", b) for b in (
             '{"transactions":null}', "{}", '{"transactions":[{"lt":1,"hash":"h"}]}',
-            '{"transactions":[{"lt":"1","hash":"h","utime":1}]}', "oops")],
+            '{"transactions":[{"lt":"1","hash":"h","utime":1}]}', "oops", None, "", '{"transactions":[]} tail',
+            '{"transactions":[]}{"transactions":[]}', '{"transactions":[]}],"z":[{}', "[]", "null")],
             "chain string, provider string, address string, body string"))
     got = normalize_events(transactions(rows)).orderBy("cursor.primary").collect()
     assert [(r.cursor.primary, r.cursor.secondary, r.address) for r in got] == [
         (12345, "h12345", "A"), (12346, "h12346", "A")]
     assert got[0].occurred_at == datetime(2023, 11, 15, 1, 39, 5) and len(got[0].event_id) == 16
-    assert bad_pages(rows).count() == 3
+    assert bad_pages(rows).count() == 10  # a null list is an empty page, a missing one is not
 
 
 def test_conflicting_event_is_not_judged(spark):

@@ -120,3 +120,41 @@ def test_duplicate_page_events_are_stored_once(spark, tmp_path):
     step(events, 0)
     step(events, 1)
     assert sinks.read_events(spark, root).count() == 1
+
+
+BROKEN = [None, "", " ", "null", "oops", "{} tail", "{},{}", '{}],"z":[1', '{}],"end":"x"},{"doc":[{}', '[1', '{"a":}']
+
+
+def test_one_strict_document(spark):
+    from walletscope.sources.documents import with_document
+
+    texts = [(i, t) for i, t in enumerate(BROKEN + ['{"a":1}', ' {"a":2, "b":[{}]}\n', "{}"])]
+    read = with_document(spark.createDataFrame(texts, "i int, t string"), "t", "struct<a: int>", "doc")
+    assert read.columns == ["i", "t", "doc"]
+    got = {r.i: r.doc and r.doc.a for r in read.collect() if r.doc is not None}
+    assert got == {len(BROKEN): 1, len(BROKEN) + 1: 2, len(BROKEN) + 2: None}
+
+
+def test_broken_holder_documents_are_unreadable(spark):
+    from walletscope.sources import holders
+
+    good = ['[{"account":"A","balance":"1"}]', "[]"]
+    native = holders.parse_native(spark.createDataFrame(
+        [(b,) for b in BROKEN + good + [good[0] + ',[]', good[0] + ' tail', '[],"z":[1]']], "body string"))
+    assert native.filter("readable").count() == 2
+    token = [('{"jetton_wallets":[{"owner":"A","balance":"1"}]}')]
+    jetton = holders.parse_jetton(
+        spark.createDataFrame([("0:x", b) for b in [None, "", "null", token[0] + " tail", *token]], "master_address string, body string"),
+        spark.createDataFrame([("0:x", "X")], "master_address string, symbol string"))
+    assert [(r.readable, len(r.holders or [])) for r in jetton.collect()].count((True, 1)) == 1
+    assert jetton.filter("readable").count() == 1
+
+
+def test_broken_bodies_become_attempts_and_dead_letters(spark):
+    from walletscope.operators.retries import dead_letters
+
+    bodies = [("q", "m1", "null")] + [("q", "m2", "oops")] * 3 + [("q", "m3", "{} tail")] + [("q", "m4", None)]
+    attempts = messages.failed_attempts(spark.createDataFrame(bodies, "queue string, message_id string, value string"))
+    got = {r.message_id: (r.attempts, r.disposition, r.reason) for r in dead_letters(attempts).collect()}
+    assert got == {"m1": (1, "dead", "undecodable"), "m2": (3, "dead", "max_retries"), "m3": (1, "retry", None),
+                   "m4": (1, "retry", None)}

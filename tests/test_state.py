@@ -237,8 +237,12 @@ def test_unreadable_source_is_recorded(spark):
 
 def test_ingest_result_five_error_three(spark):
     state = holdings(spark, ("a", "TON", "1", True), ("b", "TON", "1", True), ("c", "TON", "1", True))
-    published = spark.createDataFrame([("a",)] * 5 + [("c",)] * 3 + [("b",)] * 2, "address string")
-    errors = spark.createDataFrame([("b", "boom")], "address string, error string")
+    here, other = ("ton", "tonapi"), ("ever", "everapi")
+    published = spark.createDataFrame(
+        [("a", *here)] * 5 + [("c", *here)] * 3 + [("b", *here)] * 2 + [("a", *other), ("c", "ton", "everapi")],
+        "address string, chain string, provider string")
+    errors = spark.createDataFrame([("b", *here, "boom"), ("a", *other, "elsewhere")],
+                                   "address string, chain string, provider string, error string")
     results = ingest.address_results(state, published, errors)
     assert tuple(ingest.ingest_result(results).first()) == (3, 8, 1)
     assert [(r.address, r.error) for r in ingest.failed_addresses(results).collect()] == [("b", "boom")]

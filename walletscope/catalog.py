@@ -55,32 +55,41 @@ def query(name: str):
 
 # ---- sources -----------------------------------------------------------------
 
+def _damaged(docs: DataFrame, *others: str) -> DataFrame:
+    """Each document followed by texts that are no document: all of them must count for nothing."""
+    body = F.col("body")
+    texts = F.array(body, F.concat(body, F.lit(" tail")), F.concat(body, F.lit(","), body), F.concat(body, F.lit('],"z":[1')),
+                    F.lit(""), F.lit("null"), F.lit(None), *(F.lit(o) for o in others))
+    return docs.withColumn("body", F.explode(texts))
+
+
 @query("src_tx_pages")
 def _(s: Sample) -> DataFrame:
-    return pages.transactions(s.tx_pages()).drop("body")
+    return pages.transactions(_damaged(s.tx_pages(), "{}", '{"transactions":null}')).drop("body")
+
+
+@query("bad_pages")
+def _(s: Sample) -> DataFrame:
+    """How many texts of each wallet are no page."""
+    bad = pages.bad_pages(_damaged(s.tx_pages(), "{}", '{"transactions":null}'))
+    return bad.groupBy(*WALLET).agg(F.count(F.lit(1)).alias("bad"), F.count("body").alias("with_text"))
 
 
 @query("src_native_holders")
 def _(s: Sample) -> DataFrame:
-    return holders.holder_rows(holders.parse_native(s.native_docs()))
+    return holders.holder_rows(holders.parse_native(_damaged(s.native_docs(), "{}")))
 
 
 @query("src_jetton_holders")
 def _(s: Sample) -> DataFrame:
-    rows = holders.holder_rows(holders.parse_jetton(s.jetton_docs(), s.tokens()))
+    rows = holders.holder_rows(holders.parse_jetton(_damaged(s.jetton_docs(), "[]"), s.tokens()))
     return ingest.limit_per_group(rows, ["asset_id"], monitored.by_value(), params.TOP_HOLDERS_LIMIT)
 
 
 @query("src_event_messages")
 def _(s: Sample) -> DataFrame:
-    """Bodies of every event as a stream, decoded and written; sign-ups carry a null body."""
-    events = events_from_tx(tx_from_events(s.stream("events")))
-    message = F.struct("correlation_id", "event_id", "chain", "provider", "address",
-                       F.struct(F.col("lt").alias("primary"), F.col("tx_hash").alias("secondary"))
-                       .alias("cursor"), F.col("block_time").alias("occurred_at"), "raw_json")
-    text = F.to_json(message, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
-    bodies = events.select(F.when(F.col("event_type") == "signup", F.lit("null")).otherwise(text)
-                           .alias("value"))
+    """Bodies of every event as a stream, decoded and written; damaged bodies are no messages."""
+    bodies = s.message_bodies(events_from_tx(tx_from_events(s.stream("events")))).select("value")
     root = shared_dir(s.spark, "messages")
     runs.append_available(messages.messages(bodies), f"{root}/out", f"{root}/log")
     return (s.spark.read.parquet(f"{root}/out")
@@ -567,15 +576,9 @@ def _(s: Sample) -> DataFrame:
 
 @query("message_addresses")
 def _(s: Sample) -> DataFrame:
-    """Source and destination of every message of the single-transaction documents."""
-    message = "struct<value: string, source: variant, destination: variant>"
-    doc = F.from_json("raw_json", f"in_msg {message}, out_msgs array<{message}>")
-    all_messages = F.concat(
-        F.when(F.col("doc.in_msg").isNotNull(), F.array("doc.in_msg"))
-        .otherwise(F.array().cast(f"array<{message}>")),
-        F.coalesce("doc.out_msgs", F.array().cast(f"array<{message}>")))
-    return (s.chain_events().select("event_id", doc.alias("doc"))
-            .select("event_id", F.posexplode(all_messages).alias("position", "m"))
+    """Source and destination of every message of every document, lists of transactions included."""
+    rows = alerts.message_list(s.chain_events().select("event_id", "raw_json"))
+    return (rows.select("event_id", F.posexplode("messages").alias("position", "m"))
             .select("event_id", "position", alerts.message_address(F.col("m.source")).alias("source"),
                     alerts.message_address(F.col("m.destination")).alias("destination")))
 

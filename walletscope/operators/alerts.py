@@ -16,6 +16,7 @@ from walletscope import params
 from walletscope.functions import event_id, plain_amount, sanitize_json, short_address, transfer_text
 from walletscope.functions.amounts import INTEGER
 from walletscope.session import last_key_wins
+from walletscope.sources.documents import with_document
 from walletscope.sources.pages import with_transactions
 
 _STRICT = {"columnNameOfCorruptRecord": "_bad", "allowSingleQuotes": "false",
@@ -136,6 +137,20 @@ def _messages(tx: Column, position: Column) -> Column:
     return F.when(outgoing.isNull(), incoming).otherwise(F.concat(incoming, outgoing))
 
 
+def message_list(events: DataFrame) -> DataFrame:
+    """Add ``messages``: the present messages of the document in order, whatever form it has."""
+    message = f"array<{_MESSAGE}>"
+    parsed = with_document(events, "raw_json", f"struct<transactions: array<struct<{_PARTS}>>, {_PARTS}>", "_doc")
+    doc, none = F.col("_doc"), F.array().cast(message)
+    single = F.struct(doc["in_msg"].alias("in_msg"), doc["out_msgs"].alias("out_msgs"))
+    txs = F.when(doc["transactions"].isNotNull(), doc["transactions"]).otherwise(F.array(single))
+
+    def of(tx: Column) -> Column:
+        return F.concat(F.filter(F.array(tx["in_msg"]), lambda m: m.isNotNull()), F.coalesce(tx["out_msgs"], none))
+
+    return parsed.withColumn("messages", F.flatten(F.transform(txs, of))).drop("_doc")
+
+
 def _least_nano(threshold) -> Decimal:
     return (Decimal(str(threshold)) * params.NANO_PER_UNIT).to_integral_value(ROUND_CEILING)
 

@@ -16,6 +16,7 @@ from walletscope.operators.gauges import series_key
 from walletscope.plans.running import running_sum
 from walletscope.schemas import WALLET
 from walletscope.session import utc
+from walletscope.sources.messages import failed_attempts
 
 AS_OF = "2024-01-31 00:00:00"
 CUT = "2024-01-15 00:00:00"  # state "as stored earlier" for fetch and dedupe queries
@@ -214,14 +215,40 @@ class Sample:
     def tokens(self) -> DataFrame:
         return self.spark.createDataFrame(TOKENS, "master_address string, symbol string")
 
+    def message_bodies(self, events: DataFrame | None = None) -> DataFrame:
+        """A message body per event, some damaged: ``null``, cut off, without a field, with a tail, in a list."""
+        events = self.chain_events() if events is None else events
+        fields = {"correlation_id": F.col("correlation_id"), "event_id": F.col("event_id"), "chain": F.col("chain"),
+                  "provider": F.col("provider"), "address": F.col("address"),
+                  "cursor": F.struct(F.col("lt").alias("primary"), F.col("tx_hash").alias("secondary")),
+                  "occurred_at": F.col("block_time"), "raw_json": F.col("raw_json")}
+
+        def text(leave_out: str = "") -> Column:
+            kept = F.struct(*(c.alias(n) for n, c in fields.items() if n != leave_out))
+            return F.to_json(kept, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+
+        damage = self.damage()
+        value = (F.when(damage == "null", F.lit("null"))
+                 .when(damage == "cut", F.expr("left(_text, length(_text) - 2)"))
+                 .when(damage == "missing", text("cursor")).when(damage == "tail", F.concat("_text", F.lit(" tail")))
+                 .when(damage == "listed", F.concat(F.lit("["), "_text", F.lit("]"))).otherwise(F.col("_text")))
+        return events.withColumn("_text", text()).withColumn("value", value).drop("_text")
+
+    @staticmethod
+    def damage() -> Column:
+        """What is wrong with the body of an event, NULL for most."""
+        kind, lt = F.col("event_type"), F.col("lt")
+        return (F.when(kind == "signup", "null").when(kind == "error", "cut")
+                .when((kind == "purchase") & (lt % 11 == 0), "missing").when((kind == "click") & (lt % 13 == 0), "tail")
+                .when((kind == "view") & (lt % 17 == 0), "listed"))
+
     def attempts(self) -> DataFrame:
-        """Failed deliveries: broken events fail one to four times, sign-ups carry an empty body."""
-        tries = F.when(F.col("event_type") == "error", F.col("lt") % 4 + 1).otherwise(F.lit(1))
-        return (self.chain_events().where(F.col("event_type").isin("error", "signup"))
-                .select(F.concat(F.lit("events."), F.col("event_type")).alias("queue"),
-                        F.col("event_id").alias("message_id"),
-                        (F.col("event_type") == "signup").alias("undecodable"),
-                        F.explode(F.sequence(F.lit(1).cast("bigint"), tries)).alias("attempt")))
+        """Failed deliveries of all event types: what the decoder rejects, delivered one to four times."""
+        tries = F.when(F.col("event_type") == "signup", F.lit(1)).otherwise(F.col("lt") % 4 + 1)
+        deliveries = self.message_bodies().select(
+            F.concat(F.lit("events."), F.col("event_type")).alias("queue"), F.col("event_id").alias("message_id"),
+            "value", F.explode(F.sequence(F.lit(1).cast("bigint"), tries.cast("bigint"))).alias("attempt"))
+        return failed_attempts(deliveries)
 
     def samples(self) -> DataFrame:
         """Metric samples: one per event, the metric chosen by its type."""

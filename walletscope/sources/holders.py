@@ -5,20 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from walletscope.functions import canonical_integer
+from walletscope.sources.documents import with_document
 
-_STRICT = {"columnNameOfCorruptRecord": "_bad", "allowSingleQuotes": "false",
-           "allowNonNumericNumbers": "false"}
-_NATIVE = "doc array<struct<account: string, balance: string>>, _bad string"
-_JETTON = "jetton_wallets array<struct<owner: string, balance: string>>, _bad string"
+_NATIVE = "array<struct<account: string, balance: string>>"
+_JETTON = "struct<jetton_wallets: array<struct<owner: string, balance: string>>>"
 
 
 def parse_native(docs: DataFrame, asset_id: str = "TON") -> DataFrame:
     """Documents ``[{account, balance}]`` (column ``body``) with parse state and holder array."""
-    whole = F.concat(F.lit('{"doc":'), F.col("body"), F.lit("}"))
-    return (docs.withColumn("_doc", F.from_json(whole, _NATIVE, _STRICT))
+    return (with_document(docs, "body", _NATIVE, "_doc")
             .select(F.lit(asset_id).alias("asset_id"), F.lit("native").alias("asset_type"),
-                    F.col("_doc._bad").isNull().alias("readable"),
-                    F.transform("_doc.doc", lambda h: F.struct(
+                    F.col("_doc").isNotNull().alias("readable"),
+                    F.transform("_doc", lambda h: F.struct(
                         h["account"].alias("address"),
                         canonical_integer(h["balance"]).alias("balance"))).alias("holders")))
 
@@ -29,12 +27,12 @@ def parse_jetton(docs: DataFrame, tokens: DataFrame) -> DataFrame:
     ``tokens(master_address, symbol)`` is configuration; documents of other
     tokens are not asked for and drop out. Zero balances are excluded.
     """
-    parsed = docs.withColumn("_doc", F.from_json("body", _JETTON, _STRICT))
+    parsed = with_document(docs, "body", _JETTON, "_doc")
     holders = F.transform("_doc.jetton_wallets", lambda h: F.struct(
         h["owner"].alias("address"), canonical_integer(h["balance"]).alias("balance")))
     return (parsed.join(tokens, "master_address")
             .select(F.col("symbol").alias("asset_id"), F.lit("jetton").alias("asset_type"),
-                    F.col("_doc._bad").isNull().alias("readable"),
+                    F.col("_doc").isNotNull().alias("readable"),
                     F.filter(holders, lambda h: h["balance"] != "0").alias("holders")))
 
 

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from walletscope import schemas
+from walletscope.sources.documents import with_document
 
-_STRICT = {"columnNameOfCorruptRecord": "_bad", "allowSingleQuotes": "false",
-           "allowNonNumericNumbers": "false"}
 REQUIRED = [f for f in schemas.MESSAGE_FIELDS if f != "correlation_id"]
 
 
@@ -28,15 +27,24 @@ def decode(bodies: DataFrame, body: str = "value") -> DataFrame:
     ``undecodable`` is a body that decodes to nothing (``null``) and is dead at
     once; ``malformed`` is broken JSON or a missing required field and is retried.
     """
-    parsed = bodies.withColumn("_msg", F.from_json(body, f"{schemas.EVENT_MESSAGE}, _bad string", _STRICT))
+    parsed = with_document(bodies, body, f"struct<{schemas.EVENT_MESSAGE}>", "_msg")
     missing = F.lit(False)
     for name in REQUIRED:
         missing = missing | F.col(f"_msg.{name}").isNull()
     problem = (F.when(F.trim(body) == "null", "undecodable")
-               .when(F.col("_msg._bad").isNotNull() | missing, "malformed"))
-    fields = F.struct(*[F.col(f"_msg.{f}").alias(f) for f in schemas.MESSAGE_FIELDS])
+               .when(F.col("_msg").isNull() | missing, "malformed"))
     return (parsed.withColumn("problem", problem)
-            .withColumn("message", F.when(F.col("problem").isNull(), fields)).drop("_msg"))
+            .withColumn("message", F.when(F.col("problem").isNull(), F.col("_msg"))).drop("_msg"))
+
+
+def failed_attempts(bodies: DataFrame, body: str = "value") -> DataFrame:
+    """One row per delivery (queue, message_id, body) whose body is no message.
+
+    These are the attempts that decide on retries and dead letters.
+    """
+    return (decode(bodies, body).select(
+        "queue", "message_id", F.explode(F.when(F.col("problem").isNotNull(), F.array("problem"))).alias("problem"))
+        .select("queue", "message_id", (F.col("problem") == "undecodable").alias("undecodable")))
 
 
 def messages(bodies: DataFrame, body: str = "value") -> DataFrame:

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from walletscope.functions import sanitize_json
+from walletscope.sources.documents import with_document
 
 PAGE_FILE = "chain string, provider string, address string, body string"
 _TXS = "array<struct<lt: bigint, hash: string, utime: bigint>>"
-_BODY = f"transactions {_TXS}, _bad string"
-_STRICT = {"columnNameOfCorruptRecord": "_bad", "allowSingleQuotes": "false",
-           "allowNonNumericNumbers": "false"}
+_PAGE = f"struct<transactions: {_TXS}>"
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -26,20 +25,21 @@ def stream_pages(spark: SparkSession, path: str, files_per_batch: int = 1000) ->
 def with_transactions(pages: DataFrame) -> DataFrame:
     """Add ``txs``: the page's transactions, NULL for a page that fails as a whole.
 
-    A page counts only if every transaction has its three required fields.
+    A page is one strict document with the member ``transactions``, and counts only if
+    every transaction has its three required fields. The member may be null, as may the
+    whole document; such a page is empty.
     """
-    page = F.col("_page")
+    listed = F.col("_page.transactions")
+    named = F.array_contains(F.json_object_keys("body"), "transactions")
+    empty = (F.trim("body") == "null") | (F.col("_page").isNotNull() & listed.isNull() & named)
     gap = F.exists(
-        page["transactions"],
-        lambda t: t.isNull() | t["lt"].isNull() | t["hash"].isNull() | t["utime"].isNull())
-    whole = page.isNotNull() & page["_bad"].isNull() & ~F.coalesce(gap, F.lit(False))
-    listed = F.coalesce(page["transactions"], F.array().cast(_TXS))
-    return (pages.withColumn("_page", F.from_json("body", _BODY, _STRICT))
-            .withColumn("txs", F.when(whole, listed)).drop("_page"))
+        listed, lambda t: t.isNull() | t["lt"].isNull() | t["hash"].isNull() | t["utime"].isNull())
+    return (with_document(pages, "body", _PAGE, "_page")
+            .withColumn("txs", F.when(empty, F.array().cast(_TXS)).when(~gap, listed)).drop("_page"))
 
 
 def transactions(pages: DataFrame) -> DataFrame:
-    """One row per transaction of every whole page; a page without a list gives none.
+    """One row per transaction of every whole page.
 
     The body is cleaned once per page, before it is repeated on the page's rows.
     """

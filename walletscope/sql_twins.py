@@ -159,10 +159,16 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         select asset_id, asset_type, address, balance from native
         qualify row_number() over (order by cast(balance as hugeint) desc, address) <= 100
         union all select * from top_jetton"""),
-    "attempts": (("chain_events",), """
+    "damaged": (("raw_docs",), """
+        select *, case when event_type = 'signup' then 'null' when event_type = 'error' then 'cut'
+                       when event_type = 'purchase' and lt % 11 = 0 then 'missing'
+                       when event_type = 'click' and lt % 13 = 0 then 'tail'
+                       when event_type = 'view' and lt % 17 = 0 then 'listed' end as damage
+        from raw_docs"""),
+    "attempts": (("damaged",), """
         select 'events.' || event_type as queue, event_id as message_id, event_type = 'signup' as undecodable,
-               case event_type when 'error' then lt % 4 + 1 else 1 end as n
-        from chain_events where event_type in ('error', 'signup')"""),
+               case event_type when 'signup' then 1 else lt % 4 + 1 end as n
+        from damaged where damage is not null"""),
     "letters": (("attempts",), """
         select queue, message_id, n as attempts,
                case when undecodable or n >= 3 then 'dead' else 'retry' end as disposition,
@@ -314,7 +320,10 @@ TWINS: dict[str, str] = {
     "src_jetton_holders": _twin("select * from top_jetton", "top_jetton"),
     "src_event_messages": _twin(
         f"""select correlation_id, event_id, {_TX}, block_time as occurred_at, raw_json
-            from raw_docs where event_type <> 'signup'""", "raw_docs"),
+            from damaged where damage is null""", "damaged"),
+    "bad_pages": _twin(
+        """select chain, address, provider, count(distinct page_no) * 6 as bad, count(distinct page_no) * 5 as with_text
+           from numbered group by chain, address, provider""", "numbered"),
     "src_tables": _twin(
         """select event_id as key, chain, address, 'events' as table_name from chain_events
            union all select chain || ':' || address || ':' || provider, chain, address, 'checkpoints'
@@ -587,8 +596,9 @@ TWINS: dict[str, str] = {
                   address as destination from chain_events where event_type = 'purchase'
            union all select event_id, 0, 'unknown', '0:EQ' || lpad(cast(lt % 97 as varchar), 10, '0')
            from chain_events where event_type = 'click'
-           union all select event_id, 1, 'unknown', 'unknown' from chain_events where event_type = 'click'""",
-        "chain_events"),
+           union all select event_id, 1, 'unknown', 'unknown' from chain_events where event_type = 'click'
+           union all select event_id, unnest([0, 1]), 'unknown', 'unknown' from chain_events
+           where event_type = 'view'""", "chain_events"),
     "short_address": f"""select c_custkey, {_short('c_name')} as name, {_short('c_mktsegment')} as segment
                          from customer""",
     "alert_text": _twin("select event_id, position, direction, message from alerts", "alerts"),
