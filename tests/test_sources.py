@@ -9,7 +9,7 @@ from walletscope.operators import alerts, diagnostics, monitored
 from walletscope.operators.ingest import normalize_events
 from walletscope.sinks import tables as sinks
 from walletscope.sources import messages, pages, tables
-from walletscope.sources.registry import Registry, alert_sinks
+from walletscope.sources.plugins import event_transactions
 from walletscope.streaming import runs
 
 START = datetime(2024, 1, 1)
@@ -92,19 +92,27 @@ def test_sinks_get_the_alerts_of_each_batch(spark, tmp_path):
     arrivals = spark.createDataFrame(rows, (
         "event_id string, chain string, address string, provider string, lt bigint, tx_hash string, "
         "block_time timestamp, raw_json string, correlation_id string, arrival_seq bigint, arrived_at timestamp"))
-    step = runs.handle(root, sinks=[lambda df: sinks.write_lines(alerts.alert_lines(df), f"{root}/lines")])
-    step(arrivals, 0)
-    lines = sorted(r.value for r in spark.read.text(f"{root}/lines").collect())
-    assert len(lines) == 2 and " IN 120 | " in lines[0] and " IN 180 | " in lines[1]
-
-
-def test_registry_names_are_unique():
-    registry = Registry("alert rule")
-    registry.register("large", alerts.whale_alerts)
-    assert registry.names() == ["large"] and registry.get("large") is alerts.whale_alerts
-    with pytest.raises(ValueError):
-        registry.register("large", alerts.whale_alerts)
-    assert alert_sinks.names() == []
+    def small(judged):
+        return alerts.alert_rows(judged).where("amount < 150")
+
+    step = runs.handle(root, sinks=[sinks.line_sink(f"{root}/lines", alerts.alert_lines)],
+                       rules={"whale": alerts.alert_rows, "small": small})
+    for _ in range(2):  # a replay overwrites its own lines
+        step(arrivals, 0)
+        lines = sorted((r.rule, r.value) for r in spark.read.text(f"{root}/lines").collect())
+        assert [r for r, _ in lines] == ["small", "whale", "whale"]
+        assert " IN 120 | " in lines[0][1] and " IN 120 | " in lines[1][1] and " IN 180 | " in lines[2][1]
+
+
+def test_event_sources_plug_in(spark):
+    def first(session):
+        return session.createDataFrame([("ton", "A")], "chain string, address string")
+
+    def second(session):
+        return session.createDataFrame([("B", "ever")], "address string, chain string")
+
+    rows = event_transactions(spark, {"one": first, "two": second}).collect()
+    assert sorted((r.chain, r.address) for r in rows) == [("ever", "B"), ("ton", "A")]
 
 
 def test_duplicate_page_events_are_stored_once(spark, tmp_path):

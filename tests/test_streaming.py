@@ -8,7 +8,7 @@ from walletscope.operators.checkpoints import checkpoint_conflicts, checkpoint_f
 from walletscope.operators.handle import event_results, judge
 from walletscope.operators.ingest import first_arrival
 from walletscope.sinks import messages as message_sink
-from walletscope.sinks.tables import read_events, read_state
+from walletscope.sinks.tables import Batch, checkpoints_before, compact, read_checkpoints, read_events, stored_ids
 from walletscope.sources import messages
 from walletscope.streaming import runs
 
@@ -56,8 +56,8 @@ def test_stream_of_three_batches_equals_one_batch(spark, landing, tmp_path):
     expected = event_results(fold, judge(fresh, checkpoint_conflicts(fold)))
     got = spark.read.parquet(f"{root}/results")
     assert got.select("batch").distinct().count() == 3
-    assert sorted(map(repr, got.drop("batch").collect())) == sorted(map(repr, expected.collect()))
-    marks = read_state(spark, root, "checkpoints", 2)
+    assert sorted(map(repr, got.drop("run", "batch").collect())) == sorted(map(repr, expected.collect()))
+    marks = read_checkpoints(spark, root)
     assert sorted(map(repr, marks.collect())) == sorted(map(repr, final_checkpoints(fresh).collect()))
     assert read_events(spark, root).count() == fresh.count()
 
@@ -72,7 +72,7 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
 
     def state():
         return {t: sorted(map(repr, spark.read.parquet(f"{root}/{t}").collect()))
-                for t in ("events", "results", "decisions", "checkpoints")}
+                for t in ("events", "event_ids", "results", "decisions", "checkpoints", "failed_events")}
 
     before = state()
     step(second, 1)
@@ -87,10 +87,10 @@ def test_batch_of_copies_only(spark, tmp_path):
     step = runs.handle(root, F.col("block_time"), F.to_timestamp(F.lit("2024-02-01 00:00:00")))
     step(spark.createDataFrame(rows, SCHEMA), 0)
     step(spark.createDataFrame(rows, SCHEMA), 1)
-    assert spark.read.parquet(f"{root}/results/batch=1").count() == 0
-    assert spark.read.parquet(f"{root}/decisions/batch=1").count() == 0
-    first, second = (read_state(spark, root, "checkpoints", v) for v in (0, 1))
-    assert sorted(map(repr, first.collect())) == sorted(map(repr, second.collect()))
+    for table in ("results", "decisions", "events"):
+        assert spark.read.schema("event_id string").parquet(f"{root}/{table}/run=direct/batch=1").count() == 0
+    whole = first_arrival(spark.createDataFrame(rows, SCHEMA))
+    assert sorted(map(repr, read_checkpoints(spark, root).collect())) == sorted(map(repr, final_checkpoints(whole).collect()))
 
 
 def test_dedupe_store_is_exact_over_batches(spark, landing, tmp_path):
@@ -105,18 +105,92 @@ def test_dedupe_store_is_exact_over_batches(spark, landing, tmp_path):
 
 def test_bounded_dedupe_gives_each_id_once(spark, landing, tmp_path):
     root = str(tmp_path)
-    rows = runs.dedupe_within(stream(spark, landing), horizon="90 days").select("event_id")
-    runs.append_available(rows, f"{root}/out", f"{root}/log")
-    ids = [r.event_id for r in spark.read.parquet(f"{root}/out").collect()]
+    runs.run_available(stream(spark, landing), runs.store_within(root), f"{root}/log")
+    ids = [r.event_id for r in read_events(spark, root).collect()]
     assert sorted(ids) == sorted({r[0] for r in deliveries()})
 
 
+def arrival(name, seq, day, lt=None, tx_hash="h", address="A"):
+    at = START + timedelta(days=day)
+    return (name, "ton", address, "tonapi", lt or seq, tx_hash, at, '{"test": true}', "c", seq, at)
+
+
+def test_late_new_events_are_stored_and_near_copies_are_not(spark, tmp_path):
+    root = str(tmp_path)
+    step = runs.store_within(root, "1 day")
+    batches = [[arrival("e1", 1, 10)], [arrival("e2", 2, 11), arrival("e1", 3, 10)],
+               [arrival("late-new", 4, 1), arrival("e2", 5, 11)], [arrival("e3", 6, 12), arrival("late-new", 7, 1)]]
+    for number, rows in enumerate(batches):
+        step(spark.createDataFrame(rows, SCHEMA), number)
+    assert sorted(r.event_id for r in read_events(spark, root).collect()) == ["e1", "e2", "e3", "late-new"]
+
+
+def test_a_fresh_log_goes_on_with_what_is_stored(spark, tmp_path):
+    root = str(tmp_path)
+    for run, rows in (("a", [arrival("old", 1, 1, lt=5)]),
+                      ("b", [arrival("old", 2, 1, lt=5), arrival("new", 3, 2, lt=4), arrival("rival", 4, 2, 5, "x")])):
+        runs.handle(root, F.col("block_time"), run=run)(spark.createDataFrame(rows, SCHEMA), 0)
+    assert sorted(r.event_id for r in read_events(spark, root).collect()) == ["new", "old", "rival"]
+    assert {r.event_id: r.outcome for r in spark.read.parquet(f"{root}/results").collect()} == {
+        "old": "advance", "new": "ignore", "rival": "conflict"}
+    assert [(r.last_lt, r.last_hash) for r in read_checkpoints(spark, root).collect()] == [(5, "h")]
+    assert [r.event_id for r in spark.read.parquet(f"{root}/conflicts").collect()] == ["rival"]
+
+
+def test_streams_with_fresh_logs_keep_stored_events(spark, landing, tmp_path):
+    root = str(tmp_path)
+    for log in ("one", "two"):
+        runs.run_available(stream(spark, landing), runs.store_new(root, F.col("block_time")), f"{root}/{log}")
+        assert sorted(r.event_id for r in read_events(spark, root).collect()) == sorted({r[0] for r in deliveries()})
+
+
+def test_arrivals_without_an_id_are_kept_apart(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [arrival(None, 1, 1), arrival(None, 2, 1), arrival("e", 3, 1)]
+    runs.handle(root, F.col("block_time"))(spark.createDataFrame(rows, SCHEMA), 0)
+    assert [r.event_id for r in read_events(spark, root).collect()] == ["e"]
+    assert spark.read.parquet(f"{root}/unidentified").count() == 2
+
+
+def test_only_moved_checkpoints_are_written_and_only_near_ones_read(spark, tmp_path):
+    root = str(tmp_path)
+    many = [arrival(f"e{i}", i, 1, address=f"A{i}") for i in range(300)]
+    step = runs.track(root, F.col("block_time"))
+    step(spark.createDataFrame(many, SCHEMA), 0)
+    one = spark.createDataFrame([arrival("f", 999, 2, address="A7"), arrival("e8", 1000, 2, address="A8")], SCHEMA)
+    step(one, 1)
+    assert [r.address for r in spark.read.parquet(f"{root}/checkpoints/run=direct/batch=1").collect()] == ["A7"]
+    for read in (checkpoints_before, stored_ids):
+        text = read(one, root, Batch("direct", 2))._jdf.queryExecution().executedPlan().toString()
+        filters = next(line for line in text.splitlines() if "PartitionFilters" in line)
+        assert "bucket" in filters
+    text = checkpoints_before(one, root, Batch("direct", 2))._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in text
+    assert {r.address: r.last_lt for r in checkpoints_before(one, root, Batch("direct", 2)).collect()} == {"A7": 999, "A8": 8}
+
+
+def test_compacted_tables_carry_on(spark, tmp_path):
+    old, new = str(tmp_path / "old"), str(tmp_path / "new")
+    rows = deliveries()
+    runs.handle(old, F.col("block_time"), run="a")(spark.createDataFrame(rows[:120], SCHEMA), 0)
+    runs.handle(old, F.col("block_time"), run="a")(spark.createDataFrame(rows[120:200], SCHEMA), 1)
+    compact(spark, old, new)
+    for root in (old, new):
+        runs.handle(root, F.col("block_time"), run="b")(spark.createDataFrame(rows[150:], SCHEMA), 0)
+    for read in (read_events, read_checkpoints):
+        columns = [c for c in read(spark, old).columns if c not in ("run", "batch")]
+        a, b = (sorted(map(repr, read(spark, root).select(*columns).collect())) for root in (old, new))
+        assert a == b
+
+
 def test_checkpoint_stream_equals_batch(spark, landing, tmp_path):
     root = str(tmp_path)
-    runs.run_checkpoints(stream(spark, landing), root, f"{root}/log")
-    got = read_state(spark, root, "checkpoints", 2).collect()
-    expected = final_checkpoints(spark.createDataFrame(deliveries(), SCHEMA)).collect()
-    assert sorted(map(repr, got)) == sorted(map(repr, expected))
+    runs.run_available(stream(spark, landing), runs.track(root), f"{root}/log")
+    got = read_checkpoints(spark, root).collect()
+    whole = first_arrival(spark.createDataFrame(deliveries(), SCHEMA))
+    assert sorted(map(repr, got)) == sorted(map(repr, final_checkpoints(whole).collect()))
+    conflicts = checkpoint_conflicts(checkpoint_fold(whole.cache())).select("event_id").collect()
+    assert sorted(spark.read.parquet(f"{root}/conflicts").select("event_id").collect()) == sorted(conflicts)
 
 
 def test_messages_round_trip_and_problems(spark):

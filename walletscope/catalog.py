@@ -136,9 +136,10 @@ def _(s: Sample) -> DataFrame:
 
 @query("snk_events")
 def _(s: Sample) -> DataFrame:
-    """All deliveries through the idempotent event sink."""
+    """All deliveries through the idempotent event sink, twice and from two runs."""
     root = shared_dir(s.spark, "events")
-    runs.store_new(root, created_at=F.col("block_time"))(s.arrivals(), 0)
+    for run, number in (("one", 0), ("one", 1), ("one", 1), ("two", 0)):
+        runs.store_new(root, created_at=F.col("block_time"), run=run)(s.arrivals(), number)
     return (table_sink.read_events(s.spark, root)
             .select("event_id", "chain", "address", "lt", "tx_hash", "block_time", "raw_json", "created_at"))
 
@@ -153,6 +154,16 @@ def _(s: Sample) -> DataFrame:
     return table_sink.read_state(s.spark, root, "checkpoints", 1)
 
 
+@query("snk_monitored")
+def _(s: Sample) -> DataFrame:
+    """Two versions of the monitored table: as stored, then with the discovered holders."""
+    root = shared_dir(s.spark, "monitored")
+    table_sink.write_state(s.monitored(), root, "monitored_addresses", 0)
+    stored = table_sink.read_state(s.spark, root, "monitored_addresses", 0)
+    table_sink.write_state(monitored.upsert_monitored(stored, _discoveries(s), as_of()), root, "monitored_addresses", 1)
+    return table_sink.read_state(s.spark, root, "monitored_addresses", 1)
+
+
 @query("snk_alert_lines")
 def _(s: Sample) -> DataFrame:
     return (alerts.alert_lines(alerts.whale_alerts(s.chain_events()))
@@ -177,7 +188,7 @@ def _(s: Sample) -> DataFrame:
         dead=retries.dlq_depth(retries.dead_letters(s.attempts())),
         wallets=monitored.active_wallet_count(held))
     root = shared_dir(s.spark, "metrics")
-    table_sink.write_rows(rows, root, "samples", 0)
+    table_sink.write_rows(rows, root, "samples", table_sink.Batch("cycle", 0))
     return (s.spark.read.schema(METRIC_SAMPLES).parquet(f"{root}/samples")
             .select("metric", gauges.series_key(F.col("labels")).alias("series"), "ts", "value"))
 
@@ -284,15 +295,19 @@ def _discovery(s: Sample) -> list[DataFrame]:
     return [holders.parse_native(s.native_docs()), holders.parse_jetton(s.jetton_docs(), s.tokens())]
 
 
-@query("upsert_monitored")
-def _(s: Sample) -> DataFrame:
+def _discoveries(s: Sample) -> DataFrame:
     """Discovered holders plus re-discovered order wallets (several arrivals per key)."""
     found = monitored.discovered(monitored.all_asset_holders(_discovery(s)), F.lit(0).cast("bigint"))
     again = s.table("orders").select(
         *asset_wallet("o_custkey", "o_orderpriority"), F.col("o_orderpriority").alias("asset_id"),
         F.concat(F.round(F.col("o_totalprice") * 100).cast("bigint"), F.lit("0000000")).alias("balance"),
         F.col("o_orderkey").alias("arrival_seq"))
-    return monitored.upsert_monitored(s.monitored(), found.unionByName(again), as_of())
+    return found.unionByName(again)
+
+
+@query("upsert_monitored")
+def _(s: Sample) -> DataFrame:
+    return monitored.upsert_monitored(s.monitored(), _discoveries(s), as_of())
 
 
 @query("deactivate_addresses")
@@ -637,23 +652,34 @@ def _(s: Sample) -> DataFrame:
     return handle.handle_batch(s.arrivals(), s.stored_events(CUT), s.checkpoints(CUT))
 
 
-def _arrival_stream(s: Sample) -> DataFrame:
-    return arrivals_from_events(events_from_tx(tx_from_events(s.stream("events"))))
+def _stream_waves(s: Sample, root: str, each: Callable[[DataFrame, int], object]) -> None:
+    """All deliveries as a stream that stops and goes on: three waves, each after the one before.
+
+    The waves follow the order of arrival; a new log takes the last one, over the same tables.
+    """
+    arrivals, landing = s.arrivals(), f"{root}/landing"
+    seq, late = F.col("arrival_seq"), 10_000_002
+    middle = arrivals.agg(F.floor(F.avg(F.when(seq < late, seq))).cast("bigint")).first()[0]
+    waves = [(seq < middle) & (seq < late), (seq >= middle) & (seq < late), seq >= late]
+    for number, wave in enumerate(waves):
+        folder = f"{landing}/{'new' if number == 2 else 'old'}"
+        arrivals.where(wave).write.mode("append").parquet(folder)
+        stream = s.spark.readStream.schema(arrivals.schema).parquet(folder)
+        runs.run_available(stream, each, f"{root}/log-{'new' if number == 2 else 'old'}")
 
 
 @query("handle_stream")
 def _(s: Sample) -> DataFrame:
     """The consumer as a stream over all deliveries; its per-event results read back."""
     root = shared_dir(s.spark, "handled")
-    runs.run_available(_arrival_stream(s), runs.handle(root, created_at=F.col("block_time")), f"{root}/log")
-    return s.spark.read.parquet(f"{root}/results").drop("batch")
+    _stream_waves(s, root, runs.handle(root, created_at=F.col("block_time")))
+    return s.spark.read.parquet(f"{root}/results").drop("run", "batch")
 
 
 @query("dedupe_stream")
 def _(s: Sample) -> DataFrame:
     root = shared_dir(s.spark, "deduped")
-    runs.run_available(_arrival_stream(s), runs.store_new(root, created_at=F.col("block_time")),
-                       f"{root}/log")
+    _stream_waves(s, root, runs.store_new(root, created_at=F.col("block_time")))
     return (table_sink.read_events(s.spark, root)
             .select("event_id", *WALLET, "lt", "tx_hash", "arrival_seq"))
 
@@ -661,19 +687,30 @@ def _(s: Sample) -> DataFrame:
 @query("dedupe_stream_bounded")
 def _(s: Sample) -> DataFrame:
     root = shared_dir(s.spark, "bounded")
-    rows = runs.dedupe_within(_arrival_stream(s)).select("event_id", *WALLET, "lt", "tx_hash")
-    runs.append_available(rows, f"{root}/out", f"{root}/log")
-    return s.spark.read.parquet(f"{root}/out")
+    _stream_waves(s, root, runs.store_within(root, created_at=F.col("block_time")))
+    return table_sink.read_events(s.spark, root).select("event_id", *WALLET, "lt", "tx_hash")
 
 
 @query("checkpoint_stream")
 def _(s: Sample) -> DataFrame:
     root = shared_dir(s.spark, "marks")
-    runs.run_checkpoints(_arrival_stream(s), root, f"{root}/log")
-    last = f"{root}/checkpoints"
-    versions = s.spark.read.parquet(last)
-    newest = versions.agg(F.max("version")).scalar()
-    return versions.where(F.col("version") == newest).drop("version")
+    _stream_waves(s, root, runs.track(root))
+    return table_sink.read_checkpoints(s.spark, root)
+
+
+@query("checkpoint_stream_conflicts")
+def _(s: Sample) -> DataFrame:
+    root = shared_dir(s.spark, "conflicts")
+    _stream_waves(s, root, runs.track(root))
+    return s.spark.read.parquet(f"{root}/conflicts").drop("run", "batch", "arrived_at")
+
+
+@query("failed_events")
+def _(s: Sample) -> DataFrame:
+    """Events whose document is JSON of the wrong shape, made from all events."""
+    wrong = F.concat(F.lit('{"in_msg":null,"lt":'), F.col("lt"), F.lit("}"))
+    docs = s.chain_events().withColumn("raw_json", F.when(F.col("lt") % 3 == 0, wrong).otherwise(F.col("raw_json")))
+    return alerts.failed_events(docs).select("event_id", *WALLET, "status")
 
 
 @query("dead_letters")

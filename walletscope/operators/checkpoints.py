@@ -11,11 +11,16 @@ from walletscope.schemas import WALLET
 SLICE_ROWS = 1 << 20  # arrivals per slice of a wallet
 
 
-def _seeded(arrivals: DataFrame, checkpoints: DataFrame | None) -> DataFrame:
-    """Arrivals with stored checkpoints ahead of them (arrival_seq -1, no event id)."""
+def _seeded(arrivals: DataFrame, checkpoints: DataFrame | None, every: bool = False) -> DataFrame:
+    """Arrivals with stored checkpoints ahead of them (arrival_seq -1, no event id).
+
+    Only checkpoints of the arrivals' wallets take part, unless ``every`` is set.
+    """
     rows = arrivals.select(*WALLET, "lt", "tx_hash", "arrival_seq", "event_id", "arrived_at")
     if checkpoints is None:
         return rows
+    if not every:
+        checkpoints = checkpoints.join(arrivals.select(*WALLET).distinct(), WALLET, "left_semi")
     old = checkpoints.select(
         *WALLET, F.col("last_lt").alias("lt"), F.col("last_hash").alias("tx_hash"),
         F.lit(-1).cast("bigint").alias("arrival_seq"), F.lit(None).cast("string").alias("event_id"),
@@ -49,11 +54,19 @@ def checkpoint_conflicts(fold: DataFrame) -> DataFrame:
     return fold.where(F.col("outcome") == "conflict")
 
 
+def moved_checkpoints(fold: DataFrame) -> DataFrame:
+    """The new checkpoint of each wallet that an event has advanced."""
+    top = F.max(F.struct("lt", (-F.col("arrival_seq")).alias("seq"), "tx_hash", "arrived_at")).alias("top")
+    return (fold.where(F.col("outcome") == "advance").groupBy(*WALLET).agg(top)
+            .select(*WALLET, F.col("top.lt").alias("last_lt"), F.col("top.tx_hash").alias("last_hash"),
+                    F.col("top.arrived_at").alias("updated_at")))
+
+
 def final_checkpoints(arrivals: DataFrame, checkpoints: DataFrame | None = None) -> DataFrame:
     """Checkpoint per wallet after all arrivals: one pre-aggregated maximum, no ordered window."""
     top = F.max(F.struct(F.col("lt"), (-F.col("arrival_seq")).alias("seq"), F.col("tx_hash"),
                          F.col("arrived_at"))).alias("top")
-    return (_seeded(arrivals, checkpoints).groupBy(*WALLET).agg(top)
+    return (_seeded(arrivals, checkpoints, every=True).groupBy(*WALLET).agg(top)
             .select(*WALLET, F.col("top.lt").alias("last_lt"), F.col("top.tx_hash").alias("last_hash"),
                     F.col("top.arrived_at").alias("updated_at")))
 

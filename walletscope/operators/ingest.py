@@ -39,8 +39,17 @@ def limit_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int)
 
 
 def first_arrival(arrivals: DataFrame) -> DataFrame:
-    """The first arrival of every event id wins, whatever later copies carry."""
-    return limit_per_group(arrivals, ["event_id"], [F.col("arrival_seq")], 1)
+    """The first arrival of every event id wins, whatever later copies carry.
+
+    Arrivals without an id are copies of nothing; see ``unidentified``.
+    """
+    known = arrivals.where(F.col("event_id").isNotNull())
+    return limit_per_group(known, ["event_id"], [F.col("arrival_seq")], 1)
+
+
+def unidentified(arrivals: DataFrame) -> DataFrame:
+    """Arrivals without an event id, kept for repair."""
+    return arrivals.where(F.col("event_id").isNull())
 
 
 def new_events(arrivals: DataFrame, stored: DataFrame) -> DataFrame:

@@ -1,41 +1,158 @@
-"""Batch-numbered parquet tables.
+"""Parquet tables written batch by batch.
 
-A batch writes its own folder with overwrite, so a batch that is run again after
-a failure replaces its rows instead of adding them twice. State tables get one
-whole version per batch; a reader takes the version of the batch before.
+A batch writes its own folder with overwrite, so a batch that is run again after a
+failure replaces its rows instead of adding them twice. The folder names the run (the
+stream log) and the batch: a new log over tables that hold rows already adds to them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+from typing import NamedTuple
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from walletscope import schemas
+from walletscope.schemas import WALLET
 
 EVENT_ROW = ("event_id string, chain string, address string, provider string, lt bigint, "
              "tx_hash string, block_time timestamp, raw_json string, correlation_id string, "
              "arrival_seq bigint, arrived_at timestamp, created_at timestamp")
+_BATCH = "run string, batch bigint"
+#: Ways that the ids and the checkpoints are split into folders, so that a batch reads those it needs.
+BUCKETS = 64
+
+
+class Batch(NamedTuple):
+    """A batch of a run; its outputs lie below ``run=.../batch=...`` of each table."""
+
+    run: str
+    number: int
+
+    @property
+    def name(self) -> str:
+        return f"run={self.run}/batch={self.number}"
+
+
+def batch_of(df: DataFrame, number: int, run: str | None = None) -> Batch:
+    """The batch in hand; in a stream its log names the run, so a replay has the same name."""
+    query = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return Batch(run or query or "direct", number)
+
+
+def others(batch: Batch) -> Column:
+    """Rows of other batches: of other runs, and of this run's earlier batches."""
+    return (F.col("run") != batch.run) | (F.col("batch") < batch.number)
+
 
+def _bucket(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(BUCKETS)).cast("int")
 
-def write_events(fresh: DataFrame, root: str, batch: int, created_at=None) -> None:
-    """Append new events, laid out by chain and block date.
 
-    The rebalance hint sizes the files per date and splits a date that is too big.
+def read_table(spark: SparkSession, root: str, table: str, shape: str) -> DataFrame:
+    """All batches of a table, or no rows where nothing has been written yet."""
+    try:
+        return spark.read.schema(shape).parquet(f"{root}/{table}")
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], shape)
+
+
+def write_rows(rows: DataFrame, root: str, table: str, batch: Batch) -> DataFrame:
+    """Write a batch of a table and read it back."""
+    path = f"{root}/{table}/{batch.name}"
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+# ---- events and their ids ------------------------------------------------------------
+
+def write_events(fresh: DataFrame, root: str, batch: Batch, created_at: Column | None = None) -> DataFrame:
+    """Append new events, laid out by chain and block date, and their ids, by chain and bucket.
+
+    The rebalance hint sizes the files per date and splits a date that is too big. Gives
+    the events as stored.
     """
-    stamped = fresh.withColumn(
-        "created_at", F.current_timestamp() if created_at is None else created_at)
+    stamped = fresh.withColumn("created_at", F.current_timestamp() if created_at is None else created_at)
+    path = f"{root}/events/{batch.name}"
     (stamped.withColumn("block_date", F.to_date("block_time"))
      .hint("rebalance", "chain", "block_date")
-     .write.mode("overwrite").partitionBy("chain", "block_date").parquet(f"{root}/events/batch={batch}"))
+     .write.mode("overwrite").partitionBy("chain", "block_date").parquet(path))
+    stored = fresh.sparkSession.read.schema(EVENT_ROW).parquet(path)
+    (stored.select("event_id", "chain", F.to_date("block_time").alias("block_date"), _bucket("event_id").alias("bucket"))
+     .hint("rebalance", "chain", "bucket")
+     .write.mode("overwrite").partitionBy("chain", "bucket").parquet(f"{root}/event_ids/{batch.name}"))
+    return stored
 
 
 def read_events(spark: SparkSession, root: str) -> DataFrame:
-    return (spark.read.schema(f"{EVENT_ROW}, batch int, block_date date")
-            .parquet(f"{root}/events"))
+    return read_table(spark, root, "events", f"{EVENT_ROW}, block_date date, {_BATCH}")
+
 
+def stored_ids(arrivals: DataFrame, root: str, batch: Batch) -> DataFrame:
+    """Ids stored by other batches, from the folders that can hold an id of the arrivals.
+
+    The folders' names are collected: at most BUCKETS for each chain.
+    """
+    spark = arrivals.sparkSession
+    ids = read_table(spark, root, "event_ids", f"event_id string, block_date date, chain string, bucket int, {_BATCH}")
+    places = arrivals.select("chain", _bucket("event_id").alias("bucket")).distinct().collect()
+    chains, buckets = {p["chain"] for p in places}, {p["bucket"] for p in places}
+    return ids.where(others(batch) & F.col("chain").isin(*chains) & F.col("bucket").isin(*buckets)).select("event_id")
 
-def write_rows(rows: DataFrame, root: str, table: str, batch: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{root}/{table}/batch={batch}")
 
+def ids_near(arrivals: DataFrame, root: str, batch: Batch, horizon: str) -> DataFrame:
+    """Ids stored by other batches for dates within ``horizon`` of the arrivals' block dates."""
+    span = arrivals.agg(F.to_date(F.min("block_time") - F.expr(f"INTERVAL {horizon}")),
+                        F.to_date(F.max("block_time") + F.expr(f"INTERVAL {horizon}"))).first()
+    stored = read_events(arrivals.sparkSession, root)
+    return stored.where(others(batch) & F.col("block_date").between(*span)).select("event_id")
+
+
+# ---- checkpoints -----------------------------------------------------------------------
+
+def write_checkpoints(changed: DataFrame, root: str, batch: Batch) -> None:
+    """The checkpoints that a batch has moved; those of other wallets are not written again."""
+    (changed.select("chain", "address", "provider", "last_lt", "last_hash", "updated_at",
+                    _bucket(*WALLET).alias("bucket"))
+     .hint("rebalance", "bucket")
+     .write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/checkpoints/{batch.name}"))
+
+
+def _latest(moves: DataFrame) -> DataFrame:
+    """A wallet's checkpoint only ever rises, so its largest move is its state."""
+    top = F.max(F.struct("last_lt", "last_hash", "updated_at")).alias("top")
+    return moves.groupBy(*WALLET).agg(top).select(*WALLET, "top.last_lt", "top.last_hash", "top.updated_at")
+
+
+def read_checkpoints(spark: SparkSession, root: str) -> DataFrame:
+    return _latest(read_table(spark, root, "checkpoints", f"{schemas.CHECKPOINTS}, bucket int, {_BATCH}"))
+
+
+def checkpoints_before(arrivals: DataFrame, root: str, batch: Batch) -> DataFrame:
+    """Checkpoints of the arrivals' wallets as other batches have left them.
+
+    Only the buckets of those wallets are read, and only those wallets are folded.
+    """
+    spark = arrivals.sparkSession
+    moves = read_table(spark, root, "checkpoints", f"{schemas.CHECKPOINTS}, bucket int, {_BATCH}")
+    wallets = arrivals.select(*WALLET).distinct()
+    buckets = [r["bucket"] for r in wallets.select(_bucket(*WALLET).alias("bucket")).distinct().collect()]
+    near = moves.where(others(batch) & F.col("bucket").isin(*buckets))
+    return _latest(near.join(wallets, WALLET, "left_semi"))
+
+
+def compact(spark: SparkSession, root: str, fresh_root: str) -> None:
+    """Events, ids and checkpoints in one batch each below ``fresh_root``, where a stream may go on."""
+    whole = Batch("compacted", 0)
+    columns = [c.split()[0] for c in EVENT_ROW.split(", ")]
+    write_events(read_events(spark, root).select(*columns), fresh_root, whole, F.col("created_at"))
+    write_checkpoints(read_checkpoints(spark, root), fresh_root, whole)
+
+
+# ---- versions and lines -------------------------------------------------------------------
 
 def write_state(state: DataFrame, root: str, table: str, version: int) -> None:
     """A whole new version of a state table; earlier ones stay until they are cleaned up."""
@@ -51,3 +168,11 @@ def read_state(spark: SparkSession, root: str, table: str, version: int) -> Data
 def write_lines(rows: DataFrame, path: str, mode: str = "append") -> None:
     """The ``line`` column as text files (alert lines, audit JSON lines)."""
     rows.select("line").write.mode(mode).text(path)
+
+
+def line_sink(path: str, lines: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, str], None]:
+    """An alert sink of text lines; a replayed batch overwrites its own folder."""
+    def sink(alerts: DataFrame, batch: str) -> None:
+        write_lines(lines(alerts), f"{path}/{batch}", "overwrite")
+
+    return sink

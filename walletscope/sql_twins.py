@@ -684,6 +684,11 @@ TWINS["dedupe_stream"] = TWINS["first_arrival"]
 TWINS["dedupe_stream_bounded"] = _twin(
     "select event_id, chain, address, provider, lt, tx_hash from first_arrivals", "first_arrivals")
 TWINS["checkpoint_stream"] = TWINS["snk_state_tables"]
+TWINS["checkpoint_stream_conflicts"] = TWINS["checkpoint_conflicts"]
+TWINS["snk_monitored"] = TWINS["upsert_monitored"]
+TWINS["failed_events"] = _twin(
+    """select event_id, chain, address, provider, 'evaluation_error' as status from chain_events
+       where lt % 3 = 0""", "chain_events")
 # Counter samples: the first minute of the series has no predecessor and adds nothing.
 TWINS["ingest_rate_counter_5m"] = _twin(
     _rate("""(select 'chain=' || series as series, minute, cast(case when minute = min(minute) over (partition by series)

@@ -1,118 +1,111 @@
-"""Streaming queries: exact handling in foreachBatch, bounded dedupe, running checkpoints."""
+"""Streaming queries: exact or date-bounded dedupe, running checkpoints, the whole handler.
+
+All work per batch in foreachBatch against the tables of earlier batches, whichever run
+wrote them. A batch reads the parts of those tables that can concern it and writes what
+it changes.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from walletscope import params
 from walletscope.operators.alerts import alert_rows, decision_rows
-from walletscope.operators.checkpoints import checkpoint_conflicts, checkpoint_fold, final_checkpoints
+from walletscope.operators.checkpoints import checkpoint_conflicts, checkpoint_fold, moved_checkpoints
 from walletscope.operators.handle import event_results, judge
-from walletscope.operators.ingest import first_arrival, new_events
-from walletscope.schemas import WALLET
+from walletscope.operators.ingest import new_events, unidentified
 from walletscope.sinks.tables import (
-    EVENT_ROW, read_events, read_state, write_events, write_rows, write_state,
+    Batch, batch_of, checkpoints_before, ids_near, stored_ids, write_checkpoints, write_events, write_rows,
 )
-from walletscope.sources.registry import AlertSink
+from walletscope.sources.plugins import AlertRule, AlertSink
 
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+Each = Callable[[DataFrame, int], None]
+WHALES: Mapping[str, AlertRule] = {"whale": alert_rows}
 
 
-def store_new(root: str, created_at=None) -> Callable[[DataFrame, int], None]:
-    """Exact, unbounded idempotence: first arrivals that no earlier batch has stored."""
-    def run(batch: DataFrame, number: int) -> None:
-        if number == 0:
-            fresh = first_arrival(batch)
-        else:
-            earlier = read_events(batch.sparkSession, root).where(F.col("batch") < number)
-            fresh = new_events(batch, earlier)
-        write_events(fresh, root, number, created_at)
+def _store(arrivals: DataFrame, root: str, batch: Batch, known: DataFrame, created_at: Column | None) -> DataFrame:
+    """First arrivals with an id that is not known; arrivals without an id go to a table of their own."""
+    write_rows(unidentified(arrivals), root, "unidentified", batch)
+    return write_events(new_events(arrivals, known), root, batch, created_at)
 
-    return run
 
+def store_new(root: str, created_at: Column | None = None, run: str | None = None) -> Each:
+    """Exact idempotence: first arrivals that no other batch has stored."""
+    def each(arrivals: DataFrame, number: int) -> None:
+        batch = batch_of(arrivals, number, run)
+        _store(arrivals, root, batch, stored_ids(arrivals, root, batch), created_at)
 
-def handle(root: str, created_at=None, decided_at=None, threshold=params.ALERT_THRESHOLD,
-           sinks: Sequence[AlertSink] = ()) -> Callable[[DataFrame, int], None]:
-    """The whole consumer as a foreachBatch function over the tables below ``root``.
+    return each
 
-    Each of ``sinks`` is called with the alerts of the batch.
 
-    The new events are written first and read back: later steps start from that
-    table, so a lost executor never repeats the dedupe.
-    """
-    store = store_new(root, created_at)
+def store_within(root: str, horizon: str = "1 day", created_at: Column | None = None, run: str | None = None) -> Each:
+    """Dedupe against stored events of nearby dates only.
 
-    def run(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-
-        def written(rows: DataFrame, table: str) -> DataFrame:
-            write_rows(rows, root, table, number)
-            return spark.read.schema(rows.schema).parquet(f"{root}/{table}/batch={number}")
-
-        store(batch, number)
-        fresh = spark.read.schema(EVENT_ROW).parquet(f"{root}/events/batch={number}")
-        before = read_state(spark, root, "checkpoints", number - 1) if number else None
-        write_state(final_checkpoints(fresh, before), root, "checkpoints", number)
-        outcomes = written(checkpoint_fold(fresh, before), "outcomes")
-        conflicts = written(checkpoint_conflicts(outcomes), "conflicts")
-        judged = written(judge(fresh, conflicts, threshold), "judged")
-        at = F.current_timestamp() if decided_at is None else decided_at
-        written(decision_rows(judged, at), "decisions")
-        written(event_results(outcomes, judged), "results")
-        for sink in sinks:
-            sink(alert_rows(judged))
-
-    return run
+    A copy whose block time lies further than ``horizon`` from the batch's block times may
+    pass. A new event is stored however late it comes.
+    """
+    def each(arrivals: DataFrame, number: int) -> None:
+        batch = batch_of(arrivals, number, run)
+        _store(arrivals, root, batch, ids_near(arrivals, root, batch, horizon), created_at)
 
+    return each
 
-def run_available(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    """Process everything that is there, batch by batch, and stop."""
-    (stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-     .trigger(availableNow=True).start().awaitTermination())
 
+def track(root: str, created_at: Column | None = None, run: str | None = None) -> Callable[[DataFrame, int], DataFrame]:
+    """Store new events, move the checkpoints of their wallets and keep outcomes and conflicts.
 
-def append_available(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> None:
-    """Append a stream's rows to files; the file sink's log makes each batch count once."""
-    (stream.writeStream.format(fmt).outputMode("append").option("path", path)
-     .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
+    The new events are written first and read back: later steps start from that
+    table, so a lost executor never repeats the dedupe.
+    """
+    def each(arrivals: DataFrame, number: int) -> DataFrame:
+        batch = batch_of(arrivals, number, run)
+        fresh = _store(arrivals, root, batch, stored_ids(arrivals, root, batch), created_at)
+        outcomes = write_rows(checkpoint_fold(fresh, checkpoints_before(fresh, root, batch)), root, "outcomes", batch)
+        write_checkpoints(moved_checkpoints(outcomes), root, batch)
+        write_rows(checkpoint_conflicts(outcomes), root, "conflicts", batch)
+        return fresh
 
+    return each
 
-def use_rocksdb(df: DataFrame) -> None:
-    """Keep streaming state in RocksDB on disk instead of on the executor heap (session wide)."""
-    df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
 
+def handle(root: str, created_at: Column | None = None, decided_at: Column | None = None,
+           threshold=params.ALERT_THRESHOLD, rules: Mapping[str, AlertRule] = WHALES, sinks: Sequence[AlertSink] = (),
+           run: str | None = None) -> Each:
+    """The whole consumer as a foreachBatch function over the tables below ``root``.
 
-def dedupe_within(stream: DataFrame, ts: str = "block_time", horizon: str = "1 day") -> DataFrame:
-    """Dedupe with bounded state: copies further apart in event time than ``horizon`` may pass."""
-    use_rocksdb(stream)
-    return stream.withWatermark(ts, horizon).dropDuplicatesWithinWatermark(["event_id"])
+    Each of ``rules`` makes alerts of the judged events; each of ``sinks`` is called with the
+    alerts of the batch and the batch's name, once per rule.
+    """
+    follow = track(root, created_at, run)
 
+    def each(arrivals: DataFrame, number: int) -> None:
+        spark, batch = arrivals.sparkSession, batch_of(arrivals, number, run)
+        fresh = follow(arrivals, number)
+        outcomes, conflicts = (spark.read.parquet(f"{root}/{t}/{batch.name}") for t in ("outcomes", "conflicts"))
+        judged = write_rows(judge(fresh, conflicts, threshold), root, "judged", batch)
+        at = F.current_timestamp() if decided_at is None else decided_at
+        write_rows(decision_rows(judged, at), root, "decisions", batch)
+        write_rows(judged.where(F.col("status") == params.EVALUATION_ERROR).drop("hits"), root, "failed_events", batch)
+        write_rows(event_results(outcomes, judged), root, "results", batch)
+        for name, rule in rules.items():
+            for sink in sinks:
+                sink(rule(judged), f"rule={name}/{batch.name}")
 
-def running_checkpoints(stream: DataFrame) -> DataFrame:
-    """Checkpoint per wallet as a streaming maximum, aggregated before the shuffle."""
-    top = F.max(F.struct("lt", (-F.col("arrival_seq")).alias("seq"), "tx_hash", "arrived_at")).alias("top")
-    return stream.groupBy(*WALLET).agg(top)
+    return each
 
 
-def checkpoint_versions(root: str) -> Callable[[DataFrame, int], None]:
-    """Fold the changed wallets of each update into the next checkpoint version."""
-    def run(changed: DataFrame, number: int) -> None:
-        rows = changed.select(*WALLET, F.col("top.lt").alias("last_lt"),
-                              F.col("top.tx_hash").alias("last_hash"),
-                              F.col("top.arrived_at").alias("updated_at"))
-        if number:
-            before = read_state(changed.sparkSession, root, "checkpoints", number - 1)
-            rows = rows.unionByName(before.join(rows, WALLET, "left_anti"))
-        write_state(rows, root, "checkpoints", number)
+def run_available(stream: DataFrame, each: Callable[[DataFrame, int], object], checkpoint: str) -> None:
+    """Process everything that is there, batch by batch, and stop."""
+    def run(batch: DataFrame, number: int) -> None:
+        each(batch, number)
 
-    return run
+    (stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
 
 
-def run_checkpoints(stream: DataFrame, root: str, checkpoint: str) -> None:
-    """Running checkpoints in update mode."""
-    use_rocksdb(stream)
-    (running_checkpoints(stream).writeStream.outputMode("update")
-     .foreachBatch(checkpoint_versions(root)).option("checkpointLocation", checkpoint)
-     .trigger(availableNow=True).start().awaitTermination())
+def append_available(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> None:
+    """Append a stream's rows to files; the file sink's log makes each batch count once."""
+    (stream.writeStream.format(fmt).outputMode("append").option("path", path)
+     .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
