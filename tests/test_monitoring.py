@@ -1,6 +1,6 @@
 import random
 from collections import defaultdict
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -174,6 +174,10 @@ def test_rate_against_brute_force(spark):
             if end - 300 <= t < end:
                 expected[(k, end)] += 1
                 expected[("*", end)] += 1
+    for series in "xy*":  # windows of the time between without rows count 0
+        ends = [e for s, e in expected if s == series]
+        for end in range(min(ends), max(ends), 60):
+            expected[(series, end)] += 0
     assert got == {k: (n, n / 300.0) for k, n in expected.items()}
 
 
@@ -203,3 +207,28 @@ def test_missing_discovery_counts_from_epoch(spark):
 def test_series_key_is_sorted(spark):
     df = spark.createDataFrame([({"b": "2", "a": "1"},), ({},)], "labels map<string,string>")
     assert [r[0] for r in df.select(gauges.series_key(F.col("labels"))).collect()] == ["a=1,b=2", ""]
+
+
+def test_empty_windows_have_a_row(spark):
+    df = spark.createDataFrame([("x", at(0)), ("x", at(3600))], "kind string, ts timestamp")
+    got = {int((r.window_end - START).total_seconds()): r.increase
+           for r in rates.rate(df, F.col("ts"), "kind").where("series = 'x'").collect()}
+    assert got == {end: int(end <= 300 or end > 3600) for end in range(60, 3900 + 60, 60)}
+
+
+def test_last_values_stand_in_the_max_series(spark):
+    from walletscope.operators.gauges import gauge_max_series
+
+    df = samples(spark, [("a", 30, 100), ("b", 90, 1), ("a", 150, 3), ("b", 155, 2)]).withColumn("metric", F.lit("lag"))
+    got = {int((r.minute - START).total_seconds()) // 60: r.value for r in gauge_max_series(df, "lag").collect()}
+    assert got == {0: 100.0, 1: 100.0, 2: 3.0, 3: 3.0, 4: 3.0, 5: 3.0, 6: 3.0}
+
+
+def test_breaker_and_discovery_gauges(spark):
+    from walletscope.operators.metrics import breaker_state, discovery_last_success
+
+    changes = samples(spark, [("", 0, 2), ("", 60, 1)])
+    assert breaker_state(changes).first().state == 1.0 and breaker_state(changes.limit(0)).first().state == 0.0
+    held = spark.createDataFrame([(START,)], "updated_at timestamp")
+    assert discovery_last_success(held).first().last_success == int(START.replace(tzinfo=timezone.utc).timestamp())
+    assert discovery_last_success(held.limit(0)).count() == 0

@@ -186,7 +186,9 @@ def _(s: Sample) -> DataFrame:
         alerts=metrics.alerts_fired_total(alerts.whale_alerts(s.chain_events())),
         lag=lag.event_lag(marks, as_of()), stale=lag.stale_wallets_by_chain(marks, as_of()),
         dead=retries.dlq_depth(retries.dead_letters(s.attempts())),
-        wallets=monitored.active_wallet_count(held))
+        wallets=monitored.active_wallet_count(held),
+        breaker=metrics.breaker_state(s.samples().where(F.col("metric") == "circuit_breaker_state")),
+        discovery=metrics.discovery_last_success(held))
     root = shared_dir(s.spark, "metrics")
     table_sink.write_rows(rows, root, "samples", table_sink.Batch("cycle", 0))
     return (s.spark.read.schema(METRIC_SAMPLES).parquet(f"{root}/samples")

@@ -27,11 +27,19 @@ def gauge_sums(samples: DataFrame) -> DataFrame:
     return last_values(samples).groupBy("metric").agg(F.sum("value").alias("value"))
 
 
-def gauge_max_series(samples: DataFrame, metric: str) -> DataFrame:
-    """Maximum over all series of one metric, per minute."""
-    return (samples.where(F.col("metric") == metric)
-            .groupBy(F.date_trunc("minute", "ts").alias("minute"))
-            .agg(F.max("value").alias("value")))
+def gauge_max_series(samples: DataFrame, metric: str, lookback_minutes: int = 5) -> DataFrame:
+    """Maximum over the last values of all series of one metric, per minute.
+
+    A series keeps its last value for ``lookback_minutes`` after the minute of its sample.
+    """
+    step = F.expr("interval 1 minute")
+    last = (samples.where(F.col("metric") == metric)
+            .groupBy("series", F.date_trunc("minute", "ts").alias("at"))
+            .agg(F.max_by("value", F.struct("ts", "sample_id")).alias("value")))
+    until = F.sequence(F.col("at"), F.col("at") + step * (lookback_minutes - 1), step)
+    held = (last.select("series", F.explode(until).alias("minute"), "at", "value")
+            .groupBy("series", "minute").agg(F.max_by("value", "at").alias("value")))
+    return held.groupBy("minute").agg(F.max("value").alias("value"))
 
 
 def discovery_age(samples: DataFrame, as_of: Column,

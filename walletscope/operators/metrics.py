@@ -19,8 +19,19 @@ def sample_rows(df: DataFrame, metric: str, labels: dict[str, str], value: str,
                      ts.alias("ts"), F.col(value).cast("double").alias("value"))
 
 
-def metric_snapshot(ts: Column, *, ingested: DataFrame, alerts: DataFrame, lag: DataFrame,
-                    stale: DataFrame, dead: DataFrame, wallets: DataFrame) -> DataFrame:
+def breaker_state(changes: DataFrame) -> DataFrame:
+    """The last recorded state (0 closed, 1 half open, 2 open); closed before any change."""
+    return changes.agg(F.coalesce(F.max_by("value", F.struct("ts", "sample_id")), F.lit(0.0)).alias("state"))
+
+
+def discovery_last_success(monitored: DataFrame) -> DataFrame:
+    """Unix time at which a discovery cycle last wrote to the monitored set; no row before the first."""
+    last = F.floor(F.unix_micros(F.max("updated_at")) / 1_000_000)
+    return monitored.agg(last.alias("last_success")).where("last_success IS NOT NULL")
+
+
+def metric_snapshot(ts: Column, *, ingested: DataFrame, alerts: DataFrame, lag: DataFrame, stale: DataFrame,
+                    dead: DataFrame, wallets: DataFrame, breaker: DataFrame, discovery: DataFrame) -> DataFrame:
     """All metrics of a cycle in one sample table."""
     parts = [
         sample_rows(ingested, "events_ingested_total", {"chain": "chain"}, "events", ts),
@@ -31,5 +42,7 @@ def metric_snapshot(ts: Column, *, ingested: DataFrame, alerts: DataFrame, lag:
         sample_rows(stale, "event_lag_stale_wallets", {"chain": "chain"}, "stale_wallets", ts),
         sample_rows(dead, "dlq_messages", {"queue": "queue"}, "dead_messages", ts),
         sample_rows(wallets, "monitored_addresses", {}, "active_wallets", ts),
+        sample_rows(breaker, "circuit_breaker_state", {}, "state", ts),
+        sample_rows(discovery, "discovery_last_success_timestamp_seconds", {}, "last_success", ts),
     ]
     return reduce(DataFrame.unionByName, parts)

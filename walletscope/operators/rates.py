@@ -10,18 +10,24 @@ ALL = "*"
 
 
 def _slide(minutes: DataFrame, key: str, span: int) -> DataFrame:
-    """Minute totals to the windows [end - span, end) that contain them, for each key and for all."""
+    """Minute totals to the windows [end - span, end) that contain them, for each key and for all.
+
+    Between a series' first and last minute every window has a row, with 0 where it is empty.
+    """
     step = F.expr("interval 1 minute")
+    counted = (minutes.select(F.explode(F.array(F.col(key), F.lit(ALL))).alias("series"), "minute", "n")
+               .groupBy("series", "minute").agg(F.sum("n").alias("n")))
+    empty = counted.groupBy("series").agg(F.min("minute").alias("_a"), F.max("minute").alias("_b")).select(
+        "series", F.explode(F.sequence("_a", "_b", step)).alias("minute"),
+        F.lit(0).cast(counted.schema["n"].dataType).alias("n"))
     ends = F.sequence(F.col("minute") + step, F.col("minute") + step * span, step)
-    series = F.explode(F.array(F.col(key), F.lit(ALL)))
-    return (minutes.select(series.alias("series"), "minute", "n")
-            .select("series", F.explode(ends).alias("window_end"), "n")
+    return (counted.unionByName(empty).select("series", F.explode(ends).alias("window_end"), "n")
             .groupBy("series", "window_end").agg(F.sum("n").alias("increase"))
             .withColumn("rate", F.col("increase") / F.lit(60.0 * span)))
 
 
 def rate(rows: DataFrame, ts: Column, key: str, span_minutes: int = 5) -> DataFrame:
-    """Rows per second by ``key`` and in total, at every full minute with rows in its window.
+    """Rows per second by ``key`` and in total, at every full minute from the first row to the last.
 
     Rows are counted per minute before they are assigned to windows, so the
     shuffle carries minutes, not rows times windows.

@@ -286,11 +286,16 @@ _VIEWS["islands"] = (("firing",), """
 
 def _rate(minutes: str) -> str:
     return f"""
-        select k.series, m.minute + to_minutes(cast(o.offset_no as int)) as window_end, {{total}} as increase,
+        select m.series, m.minute + to_minutes(cast(o.offset_no as int)) as window_end, {{total}} as increase,
                sum(m.n) / 300.0::double as rate
-        from {minutes} m cross join (select unnest([1, 2, 3, 4, 5]) as offset_no) o
-        cross join lateral (select unnest([m.series, '*']) as series) k
-        group by k.series, window_end"""
+        from (with counted as (select k.series, c.minute, c.n from {minutes} c
+                  cross join lateral (select unnest([c.series, '*']) as series) k)
+              select * from counted
+              union all
+              select series, unnest(generate_series(min(minute), max(minute), interval 1 minute)), 0
+              from counted group by series) m
+        cross join (select unnest([1, 2, 3, 4, 5]) as offset_no) o
+        group by m.series, window_end"""
 
 
 def _twin(body: str, *needed: str) -> str:
@@ -366,8 +371,12 @@ TWINS: dict[str, str] = {
             union all select 'dlq_messages', 'queue=' || queue, count(*) filter (where disposition = 'dead')
             from letters group by queue
             union all select 'monitored_addresses', '', count(distinct address) from monitored where is_active
-            and {_HERE})""",
-        "cycle", "alerts", "lags", "letters"),
+            and {_HERE}
+            union all select 'circuit_breaker_state', '', arg_max(value, {{'ts': ts, 'id': sample_id}}) from samples
+            where metric = 'circuit_breaker_state'
+            union all select 'discovery_last_success_timestamp_seconds', '', floor(epoch_us(max(updated_at)) / 1000000)
+            from monitored)""",
+        "cycle", "alerts", "lags", "letters", "samples", "monitored"),
     "snk_event_messages": _twin(
         f"""select {_id('tx_hash')} as event_id, n.chain, n.provider, n.address, lt,
                    make_timestamp(utime * 1000000) as occurred_at, body as raw_json,
@@ -638,8 +647,12 @@ TWINS: dict[str, str] = {
                   from alerts group by all)""").format(total="cast(sum(m.n) as bigint)"), "alerts"),
     "max_lag": _twin("select max(lag_seconds) as max_lag_seconds from lags", "lags"),
     "max_lag_series": _twin(
-        """select date_trunc('minute', ts) as minute, max(value) as value from samples
-           where metric = 'event_lag_seconds' group by 1""", "samples"),
+        """select minute, max(value) as value from (
+               select series, seen + to_minutes(cast(o as int)) as minute, arg_max(value, seen) as value
+               from (select series, date_trunc('minute', ts) as seen, arg_max(value, {'ts': ts, 'id': sample_id}) as value
+                     from samples where metric = 'event_lag_seconds' group by all)
+               cross join (select unnest([0, 1, 2, 3, 4]) as o) group by 1, 2)
+           group by minute""", "samples"),
     "gauge_sums": _twin(_SUMS, "last_samples"),
     "discovery_age": _twin(
         f"""select value as last_success, epoch_us({_AS_OF}) / 1e6 - value as age_seconds from last_samples
