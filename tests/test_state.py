@@ -3,7 +3,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from walletscope.operators import checkpoints, ingest, monitored
 from walletscope.plans.hot import HotRule
@@ -107,16 +107,24 @@ def test_running_aggregates_equal_plain_windows(spark, rule, inclusive):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("rule", [HotRule(), ALL_HOT])
+@pytest.mark.parametrize("rule", [HotRule(), ALL_HOT, HotRule(rows=40)])
 def test_spread_join_equals_plain_join(spark, how, rule):
     rows = [("h" if i % 3 else f"k{i % 20}", i) for i in range(500)] + [(None, i) for i in range(40)]
     big = spark.createDataFrame(rows, "k string, lt bigint")
     state = spark.createDataFrame([("h", 1), ("k3", 2), ("k6", 3), ("gone", 4)], "k string, s bigint")
-    got = spread_join(big, state, ["k"], how, "lt", rule, salts=8)
+    got = spread_join(big, state, ["k"], how, "lt", rule)
     plain = big.join(state, "k", how)
     assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))
 
 
+def test_null_keys_are_cut_like_others(spark):
+    df = spark.createDataFrame([(None, i, i % 7) for i in range(200)] + [("k", i, i % 5) for i in range(9)],
+                               "k string, o bigint, v bigint")
+    w = Window.partitionBy("k").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)
+    got = running_max(df, ["k"], ["o"], F.expr("o div 16"), F.col("v"), "m", rule=HotRule(rows=20))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, df.withColumn("m", F.max("v").over(w)).collect()))
+
+
 def test_hot_rule_finds_only_large_shares(spark):
     from walletscope.plans.hot import hot_keys
 

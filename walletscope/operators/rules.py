@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from walletscope import params
-from walletscope.plans.hot import DEFAULT, HotRule
+from walletscope.plans.hot import DEFAULT, HotRule, hot_keys, null_safe_join
 from walletscope.plans.running import running_max
 from walletscope.plans.settle import settle
 
@@ -25,7 +25,8 @@ def hold_for(samples: DataFrame, condition: Column, hold_seconds: int | str,
     """Stretches of consecutive samples of a key that meet ``condition`` for the hold time.
 
     Samples between the same two failing ones form a stretch, so the last failing
-    sample before a row names its stretch; a stitched running maximum finds it.
+    sample before a row names its stretch; a stitched running maximum finds it. A hot key
+    is cut by ``slice_unit``, which must hold few enough of its samples for one task.
     ``hold_seconds`` is a number or the name of a key column.
     """
     judged = samples.withColumn("_met", F.coalesce(condition, F.lit(False)))
@@ -113,18 +114,45 @@ def rule_lag_high(advances: DataFrame, as_of: Column) -> DataFrame:
                     series.alias("series"), "starts_at", "ends_at"))
 
 
+def _local_islands(firing: DataFrame, keys: Sequence[str], rule: HotRule) -> DataFrame:
+    """Intervals merged with those of the same key, hour of start and bucket.
+
+    Merging is associative, so parts may be merged first. An hour of a key is cut into a
+    bucket per ``rule.rows`` of its intervals, so one that many series share fills no task.
+    """
+    hour = F.date_trunc("hour", "starts_at")
+    part = [*keys, "_hour"]
+    rows = firing.select(*keys, "starts_at", "ends_at", hour.alias("_hour"))
+    full = hot_keys(rows, part, rule, nulls=True)
+    bucket = F.coalesce(F.pmod(F.xxhash64("starts_at", "ends_at"), F.ceil(F.col("_rows") / max(rule.rows, 1)).cast("bigint")), F.lit(0))
+    cut = null_safe_join(rows, full, part, "left").withColumn("_bucket", bucket)
+    order = Window.partitionBy(*part, "_bucket").orderBy("starts_at", "ends_at")
+    until = F.max("ends_at").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(until.isNull() | (F.col("starts_at") > until), 1).otherwise(0)
+    numbered = (cut.repartition(*part, "_bucket").withColumn("_opens", opens)
+                .withColumn("_island", F.sum("_opens").over(order)))
+    return (numbered.groupBy(*part, "_bucket", "_island")
+            .agg(F.min("starts_at").alias("starts_at"), F.max("ends_at").alias("ends_at"))
+            .select(*keys, "starts_at", "ends_at"))
+
+
 def merge_intervals(firing: DataFrame, keys: list[str], slice_unit: str = "hour",
                     rule: HotRule = DEFAULT) -> DataFrame:
-    """Union of overlapping or touching intervals per key; ``firing`` is read twice."""
-    slices = F.date_trunc(slice_unit, F.col("starts_at"))
-    covered = running_max(firing.select(*keys, "starts_at", "ends_at"), keys,
-                          ["starts_at", "ends_at"], slices, F.col("ends_at"), "_until", rule=rule)
-    opened = covered.withColumn(
-        "_opens", F.col("_until").isNull() | (F.col("starts_at") > F.col("_until"))).drop("_until")
-    island = running_max(settle(opened, "opened"), keys, ["starts_at", F.desc("_opens")], slices,
-                         F.when(F.col("_opens"), F.col("starts_at")), "_island", inclusive=True, rule=rule)
-    return (island.groupBy(*keys, "_island").agg(F.max("ends_at").alias("ends_at"))
-            .withColumnRenamed("_island", "starts_at"))
+    """Union of overlapping or touching intervals per key.
+
+    Parts of a key are merged first and written; then the islands of the parts. An interval
+    opens an island where it starts after all earlier ones have ended, and where they ended
+    is the end of the island before. The last window sees the islands of a key only: they
+    are disjoint in time, so their number is bounded by the time covered.
+    """
+    parts = settle(_local_islands(firing, keys, rule), "islands")
+    covered = running_max(parts, keys, ["starts_at", "ends_at"], F.date_trunc(slice_unit, F.col("starts_at")),
+                          F.col("ends_at"), "_until", rule=rule)
+    opening = covered.where(F.col("_until").isNull() | (F.col("starts_at") > F.col("_until")))
+    last = parts.groupBy(*keys).agg(F.max("ends_at").alias("_last"))
+    following = F.lead("_until").over(Window.partitionBy(*keys).orderBy("starts_at"))
+    return (null_safe_join(opening.withColumn("_next", following), last, keys, "left")
+            .select(*keys, "starts_at", F.coalesce("_next", "_last").alias("ends_at")))
 
 
 def notification_schedule(firing: DataFrame, wait_seconds: int = params.GROUP_WAIT_SECONDS,

@@ -17,27 +17,27 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from walletscope.plans.hot import DEFAULT, HotRule, hot_keys
+from walletscope.plans.hot import DEFAULT, HotRule, hot_keys, null_safe_join
 
 
 def _running(df: DataFrame, keys: Sequence[str], order: Sequence, slice_by: Column, value: Column,
              name: str, inclusive: bool, rule: HotRule, agg: Callable, merge: Callable) -> DataFrame:
-    hot = hot_keys(df, keys, rule)
+    hot = hot_keys(df, keys, rule, nulls=True).drop("_rows")
     group = [*keys, "_slice"]
     before = (Window.partitionBy(*keys).orderBy("_slice")
               .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (df.join(hot, list(keys)).withColumn("_slice", slice_by)
+    carry = (null_safe_join(df, hot, keys, "inner").withColumn("_slice", slice_by)
              .groupBy(*group).agg(agg(value).alias("_total"))
              .select(*group, agg("_total").over(before).alias("_carry"))
              .where(F.col("_carry").isNotNull()))
     frame = (Window.partitionBy(*group).orderBy(*order)
              .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
-    cut = (df.join(hot, list(keys), "left")
+    cut = (null_safe_join(df, hot, keys, "left")
            .withColumn("_slice", F.when(F.col("_hot"), slice_by)).drop("_hot"))
     # The explicit repartition matters: an input already hashed on the keys alone
     # would satisfy the window and bring the hot key back into one task.
     inner = cut.repartition(*group).withColumn("_inner", agg(value).over(frame))
-    return (inner.join(carry, group, "left")
+    return (null_safe_join(inner, carry, group, "left")
             .withColumn(name, merge(F.col("_inner"), F.col("_carry")))
             .drop("_slice", "_inner", "_carry"))
 
