@@ -440,9 +440,12 @@ def join(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "doc_id"
 
 
 def keep_one(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the least id of each group, wholly repeated rows once. Rows without an id stay."""
-    grouped = join(docs, how, id_col, text_col).filter("doc_id IS NULL OR doc_id = component_id")
-    kept = settle(grouped.select(F.col("doc_id").alias("_id")).distinct(), "jaccard-kept")
-    rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(id_col).alias("_of"), F.col(text_col).alias("_text"))
-    same = F.col("_of").cast("long").eqNullSafe(F.col("_id"))
-    return rows.join(kept, same, "left_semi").dropDuplicates(["_of", "_text"]).select("_doc.*")
+    """``docs`` with the least id of each group. Rows without an id stay, as do repeated rows of an id that stays.
+
+    Only the ids that go are joined, normally few of all.
+    """
+    grouped = join(docs, how, id_col, text_col).filter("doc_id IS NOT NULL")
+    gone = grouped.groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("stays"))
+    gone = settle(gone.filter("NOT stays").select(F.col("doc_id").alias("_id")), "jaccard-gone")
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(id_col).cast("long").alias("_of"))
+    return rows.join(gone, F.col("_of") == F.col("_id"), "left_anti").select("_doc.*")
