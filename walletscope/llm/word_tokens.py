@@ -1,9 +1,9 @@
 """Ids of a word-level BPE tokenizer, encoding each distinct word once.
 
 A ``tokenizers`` file whose pre-tokenizer splits texts into words gives the same ids for
-a text as for its words one by one. Plain words are met again and again, so each worker
-keeps the ids of the chunks between blanks that it has seen, up to a fixed number, and asks
-the tokenizer for new words only. Texts with characters whose normal form or class depends on more than the
+a text as for its words one by one. Plain words are met again and again, so each distinct
+chunk between blanks is encoded once per stretch of texts, and each worker keeps the ids of
+common chunks and words, up to a fixed number, and asks the tokenizer for the others only. Texts with characters whose normal form or class depends on more than the
 character itself go through the tokenizer whole.
 """
 
@@ -11,8 +11,8 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -24,32 +24,56 @@ from walletscope.llm.worker import kept
 #: Characters for which normalising, lower-casing and splitting agree with the tokenizer's own.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ]*")
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-#: Distinct chunks kept by one worker, characters of text handled at a time, words asked for at a time.
-KEPT_WORDS, STRETCH, ASKED = 600_000, 1 << 21, 4000
+#: Distinct chunks, and words, kept by one worker; characters of text handled at a time; words asked for at a time.
+KEPT, STRETCH, ASKED = 200_000, 1 << 21, 4000
+
+
+class Memory:
+    """Ids of strings, up to a fixed number of them: those that come first, which are the common ones."""
+
+    def __init__(self, most: int) -> None:
+        self.most, self.number, self.ids = most, {}, Gather(np.uint32)
+
+    def find(self, strings: list[str]) -> np.ndarray:
+        """Row of each string in ``ids``, -1 where it is not kept."""
+        return np.fromiter(map(self.number.get, strings, repeat(-1)), np.int64, len(strings))
+
+    def keep(self, strings: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        room = self.most - len(self.number)
+        if room > 0:
+            strings, lengths = strings[:room], lengths[:room]
+            self.number.update(zip(strings, range(self.ids.rows, self.ids.rows + len(strings))))
+            self.ids.extend(ids[:int(lengths.sum())], lengths)
+
+
+def _joined(memory: Memory, row: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> Gather:
+    """All strings' ids in their order: kept ones by their row, the others as given."""
+    both, kept_rows = Gather(np.uint32), row >= 0
+    both.extend(*memory.ids.take(row[kept_rows]))
+    both.extend(ids, lengths)
+    order = np.empty(len(row), np.int64)
+    order[kept_rows] = np.arange(int(kept_rows.sum()))
+    order[~kept_rows] = np.arange(int(kept_rows.sum()), len(row))
+    both.start[:len(row)], both.length[:len(row)] = both.start[order], both.length[order]
+    return both
 
 
 class WordCoder:
-    def __init__(self, path: str, kept_words: int = KEPT_WORDS) -> None:
+    def __init__(self, path: str, kept: int = KEPT) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        self.path, self.whole = path, None  # the tokenizer as it is, loaded when a text needs it
         # words come normalised and split, with blanks between them
         self.words = Tokenizer.from_file(path)
         self.words.encode_special_tokens = True
         self.words.normalizer = None
         self.words.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        vocabulary = self.whole.get_vocab(with_added_tokens=True)
+        vocabulary = self.words.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.kept_words = kept_words
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known, self.ids = Numbered(), Gather(np.uint32)
-        self.word, self.word_ids = Numbered(), Gather(np.uint32)
+        self.chunks, self.parts = Memory(kept), Memory(kept)
 
     def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct words one after the other, and how many each has."""
@@ -59,35 +83,47 @@ class WordCoder:
         ends = np.flatnonzero(self.ends[flat]) + 1  # a word's last token says so
         return flat, np.diff(ends, prepend=0)
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Ids of new chunks, runs of characters without blanks, by way of their words."""
+    def _known(self, memory: Memory, strings: list[str], encode: Callable, worth: np.ndarray | None = None) -> Gather:
+        """Ids of distinct strings in their order, from the memory or by ``encode``; new ones that are ``worth`` it stay."""
+        row = memory.find(strings)
+        missing = np.flatnonzero(row < 0)
+        new = [strings[i] for i in missing]
+        ids, lengths = encode(new)
+        found = _joined(memory, row, ids, lengths)
+        if worth is None:
+            memory.keep(new, ids, lengths)
+        else:
+            mine = np.flatnonzero(worth[missing])
+            memory.keep([new[i] for i in mine], *found.take(missing[mine]))
+        return found
+
+    def _by_words(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks, runs of characters without blanks, by way of their words."""
+        number = Numbered()
         words = [_WORDS.findall(c) for c in map(str.lower, chunks)]
         counts = np.fromiter(map(len, words), np.int64, len(words))
-        at = np.fromiter(map(self.word.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
-        if new := self.word.new:
-            self.word_ids.extend(*self._encoded(new))
-            self.word.new = []
-        ids, lengths = self.word_ids.take(at)
-        ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(counts)]
-        self.ids.extend(ids, np.diff(ends, prepend=0))
+        at = np.fromiter(map(number.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
+        ids, lengths = self._known(self.parts, number.new, self._encoded).take(at)
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(counts)] if len(counts) else counts
+        return ids, np.diff(ends, prepend=0)
 
     def _plain(self, texts: list[str]) -> list[np.ndarray]:
         split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
         chunks = split.flatten().dictionary_encode()
-        cuts = np.cumsum([0, *np.asarray(split.value_lengths()).tolist()])
-        if len(self.known) > self.kept_words:
-            self._forget()
+        at = np.asarray(chunks.indices)
         distinct = chunks.dictionary.to_pylist()
-        number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
-        if new := self.known.new:
-            self._learn(new)
-            self.known.new = []
-        at = number[np.asarray(chunks.indices)] if distinct else number
-        ids, lengths = self.ids.take(at)
+        often = np.bincount(at, minlength=len(distinct)) > 1
+        ids, lengths = self._known(self.chunks, distinct, self._by_words, often).take(at)
+        cuts = np.cumsum([0, *np.asarray(split.value_lengths()).tolist()])
         ends = np.concatenate([[0], np.cumsum(lengths)])[cuts]
         return [ids[a:b] for a, b in zip(ends, ends[1:])]
 
     def _other(self, text: str) -> np.ndarray:
+        if self.whole is None:
+            from tokenizers import Tokenizer
+
+            self.whole = Tokenizer.from_file(self.path)
+            self.whole.encode_special_tokens = True
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
