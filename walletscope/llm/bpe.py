@@ -27,7 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from walletscope.llm.worker import kept
+from walletscope.llm.worker import kept, text_slices
 
 SCHEMA = "doc_id long, ids binary, decoded binary"
 #: Characters of text handled at a time, and distinct words kept by one worker.
@@ -249,28 +249,14 @@ def safe_cut(text: str, at: int) -> int:
     return found.start() if found else len(text)
 
 
-def stretches(texts: list[str], most: int = STRETCH) -> Iterator[slice]:
-    """Runs of texts of about ``most`` characters."""
-    first = size = 0
-    for i, t in enumerate(texts):
-        if i > first and size + len(t) > most:
-            yield slice(first, i)
-            first, size = i, 0
-        size += len(t)
-    if texts:
-        yield slice(first, len(texts))
-
-
 def _encoding(ranks_path: str, pattern: str, decoded: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = kept(("bpe", ranks_path, pattern), lambda: Coder(ranks_path, pattern))
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for part in stretches(texts):
-                some = texts[part]
+            for part, some in text_slices(batch.column(1), STRETCH):
                 found = coder.encode(some) if len(some) > 1 or len(some[0]) <= STRETCH else [coder.encode_long(some[0])]
                 yield pa.record_batch({
-                    "doc_id": batch.column(0)[part.start:part.stop],
+                    "doc_id": batch.column(0)[part],
                     "ids": pa.array([x.astype("<u4").tobytes() for x in found], pa.binary()),
                     "decoded": pa.array([coder.decode(x) if decoded else None for x in found], pa.binary())})
     return run

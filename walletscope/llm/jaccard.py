@@ -305,10 +305,9 @@ def whole_sets(docs: DataFrame, known: DataFrame, wanted: DataFrame, how: Simila
 def _linked(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = zip(batch.column("s").to_pylist(), batch.column("t").to_pylist())
             keep = []
-            for s, t in pairs:
-                a, b = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
+            for s, t in zip(batch.column("s"), batch.column("t")):
+                a, b = np.frombuffer(s.as_buffer(), np.uint64), np.frombuffer(t.as_buffer(), np.uint64)
                 if len(a) > len(b):
                     a, b = b, a
                 at = np.minimum(np.searchsorted(b, a), len(b) - 1)

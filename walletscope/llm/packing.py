@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from walletscope.llm.word_tokens import coder
+from walletscope.llm.worker import slices
 from walletscope.plans.settle import settle
 
 #: Windows after which all deficits return to zero.
@@ -176,9 +177,8 @@ def _tokenize(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], It
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, spent = coder(path), {}
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
             sources = batch.column("source").to_pylist()
-            for part, ids in words.encode_all(texts):
+            for part, ids in words.encode_all(batch.column("text")):
                 starts = []
                 for s, x in zip(sources[part], ids):
                     starts.append(spent.get(s, 0))
@@ -195,18 +195,18 @@ def _tokenize(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], It
 def _placing(phases: list[Phase]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not len(batch):
-                continue
-            n = np.asarray(batch.column("n_tokens"))
-            at, start, length, window, offset = place(
-                phases, np.asarray(batch.column("queue")), np.asarray(batch.column("first")), n)
-            ids = batch.column("ids").to_pylist()
-            cut = [ids[i][4 * a:4 * (a + k)] for i, a, k in zip(at.tolist(), start.tolist(), length.tolist())]
-            rows = pa.array(at)
-            yield pa.record_batch({
-                "doc_id": batch.column("doc_id").take(rows), "start": start, "length": length,
-                "ids": pa.array(cut, pa.binary()), "doc_tokens": n[at], "sequence_id": window, "offset": offset,
-                "source": batch.column("source").take(rows)})
+            for part in slices(np.asarray(batch.column("n_tokens")), 1 << 20):
+                some = batch.slice(part.start, part.stop - part.start)
+                n = np.asarray(some.column("n_tokens"))
+                at, start, length, window, offset = place(
+                    phases, np.asarray(some.column("queue")), np.asarray(some.column("first")), n)
+                ids = some.column("ids").to_pylist()
+                cut = [ids[i][4 * a:4 * (a + k)] for i, a, k in zip(at.tolist(), start.tolist(), length.tolist())]
+                rows = pa.array(at)
+                yield pa.record_batch({
+                    "doc_id": some.column("doc_id").take(rows), "start": start, "length": length,
+                    "ids": pa.array(cut, pa.binary()), "doc_tokens": n[at], "sequence_id": window, "offset": offset,
+                    "source": some.column("source").take(rows)})
     return run
 
 

@@ -28,7 +28,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from walletscope.llm import tagger
 from walletscope.llm.labelled_spans import examples
+from walletscope.llm.worker import text_slices
 
+#: Bytes of text handled at a time.
+STRETCH = 1 << 22
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "doc_id long, base array<struct<kind:string,start:long,end:long>>, added array<struct<kind:string,start:long,end:long>>"
 Span = tuple[int, int, int]  # kind number, start, end (exclusive), in code points
@@ -213,9 +216,8 @@ def _finding(model: dict[str, np.ndarray], how: Windows) -> Callable[[Iterator[p
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first in range(0, len(batch), 1000):
-                part = batch.slice(first, 1000)
-                texts = [t or "" for t in part.column("text").to_pylist()]
+            for at, texts in text_slices(batch.column("text"), STRETCH):
+                part = batch.slice(at.start, at.stop - at.start)
                 base = [base_spans(t) for t in texts]
                 added = added_spans(texts, base, model, how)
                 yield pa.record_batch([part.column("doc_id"), listed(base), listed(added)], ["doc_id", "base", "added"])
@@ -231,6 +233,8 @@ def find(docs: DataFrame, model: dict[str, np.ndarray] | None = None, how: Windo
 
 def masked(text: str, spans: Sequence[Span]) -> str:
     """The text with each span replaced by its kind in angle brackets; overlapping ones become the first's."""
+    if not spans:
+        return text
     out, at, end = [], 0, 0
     for a, b, kind in sorted((a, b, k) for k, a, b in spans):
         if a >= end:
@@ -243,13 +247,12 @@ def _masking(model: dict[str, np.ndarray], how: Windows, text_col: str) -> Calla
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.names.index(text_col)
-            for first in range(0, len(batch), 1000):
-                part = batch.slice(first, 1000)
-                texts = part.column(at).to_pylist()
-                full = [t or "" for t in texts]
-                base = [base_spans(t) for t in full]
-                spans = [a + b for a, b in zip(base, added_spans(full, base, model, how))]
-                clean = [masked(t, s) if s else t for t, s in zip(texts, spans)]
+            for rows, texts in text_slices(batch.column(at), STRETCH):
+                part = batch.slice(rows.start, rows.stop - rows.start)
+                base = [base_spans(t) for t in texts]
+                spans = [a + b for a, b in zip(base, added_spans(texts, base, model, how))]
+                blank = part.column(at).is_null().to_pylist()
+                clean = [None if n else masked(t, s) for t, s, n in zip(texts, spans, blank)]
                 columns = [pa.array(clean, part.schema.field(at).type) if i == at else part.column(i)
                            for i in range(part.num_columns)]
                 yield pa.RecordBatch.from_arrays(columns, schema=part.schema)

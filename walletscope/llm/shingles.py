@@ -9,8 +9,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-from walletscope.llm.bpe import stretches
+from walletscope.llm.worker import text_slices
 
+#: Bytes of text handled at a time.
+STRETCH = 1 << 21
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)  # odd multipliers
 
 
@@ -70,7 +72,6 @@ def per_text(make: Callable[[pa.Array, list[np.ndarray]], pa.RecordBatch], words
     """A mapInArrow function that hands stretches of ids and sets to ``make``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(text_at).to_pylist()]
-            for part in stretches(texts):
-                yield make(batch.column(id_at)[part], shingle_sets(texts[part], words))
+            for part, texts in text_slices(batch.column(text_at), STRETCH):
+                yield make(batch.column(id_at)[part], shingle_sets(texts, words))
     return run

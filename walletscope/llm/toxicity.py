@@ -29,10 +29,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from walletscope.llm.bpe import stretches
-from walletscope.llm.worker import kept
+from walletscope.llm.worker import kept, text_slices
 from walletscope.plans.settle import settle
 
+#: Bytes of text handled at a time.
+STRETCH = 1 << 21
 _TOKEN = re.compile(r"[^\W\d_]+|[^\w\s]+")
 
 
@@ -64,11 +65,10 @@ def _featured(how: Chain, ys: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
     """Rows (text, id hash, labels ...) to (fold, features as int32 bytes, counts as int32 bytes, labels ...)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for part in stretches([t or "" for t in texts]):
+            for part, texts in text_slices(batch.column(0), STRETCH):
                 rows = []
-                for text in texts[part]:
-                    found = [f for t in tokens(text or "") for f in token_features(t, how)]
+                for text in texts:
+                    found = [f for t in tokens(text) for f in token_features(t, how)]
                     rows.append(np.unique(np.array(found, np.int32), return_counts=True))
                 yield pa.record_batch([
                     batch.column(1)[part], pa.array([a.astype("<i4").tobytes() for a, _ in rows], pa.binary()),
@@ -266,10 +266,9 @@ def _judging(model: Model, text_at: int, names: list[str]) -> Callable[[Iterator
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = kept(("toxicity", name), lambda: Scorer(model))
         for batch in batches:
-            texts = [t or "" for t in batch.column(text_at).to_pylist()]
-            for run_of in stretches(texts):
+            for run_of, texts in text_slices(batch.column(text_at), STRETCH):
                 part = batch.slice(run_of.start, run_of.stop - run_of.start)
-                chances = scorer.probabilities(texts[run_of])
+                chances = scorer.probabilities(texts)
                 columns = [*part.columns, *(pa.array(c, pa.float64()) for c in chances.T)]
                 yield pa.RecordBatch.from_arrays(columns, names)
     return run

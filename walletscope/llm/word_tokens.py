@@ -18,14 +18,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from walletscope.llm.bpe import Gather, Numbered, safe_cut, stretches
-from walletscope.llm.worker import kept
+from walletscope.llm.bpe import Gather, Numbered, safe_cut
+from walletscope.llm.worker import kept, text_slices
 
 #: Characters for which normalising, lower-casing and splitting agree with the tokenizer's own.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ]*")
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 #: Distinct chunks, and words, kept by one worker; characters of text handled at a time; words asked for at a time.
-KEPT, STRETCH, ASKED = 200_000, 1 << 21, 4000
+KEPT, STRETCH, ASKED = 200_000, 3 << 19, 4000
 
 
 class Memory:
@@ -139,10 +139,9 @@ class WordCoder:
             at = cut
         return np.concatenate(parts)
 
-    def encode_all(self, texts: list[str]) -> Iterator[tuple[slice, list[np.ndarray]]]:
-        """Runs of texts of bounded size with their ids."""
-        for part in stretches(texts, STRETCH):
-            some = texts[part]
+    def encode_all(self, texts: pa.Array) -> Iterator[tuple[slice, list[np.ndarray]]]:
+        """Runs of a batch's texts of bounded size with their ids."""
+        for part, some in text_slices(texts, STRETCH):
             yield part, [self.encode_long(some[0])] if len(some) == 1 else self.encode(some)
 
 

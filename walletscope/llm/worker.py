@@ -1,10 +1,14 @@
-"""What a Python worker keeps between tasks."""
+"""What a Python worker keeps between tasks, and how much of a batch it takes in hand at a time."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Hashable, Iterator
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 _KEPT: dict[Hashable, Any] = {}
 
 
@@ -14,3 +18,22 @@ def kept(key: Hashable, make: Callable[[], Any]) -> Any:
         _KEPT.clear()
         _KEPT[key] = make()
     return _KEPT[key]
+
+
+def slices(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Runs of rows of about ``most`` in sum, one row at least."""
+    ends = np.cumsum(sizes)
+    first = 0
+    while first < len(ends):
+        done = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield slice(first, last)
+        first = last
+
+
+def text_slices(texts: pa.Array, most: int) -> Iterator[tuple[slice, list[str]]]:
+    """Runs of a batch's texts of about ``most`` bytes as strings, NULL as the empty one."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    for part in slices(sizes, most):
+        yield part, [t or "" for t in texts[part].to_pylist()]
+    pa.default_memory_pool().release_unused()
