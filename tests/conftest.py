@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from walletscope.session import prepare  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -17,5 +19,6 @@ def spark(tmp_path_factory):
                .config("spark.driver.memory", "4g")
                .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
+    prepare(session)
     yield session
     session.stop()

@@ -32,6 +32,13 @@ def test_documents_are_parsed_once(spark, name):
     assert not [line for line in lines if re.search(r"\bFilter\b", line) and "from_json" in line]
 
 
+@pytest.mark.parametrize("name", ["whale_alerts", "decisions", "json_shape"])
+def test_no_reading_of_a_document_is_repeated(spark, name):
+    """Four ways of reading at most, wherever in the plan: typed, list alone, loose, untyped."""
+    text = plan(spark, name)
+    assert 1 <= len(re.findall(r"from_json\(", text)) <= 4
+
+
 @pytest.mark.parametrize("name", ["first_arrival", "limit_per_group", "top_balances_per_asset",
                                   "fetch_after_checkpoint", "new_events", "all_asset_holders"])
 def test_limits_are_applied_before_the_shuffle(spark, name):

@@ -20,7 +20,7 @@ from walletscope.sample import (
 from walletscope.schemas import METRIC_SAMPLES, MONITORED_KEY, WALLET
 from walletscope.session import shared_dir
 from walletscope.sinks import messages as message_sink, tables as table_sink
-from walletscope.sources import holders, messages, pages
+from walletscope.sources import holders, messages, pages, tables
 from walletscope.streaming import runs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,16 +97,26 @@ def _(s: Sample) -> DataFrame:
             .drop("cursor"))
 
 
+def _stored(s: Sample, df: DataFrame, name: str) -> DataFrame:
+    """A view written as the stored table it stands for, and read as such."""
+    root = shared_dir(s.spark, "tables")
+    df.write.parquet(f"{root}/{name}")
+    return tables.read_table(s.spark, root, name)
+
+
 @query("src_tables")
 def _(s: Sample) -> DataFrame:
-    """Rows of each of the four tables, in one listing of their keys."""
+    """Rows of each of the four tables, stored and read back, in one listing of their keys."""
+    views = {"events": s.stored_events(), "checkpoints": s.checkpoints(), "monitored_addresses": s.monitored(),
+             "address_leases": s.leases()}
+    stored = {name: _stored(s, df, name) for name, df in views.items()}
     parts = {
-        "events": s.stored_events().select(F.col("event_id").alias("key"), "chain", "address"),
-        "checkpoints": s.checkpoints().select(F.concat_ws(":", *WALLET).alias("key"), "chain", "address"),
-        "monitored_addresses": s.monitored().select(F.concat_ws(":", *MONITORED_KEY).alias("key"),
-                                                    "chain", "address"),
-        "address_leases": s.leases().select(F.col("lease_key").alias("key"), fn.lease_parts("lease_key")
-                                            .alias("p")).select("key", "p.chain", "p.address"),
+        "events": stored["events"].select(F.col("event_id").alias("key"), "chain", "address"),
+        "checkpoints": stored["checkpoints"].select(F.concat_ws(":", *WALLET).alias("key"), "chain", "address"),
+        "monitored_addresses": stored["monitored_addresses"].select(
+            F.concat_ws(":", *MONITORED_KEY).alias("key"), "chain", "address"),
+        "address_leases": stored["address_leases"].select(
+            F.col("lease_key").alias("key"), fn.lease_parts("lease_key").alias("p")).select("key", "p.chain", "p.address"),
     }
     return reduce(DataFrame.unionByName,
                   [df.withColumn("table_name", F.lit(name)) for name, df in parts.items()])
@@ -114,7 +124,8 @@ def _(s: Sample) -> DataFrame:
 
 @query("src_metric_samples")
 def _(s: Sample) -> DataFrame:
-    return s.samples().drop("labels")
+    read = _stored(s, s.samples(), "metric_samples")
+    return read.select("metric", gauges.series_key(F.col("labels")).alias("series"), "ts", "value")
 
 
 # ---- sinks -------------------------------------------------------------------

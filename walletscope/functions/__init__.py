@@ -1,4 +1,4 @@
-from walletscope.functions.amounts import canonical_integer, integer_text, overflows, units
+from walletscope.functions.amounts import canonical_integer, units
 from walletscope.functions.identity import (
     block_time,
     correlation_id,
@@ -13,6 +13,6 @@ from walletscope.functions.text import plain_amount, sanitize_json, short_addres
 
 __all__ = [
     "block_time", "canonical_integer", "correlation_id", "cursor_text", "event_id",
-    "event_id_short", "integer_text", "lease_key", "lease_parts", "overflows", "parse_cursor",
+    "event_id_short", "lease_key", "lease_parts", "parse_cursor",
     "plain_amount", "sanitize_json", "short_address", "transfer_text", "units",
 ]

@@ -10,14 +10,6 @@ from walletscope import params
 INTEGER = r"^\s*([+-]?[0-9]+)\s*$"
 
 
-def integer_text(value: Column) -> Column:
-    """Sign and digits of a plain integer text, NULL for anything else.
-
-    The pattern guards the cast: ``12.5`` and ``1e12`` would otherwise be accepted.
-    """
-    return F.nullif(F.regexp_extract(value, INTEGER, 1), F.lit(""))
-
-
 def canonical_integer(value: Column) -> Column:
     """Integer text of any width without plus sign or leading zeros; ``0`` if unparseable."""
     digits = F.regexp_extract(value, r"^\s*[+-]?0*([0-9]+)\s*$", 1)
@@ -36,7 +28,3 @@ def units(digits: Column, nano_per_unit: int = params.NANO_PER_UNIT) -> Column:
     limit = F.lit(params.MAX_DECIMAL_UNITS).cast("decimal(29,0)")
     quotient = nano / F.lit(nano_per_unit).cast("decimal(10,0)")
     return F.when(F.abs(nano) <= limit, quotient).cast("decimal(38,9)")
-
-
-def overflows(digits: Column) -> Column:
-    return digits.isNotNull() & units(digits).isNull()

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from walletscope import params
 from walletscope.functions import event_id, plain_amount, sanitize_json, short_address, transfer_text
 from walletscope.functions.amounts import INTEGER
-from walletscope.session import last_key_wins
+from walletscope.session import require_prepared
 from walletscope.sources.documents import with_document
 from walletscope.sources.pages import with_transactions
 
@@ -79,18 +79,16 @@ def _variant_null(value: Column) -> Column:
     return F.coalesce(F.is_variant_null(value), F.lit(False))
 
 
-def _listed_only(body: Column, tx: str) -> Column:
-    """The document read for its ``transactions`` alone: what stands beside the list is ignored."""
-    listed = F.from_json(body, _typed(tx, ""), _STRICT)
+def _as_shape(listed: Column) -> Column:
+    """A document read for its ``transactions`` alone, in the shape of a whole one."""
     docs = F.transform(listed["doc"], lambda d: F.struct(
         d["transactions"].alias("transactions"), F.lit(None).cast(_MESSAGE).alias("in_msg"),
         F.lit(None).cast(f"array<{_MESSAGE}>").alias("out_msgs")))
     return F.when(listed.isNotNull(), F.struct(docs.alias("doc"), listed["_bad"].alias("_bad")))
 
 
-def _null_member(body: Column) -> Column:
-    """Whether ``transactions``, ``in_msg`` or ``out_msgs`` is present but null."""
-    root = F.get(F.from_json(body, _LOOSE, _STRICT)["doc"], F.lit(0))
+def _null_member(root: Column) -> Column:
+    """Whether ``transactions``, ``in_msg`` or ``out_msgs`` of a loosely read document is present but null."""
     listed = F.try_variant_get(root["transactions"], "$", "array<variant>")
     in_listed = F.exists(listed, lambda t: _variant_null(_child(t, "in_msg"))
                          | _variant_null(_child(t, "out_msgs")))
@@ -99,14 +97,14 @@ def _null_member(body: Column) -> Column:
                   ).otherwise(_variant_null(root["in_msg"]) | _variant_null(root["out_msgs"]))
 
 
-def _status(raw: Column, body: Column, shape: Column) -> Column:
+def _status(raw: Column, shape: Column, root: Column, as_any: Column) -> Column:
     """``ok``, ``raw_json_parse_error`` (not JSON) or ``evaluation_error`` (JSON, wrong shape).
 
-    The re-parses run only for rows that need them: a wrong shape inside an object
-    still leaves a partial document, so an object without one is not JSON.
+    A wrong shape inside an object still leaves a partial document, so an object without
+    one is not JSON. ``root`` and ``as_any`` are further readings of the body, NULL for
+    rows that do not need them.
     """
     doc = F.get(shape["doc"], F.lit(0))
-    as_any = F.from_json(body, _ANY, _STRICT)
     is_json = as_any["_bad"].isNull() & (F.size(as_any["doc"]) == 1)
     null_element = F.when(
         doc["transactions"].isNotNull(),
@@ -116,14 +114,18 @@ def _status(raw: Column, body: Column, shape: Column) -> Column:
     ).otherwise(F.coalesce(F.exists(doc["out_msgs"], lambda m: m.isNull()), F.lit(False)))
     return (F.when(raw.isNull(), params.EVALUATION_ERROR)
             .when(shape["_bad"].isNotNull(),
-                  F.when(shape["doc"].isNull() & raw.rlike(r"^\s*\{"), params.RAW_JSON_PARSE_ERROR)
+                  F.when(_unread_object(raw, shape), params.RAW_JSON_PARSE_ERROR)
                   .when(is_json, params.EVALUATION_ERROR).otherwise(params.RAW_JSON_PARSE_ERROR))
             .when(F.size(shape["doc"]) != 1, params.RAW_JSON_PARSE_ERROR)
             .when(doc.isNull() | null_element, params.EVALUATION_ERROR)
-            .when(F.contains(raw, F.lit("null")) & _null_member(body), params.EVALUATION_ERROR)
+            .when(root.isNotNull() & _null_member(root), params.EVALUATION_ERROR)
             .otherwise("ok"))
 
 
+def _unread_object(raw: Column, shape: Column) -> Column:
+    return shape["doc"].isNull() & raw.rlike(r"^\s*\{")
+
+
 def _messages(tx: Column, position: Column) -> Column:
     """Messages of one transaction: the incoming one first, then outgoing in order."""
     def entry(m: Column, direction: str) -> Column:
@@ -205,7 +207,7 @@ def evaluate(events: DataFrame, threshold=params.ALERT_THRESHOLD, scope: str = "
     """
     if scope not in ("page", "own_tx"):
         raise ValueError(f"unknown scope {scope!r}")
-    last_key_wins(events.sparkSession)
+    require_prepared(events.sparkSession)
     raw = F.col("raw_json")
     body = F.concat(F.lit('{"doc":['), raw, F.lit("]}"))
     own = scope == "own_tx"
@@ -213,7 +215,17 @@ def evaluate(events: DataFrame, threshold=params.ALERT_THRESHOLD, scope: str = "
     first = F.col("_first")
     beside = first["_bad"].isNotNull() & F.get(first["doc"], F.lit(0))["transactions"].isNotNull()
     shaped = (events.withColumn("_first", F.from_json(body, _typed(tx), _STRICT))
-              .withColumn("_shape", F.when(beside, _listed_only(body, tx)).otherwise(first)).drop("_first"))
+              .withColumn("_listed", F.when(beside, F.from_json(body, _typed(tx, ""), _STRICT)))
+              .withColumn("_shape", F.when(beside, _as_shape(F.col("_listed"))).otherwise(first))
+              .drop("_first", "_listed"))
+    # Further readings stand in columns of their own, NULL where a row does not need them, so that
+    # none of them runs once per mention.
+    shape = F.col("_shape")
+    loose = F.get(F.from_json(body, _LOOSE, _STRICT)["doc"], F.lit(0))
+    untyped = F.from_json(body, _ANY, _STRICT)
+    shaped = (shaped
+              .withColumn("_root", F.when(shape["_bad"].isNull() & F.contains(raw, F.lit("null")), loose))
+              .withColumn("_any", F.when(shape["_bad"].isNotNull() & ~_unread_object(raw, shape), untyped)))
     doc = F.get(F.col("_shape.doc"), F.lit(0))
     txs = doc["transactions"]
     if own:
@@ -224,8 +236,8 @@ def evaluate(events: DataFrame, threshold=params.ALERT_THRESHOLD, scope: str = "
     single = F.struct(doc["in_msg"].alias("in_msg"), doc["out_msgs"].alias("out_msgs"))
     txs = F.when(doc["transactions"].isNotNull(), txs).otherwise(F.array(single))
     found = _qualifying(F.flatten(F.transform(txs, _messages)), threshold)
-    staged = (shaped.withColumn("_status", _status(raw, body, F.col("_shape")))
-              .withColumn("_found", F.when(F.col("_status") == "ok", found)).drop("_shape"))
+    staged = (shaped.withColumn("_status", _status(raw, shape, F.col("_root"), F.col("_any")))
+              .withColumn("_found", F.when(F.col("_status") == "ok", found)).drop("_shape", "_root", "_any"))
     broken = F.exists("_found", lambda a: a["error"])
     return (staged
             .withColumn("status", F.when(broken, params.EVALUATION_ERROR).otherwise(F.col("_status")))

@@ -15,7 +15,7 @@ from walletscope.functions import event_id
 from walletscope.operators.gauges import series_key
 from walletscope.plans.running import running_sum
 from walletscope.schemas import WALLET
-from walletscope.session import utc
+from walletscope.session import prepare
 from walletscope.sources.messages import failed_attempts
 
 AS_OF = "2024-01-31 00:00:00"
@@ -127,7 +127,7 @@ class Sample:
     root: str
 
     def __post_init__(self):
-        utc(self.spark)
+        prepare(self.spark)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")

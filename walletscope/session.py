@@ -1,4 +1,4 @@
-"""Session helpers: the UTC contract, JSON key rule and the shared scratch folder."""
+"""Session helpers: the settings that results rest on, and the shared scratch folder."""
 
 from __future__ import annotations
 
@@ -8,20 +8,26 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def utc(spark: SparkSession) -> SparkSession:
-    """All timestamps are UTC instants; pin the session zone to say so."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
+#: Settings that decide results: times are UTC instants, and of equal keys in a JSON object the last
+#: one counts, inside variants as elsewhere.
+SETTINGS = {"spark.sql.session.timeZone": "UTC", "spark.sql.variant.allowDuplicateKeys": "true"}
 
 
-def last_key_wins(spark: SparkSession) -> SparkSession:
-    """Of equal keys in a JSON object the last one counts, inside variants as elsewhere."""
-    if spark.conf.get("spark.sql.variant.allowDuplicateKeys", "false") != "true":
-        spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+def prepare(spark: SparkSession) -> SparkSession:
+    """Set what the operators rely on, once per session and before any of them."""
+    for name, value in SETTINGS.items():
+        if spark.conf.get(name, None) != value:
+            spark.conf.set(name, value)
     return spark
 
 
+def require_prepared(spark: SparkSession) -> None:
+    """Operators do not change the session; they refuse one in which results would differ."""
+    wrong = [name for name, value in SETTINGS.items() if spark.conf.get(name, None) != value]
+    if wrong:
+        raise ValueError(f"call walletscope.session.prepare(spark) first: {', '.join(wrong)}")
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for stream state and outputs, below the cluster's checkpoint folder.
 

@@ -1,4 +1,4 @@
-"""Scans of the stored tables (parquet; JDBC where a database holds them)."""
+"""Scans of the stored tables and metric samples (parquet; JDBC where a database holds them)."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ TABLES = {
     "checkpoints": schemas.CHECKPOINTS,
     "monitored_addresses": schemas.MONITORED_ADDRESSES,
     "address_leases": schemas.ADDRESS_LEASES,
+    "metric_samples": schemas.METRIC_SAMPLES,
 }
 
 

@@ -337,7 +337,7 @@ TWINS: dict[str, str] = {
                             'monitored_addresses' from monitored
            union all select lease_key, 'ton', substr(lease_key, 12), 'address_leases' from leases""",
         "chain_events", "checkpoints", "monitored", "leases"),
-    "src_metric_samples": _twin("select * from samples", "samples"),
+    "src_metric_samples": _twin("select metric, series, ts, value from samples", "samples"),
     # sinks
     "snk_events": _twin(
         """select f.event_id, f.chain, f.address, f.lt, f.tx_hash, f.block_time, d.raw_json,
