@@ -31,7 +31,7 @@ from walletscope.llm.labelled_spans import examples
 from walletscope.llm.worker import text_slices
 
 #: Bytes of text handled at a time.
-STRETCH = 1 << 22
+STRETCH = 1 << 20
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "doc_id long, base array<struct<kind:string,start:long,end:long>>, added array<struct<kind:string,start:long,end:long>>"
 Span = tuple[int, int, int]  # kind number, start, end (exclusive), in code points

@@ -12,7 +12,7 @@ import xxhash
 from walletscope.llm.worker import text_slices
 
 #: Bytes of text handled at a time.
-STRETCH = 1 << 21
+STRETCH = 1 << 20
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)  # odd multipliers
 
 

@@ -33,7 +33,7 @@ from walletscope.llm.worker import kept, text_slices
 from walletscope.plans.settle import settle
 
 #: Bytes of text handled at a time.
-STRETCH = 1 << 21
+STRETCH = 1 << 19
 _TOKEN = re.compile(r"[^\W\d_]+|[^\w\s]+")
 
 
@@ -222,7 +222,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], how
 class Scorer:
     """Probabilities of texts; a token's part in each model's sum is worked out once."""
 
-    kept_tokens = 250_000
+    kept_tokens = 150_000
 
     def __init__(self, model: Model) -> None:
         self.model, self.links = model, [link for link in model.chain if link]

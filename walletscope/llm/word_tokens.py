@@ -25,7 +25,7 @@ from walletscope.llm.worker import kept, text_slices
 _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ]*")
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 #: Distinct chunks, and words, kept by one worker; characters of text handled at a time; words asked for at a time.
-KEPT, STRETCH, ASKED = 200_000, 3 << 19, 4000
+KEPT, STRETCH, ASKED = 150_000, 3 << 19, 4000
 
 
 class Memory:
