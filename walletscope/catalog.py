@@ -305,7 +305,9 @@ def _(s: Sample) -> DataFrame:
 
 
 def _discovery(s: Sample) -> list[DataFrame]:
-    return [holders.parse_native(s.native_docs()), holders.parse_jetton(s.jetton_docs(), s.tokens())]
+    """The parsed documents of both sources, each parsed once."""
+    return [settle(holders.parse_native(s.native_docs()), "native"),
+            settle(holders.parse_jetton(s.jetton_docs(), s.tokens()), "jetton")]
 
 
 def _discoveries(s: Sample) -> DataFrame:

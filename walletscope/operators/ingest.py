@@ -28,14 +28,16 @@ def events_to_rows(messages: DataFrame) -> DataFrame:
         "raw_json")
 
 
-def limit_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
-    """At most ``n`` rows per key in the given order.
+def limit_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int,
+                    rank_as: str | None = None) -> DataFrame:
+    """At most ``n`` rows per key in the given order, with their rank if it has a name.
 
     The rank filter becomes a group limit before the shuffle, so a hot key sends
     at most ``n`` rows per task.
     """
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+    top = df.withColumn("_rank", rank).where(F.col("_rank") <= n)
+    return top.withColumnRenamed("_rank", rank_as) if rank_as else top.drop("_rank")
 
 
 def first_arrival(arrivals: DataFrame) -> DataFrame:

@@ -26,12 +26,13 @@ def by_value() -> list[Column]:
 def all_asset_holders(parsed: list[DataFrame], limit: int = params.TOP_HOLDERS_LIMIT) -> DataFrame:
     """Top holders of every asset source; an asset with an unreadable document is skipped whole.
 
-    The limit comes first: it cuts each asset before its rows are shuffled, and the
-    failed assets then leave out few rows.
+    ``rank`` keeps the order of an asset's holders. The limit comes first: it cuts each
+    asset before its rows are shuffled, and the failed assets then leave out few rows.
+    The documents are read twice, so hand in settled ones.
     """
     docs = reduce(DataFrame.unionByName, parsed)
     failed = docs.where(~F.col("readable")).select("asset_id").distinct()
-    top = limit_per_group(holder_rows(docs), ["asset_id"], by_value(), limit)
+    top = limit_per_group(holder_rows(docs), ["asset_id"], by_value(), limit, rank_as="rank")
     return top.join(failed, "asset_id", "left_anti")
 
 

@@ -156,9 +156,8 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         select asset_id, asset_type, address, balance from jetton
         qualify row_number() over (partition by asset_id order by size desc, address) <= 100"""),
     "top_holders": (("native", "top_jetton"), """
-        select asset_id, asset_type, address, balance from native
-        qualify row_number() over (order by cast(balance as hugeint) desc, address) <= 100
-        union all select * from top_jetton"""),
+        select *, row_number() over (partition by asset_id order by cast(balance as hugeint) desc, address) as rank
+        from (select * from native union all select * from top_jetton) qualify rank <= 100"""),
     "damaged": (("raw_docs",), """
         select *, case when event_type = 'signup' then 'null' when event_type = 'error' then 'cut'
                        when event_type = 'purchase' and lt % 11 = 0 then 'missing'
