@@ -11,7 +11,7 @@ from helpers import DOCS, LONG, docs, table
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from walletscope.llm import components, jaccard, queries, shard, topk
+from walletscope.llm import components, jaccard, queries, shard, shingles, topk
 
 # --- Jaccard join ----------------------------------------------------------------------
 
@@ -99,6 +99,23 @@ def test_join_against_brute_force_with_any_list_limit(spark, limit, seed, famili
         assert joined(df, jaccard.Similarity(words, percent, list_limit=limit)) == plain_join(rows, words, percent)
 
 
+@pytest.mark.parametrize("limit", [3, 8, 64])
+def test_copies_met_in_many_stretches_count_once(spark, monkeypatch, limit):
+    """Each row is a stretch of its own, so a batch of sets holds a class as often as it has copies."""
+    monkeypatch.setattr(shingles, "STRETCH", 200)
+    rng = random.Random(7)
+    passage = [f"p{rng.randrange(400)}" for _ in range(30)]
+    texts = []
+    for _ in range(8):
+        base = [f"w{rng.randrange(400)}" for _ in range(60)] + passage
+        near = [" ".join([*base[:at], "other", *base[at + 1:]]) for at in (3, 25)]
+        texts += [" ".join(base)] * (limit + 1) + near + [near[0]] * rng.randrange(limit)
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    for some in (df, df.orderBy(F.desc("doc_id")).coalesce(1)):
+        assert joined(some, jaccard.Similarity(4, 80, list_limit=limit)) == plain_join(rows, 4, 80)
+
+
 def test_join_query_against_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in table(spark, "documents").collect()]
     got = sorted(map(tuple, queries.op5_jaccard_join(spark, "/root/testdata/sf0.001").collect()), key=repr)

@@ -118,7 +118,8 @@ def _flat(column: pa.ChunkedArray, kind: str) -> np.ndarray:
 def _to_parts(parts: int, limit: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Cut the indexed shingles of each batch of sets by parts of the hash range.
 
-    A shingle that more than ``limit`` sets of a batch have is in a long list for certain.
+    A class that several stretches brought into a batch counts once. A shingle that more
+    than ``limit`` sets of a batch have is in a long list for certain.
     Of its sets, as many go to its part as show that; the others are told at once that one
     of their lists is long, so a shingle that very many documents share fills no task.
     """
@@ -126,6 +127,7 @@ def _to_parts(parts: int, limit: int) -> Callable[[Iterator[pa.RecordBatch]], It
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.take(pa.array(np.sort(np.unique(np.asarray(batch.column("cls")), return_index=True)[1])))
             raw = batch.column("indexed").to_pylist()
             cls, n = np.asarray(batch.column("cls")), np.asarray(batch.column("n"))
             tokens = np.frombuffer(b"".join(raw), np.uint64)
