@@ -115,6 +115,27 @@ def test_added_spans():
     assert {(pii.KINDS[k], far[a:b]) for k, a, b in moved} == shown
 
 
+def test_added_spans_are_those_of_all_windows():
+    rng = random.Random(5)
+    words = ["mail", "me", "contact", "please", "or", "write"]
+    texts = []
+    for _ in range(150):
+        host = ".".join("".join(rng.choices("abcdefghijklmnop", k=rng.randint(4, 14))) for _ in range(rng.randint(2, 14)))
+        texts.append(" ".join(rng.choices(words, k=rng.randint(0, 25)) + ["jane", "(at)", host] + rng.choices(words, k=12)))
+    bases = [pii.base_spans(t) for t in texts]
+    got = pii.added_spans(texts, bases, pii.trained())
+    want = []
+    for text, base in zip(texts, bases):
+        found = []
+        for at in range(0, len(text), 64):
+            chars = pii.symbols(text[at:at + 128])[:, None]
+            tags, unary = tagger.decode(pii.trained(), chars)
+            found += [(k, at + a, at + b, s) for k, a, b, s in pii._tagged(tags[:, 0], unary[:, 0])]
+        want.append(pii.reconcile(text, found, base))
+    assert got == want
+    assert sum(b - a > 90 for spans in want for _, a, b in spans)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.tuples(st.just(3), st.integers(0, 22), st.integers(8, 15), st.integers(1, 9)), max_size=6))
 def test_reconciling_spans_of_a_kind(found):

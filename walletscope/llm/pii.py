@@ -7,7 +7,8 @@ pass its kind's check, and of those that overlap the set with the highest total
 never touches one.
 
 A span holds a digit, an ``@`` or a bracketed ``at``; that is part of every kind's check. So
-windows without any of these cannot give a span and are not decoded.
+windows without any of these are decoded only where spans of decoded windows reach into
+them: these could be longer there. The result is that of decoding all windows.
 
 Defined results
 - NULL text: empty, no spans. NULL id: passes through. Repeated rows are judged alike.
@@ -180,30 +181,39 @@ def added_spans(texts: Sequence[str], bases: Sequence[Sequence[Span]], model: di
                 how: Windows = Windows()) -> list[list[Span]]:
     """What the tagger adds to the base spans of each text."""
     found: list[list[tuple[int, int, int, float]]] = [[] for _ in texts]
+    asked: list[set[int]] = [set() for _ in texts]
     waiting: list[tuple[int, int]] = []
 
+    def ask(i: int, first: int, last: int) -> None:
+        new = [w for w in range(max(0, first), last + 1) if w not in asked[i]]
+        asked[i].update(new)
+        waiting.extend((i, w * how.step) for w in new)
+
     def flush() -> None:
-        chars = np.zeros((how.width, len(waiting)), np.int64)
-        for j, (i, at) in enumerate(waiting):
+        now = waiting[:how.at_once]
+        del waiting[:how.at_once]
+        chars = np.zeros((how.width, len(now)), np.int64)
+        for j, (i, at) in enumerate(now):
             part = symbols(texts[i][at:at + how.width])
             chars[:len(part), j] = part
         tags, unary = tagger.decode(model, chars)
-        for j, (i, at) in enumerate(waiting):
+        for j, (i, at) in enumerate(now):
             length = min(how.width, len(texts[i]) - at)
-            found[i] += [(k, at + a, at + b, s) for k, a, b, s in _tagged(tags[:length, j], unary[:length, j])]
-        waiting.clear()
+            for k, a, b, s in _tagged(tags[:length, j], unary[:length, j]):
+                found[i].append((k, at + a, at + b, s))
+                # every window that a span reaches into
+                ask(i, (at + a - how.width) // how.step + 1, (at + b - 1) // how.step)
 
     for i, text in enumerate(texts):
         last = -1
         for cue in _CUE.finditer(text):
             # every window that holds the whole cue
             first = max(last + 1, -(-max(0, cue.end() - how.width) // how.step))
-            for w in range(first, cue.start() // how.step + 1):
-                waiting.append((i, w * how.step))
-                if len(waiting) == how.at_once:
-                    flush()
-                last = w
-    if waiting:
+            last = max(last, cue.start() // how.step)
+            ask(i, first, last)
+            while len(waiting) >= how.at_once:
+                flush()
+    while waiting:
         flush()
     return [reconcile(t, f, b) if f else [] for t, f, b in zip(texts, found, bases)]
 
