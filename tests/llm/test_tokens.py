@@ -77,6 +77,18 @@ def test_long_word_tokens():
     assert WORD_CODER.encode_long(LONG).tolist() == TOKENIZER.encode(LONG, add_special_tokens=False).ids
 
 
+def test_added_tokens_keep_their_ids(monkeypatch):
+    as_it_is = Tokenizer.from_file(WORDS)
+    texts = ["one<|endoftext|>two", "<|startoftext|> a b <|endoftext|>", "<|ENDOFTEXT|> x", "<|endoftext", "é漢<|endoftext|>",
+             "a <|endoftext|><|endoftext|>", "plain words"]
+    want = [as_it_is.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in WORD_CODER.encode(texts)] == want
+    assert 49407 in want[0] and 49406 in want[1]
+    monkeypatch.setattr(word_tokens, "STRETCH", 20)
+    long = " ".join(texts * 5)
+    assert WORD_CODER.encode_long(long).tolist() == as_it_is.encode(long, add_special_tokens=False).ids
+
+
 # --- packing ---------------------------------------------------------------------------
 
 @pytest.mark.parametrize("counts,weights", [

@@ -4,7 +4,8 @@ A ``tokenizers`` file whose pre-tokenizer splits texts into words gives the same
 a text as for its words one by one. Plain words are met again and again, so each distinct
 chunk between blanks is encoded once per stretch of texts, and each worker keeps the ids of
 common chunks and words, up to a fixed number, and asks the tokenizer for the others only. Texts with characters whose normal form or class depends on more than the
-character itself go through the tokenizer whole.
+character itself, and texts that hold an added token such as ``<|endoftext|>``, go through
+the tokenizer whole, which gives an added token its own id.
 """
 
 from __future__ import annotations
@@ -70,6 +71,9 @@ class WordCoder:
         self.words.normalizer = None
         self.words.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        added = self.words.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added if not t.normalized]
+        self.lowered = [t.content.lower() for t in added if t.normalized]  # met in normalised text
         vocabulary = self.words.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -118,16 +122,18 @@ class WordCoder:
         ends = np.concatenate([[0], np.cumsum(lengths)])[cuts]
         return [ids[a:b] for a, b in zip(ends, ends[1:])]
 
+    def _holds_added(self, text: str) -> bool:
+        return any(a in text for a in self.added) or any(a in text.lower() for a in self.lowered)
+
     def _other(self, text: str) -> np.ndarray:
         if self.whole is None:
             from tokenizers import Tokenizer
 
             self.whole = Tokenizer.from_file(self.path)
-            self.whole.encode_special_tokens = True
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        plain = [_PLAIN.fullmatch(t) is not None for t in texts]
+        plain = [_PLAIN.fullmatch(t) is not None and not self._holds_added(t) for t in texts]
         easy = iter(self._plain([t for t, p in zip(texts, plain) if p]))
         return [next(easy) if p else self._other(t) for t, p in zip(texts, plain)]
 
