@@ -170,6 +170,49 @@ def test_more_sources_than_queues(spark):
     check_pieces(pieces, [(r[0], r[1]) for r in rows], 32)
 
 
+@pytest.mark.parametrize("counts", [[7], [5, 5], [1, 1, 1], [900, 70, 30, 9, 1, 1], [2 ** k for k in range(9, -1, -1)], [3] * 70])
+def test_tokens_of_a_shared_queue_take_turns(counts):
+    counts = np.array(counts)
+    order = np.full(counts.sum(), -1)
+    for i, n in enumerate(counts):
+        at = packing.interleaved(counts, i, np.arange(n))
+        assert (np.diff(at) > 0).all()
+        order[at] = i
+    assert (order >= 0).all()
+    for i, n in enumerate(counts):
+        fair = np.arange(1, len(order) + 1) * n / len(order)
+        assert (np.abs(np.cumsum(order == i) - fair) < 3).all()
+    vast = np.array([3 << 40, 5 << 40, 7 << 40])
+    last = [int(packing.interleaved(vast, i, vast[i:i + 1] - 1)[0]) for i in range(3)]
+    assert max(last) == vast.sum() - 1 and min(last) > vast.sum() - 20
+
+
+def test_sources_of_a_long_tail_meet_their_shares(spark):
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choices(["the", "of", "quick", "fox"], k=rng.randint(1, 60))), "en", f"s{i * 20 // 2000}", 0)
+            for i in range(2000)]
+    table_ = spark.createDataFrame(rows, DOCS).repartitionByRange(5, "doc_id")
+    found = check_pieces(packing.pack(table_, WORDS, width=256, max_queues=4).collect(), [(r[0], r[1]) for r in rows], 256)
+    tokens = {}
+    for row in found.values():
+        for p in row:
+            tokens[p.source] = tokens.get(p.source, 0) + p.length
+    assert len(tokens) == 20
+    for number, row in found.items():
+        if number < max(found) - 3:
+            for s, n in tokens.items():
+                assert abs(sum(p.length for p in row if p.source == s) - 256 * n / sum(tokens.values())) < 6
+
+
+def test_every_named_target_has_its_share(spark):
+    rows = [(i, "the quick brown fox", "en", f"s{i % 8}", 0) for i in range(800)]
+    targets = {"s0": 0.3, "s1": 0.2, "s2": 0.1, "s3": 0.1, "s4": 0.1, "s5": 0.1, "s6": 0.05}
+    pieces = packing.pack(spark.createDataFrame(rows, DOCS), WORDS, targets=targets, width=100, max_queues=4).collect()
+    found = check_pieces(pieces, [(r[0], r[1]) for r in rows], 100)
+    for s, share in targets.items():
+        assert abs(sum(p.length for p in found[0] if p.source == s) - 100 * share) < 2
+
+
 def test_packing_query(spark):
     import zlib
 

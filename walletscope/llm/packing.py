@@ -16,7 +16,9 @@ Defined results
 - NULL text: empty, a document of its end token alone. NULL source: a queue of its own.
 - Repeated rows are packed once each. Empty table: empty result. Extra columns are ignored.
 - More sources than ``max_queues``: those with the most tokens have their own queue, the
-  others share one. Targets name sources; sources without a target share what is left over.
+  others share one, in which their tokens are interleaved by their numbers of tokens.
+- Targets name sources, each of which has its own queue; sources without a target share
+  what is left over.
 """
 
 from __future__ import annotations
@@ -173,6 +175,49 @@ def place(phases: list[Phase], queue: np.ndarray, first: np.ndarray, length: np.
     return run[some], (a - first[run])[some], (b - a)[some], window[some], (ahead + a - began)[some]
 
 
+def interleaved(counts: np.ndarray, leaf: int, token: np.ndarray) -> np.ndarray:
+    """Places in a shared queue of tokens of one of its sources.
+
+    The sources, of ``counts`` tokens, are halved by tokens again and again; the halves of a
+    part take turns in proportion, so any run of places holds a source's share of it to
+    within one token for each halving.
+    """
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    path: list[tuple[bool, int, int]] = []
+    low, high = 0, len(counts)
+    while high - low > 1:
+        total = int(ends[high] - ends[low])
+        cut = int(np.clip(np.searchsorted(ends, ends[low] + total // 2), low + 1, high - 1))
+        low, high = (low, cut) if leaf < cut else (cut, high)
+        path.append((low < cut, total, int(ends[high] - ends[low])))
+    for first, total, own in reversed(path):
+        if own >= 1 << 31:  # products beyond 64 bits
+            token = token.astype(object)
+        # of the first t places, the first half has floor(t * own / total), the second the others
+        whole, rest = divmod(total, own)
+        token = (token + 1) * whole - (-(token + 1) * rest // own) - 1 if first else token * whole + token * rest // own
+    return token.astype(np.int64)
+
+
+def spread(counts: np.ndarray, leaf: np.ndarray, first: np.ndarray, length: np.ndarray
+           ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of a source's tokens as runs of its queue's: (run, start in run, length, first token in the queue).
+
+    ``leaf`` is a source's number in the shared queue, -1 for one with its own.
+    """
+    own = np.flatnonzero(leaf < 0)
+    found = [(own, np.zeros_like(own), length[own], first[own])]
+    for i in np.unique(leaf[leaf >= 0]):
+        mine = np.flatnonzero(leaf == i)
+        n = length[mine]
+        run = np.repeat(mine, n)
+        start = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
+        at = interleaved(counts, i, first[run] + start)
+        new = np.flatnonzero((np.diff(at, prepend=-2) != 1) | (start == 0))
+        found.append((run[new], start[new], np.diff(new, append=len(at)), at[new]))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 def _tokenize(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, spent = coder(path), {}
@@ -192,14 +237,16 @@ def _tokenize(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], It
     return run
 
 
-def _placing(phases: list[Phase]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _placing(phases: list[Phase], shared: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(np.asarray(batch.column("n_tokens")), 1 << 20):
                 some = batch.slice(part.start, part.stop - part.start)
                 n = np.asarray(some.column("n_tokens"))
-                at, start, length, window, offset = place(
-                    phases, np.asarray(some.column("queue")), np.asarray(some.column("first")), n)
+                run, before, long, first = spread(
+                    shared, np.asarray(some.column("leaf")), np.asarray(some.column("first")), n)
+                at, start, length, window, offset = place(phases, np.asarray(some.column("queue"))[run], first, long)
+                at, start = run[at], before[at] + start
                 ids = some.column("ids").to_pylist()
                 cut = [ids[i][4 * a:4 * (a + k)] for i, a, k in zip(at.tolist(), start.tolist(), length.tolist())]
                 rows = pa.array(at)
@@ -229,30 +276,29 @@ def pack(docs: DataFrame, tokenizer_path: str, targets: dict[str, float] | None
     by_source = sums.groupBy("source").agg(F.sum("n").alias("n"))
     named = list(targets or {})
     order = [F.col("source").isin(named).desc() if named else F.desc("n"), F.desc("n"), F.col("source")]
-    own = by_source.orderBy(*order).limit(max_queues - 1).collect()
-    if named:
-        own = [r for r in own if r["source"] in targets]
+    rows = by_source.orderBy(*order).collect()  # one for each source
+    own = [r for r in rows if r["source"] in targets] if named else rows[:max_queues - 1]
     own_names = [r["source"] for r in own]
+    apart = set(own_names)
+    others = [r for r in rows if r["source"] not in apart]
 
-    queue = F.lit(len(own))
     spark = tokens.sparkSession
-    listed = spark.createDataFrame([(s, i) for i, s in enumerate(own_names)], "source string, queue long")
-    same = sums["source"].eqNullSafe(listed["source"])
-    queued = sums.join(F.broadcast(listed), same, "left").select(  # at most max_queues rows
-        sums["source"], "part", "n", F.coalesce(listed["queue"], queue.cast("long")).alias("queue"))
-    totals = {r["queue"]: r["n"] for r in queued.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
-    counts = np.array([totals.get(i, 0) for i in range(len(own) + 1)], np.int64)
+    listed = spark.createDataFrame([(s, i, -1) for i, s in enumerate(own_names)]
+                                   + [(r["source"], len(own), i) for i, r in enumerate(others)],
+                                   "source string, queue long, leaf long")
+    shared = np.array([r["n"] for r in others], np.int64)
+    counts = np.array([r["n"] for r in own] + [shared.sum()], np.int64)
     if targets:
         weights = np.array([targets[s] for s in own_names] + [max(0.0, 1.0 - sum(targets.values()))])
     else:
         weights = counts.astype(float)
     phases = schedule(counts, weights, width)
 
-    before = Window.partitionBy("queue").orderBy("part", F.col("source").asc_nulls_first()
-                                                 ).rowsBetween(Window.unboundedPreceding, -1)
-    bases = settle(queued.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).select(
-        F.col("source").alias("_s"), F.col("part").alias("_p"), "queue", "base"), "packing-bases")
+    before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    based = sums.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    bases = settle(based.join(listed, based["source"].eqNullSafe(listed["source"])).select(
+        based["source"].alias("_s"), F.col("part").alias("_p"), "queue", "leaf", "base"), "packing-bases")
     placed = tokens.join(bases, tokens["source"].eqNullSafe(bases["_s"]) & (tokens["part"] == bases["_p"]))
-    placed = placed.select("doc_id", "source", "queue", (F.col("base") + F.col("start")).alias("first"),
+    placed = placed.select("doc_id", "source", "queue", "leaf", (F.col("base") + F.col("start")).alias("first"),
                            "n_tokens", "ids")
-    return placed.mapInArrow(_placing(phases), PIECES)
+    return placed.mapInArrow(_placing(phases, shared), PIECES)
