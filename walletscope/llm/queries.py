@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from walletscope.llm import bpe, chat, exact_dedup, jaccard, packing, pii, shard, topk, toxicity, url_filter
+from walletscope.llm import bpe, chat, exact_dedup, jaccard, packing, periodic, pii, shard, topk, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,10 +97,39 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def plant_repeats(documents: DataFrame) -> DataFrame:
+    """doc_id and text; the words of some documents go round in a cycle from some word on, as crc32 of the id says."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = F.when(h % 10 == 0, F.col("text"))
+    words = documents.select("doc_id", "text", h.alias("_h"), F.filter(
+        F.split(chosen, r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("_w"))
+    g, n = F.floor(F.col("_h") / 10), F.size("_w")
+    sized = words.select("*", n.alias("_n"), F.when(n > 0, g % n).alias("_a"), (3 + g % 8).alias("_k"))
+    rest = F.col("_n") - F.col("_a")
+    period = (1 + F.floor(rest / F.col("_k"))).cast("int")
+    cycle = F.slice("_w", (F.col("_a") + 1).cast("int"), period)
+    round_and_round = F.flatten(F.array_repeat(cycle, F.ceil(rest / period).cast("int")))
+    planted = F.concat(F.slice("_w", F.lit(1), F.col("_a").cast("int")), F.slice(round_and_round, F.lit(1), rest.cast("int")))
+    return sized.select("doc_id", F.when(F.col("_n") > 0, F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find(plant_repeats(_table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("less"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(
+        ",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    best = F.col("_best")
+    return found.withColumn("_best", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-best["before"]).alias("start"), best["length"].alias("length"),
+        (-best["less"]).alias("period"), F.floor(1000 * best["length"] / -best["less"]).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_packing, op2_personal_data, op3_byte_bpe, op4_url_filter, op5_jaccard_join, op6_top_k, op7_chat_format, op8_toxicity,
-        op9_exact_dedup, op10_shards)}
+        op9_exact_dedup, op10_shards, op13_repeats)}
 
 TWINS: dict[str, str] = {
     "op6_top_k": """
