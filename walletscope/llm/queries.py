@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from walletscope.llm import bpe, chat, exact_dedup, jaccard, packing, periodic, pii, shard, topk, toxicity, url_filter
+from walletscope.llm import bpe, chat, exact_dedup, jaccard, packing, periodic, pii, shard, topk, toxicity, turn_repair, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,6 +97,32 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def damage_turns(conversations: DataFrame) -> DataFrame:
+    """The rows of ``conversations``, some of them damaged as crc32 of their id and turn says; NULL is one space there."""
+    def spaced(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    kind = F.crc32(F.concat(spaced("conv_id"), F.lit(":"), spaced("turn")).cast("binary")) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.translate(spaced("text"), ".!?", "")).otherwise(spaced("text"))
+    role = F.when(kind == 4, "user").otherwise(spaced("role"))
+    times = F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1)
+    rows = conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.array_repeat(F.lit(0), times).alias("_t"))
+    return rows.select("conv_id", "turn", "role", "text", F.explode("_t").alias("_")).drop("_")
+
+
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = _table(spark, sf_dir, "conversations")
+    repair = turn_repair.Repair(damage_turns(given))
+    hashes = turn_repair.digests(turn_repair.repaired(repair)).withColumnRenamed("sha256", "repaired_sha256")
+    found = turn_repair.report(repair).withColumn("_k", turn_repair.key_of(F.col("conv_id"))).drop("conv_id")
+    every = given.select("conv_id").distinct().withColumn("_k", turn_repair.key_of(F.col("conv_id")))
+    whole = every.join(found, "_k", "left").join(hashes, F.col("_k") == F.col("key"), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return whole.select("conv_id", *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts),
+                        F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 def plant_repeats(documents: DataFrame) -> DataFrame:
     """doc_id and text; the words of some documents go round in a cycle from some word on, as crc32 of the id says."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -129,7 +155,8 @@ def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_packing, op2_personal_data, op3_byte_bpe, op4_url_filter, op5_jaccard_join, op6_top_k, op7_chat_format, op8_toxicity,
-        op9_exact_dedup, op10_shards, op13_repeats)}
+        op9_exact_dedup, op10_shards,
+        op11_turn_repair, op13_repeats)}
 
 TWINS: dict[str, str] = {
     "op6_top_k": """
