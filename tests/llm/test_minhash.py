@@ -1,0 +1,102 @@
+"""b-bit MinHash near-dedup, by brute force over all pairs."""
+
+import random
+
+import numpy as np
+import pytest
+from helpers import docs, table
+from test_search import plain_join
+
+from walletscope.llm import minhash, queries, shingles
+
+ID_TEXT = "doc_id long, text string"
+
+
+def grouped(df, how):
+    return sorted(map(tuple, minhash.groups(df, how).collect()), key=repr)
+
+
+def family(rng, size, words, edits, vocabulary=5000):
+    """Copies of one text with some words changed at random; their own similarities vary around the threshold."""
+    base = [f"w{rng.randrange(vocabulary)}" for _ in range(words)]
+    texts = []
+    for _ in range(size):
+        t = list(base)
+        for _ in range(rng.choice(edits)):
+            t[rng.randrange(words)] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(t))
+    return texts
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    texts = family(rng, 120, 100, [0, 1, 2, 3, 4, 5, 6]) + family(rng, 90, 40, [1, 2]) + family(rng, 30, 300, [2, 6, 12])
+    passage = " ".join(family(rng, 1, 60, [0]))
+    texts += [f"{passage} {t}" for t in family(rng, 40, 30, [0, 3, 30])]
+    texts += [" ".join(f"w{rng.randrange(9)}" for _ in range(rng.randrange(1, 9))) for _ in range(120)]
+    texts += [t.upper() for t in rng.sample(texts, 20)] + ["", None, " "]
+    rng.shuffle(texts)
+    return [(i, t) for i, t in enumerate(texts)]
+
+
+def test_groups_equal_brute_force(spark):
+    rows = corpus(1)
+    df = spark.createDataFrame(rows, ID_TEXT).repartition(5)
+    for words, percent in ((4, 80), (5, 80), (2, 60)):
+        assert grouped(df, minhash.Sketch(words, percent)) == plain_join(rows, words, percent)
+
+
+def test_small_cells_and_stretches_change_nothing(spark, monkeypatch):
+    """Many cells per bucket, and classes that come in several stretches."""
+    rows = corpus(2)
+    rows += [(1000 + i, t) for i, (_, t) in enumerate(rows[:80])] * 2
+    df = spark.createDataFrame(rows, ID_TEXT).repartition(7)
+    expected = plain_join(rows, 4, 80)
+    assert grouped(df, minhash.Sketch(4, 80, cell=5)) == expected
+    assert grouped(df, minhash.Sketch(4, 80, cell=1)) == expected
+
+
+def test_groups_of_odd_rows(spark):
+    rows = [(r.doc_id, r.text) for r in docs(spark).collect()]
+    for words, percent in ((4, 80), (1, 50)):
+        assert grouped(docs(spark).withColumnRenamed("lang", "cell"), minhash.Sketch(words, percent)) == plain_join(rows, words, percent)
+    assert grouped(docs(spark, []), minhash.Sketch()) == []
+
+
+def test_keep_one_keeps_columns(spark):
+    clash = docs(spark).withColumnRenamed("lang", "_id").withColumnRenamed("source", "component_id")
+    left = minhash.keep_one(clash)
+    assert left.columns == clash.columns
+    assert sorted((r.doc_id for r in left.collect()), key=repr) == [1, 2, 3, 3, 5, 6, 7, None]
+
+
+@pytest.mark.parametrize("bits", [1, 2, 4, 8])
+def test_estimates_are_unbiased(bits):
+    rng = np.random.default_rng(bits)
+    how = minhash.Sketch(bits=bits)
+    for share in (0.0, 0.4, 0.8, 0.95):
+        errors = []
+        for _ in range(150):
+            common = rng.integers(0, 1 << 63, 400).astype(np.uint64)
+            k = round(400 * share)
+            a, b = (np.unique(np.concatenate([common[:k], rng.integers(0, 1 << 63, 400 - k).astype(np.uint64)])) for _ in "ab")
+            s = minhash.signatures(minhash.minima([a, b], how), how)
+            errors.append(minhash.estimates(s[0], s[1], how) - len(np.intersect1d(a, b)) / len(np.union1d(a, b)))
+        chance = 0.5 ** bits
+        spread = np.sqrt(0.25 / how.size / 150) / (1 - chance)
+        assert abs(np.mean(errors)) < 5 * spread
+
+
+def test_signature_bits_are_the_low_bits_of_the_minima():
+    sets = shingles.shingle_sets(["a b c d e f g", "h i j k l m n o p"], 2)
+    how = minhash.Sketch()
+    least = minhash.minima(sets, how)
+    assert minhash.signatures(least, how).shape == (2, how.bits * how.size // 64)
+    same = sum(int(a) % 16 == int(b) % 16 for a, b in zip(*least))
+    assert minhash.estimates(*minhash.signatures(least, how), how) == pytest.approx((same / 128 - 1 / 16) / (15 / 16))
+
+
+def test_query(spark):
+    rows = [(r.doc_id, r.text) for r in table(spark, "documents").collect()]
+    got = sorted(map(tuple, queries.op12_minhash(spark, "/root/testdata/sf0.001").collect()), key=repr)
+    assert got == [(*r, r[0] == r[2]) for r in plain_join(rows, 4, 80)]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from walletscope.llm import bpe, chat, exact_dedup, jaccard, packing, periodic, pii, shard, topk, toxicity, turn_repair, url_filter
+from walletscope.llm import bpe, chat, exact_dedup, jaccard, minhash, packing, periodic, pii, shard, topk, toxicity, turn_repair, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -123,6 +123,11 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.groups(_table(spark, sf_dir, "documents"), minhash.Sketch(words=4, percent=80))
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 def plant_repeats(documents: DataFrame) -> DataFrame:
     """doc_id and text; the words of some documents go round in a cycle from some word on, as crc32 of the id says."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -156,7 +161,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_packing, op2_personal_data, op3_byte_bpe, op4_url_filter, op5_jaccard_join, op6_top_k, op7_chat_format, op8_toxicity,
         op9_exact_dedup, op10_shards,
-        op11_turn_repair, op13_repeats)}
+        op11_turn_repair, op12_minhash, op13_repeats)}
 
 TWINS: dict[str, str] = {
     "op6_top_k": """
