@@ -230,7 +230,7 @@ def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.n
 
 
 def _confirmed(how: Sketch) -> Callable[[Batches], Batches]:
-    """Links between the classes of each cell that join components, on the whole sets of their texts."""
+    """Links between the classes of each cell that join components, on their whole sets."""
     def links(side: list[int], c: list[int], comp: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
         left, right, alone = _sides(np.array(side))
         if not len(left) or not len(right) or len(sets) < 2:
@@ -266,14 +266,12 @@ def _confirmed(how: Sketch) -> Callable[[Batches], Batches]:
             return pa.record_batch({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
 
         for batch in batches:
-            cell, side, c, comp = (batch.column(i).to_pylist() for i in range(4))
-            for part, texts in text_slices(batch.column(4), STRETCH):
-                for at, shingles in zip(range(part.start, part.stop), shingle_sets(texts, how.words)):
-                    if cell[at] != now:
-                        yield done()
-                        now = cell[at]
-                    for r, value in zip(rows, (side[at], c[at], comp[at], shingles)):
-                        r.append(value)
+            for cell, side, c, comp, shingles in zip(*(column.to_pylist() for column in batch.columns)):
+                if cell != now:
+                    yield done()
+                    now = cell
+                for r, value in zip(rows, (side, c, comp, np.frombuffer(shingles, np.uint64))):
+                    r.append(value)
         yield done()
     return run
 
@@ -284,12 +282,39 @@ def _row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col))
 
 
-def _confirm(cells: DataFrame, known: DataFrame, docs: DataFrame, how: Sketch, id_col: str, text_col: str) -> DataFrame:
-    """Links (a, b) inside ``cells`` (cell, side, c, comp). One document of each class lends its text."""
-    wanted = settle(cells.select("c").distinct().join(known.select("c", "row_key"), "c").withColumnRenamed("row_key", "_key"), "minhash-wanted")
+def _perhaps(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose 64-bit hash ``key`` is not in ``wanted``, and with all that are.
+
+    The wanted hashes mark bits of a map of a fixed size, 8 MB, which may be broadcast. With
+    very many of them most bits are set, and most rows stay.
+    """
+    bit = F.col(key).bitwiseAND(F.lit((1 << 26) - 1))
+    marked = wanted.groupBy(F.shiftright(bit, 15).alias("_part")).agg(
+        F.bitmap_construct_agg(bit.bitwiseAND(F.lit(32767))).alias("_bits"))
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright(bit.bitwiseAND(F.lit(32767)), 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    met = rows.withColumn("_part", F.shiftright(bit, 15)).join(F.broadcast(marked), "_part")
+    set_bit = met.withColumns({"_byte": byte, "_nth": bit.bitwiseAND(F.lit(7)).cast("int")})
+    return set_bit.where(F.expr("(_byte >> _nth) & 1 = 1")).drop("_part", "_bits", "_byte", "_nth")
+
+
+def _whole_sets(docs: DataFrame, known: DataFrame, how: Sketch, id_col: str, text_col: str) -> DataFrame:
+    """c, shingles: whole sets of the classes that share a bucket. One document of each class lends its text."""
+    wanted = known.select("c", F.col("row_key").alias("_key"))
     rows = docs.select(_row_key(id_col, text_col).alias("_key"), F.col(text_col).alias("text"))
-    texts = rows.join(wanted, "_key").groupBy("c").agg(F.first("text").alias("text"))
-    met = cells.join(texts, "c").select("cell", "side", "c", "comp", "text")
+    texts = _perhaps(rows, "_key", wanted.select("_key")).join(wanted, "_key").groupBy("c").agg(F.first("text").alias("text"))
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            for part, some in text_slices(batch.column(1), STRETCH):
+                sets = [x.tobytes() for x in shingle_sets(some, how.words)]
+                yield pa.record_batch({"c": batch.column(0)[part], "shingles": pa.array(sets, pa.binary())})
+
+    return settle(texts.mapInArrow(run, "c bigint, shingles binary"), "minhash-sets")
+
+
+def _confirm(cells: DataFrame, sets: DataFrame, how: Sketch) -> DataFrame:
+    """Links (a, b) inside ``cells`` (cell, side, c, comp)."""
+    met = cells.join(sets, "c").select("cell", "side", "c", "comp", "shingles")
     return met.repartition("cell").sortWithinPartitions("cell").mapInArrow(_confirmed(how), "a bigint, b bigint")
 
 
@@ -367,9 +392,9 @@ def groups(docs: DataFrame, how: Sketch = Sketch(), id_col: str = "doc_id", text
     scores = members.groupBy("c").agg(F.sum("size").alias("score"))
     known = settle(classes.select("c", "row_key", "sig", "keys").join(scores, "c"), "minhash-known")
     members = members.select("band", "key", "c")
-    links = settle(_confirm(_pivot_cells(members, known, how), known, docs, how, id_col, text_col), "minhash-links")
-    still_open = _open_cells(members, known, components(links), how)
-    links = links.unionByName(_confirm(still_open, known, docs, how, id_col, text_col))
+    sets = _whole_sets(docs, known, how, id_col, text_col)
+    links = settle(_confirm(_pivot_cells(members, known, how), sets, how), "minhash-links")
+    links = links.unionByName(_confirm(_open_cells(members, known, components(links), how), sets, how))
     linked = components(links).withColumnRenamed("vertex", "c")
     least = classes.select("c", "least")
     lowest = linked.join(least, "c").groupBy("component").agg(F.min("least").alias("lowest"))
