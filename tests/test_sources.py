@@ -95,7 +95,7 @@ def test_sinks_get_the_alerts_of_each_batch(spark, tmp_path):
     def small(judged):
         return alerts.alert_rows(judged).where("amount < 150")
 
-    step = runs.handle(root, sinks=[sinks.line_sink(f"{root}/lines", alerts.alert_lines)],
+    step = runs.handle(root, run="r", sinks=[sinks.line_sink(f"{root}/lines", alerts.alert_lines)],
                        rules={"whale": alerts.alert_rows, "small": small})
     for _ in range(2):  # a replay overwrites its own lines
         step(arrivals, 0)
@@ -124,7 +124,7 @@ def test_duplicate_page_events_are_stored_once(spark, tmp_path):
         F.col("cursor.secondary").alias("tx_hash"), F.col("occurred_at").alias("block_time"), "raw_json",
         F.lit("c").alias("correlation_id"), F.monotonically_increasing_id().alias("arrival_seq"),
         F.col("occurred_at").alias("arrived_at"))
-    step = runs.store_new(root)
+    step = runs.store_new(root, run="r")
     step(events, 0)
     step(events, 1)
     assert sinks.read_events(spark, root).count() == 1

@@ -14,12 +14,12 @@ from walletscope.operators import (
 )
 from walletscope.plans.settle import settle
 from walletscope.sample import (
-    CUT, OTHER_ASSET, OTHER_CHAIN, OTHER_PROVIDER, Sample, address, arrivals_from_events, as_of, asset_wallet,
+    CUT, OTHER_ASSET, OTHER_CHAIN, OTHER_PROVIDER, REDELIVERED, Sample, address, arrivals_from_events, as_of, asset_wallet,
     events_from_tx, tx_from_events,
 )
 from walletscope.schemas import METRIC_SAMPLES, MONITORED_KEY, WALLET
 from walletscope.session import shared_dir
-from walletscope.sinks import messages as message_sink, tables as table_sink
+from walletscope.sinks import commits, messages as message_sink, tables as table_sink
 from walletscope.sources import holders, messages, pages, tables
 from walletscope.streaming import runs
 
@@ -159,20 +159,20 @@ def _(s: Sample) -> DataFrame:
 def _(s: Sample) -> DataFrame:
     """Two versions of the checkpoint table: as stored earlier, then folded with all arrivals."""
     root = shared_dir(s.spark, "state")
-    table_sink.write_state(s.checkpoints(CUT), root, "checkpoints", 0)
-    stored = table_sink.read_state(s.spark, root, "checkpoints", 0)
-    table_sink.write_state(checkpoints.final_checkpoints(s.arrivals(), stored), root, "checkpoints", 1)
-    return table_sink.read_state(s.spark, root, "checkpoints", 1)
+    table_sink.write_states(root, {"checkpoints": s.checkpoints(CUT)})
+    stored = table_sink.read_state(s.spark, root, "checkpoints")
+    table_sink.write_states(root, {"checkpoints": checkpoints.final_checkpoints(s.arrivals(), stored)})
+    return table_sink.read_state(s.spark, root, "checkpoints")
 
 
 @query("snk_monitored")
 def _(s: Sample) -> DataFrame:
     """Two versions of the monitored table: as stored, then with the discovered holders."""
     root = shared_dir(s.spark, "monitored")
-    table_sink.write_state(s.monitored(), root, "monitored_addresses", 0)
-    stored = table_sink.read_state(s.spark, root, "monitored_addresses", 0)
-    table_sink.write_state(monitored.upsert_monitored(stored, _discoveries(s), as_of()), root, "monitored_addresses", 1)
-    return table_sink.read_state(s.spark, root, "monitored_addresses", 1)
+    table_sink.write_states(root, {"monitored_addresses": s.monitored(), "checkpoints": s.checkpoints(CUT)})
+    stored = table_sink.read_state(s.spark, root, "monitored_addresses")
+    table_sink.write_states(root, {"monitored_addresses": monitored.upsert_monitored(stored, _discoveries(s), as_of())})
+    return table_sink.read_state(s.spark, root, "monitored_addresses")
 
 
 @query("snk_alert_lines")
@@ -201,8 +201,10 @@ def _(s: Sample) -> DataFrame:
         breaker=metrics.breaker_state(s.samples().where(F.col("metric") == "circuit_breaker_state")),
         discovery=metrics.discovery_last_success(held))
     root = shared_dir(s.spark, "metrics")
-    table_sink.write_rows(rows, root, "samples", table_sink.Batch("cycle", 0))
-    return (s.spark.read.schema(METRIC_SAMPLES).parquet(f"{root}/samples")
+    cycle = commits.batch_of(rows, 0, "cycle")
+    commits.write(rows, root, "samples", cycle)
+    commits.commit(s.spark, root, cycle, ["samples"])
+    return (commits.read(s.spark, root, "samples", METRIC_SAMPLES)
             .select("metric", gauges.series_key(F.col("labels")).alias("series"), "ts", "value"))
 
 
@@ -667,20 +669,21 @@ def _(s: Sample) -> DataFrame:
     return handle.handle_batch(s.arrivals(), s.stored_events(CUT), s.checkpoints(CUT))
 
 
-def _stream_waves(s: Sample, root: str, each: Callable[[DataFrame, int], object]) -> None:
+def _stream_waves(s: Sample, root: str, each: Callable[[DataFrame, int], object],
+                  prepared: Callable[[DataFrame], DataFrame] = lambda stream: stream) -> None:
     """All deliveries as a stream that stops and goes on: three waves, each after the one before.
 
     The waves follow the order of arrival; a new log takes the last one, over the same tables.
     """
     arrivals, landing = s.arrivals(), f"{root}/landing"
-    seq, late = F.col("arrival_seq"), 10_000_002
+    seq, late = F.col("arrival_seq"), REDELIVERED
     middle = arrivals.agg(F.floor(F.avg(F.when(seq < late, seq))).cast("bigint")).first()[0]
     waves = [(seq < middle) & (seq < late), (seq >= middle) & (seq < late), seq >= late]
     for number, wave in enumerate(waves):
         folder = f"{landing}/{'new' if number == 2 else 'old'}"
         arrivals.where(wave).write.mode("append").parquet(folder)
         stream = s.spark.readStream.schema(arrivals.schema).parquet(folder)
-        runs.run_available(stream, each, f"{root}/log-{'new' if number == 2 else 'old'}")
+        runs.run_available(prepared(stream), each, f"{root}/log-{'new' if number == 2 else 'old'}")
 
 
 @query("handle_stream")
@@ -688,7 +691,7 @@ def _(s: Sample) -> DataFrame:
     """The consumer as a stream over all deliveries; its per-event results read back."""
     root = shared_dir(s.spark, "handled")
     _stream_waves(s, root, runs.handle(root, created_at=F.col("block_time")))
-    return s.spark.read.parquet(f"{root}/results").drop("run", "batch")
+    return runs.read_output(s.spark, root, "results").drop("run", "batch")
 
 
 @query("dedupe_stream")
@@ -706,6 +709,15 @@ def _(s: Sample) -> DataFrame:
     return table_sink.read_events(s.spark, root).select("event_id", *WALLET, "lt", "tx_hash")
 
 
+@query("dedupe_stream_watermark")
+def _(s: Sample) -> DataFrame:
+    """The same with Spark's watermark state; what it drops as late or copied is looked up exactly."""
+    root = shared_dir(s.spark, "watermarked")
+    _stream_waves(s, root, runs.store_passed(root, created_at=F.col("block_time")), runs.within_watermark)
+    return (table_sink.read_events(s.spark, root)
+            .select("event_id", *WALLET, "lt", "tx_hash", "arrival_seq"))
+
+
 @query("checkpoint_stream")
 def _(s: Sample) -> DataFrame:
     root = shared_dir(s.spark, "marks")
@@ -717,7 +729,7 @@ def _(s: Sample) -> DataFrame:
 def _(s: Sample) -> DataFrame:
     root = shared_dir(s.spark, "conflicts")
     _stream_waves(s, root, runs.track(root))
-    return s.spark.read.parquet(f"{root}/conflicts").drop("run", "batch", "arrived_at")
+    return runs.read_output(s.spark, root, "conflicts").drop("run", "batch", "arrived_at")
 
 
 @query("failed_events")

@@ -21,6 +21,7 @@ from walletscope.sources.messages import failed_attempts
 AS_OF = "2024-01-31 00:00:00"
 CUT = "2024-01-15 00:00:00"  # state "as stored earlier" for fetch and dedupe queries
 PAGE_ROWS = 20
+REDELIVERED = 10_000_002  # arrival number from which on copies come
 OTHER_CHAIN, OTHER_PROVIDER = "ever", "everapi"
 OTHER_ASSET = "5-LOW"  # the asset held on the second chain
 
@@ -107,7 +108,7 @@ def arrivals_from_events(events: DataFrame) -> DataFrame:
         F.array(F.struct((lt * 4).alias("seq"), F.col("tx_hash").alias("hash"))),
         F.when(lt % 97 == 0, F.array(F.struct((lt * 4 + 1).alias("seq"), rival.alias("hash"))))
         .otherwise(F.array().cast("array<struct<seq: bigint, hash: string>>")),
-        F.when(lt % 10 == 0, F.array(F.struct((lt * 4 + 10_000_002).alias("seq"),
+        F.when(lt % 10 == 0, F.array(F.struct((lt * 4 + REDELIVERED).alias("seq"),
                                               F.col("tx_hash").alias("hash"))))
         .otherwise(F.array().cast("array<struct<seq: bigint, hash: string>>")))
     return (events.select("chain", "provider", "address", "lt", "block_time", "raw_json",

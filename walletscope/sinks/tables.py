@@ -1,106 +1,130 @@
-"""Parquet tables written batch by batch.
+"""The stored tables: events and their ids, checkpoints, state tables, text lines.
 
-A batch writes its own folder with overwrite, so a batch that is run again after a
-failure replaces its rows instead of adding them twice. The folder names the run (the
-stream log) and the batch: a new log over tables that hold rows already adds to them.
+All but the text lines are written batch by batch and committed whole (``sinks.commits``).
+
+An event id is a digest of chain, address, lt and transaction hash. So an id that is the
+digest of its row can only be stored under the same chain and lt: its lookup reads the batches
+whose lt spans it falls into, and in their files, sorted by chain and lt, the row groups that
+can hold it. Ids that are no such digest are kept apart and looked up everywhere.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from bisect import bisect_left
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from walletscope import schemas
+from walletscope.functions import event_id
 from walletscope.schemas import WALLET
+from walletscope.sinks.commits import Batch, commit, entries, others, read, write
 
 EVENT_ROW = ("event_id string, chain string, address string, provider string, lt bigint, "
              "tx_hash string, block_time timestamp, raw_json string, correlation_id string, "
              "arrival_seq bigint, arrived_at timestamp, created_at timestamp")
-_BATCH = "run string, batch bigint"
-#: Ways that the ids and the checkpoints are split into folders, so that a batch reads those it needs.
+ID_ROW = "event_id string, chain string, lt bigint"
+#: Folders of a checkpoint base, so that a batch reads those of its wallets.
 BUCKETS = 64
+#: Spans of lt kept per chain and batch; ranges pushed down into one scan at most.
+SPANS, RANGES = 32, 256
+#: A base is written anew after so many batches, or when the moves since outgrow it.
+BASE_BATCHES = 32
 
 
-class Batch(NamedTuple):
-    """A batch of a run; its outputs lie below ``run=.../batch=...`` of each table."""
-
-    run: str
-    number: int
-
-    @property
-    def name(self) -> str:
-        return f"run={self.run}/batch={self.number}"
-
-
-def batch_of(df: DataFrame, number: int, run: str | None = None) -> Batch:
-    """The batch in hand; in a stream its log names the run, so a replay has the same name."""
-    query = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-    return Batch(run or query or "direct", number)
-
-
-def others(batch: Batch) -> Column:
-    """Rows of other batches: of other runs, and of this run's earlier batches."""
-    return (F.col("run") != batch.run) | (F.col("batch") < batch.number)
-
-
-def _bucket(*columns: str) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(BUCKETS)).cast("int")
-
-
-def read_table(spark: SparkSession, root: str, table: str, shape: str) -> DataFrame:
-    """All batches of a table, or no rows where nothing has been written yet."""
-    try:
-        return spark.read.schema(shape).parquet(f"{root}/{table}")
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], shape)
+# ---- events and their ids ------------------------------------------------------------
 
+def lt_spans(rows: DataFrame) -> DataFrame:
+    """(chain, lo, hi) that cover all ``lt`` of the rows, some ``SPANS`` per chain; stragglers get their own."""
+    ends = rows.groupBy("chain").agg(F.min("lt").alias("_lo"), F.max("lt").alias("_hi"))
+    width = F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1) / SPANS))
+    cell = F.floor((F.col("lt") - F.col("_lo")) / width)
+    return (rows.select("chain", "lt").join(ends, "chain").groupBy("chain", cell.alias("_cell"))
+            .agg(F.min("lt").alias("lo"), F.max("lt").alias("hi")).drop("_cell"))
 
-def write_rows(rows: DataFrame, root: str, table: str, batch: Batch) -> DataFrame:
-    """Write a batch of a table and read it back."""
-    path = f"{root}/{table}/{batch.name}"
-    rows.write.mode("overwrite").parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
+def _derived() -> Column:
+    return F.coalesce(F.col("event_id") == event_id("chain", "address", "lt", "tx_hash"), F.lit(False))
 
-# ---- events and their ids ------------------------------------------------------------
 
 def write_events(fresh: DataFrame, root: str, batch: Batch, created_at: Column | None = None) -> DataFrame:
-    """Append new events, laid out by chain and block date, and their ids, by chain and bucket.
+    """New events, laid out by chain and block date, and their ids, sorted by chain and lt.
 
     The rebalance hint sizes the files per date and splits a date that is too big. Gives
     the events as stored.
     """
     stamped = fresh.withColumn("created_at", F.current_timestamp() if created_at is None else created_at)
-    path = f"{root}/events/{batch.name}"
-    (stamped.withColumn("block_date", F.to_date("block_time"))
-     .hint("rebalance", "chain", "block_date")
-     .write.mode("overwrite").partitionBy("chain", "block_date").parquet(path))
-    stored = fresh.sparkSession.read.schema(EVENT_ROW).parquet(path)
-    (stored.select("event_id", "chain", F.to_date("block_time").alias("block_date"), _bucket("event_id").alias("bucket"))
-     .hint("rebalance", "chain", "bucket")
-     .write.mode("overwrite").partitionBy("chain", "bucket").parquet(f"{root}/event_ids/{batch.name}"))
+    laid_out = stamped.withColumn("block_date", F.to_date("block_time")).hint("rebalance", "chain", "block_date")
+    write(laid_out, root, "events", batch, ["chain", "block_date"])
+    stored = fresh.sparkSession.read.schema(EVENT_ROW).parquet(batch.folder(root, "events"))
+    ids = stored.select("event_id", "chain", "lt", _derived().alias("_derived"))
+    write(ids.where("_derived").drop("_derived").repartitionByRange("chain", "lt").sortWithinPartitions("chain", "lt"),
+          root, "event_ids", batch)
+    write(ids.where("NOT _derived").drop("_derived"), root, "foreign_ids", batch)
     return stored
 
 
+def stored_tables(root: str, batch: Batch, spark: SparkSession) -> list[str]:
+    """The event tables of an attempt; those for odd rows only if there are any, so that nobody reads empty ones."""
+    odd = [t for t in ("foreign_ids", "unidentified")
+           if not spark.read.schema("event_id string, lt bigint").parquet(batch.folder(root, t)).isEmpty()]
+    return ["events", "event_ids", *odd]
+
+
+def spans_of(root: str, batch: Batch, spark: SparkSession) -> list:
+    """The lt spans of the ids that an attempt has written: a bounded number per chain."""
+    ids = spark.read.schema(ID_ROW).parquet(batch.folder(root, "event_ids"))
+    return lt_spans(ids).select("chain", "lo", "hi").collect()
+
+
 def read_events(spark: SparkSession, root: str) -> DataFrame:
-    return read_table(spark, root, "events", f"{EVENT_ROW}, block_date date, {_BATCH}")
+    return read(spark, root, "events", f"{EVENT_ROW}, block_date date")
 
 
-def stored_ids(arrivals: DataFrame, root: str, batch: Batch) -> DataFrame:
-    """Ids stored by other batches, from the folders that can hold an id of the arrivals.
+def stored_ids(arrivals: DataFrame, root: str, batch: Batch, among: Sequence[Row] | None = None) -> DataFrame:
+    """Ids stored by other batches (or ``among`` these) that can equal an id of the arrivals.
 
-    The folders' names are collected: at most BUCKETS for each chain.
+    Collected are the arrivals' lt spans, a bounded number per chain.
     """
     spark = arrivals.sparkSession
-    ids = read_table(spark, root, "event_ids", f"event_id string, block_date date, chain string, bucket int, {_BATCH}")
-    places = arrivals.select("chain", _bucket("event_id").alias("bucket")).distinct().collect()
-    chains, buckets = {p["chain"] for p in places}, {p["bucket"] for p in places}
-    return ids.where(others(batch) & F.col("chain").isin(*chains) & F.col("bucket").isin(*buckets)).select("event_id")
+    known = entries(spark, root, batch) if among is None else among
+    narrow = arrivals.where("event_id IS NOT NULL").select("event_id", "chain", "lt", _derived().alias("_derived"))
+    ids = read(spark, root, "foreign_ids", ID_ROW, known).select("event_id")
+    if any("event_ids" in e["tables"] for e in known):
+        ids = ids.unionByName(_of_spans(spark, root, known, lt_spans(narrow.where("_derived")).collect()))
+        strange = narrow.where("NOT _derived").select("event_id")
+        if not strange.isEmpty():
+            everywhere = read(spark, root, "event_ids", ID_ROW, known).select("event_id")
+            ids = ids.unionByName(everywhere.join(strange, "event_id", "left_semi"))
+    return ids
+
+
+def meeting(known: Sequence[Row], spans: Sequence[Row]) -> list[Row]:
+    """The batches with an lt span that meets one of the given spans, which are disjoint per chain."""
+    ends: dict[str, list[tuple[int, int]]] = {}
+    for s in spans:
+        ends.setdefault(s["chain"], []).append((s["hi"], s["lo"]))
+    for each in ends.values():
+        each.sort()
+
+    def meets(span: Row) -> bool:
+        mine = ends.get(span["chain"], [])
+        at = bisect_left(mine, (span["lo"],))
+        return at < len(mine) and mine[at][1] <= span["hi"]
+
+    return [e for e in known if any(map(meets, e["spans"]))]
+
+
+def _of_spans(spark: SparkSession, root: str, known: Sequence[Row], spans: Sequence[Row]) -> DataFrame:
+    """Ids of the batches that meet the spans, with the spans as filters for the scan."""
+    ids = read(spark, root, "event_ids", ID_ROW, meeting(known, spans))
+    if 0 < len(spans) <= RANGES:
+        ids = ids.where(reduce(or_, [(F.col("chain") == s["chain"]) & F.col("lt").between(s["lo"], s["hi"]) for s in spans]))
+    return ids.select("event_id")
 
 
 def ids_near(arrivals: DataFrame, root: str, batch: Batch, horizon: str) -> DataFrame:
@@ -113,12 +137,8 @@ def ids_near(arrivals: DataFrame, root: str, batch: Batch, horizon: str) -> Data
 
 # ---- checkpoints -----------------------------------------------------------------------
 
-def write_checkpoints(changed: DataFrame, root: str, batch: Batch) -> None:
-    """The checkpoints that a batch has moved; those of other wallets are not written again."""
-    (changed.select("chain", "address", "provider", "last_lt", "last_hash", "updated_at",
-                    _bucket(*WALLET).alias("bucket"))
-     .hint("rebalance", "bucket")
-     .write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/checkpoints/{batch.name}"))
+def _bucket(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(BUCKETS)).cast("int")
 
 
 def _latest(moves: DataFrame) -> DataFrame:
@@ -127,42 +147,96 @@ def _latest(moves: DataFrame) -> DataFrame:
     return moves.groupBy(*WALLET).agg(top).select(*WALLET, "top.last_lt", "top.last_hash", "top.updated_at")
 
 
+class Marks(NamedTuple):
+    """The newest checkpoint base, the moves since, and how many rows and batches these are."""
+
+    base: DataFrame
+    moves: DataFrame
+    base_rows: int
+    later_moves: int
+    later_batches: int
+
+
+def _marks(spark: SparkSession, root: str, known: Sequence[Row]) -> Marks:
+    """A base holds what was known before its own batch, so the batch's own moves count as later."""
+    base = max((e for e in known if "checkpoint_base" in e["tables"]), key=lambda e: e["seq"], default=None)
+    later = [e for e in known if base is None or e["seq"] >= base["seq"]]
+    columns = [c.split()[0] for c in schemas.CHECKPOINTS.split(", ")]
+    held = read(spark, root, "checkpoint_base", f"{schemas.CHECKPOINTS}, bucket int", [base] if base else [])
+    return Marks(held.select(*columns, "bucket"), read(spark, root, "checkpoints", schemas.CHECKPOINTS, later).select(*columns),
+                 base["base_rows"] if base else 0, sum(e["moves"] for e in later), len(later))
+
+
 def read_checkpoints(spark: SparkSession, root: str) -> DataFrame:
-    return _latest(read_table(spark, root, "checkpoints", f"{schemas.CHECKPOINTS}, bucket int, {_BATCH}"))
+    marks = _marks(spark, root, entries(spark, root))
+    return _latest(marks.base.drop("bucket").unionByName(marks.moves))
 
 
 def checkpoints_before(arrivals: DataFrame, root: str, batch: Batch) -> DataFrame:
     """Checkpoints of the arrivals' wallets as other batches have left them.
 
-    Only the buckets of those wallets are read, and only those wallets are folded.
+    Read are the base's buckets of those wallets and the moves since the base; only those wallets are folded.
     """
     spark = arrivals.sparkSession
-    moves = read_table(spark, root, "checkpoints", f"{schemas.CHECKPOINTS}, bucket int, {_BATCH}")
     wallets = arrivals.select(*WALLET).distinct()
     buckets = [r["bucket"] for r in wallets.select(_bucket(*WALLET).alias("bucket")).distinct().collect()]
-    near = moves.where(others(batch) & F.col("bucket").isin(*buckets))
+    marks = _marks(spark, root, entries(spark, root, batch))
+    near = marks.base.where(F.col("bucket").isin(*buckets)).drop("bucket").unionByName(marks.moves)
     return _latest(near.join(wallets, WALLET, "left_semi"))
 
 
+def write_checkpoints(changed: DataFrame, root: str, batch: Batch) -> int:
+    """The checkpoints that a batch has moved; those of other wallets are not written again. Gives their number."""
+    return write(changed.select("chain", "address", "provider", "last_lt", "last_hash", "updated_at"), root, "checkpoints", batch).count()
+
+
+def write_base(spark: SparkSession, root: str, batch: Batch) -> int | None:
+    """The whole state before this batch as a new base, when the old one has fallen behind; its rows.
+
+    A base is rewritten after as many moves as it has rows, so each move is copied a bounded
+    number of times, and readers meet few more moves than wallets.
+    """
+    marks = _marks(spark, root, entries(spark, root, batch))
+    outgrown = marks.later_moves > marks.base_rows and marks.later_batches > 1
+    if not marks.later_moves or not (outgrown or marks.later_batches >= BASE_BATCHES):
+        return None
+    state = _latest(marks.base.drop("bucket").unionByName(marks.moves))
+    laid_out = state.withColumn("bucket", _bucket(*WALLET)).hint("rebalance", "bucket")
+    return write(laid_out, root, "checkpoint_base", batch, ["bucket"]).count()
+
+
 def compact(spark: SparkSession, root: str, fresh_root: str) -> None:
-    """Events, ids and checkpoints in one batch each below ``fresh_root``, where a stream may go on."""
+    """Events, ids and checkpoints in one batch below ``fresh_root``, where a stream may go on."""
     whole = Batch("compacted", 0)
     columns = [c.split()[0] for c in EVENT_ROW.split(", ")]
     write_events(read_events(spark, root).select(*columns), fresh_root, whole, F.col("created_at"))
-    write_checkpoints(read_checkpoints(spark, root), fresh_root, whole)
+    write(read(spark, root, "unidentified", EVENT_ROW).drop("run", "batch", "created_at"), fresh_root, "unidentified", whole)
+    moves = write_checkpoints(read_checkpoints(spark, root), fresh_root, whole)
+    commit(spark, fresh_root, whole, [*stored_tables(fresh_root, whole, spark), "checkpoints"], spans_of(fresh_root, whole, spark), moves=moves)
 
 
-# ---- versions and lines -------------------------------------------------------------------
+# ---- state tables and lines -----------------------------------------------------------------
 
-def write_state(state: DataFrame, root: str, table: str, version: int) -> None:
-    """A whole new version of a state table; earlier ones stay until they are cleaned up."""
-    state.write.mode("overwrite").parquet(f"{root}/{table}/version={version}")
+_STATES = {"checkpoints": schemas.CHECKPOINTS, "monitored_addresses": schemas.MONITORED_ADDRESSES}
 
 
-def read_state(spark: SparkSession, root: str, table: str, version: int) -> DataFrame:
-    shape = {"checkpoints": schemas.CHECKPOINTS,
-             "monitored_addresses": schemas.MONITORED_ADDRESSES}[table]
-    return spark.read.schema(shape).parquet(f"{root}/{table}/version={version}")
+def write_states(root: str, states: dict[str, DataFrame]) -> None:
+    """A new version of one or more state tables; readers see all of them change at once.
+
+    They may be made from ``read_state`` of the same root: earlier versions stay as they are.
+    """
+    spark = next(iter(states.values())).sparkSession
+    last = max((e["batch"] for e in entries(spark, root) if e["run"] == "state"), default=-1)
+    version = Batch("state", last + 1, uuid.uuid4().hex)
+    for table, rows in states.items():
+        write(rows, root, table, version)
+    commit(spark, root, version, list(states))
+
+
+def read_state(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """The newest committed version of a state table."""
+    held = [e for e in entries(spark, root) if e["run"] == "state" and table in e["tables"]]
+    return read(spark, root, table, _STATES[table], sorted(held, key=lambda e: e["batch"])[-1:]).drop("run", "batch")
 
 
 def write_lines(rows: DataFrame, path: str, mode: str = "append") -> None:

@@ -692,7 +692,7 @@ _HANDLED = """
         where nano >= 100000000000 group by lt) a on h.lt = a.lt"""
 TWINS["handle_batch"] = _twin(_HANDLED.format(source="handled", total=_units("cast(sum(nano) as bigint)")), "handled", "transfers")
 TWINS["handle_stream"] = _twin(_HANDLED.format(source="fold", total=_units("cast(sum(nano) as bigint)")), "fold", "transfers")
-TWINS["dedupe_stream"] = TWINS["first_arrival"]
+TWINS["dedupe_stream"] = TWINS["dedupe_stream_watermark"] = TWINS["first_arrival"]
 TWINS["dedupe_stream_bounded"] = _twin(
     "select event_id, chain, address, provider, lt, tx_hash from first_arrivals", "first_arrivals")
 TWINS["checkpoint_stream"] = TWINS["snk_state_tables"]

@@ -1,41 +1,60 @@
-"""Streaming queries: exact or date-bounded dedupe, running checkpoints, the whole handler.
+"""Streaming queries: exact, date-bounded or watermark-bounded dedupe, running checkpoints, the whole handler.
 
 All work per batch in foreachBatch against the tables of earlier batches, whichever run
-wrote them. A batch reads the parts of those tables that can concern it and writes what
-it changes.
+wrote them. A batch reads the parts of those tables that can concern it, writes what it
+changes, and commits all its tables at once at its end.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from walletscope import params
 from walletscope.operators.alerts import alert_rows, decision_rows
 from walletscope.operators.checkpoints import checkpoint_conflicts, checkpoint_fold, moved_checkpoints
 from walletscope.operators.handle import event_results, judge
-from walletscope.operators.ingest import new_events, unidentified
+from walletscope.operators.ingest import first_arrival, new_events, unidentified
+from walletscope.sinks.commits import Batch, batch_of, commit, entries, read, write
 from walletscope.sinks.tables import (
-    Batch, batch_of, checkpoints_before, ids_near, stored_ids, write_checkpoints, write_events, write_rows,
+    checkpoints_before, ids_near, spans_of, stored_ids, stored_tables, write_base, write_checkpoints, write_events,
 )
 from walletscope.sources.plugins import AlertRule, AlertSink
 
 Each = Callable[[DataFrame, int], None]
 WHALES: Mapping[str, AlertRule] = {"whale": alert_rows}
+_FOLD = ("chain string, address string, provider string, event_id string, lt bigint, tx_hash string, arrival_seq bigint, "
+         "arrived_at timestamp, outcome string")
+#: Columns of the tables that ``track`` and ``handle`` write beside events and checkpoints.
+SHAPES = {
+    "outcomes": _FOLD, "conflicts": _FOLD,
+    "results": ("event_id string, chain string, address string, lt bigint, outcome string, status string, alerts int, "
+                "alerted_amount decimal(38,9)"),
+}
 
 
-def _store(arrivals: DataFrame, root: str, batch: Batch, known: DataFrame, created_at: Column | None) -> DataFrame:
-    """First arrivals with an id that is not known; arrivals without an id go to a table of their own."""
-    write_rows(unidentified(arrivals), root, "unidentified", batch)
-    return write_events(new_events(arrivals, known), root, batch, created_at)
+def read_output(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """One of ``SHAPES`` as committed."""
+    return read(spark, root, table, SHAPES[table])
+
+
+def _store(arrivals: DataFrame, root: str, batch: Batch, fresh: DataFrame, created_at: Column | None) -> DataFrame:
+    """Write new events; arrivals without an id go to a table of their own."""
+    write(unidentified(arrivals), root, "unidentified", batch)
+    return write_events(fresh, root, batch, created_at)
+
+
+def _commit_events(spark: SparkSession, root: str, batch: Batch) -> None:
+    commit(spark, root, batch, stored_tables(root, batch, spark), spans_of(root, batch, spark))
 
 
 def store_new(root: str, created_at: Column | None = None, run: str | None = None) -> Each:
     """Exact idempotence: first arrivals that no other batch has stored."""
     def each(arrivals: DataFrame, number: int) -> None:
         batch = batch_of(arrivals, number, run)
-        _store(arrivals, root, batch, stored_ids(arrivals, root, batch), created_at)
+        _store(arrivals, root, batch, new_events(arrivals, stored_ids(arrivals, root, batch)), created_at)
+        _commit_events(arrivals.sparkSession, root, batch)
 
     return each
 
@@ -48,24 +67,78 @@ def store_within(root: str, horizon: str = "1 day", created_at: Column | None =
     """
     def each(arrivals: DataFrame, number: int) -> None:
         batch = batch_of(arrivals, number, run)
-        _store(arrivals, root, batch, ids_near(arrivals, root, batch, horizon), created_at)
+        _store(arrivals, root, batch, new_events(arrivals, ids_near(arrivals, root, batch, horizon)), created_at)
+        _commit_events(arrivals.sparkSession, root, batch)
+
+    return each
+
+
+def within_watermark(stream: DataFrame, horizon: str = "1 day") -> DataFrame:
+    """The stream with a flag ``fresh``: rows that Spark's watermark state passes as first of their id.
+
+    Each such row comes twice, once with the flag and once among all arrivals. The state holds the ids
+    of the horizon only; what it drops is a copy or lies behind the watermark.
+    """
+    first = stream.withWatermark("block_time", horizon).dropDuplicatesWithinWatermark(["event_id"])
+    return first.withColumn("fresh", F.lit(True)).unionByName(stream.withColumn("fresh", F.lit(False)))
+
+
+def store_passed(root: str, created_at: Column | None = None, run: str | None = None) -> Each:
+    """Store what ``within_watermark`` has passed; look up exactly what it has dropped, and what it cannot know.
+
+    Rows that the state passes are new to their run, so they are looked up among other runs'
+    batches only. Dropped rows, copies and late ones, are looked up everywhere: a new event is
+    stored however late it comes. A copy whose block time is more than the horizon younger than that of
+    the stored event may pass.
+    """
+    def each(flagged: DataFrame, number: int) -> None:
+        spark, batch = flagged.sparkSession, batch_of(flagged, number, run)
+        both = write(flagged, root, "arrived", batch)
+        arrivals, passed = (both.where(F.col("fresh") == f).drop("fresh") for f in (False, True))
+        passed = passed.where("event_id IS NOT NULL")
+        # The state keeps any row of an id; the first arrival of the batch is the one to store.
+        dropped = arrivals.join(passed.select("event_id"), "event_id", "left_anti")
+        known = entries(spark, root, batch)
+        strangers = [e for e in known if e["run"] != batch.run]
+        first = first_arrival(arrivals.join(passed.select("event_id"), "event_id", "left_semi"))
+        fresh = first if not strangers else first.join(stored_ids(first, root, batch, strangers), "event_id", "left_anti")
+        late = new_events(dropped, stored_ids(dropped, root, batch, known))
+        _store(arrivals, root, batch, fresh.unionByName(late.select(*fresh.columns)), created_at)
+        _commit_events(spark, root, batch)
 
     return each
 
 
-def track(root: str, created_at: Column | None = None, run: str | None = None) -> Callable[[DataFrame, int], DataFrame]:
-    """Store new events, move the checkpoints of their wallets and keep outcomes and conflicts.
+def _track(arrivals: DataFrame, root: str, batch: Batch, created_at: Column | None) -> tuple[DataFrame, DataFrame, int | None, int]:
+    """New events, conflicts, the rows of a new checkpoint base and the number of moves, all written and not committed.
 
     The new events are written first and read back: later steps start from that
     table, so a lost executor never repeats the dedupe.
     """
-    def each(arrivals: DataFrame, number: int) -> DataFrame:
+    spark = arrivals.sparkSession
+    fresh = _store(arrivals, root, batch, new_events(arrivals, stored_ids(arrivals, root, batch)), created_at)
+    outcomes = write(checkpoint_fold(fresh, checkpoints_before(fresh, root, batch)).select(*_names("outcomes")), root, "outcomes", batch)
+    moves = write_checkpoints(moved_checkpoints(outcomes), root, batch)
+    conflicts = write(checkpoint_conflicts(outcomes), root, "conflicts", batch)
+    return fresh, conflicts, write_base(spark, root, batch), moves
+
+
+def _names(table: str) -> list[str]:
+    return [c.split()[0] for c in SHAPES[table].split(", ")]
+
+
+def _commit_all(spark: SparkSession, root: str, batch: Batch, base_rows: int | None, moves: int, *more: str) -> None:
+    base = () if base_rows is None else ("checkpoint_base",)
+    commit(spark, root, batch, [*stored_tables(root, batch, spark), "outcomes", "conflicts", "checkpoints", *base, *more],
+           spans_of(root, batch, spark), base_rows, moves)
+
+
+def track(root: str, created_at: Column | None = None, run: str | None = None) -> Each:
+    """Store new events, move the checkpoints of their wallets and keep outcomes and conflicts."""
+    def each(arrivals: DataFrame, number: int) -> None:
         batch = batch_of(arrivals, number, run)
-        fresh = _store(arrivals, root, batch, stored_ids(arrivals, root, batch), created_at)
-        outcomes = write_rows(checkpoint_fold(fresh, checkpoints_before(fresh, root, batch)), root, "outcomes", batch)
-        write_checkpoints(moved_checkpoints(outcomes), root, batch)
-        write_rows(checkpoint_conflicts(outcomes), root, "conflicts", batch)
-        return fresh
+        *_, base_rows, moves = _track(arrivals, root, batch, created_at)
+        _commit_all(arrivals.sparkSession, root, batch, base_rows, moves)
 
     return each
 
@@ -76,22 +149,22 @@ def handle(root: str, created_at: Column | None = None, decided_at: Column | Non
     """The whole consumer as a foreachBatch function over the tables below ``root``.
 
     Each of ``rules`` makes alerts of the judged events; each of ``sinks`` is called with the
-    alerts of the batch and the batch's name, once per rule.
+    alerts of the batch and the batch's name, once per rule, before the batch is committed: a
+    replayed batch calls them again with the same rows and name.
     """
-    follow = track(root, created_at, run)
-
     def each(arrivals: DataFrame, number: int) -> None:
         spark, batch = arrivals.sparkSession, batch_of(arrivals, number, run)
-        fresh = follow(arrivals, number)
-        outcomes, conflicts = (spark.read.parquet(f"{root}/{t}/{batch.name}") for t in ("outcomes", "conflicts"))
-        judged = write_rows(judge(fresh, conflicts, threshold), root, "judged", batch)
+        fresh, conflicts, base_rows, moves = _track(arrivals, root, batch, created_at)
+        outcomes = spark.read.parquet(batch.folder(root, "outcomes"))
+        judged = write(judge(fresh, conflicts, threshold), root, "judged", batch)
         at = F.current_timestamp() if decided_at is None else decided_at
-        write_rows(decision_rows(judged, at), root, "decisions", batch)
-        write_rows(judged.where(F.col("status") == params.EVALUATION_ERROR).drop("hits"), root, "failed_events", batch)
-        write_rows(event_results(outcomes, judged), root, "results", batch)
+        write(decision_rows(judged, at), root, "decisions", batch)
+        write(judged.where(F.col("status") == params.EVALUATION_ERROR).drop("hits"), root, "failed_events", batch)
+        write(event_results(outcomes, judged).select(*_names("results")), root, "results", batch)
         for name, rule in rules.items():
             for sink in sinks:
                 sink(rule(judged), f"rule={name}/{batch.name}")
+        _commit_all(spark, root, batch, base_rows, moves, "judged", "decisions", "failed_events", "results")
 
     return each
 
