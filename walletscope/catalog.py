@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from walletscope import functions as fn, params
 from walletscope.operators import (
@@ -20,8 +20,8 @@ from walletscope.sample import (
 from walletscope.schemas import METRIC_SAMPLES, MONITORED_KEY, WALLET
 from walletscope.session import shared_dir
 from walletscope.sinks import commits, messages as message_sink, tables as table_sink
-from walletscope.sources import holders, messages, pages, tables
-from walletscope.streaming import runs
+from walletscope.sources import holders, messages, pages, plugins, tables
+from walletscope.streaming import counters, keyed, runs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -75,6 +75,28 @@ def _(s: Sample) -> DataFrame:
     return bad.groupBy(*WALLET).agg(F.count(F.lit(1)).alias("bad"), F.count("body").alias("with_text"))
 
 
+@query("event_sources")
+def _(s: Sample) -> DataFrame:
+    """Transactions of two event sources behind one plug-in point: a landing zone of pages, and documents made on the way."""
+    root = shared_dir(s.spark, "landing")
+    _damaged(s.tx_pages(), "{}").where(F.col("chain") != OTHER_CHAIN).drop("page_no").write.parquet(root)
+    made = {"landing": lambda spark: pages.transactions(spark.read.schema(pages.PAGE_FILE).parquet(root)),
+            "direct": lambda spark: pages.transactions(s.tx_pages().where(F.col("chain") == OTHER_CHAIN).drop("page_no"))}
+    return plugins.event_transactions(s.spark, made).drop("body")
+
+
+@query("holder_sources")
+def _(s: Sample) -> DataFrame:
+    """Top holders of all holder sources behind one plug-in point; one that cannot be read is left out."""
+    made = {"native": lambda spark, limit: settle(holders.parse_native(s.native_docs()), "native"),
+            "jetton": lambda spark, limit: settle(holders.parse_jetton(s.jetton_docs(), s.tokens()), "jetton"),
+            "gone": lambda spark, limit: spark.read.parquet(f"{shared_dir(spark, 'gone')}/nothing")}
+    found, problems = monitored.read_holder_sources(s.spark, made, params.TOP_HOLDERS_LIMIT)
+    if set(problems) != {"gone"}:
+        raise RuntimeError(f"unexpected problems: {problems}")
+    return monitored.all_asset_holders(found)
+
+
 @query("src_native_holders")
 def _(s: Sample) -> DataFrame:
     return holders.holder_rows(holders.parse_native(_damaged(s.native_docs(), "{}")))
@@ -669,21 +691,27 @@ def _(s: Sample) -> DataFrame:
     return handle.handle_batch(s.arrivals(), s.stored_events(CUT), s.checkpoints(CUT))
 
 
+def _waves(s: Sample, rows: DataFrame, waves: Callable[[DataFrame], list[tuple[str, Column]]], root: str,
+           run: Callable[[DataFrame, str], object]) -> None:
+    """Rows as a stream that stops and goes on: each wave lands in its log's folder and is run before the next."""
+    for log, wave in waves(rows):
+        folder = f"{root}/landing/{log}"
+        rows.where(wave).write.mode("append").parquet(folder)
+        run(s.spark.readStream.schema(rows.schema).parquet(folder), log)
+
+
+def _delivery_waves(arrivals: DataFrame) -> list[tuple[str, Column]]:
+    """Three waves in the order of arrival; a new log takes the last one, over the same tables."""
+    seq = F.col("arrival_seq")
+    middle = arrivals.agg(F.floor(F.avg(F.when(seq < REDELIVERED, seq))).cast("bigint")).first()[0]
+    return [("old", (seq < middle) & (seq < REDELIVERED)), ("old", (seq >= middle) & (seq < REDELIVERED)), ("new", seq >= REDELIVERED)]
+
+
 def _stream_waves(s: Sample, root: str, each: Callable[[DataFrame, int], object],
                   prepared: Callable[[DataFrame], DataFrame] = lambda stream: stream) -> None:
-    """All deliveries as a stream that stops and goes on: three waves, each after the one before.
-
-    The waves follow the order of arrival; a new log takes the last one, over the same tables.
-    """
-    arrivals, landing = s.arrivals(), f"{root}/landing"
-    seq, late = F.col("arrival_seq"), REDELIVERED
-    middle = arrivals.agg(F.floor(F.avg(F.when(seq < late, seq))).cast("bigint")).first()[0]
-    waves = [(seq < middle) & (seq < late), (seq >= middle) & (seq < late), seq >= late]
-    for number, wave in enumerate(waves):
-        folder = f"{landing}/{'new' if number == 2 else 'old'}"
-        arrivals.where(wave).write.mode("append").parquet(folder)
-        stream = s.spark.readStream.schema(arrivals.schema).parquet(folder)
-        runs.run_available(prepared(stream), each, f"{root}/log-{'new' if number == 2 else 'old'}")
+    """All deliveries in waves, batch by batch."""
+    _waves(s, s.arrivals(), _delivery_waves, root, lambda stream, log: runs.run_available(
+        prepared(stream), each, f"{root}/log-{log}"))
 
 
 @query("handle_stream")
@@ -732,6 +760,62 @@ def _(s: Sample) -> DataFrame:
     return runs.read_output(s.spark, root, "conflicts").drop("run", "batch", "arrived_at")
 
 
+def _keyed_outcomes(s: Sample) -> DataFrame:
+    """Outcomes of all deliveries by keyed state: two waves through one log, the third through a new one."""
+    root = shared_dir(s.spark, "keyed")
+
+    def prepared(stream: DataFrame, log: str) -> DataFrame:
+        return keyed.outcomes(stream, s.spark.read.schema(keyed.OUTCOME).parquet(f"{root}/old") if log == "new" else None)
+
+    _waves(s, s.arrivals(), _delivery_waves, root, lambda stream, log: runs.append_available(
+        prepared(stream, log), f"{root}/{log}", f"{root}/log-{log}"))
+    return s.spark.read.schema(keyed.OUTCOME).parquet(f"{root}/old", f"{root}/new")
+
+
+@query("checkpoint_stream_keyed")
+def _(s: Sample) -> DataFrame:
+    return keyed.checkpoints(_keyed_outcomes(s))
+
+
+@query("checkpoint_stream_keyed_conflicts")
+def _(s: Sample) -> DataFrame:
+    return _keyed_outcomes(s).where(F.col("outcome") == "conflict").drop("arrived_at")
+
+
+def _event_waves(events: DataFrame) -> list[tuple[str, Column]]:
+    """Three waves through one log, by chain and number."""
+    middle = events.agg(F.floor(F.avg("lt")).cast("bigint")).first()[0]
+    second = F.col("chain") == OTHER_CHAIN
+    return [("one", ~second & (F.col("lt") < middle)), ("one", second), ("one", ~second & (F.col("lt") >= middle))]
+
+
+@query("events_ingested_stream")
+def _(s: Sample) -> DataFrame:
+    """Events per chain, counted by a stream in three waves."""
+    root = shared_dir(s.spark, "ingested")
+    _waves(s, s.chain_tx(), _event_waves, root, lambda stream, log: counters.run_updates(
+        counters.totals(stream, ["chain"]), counters.upsert(root, "ingested", ["chain"]), f"{root}/log"))
+    return counters.read_totals(s.spark, root, "ingested", ["chain"])
+
+
+@query("alerts_fired_stream")
+def _(s: Sample) -> DataFrame:
+    """Alerts per asset and direction, counted by a stream in three waves."""
+    root, keys = shared_dir(s.spark, "fired"), ["asset_id", "direction"]
+    _waves(s, s.chain_events(), _event_waves, root, lambda stream, log: counters.run_updates(
+        counters.totals(alerts.whale_alerts(stream), keys), counters.upsert(root, "fired", keys), f"{root}/log"))
+    return counters.read_totals(s.spark, root, "fired", keys).withColumnRenamed("total", "alerts")
+
+
+@query("ingest_rate_stream")
+def _(s: Sample) -> DataFrame:
+    """The ingest rate of closed windows, from minutes that a stream has counted in three waves."""
+    root = shared_dir(s.spark, "rates")
+    _waves(s, s.chain_tx(), _event_waves, root, lambda stream, log: runs.run_available(
+        counters.minutes(stream, "block_time", "chain"), counters.keep_minutes(root), f"{root}/log"))
+    return counters.read_rate(s.spark, root)
+
+
 @query("failed_events")
 def _(s: Sample) -> DataFrame:
     """Events whose document is JSON of the wrong shape, made from all events."""

@@ -9,7 +9,7 @@ from walletscope.plans.running import running_max
 ALL = "*"
 
 
-def _slide(minutes: DataFrame, key: str, span: int) -> DataFrame:
+def rate_of_minutes(minutes: DataFrame, key: str, span: int) -> DataFrame:
     """Minute totals to the windows [end - span, end) that contain them, for each key and for all.
 
     Between a series' first and last minute every window has a row, with 0 where it is empty.
@@ -34,7 +34,7 @@ def rate(rows: DataFrame, ts: Column, key: str, span_minutes: int = 5) -> DataFr
     """
     minutes = (rows.groupBy(F.col(key), F.date_trunc("minute", ts).alias("minute"))
                .agg(F.count("*").alias("n")))
-    return _slide(minutes, key, span_minutes)
+    return rate_of_minutes(minutes, key, span_minutes)
 
 
 def counter_increases(samples: DataFrame) -> DataFrame:
@@ -55,4 +55,4 @@ def counter_rate(samples: DataFrame, span_minutes: int = 5) -> DataFrame:
     minutes = (counter_increases(samples)
                .groupBy("series", F.date_trunc("minute", "ts").alias("minute"))
                .agg(F.sum("increase").alias("n")))
-    return _slide(minutes, "series", span_minutes)
+    return rate_of_minutes(minutes, "series", span_minutes)

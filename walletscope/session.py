@@ -12,12 +12,18 @@ from pyspark.sql import SparkSession
 #: one counts, inside variants as elsewhere.
 SETTINGS = {"spark.sql.session.timeZone": "UTC", "spark.sql.variant.allowDuplicateKeys": "true"}
 
+#: Where streams keep their state: on the executors' disks, with changes below the checkpoint folder.
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass",
+               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Set what the operators rely on, once per session and before any of them."""
     for name, value in SETTINGS.items():
         if spark.conf.get(name, None) != value:
             spark.conf.set(name, value)
+    if spark.conf.get(STATE_STORE[0], None) != STATE_STORE[1]:
+        spark.conf.set(*STATE_STORE)
     return spark
 
 

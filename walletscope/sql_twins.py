@@ -695,8 +695,16 @@ TWINS["handle_stream"] = _twin(_HANDLED.format(source="fold", total=_units("cast
 TWINS["dedupe_stream"] = TWINS["dedupe_stream_watermark"] = TWINS["first_arrival"]
 TWINS["dedupe_stream_bounded"] = _twin(
     "select event_id, chain, address, provider, lt, tx_hash from first_arrivals", "first_arrivals")
-TWINS["checkpoint_stream"] = TWINS["snk_state_tables"]
-TWINS["checkpoint_stream_conflicts"] = TWINS["checkpoint_conflicts"]
+TWINS["checkpoint_stream_keyed"] = TWINS["checkpoint_stream"] = TWINS["snk_state_tables"]
+TWINS["checkpoint_stream_keyed_conflicts"] = TWINS["checkpoint_stream_conflicts"] = TWINS["checkpoint_conflicts"]
+TWINS["event_sources"] = TWINS["src_tx_pages"]
+TWINS["holder_sources"] = TWINS["all_asset_holders"]
+TWINS["events_ingested_stream"] = _twin("select chain, count(*) as total from chain_events group by chain", "chain_events")
+TWINS["alerts_fired_stream"] = TWINS["alerts_fired_total"]
+# Closed minutes end at or before the latest block time less ten minutes.
+TWINS["ingest_rate_stream"] = _twin(
+    """select * from (""" + _rate("(select * from minutes where minute + interval 1 minute <= (select date_trunc('minute', max(block_time) - interval 10 minute) from chain_events))").format(total="cast(sum(m.n) as bigint)")
+    + """) where window_end <= (select date_trunc('minute', max(block_time) - interval 10 minute) from chain_events)""", "minutes", "chain_events")
 TWINS["snk_monitored"] = TWINS["upsert_monitored"]
 TWINS["failed_events"] = _twin(
     """select event_id, chain, address, provider, 'evaluation_error' as status from chain_events
