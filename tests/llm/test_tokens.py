@@ -227,3 +227,19 @@ def test_packing_query(spark):
             assert p.start == at and p.ids_crc32 == zlib.crc32(ids[4 * at:4 * (at + p.length)])
             at += p.length
         assert 4 * at == len(ids)
+
+
+def test_memories_are_bounded_by_characters():
+    """Very long words and chunks, as in scripts without blanks, push nothing beyond the bound."""
+    rng = random.Random(6)
+    long_words = ["".join(rng.choices("abcdefgh", k=4000)) for _ in range(60)]
+    coder = bpe.Coder(RANKS, public_tokenizers.PATTERN, kept_chars=50_000)
+    for w in long_words:
+        coder.encode([w])
+        assert coder.chars + coder.ids.used < 50_000 + 2 * 4000
+    memory = word_tokens.Memory(1000, 10_000)
+    for w in long_words:
+        memory.keep([w], np.arange(10, dtype=np.uint32), np.array([10]))
+    assert len(memory.number) == 2 and memory.ids.used == 20
+    again = bpe.Coder(RANKS, public_tokenizers.PATTERN)
+    assert [x.tolist() for x in coder.encode(long_words)] == [x.tolist() for x in again.encode(long_words)]

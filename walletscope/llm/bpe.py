@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame, functions as F
 from walletscope.llm.worker import kept, text_slices
 
 SCHEMA = "doc_id long, ids binary, decoded binary"
-#: Characters of text handled at a time, and distinct words kept by one worker.
-STRETCH, KEPT_WORDS = 1 << 21, 400_000
+#: Characters of text handled at a time; distinct words kept by one worker, and their characters and ids.
+STRETCH, KEPT_WORDS, KEPT_CHARS = 1 << 21, 400_000, 1 << 23
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -193,9 +193,9 @@ class Numbered(dict):
 class Coder:
     """Encodes and decodes texts with a bounded memory of words."""
 
-    def __init__(self, ranks_path: str, pattern: str, kept_words: int = KEPT_WORDS) -> None:
+    def __init__(self, ranks_path: str, pattern: str, kept_words: int = KEPT_WORDS, kept_chars: int = KEPT_CHARS) -> None:
         ranks = read_ranks(ranks_path)
-        self.replay, self.pattern, self.kept_words = Replay(ranks), regex.compile(pattern), kept_words
+        self.replay, self.pattern, self.kept_words, self.kept_chars = Replay(ranks), regex.compile(pattern), kept_words, kept_chars
         self.bytes = Gather(np.uint8)
         tokens = [self.replay.token.get(r, b"") for r in range(max(ranks.values()) + 1)]
         self.bytes.extend(np.frombuffer(b"".join(tokens), np.uint8), np.array([*map(len, tokens)]))
@@ -204,14 +204,16 @@ class Coder:
     def _forget(self) -> None:
         self.known = Numbered()
         self.ids = Gather(np.uint32)
+        self.chars = 0
 
     def _words(self, words: list[str]) -> np.ndarray:
         """Row numbers of the words in ``ids``, replaying those not met before."""
-        if len(self.known) > self.kept_words:
+        if len(self.known) > self.kept_words or self.chars + self.ids.used > self.kept_chars:
             self._forget()
         at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         if new := self.known.new:
             self.ids.extend(*self.replay.encode([w.encode() for w in new]))
+            self.chars += sum(map(len, new))
             self.known.new = []
         return at
 

@@ -222,12 +222,13 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], how
 class Scorer:
     """Probabilities of texts; a token's part in each model's sum is worked out once."""
 
-    kept_tokens = 150_000
+    kept_tokens, kept_chars = 150_000, 1 << 22
 
     def __init__(self, model: Model) -> None:
         self.model, self.links = model, [link for link in model.chain if link]
         self.weights = np.stack([link.weights for link in self.links]) if self.links else np.zeros((0, model.how.width))
         self.parts: dict[str, tuple[float, ...] | None] = {}
+        self.chars = 0
 
     def _learn(self, new: list[str]) -> None:
         """Work out the parts of new tokens; None where no model has a weight for the token."""
@@ -236,13 +237,14 @@ class Scorer:
         flat = np.fromiter((f for fs in features for f in fs), np.int64, int(lengths.sum()))
         sums = np.add.reduceat(self.weights[:, flat], np.cumsum(lengths) - lengths, axis=1).T
         some = sums.any(axis=1)
+        self.chars += sum(map(len, new))
         self.parts.update(dict.fromkeys(new))
         self.parts.update((new[i], tuple(sums[i].tolist())) for i in np.flatnonzero(some))
 
     def probabilities(self, texts: Sequence[str]) -> np.ndarray:
         sums = np.zeros((len(texts), len(self.links)))
-        if len(self.parts) > self.kept_tokens:
-            self.parts = {}
+        if len(self.parts) > self.kept_tokens or self.chars > self.kept_chars:
+            self.parts, self.chars = {}, 0
         by_text = [tokens(text) for text in texts]
         parts = self.parts
         if new := list(set().union(*by_text) - parts.keys()):

@@ -25,24 +25,27 @@ from walletscope.llm.worker import kept, text_slices
 #: Characters for which normalising, lower-casing and splitting agree with the tokenizer's own.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ]*")
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-#: Distinct chunks, and words, kept by one worker; characters of text handled at a time; words asked for at a time.
-KEPT, STRETCH, ASKED = 150_000, 3 << 19, 4000
+#: Distinct chunks, and words, kept by one worker, and characters and ids of either; characters of text
+#: handled at a time; words asked for at a time.
+KEPT, KEPT_CHARS, STRETCH, ASKED = 150_000, 1 << 22, 3 << 19, 4000
 
 
 class Memory:
-    """Ids of strings, up to a fixed number of them: those that come first, which are the common ones."""
+    """Ids of strings, up to a fixed number and length of them: those that come first, which are the common ones."""
 
-    def __init__(self, most: int) -> None:
-        self.most, self.number, self.ids = most, {}, Gather(np.uint32)
+    def __init__(self, most: int, chars: int = KEPT_CHARS) -> None:
+        self.most, self.chars, self.number, self.ids = most, chars, {}, Gather(np.uint32)
 
     def find(self, strings: list[str]) -> np.ndarray:
         """Row of each string in ``ids``, -1 where it is not kept."""
         return np.fromiter(map(self.number.get, strings, repeat(-1)), np.int64, len(strings))
 
     def keep(self, strings: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        room = self.most - len(self.number)
+        size = np.cumsum(np.fromiter(map(len, strings), np.int64, len(strings)) + lengths)
+        room = min(self.most - len(self.number), int(np.searchsorted(size, self.chars, "right")))
         if room > 0:
             strings, lengths = strings[:room], lengths[:room]
+            self.chars -= int(size[room - 1])
             self.number.update(zip(strings, range(self.ids.rows, self.ids.rows + len(strings))))
             self.ids.extend(ids[:int(lengths.sum())], lengths)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Hashable, Iterator
 from typing import Any
 
@@ -15,11 +17,22 @@ _KEPT: dict[Hashable, Any] = {}
 def kept(key: Hashable, make: Callable[[], Any]) -> Any:
     """The object of this key, made once per worker; another key's object goes first, so one stays at most."""
     if key not in _KEPT:
-        _KEPT.clear()
+        if _KEPT:
+            _KEPT.clear()
+            give_back()
         _KEPT[key] = make()
     return _KEPT[key]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: the worker lives on, and others need it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def slices(sizes: np.ndarray, most: int) -> Iterator[slice]:
     """Runs of rows of about ``most`` in sum, one row at least."""
     ends = np.cumsum(sizes)
