@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from walletscope.operators.checkpoints import checkpoint_fold, final_checkpoints
 from walletscope.operators.ingest import first_arrival
 from walletscope.operators.rates import rate
+from walletscope.operators.rules import rule_ingestion_stalled
 from walletscope.sinks.commits import entries
-from walletscope.streaming import counters, keyed, runs
+from walletscope.streaming import counters, keyed, runs, stalls
 
 SCHEMA = ("event_id string, chain string, address string, provider string, lt bigint, tx_hash string, "
           "block_time timestamp, arrival_seq bigint, arrived_at timestamp")
@@ -100,3 +101,25 @@ def test_streamed_rate_equals_the_batch_rate_of_closed_windows(spark, tmp_path):
         assert texts(counters.read_rate(spark, root)) == texts(expected.select("series", "window_end", "increase", "rate"))
     late = spark.read.parquet(f"{root}/late_minutes").agg(F.sum("n")).first()[0]
     assert 200 < late < 440
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_stalls_by_timers_equal_the_batch_rule(spark, tmp_path, seed):
+    """Chains that fall silent in the middle and at the end; rows out of order within the delay; changing clock rows."""
+    rng, rows, at = random.Random(seed), [], START
+    for _ in range(260):
+        at += timedelta(seconds=rng.choice([1, 30, 200, 660, 661, 900, 4000]), microseconds=rng.choice([0, 0, 1]))
+        rows.append((rng.choice(["a", "b", "b", "c" if at < START + timedelta(hours=20) else "a"]), at - timedelta(seconds=rng.choice([0, 0, 250]))))
+    as_of = rows[-1][1] + timedelta(minutes=rng.choice([5, 300]))
+    schema = "chain string, block_time timestamp"
+    for a, b in ((0, 50), (50, 51), (51, 180), (180, 260), (260, 260)):
+        part = rows[a:b] + [(None, as_of + timedelta(minutes=10))] * (a == 260)
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        runs.append_available(stalls.stalls(stream, "chain", "block_time"), f"{tmp_path}/out", f"{tmp_path}/log")
+    changes = spark.read.schema(stalls.CHANGE).parquet(f"{tmp_path}/out")
+    expected = rule_ingestion_stalled(spark.createDataFrame(rows, schema), F.lit(as_of).cast("timestamp"))
+    got = stalls.firing(changes, F.lit(as_of).cast("timestamp"))
+    assert expected.count() > 20 and texts(got) == texts(expected.select(*got.columns))
+    opened = changes.where("ends_us IS NULL AND key = 'c'").agg(F.max("starts_us")).first()[0]
+    assert opened is not None  # the chain that went quiet for good

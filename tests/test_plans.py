@@ -81,3 +81,27 @@ def test_sliced_window_is_partitioned_by_slice(spark):
     text = plan(spark, "checkpoint_fold")
     assert re.search(r"Exchange hashpartitioning\(chain#\d+, address#\d+, provider#\d+, _slice#\d+L?, \d+\), "
                      r"REPARTITION_BY_COL", text)
+
+
+def test_colocated_fetch_shuffles_nothing(spark):
+    text = plan(spark, "fetch_colocated")
+    assert "SortMergeJoin" in text and "Exchange" not in text and "Bucketed: true" in text
+
+
+def test_sketches_are_merged_and_rows_are_not_read_again(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from walletscope.operators import sketches
+
+    rows = spark.range(200_000).select((F.col("id") % 3).alias("k"), (F.col("id") % 50_000).alias("a"),
+                                       F.timestamp_seconds(F.col("id") * 20).alias("at"))
+    sketches.daily(rows, ["k"], "at", ["a"]).write.parquet(f"{tmp_path}/days")
+    days = spark.read.parquet(f"{tmp_path}/days")
+    assert days.count() <= 3 * 47
+    since = F.to_date(F.lit("1970-01-20"))
+    for some, kept in ((None, rows), (F.col("day") >= since, rows.where(F.to_date("at") >= since))):
+        got = {r.k: r for r in sketches.merged(days, ["k"], ["a"], some).collect()}
+        for r in kept.groupBy("k").agg(F.count_distinct("a").alias("n"), F.count("*").alias("rows"), F.min("at").alias("first")).collect():
+            assert abs(got[r.k].a_estimate - r.n) <= sketches.error_bound() * r.n
+            assert (got[r.k].rows, got[r.k].first_at) == (r.rows, r["first"])
+    assert sketches.merged(days.limit(0), ["k"], ["a"]).count() == 0

@@ -10,18 +10,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from walletscope import functions as fn, params
 from walletscope.operators import (
     alerts, checkpoints, diagnostics, gauges, handle, ingest, lag, metrics, monitored, rates, retries,
-    rules,
+    rules, sketches,
 )
 from walletscope.plans.settle import settle
 from walletscope.sample import (
-    CUT, OTHER_ASSET, OTHER_CHAIN, OTHER_PROVIDER, REDELIVERED, Sample, address, arrivals_from_events, as_of, asset_wallet,
+    AS_OF, CUT, OTHER_ASSET, OTHER_CHAIN, OTHER_PROVIDER, REDELIVERED, Sample, address, arrivals_from_events, as_of, asset_wallet,
     events_from_tx, tx_from_events,
 )
 from walletscope.schemas import METRIC_SAMPLES, MONITORED_KEY, WALLET
 from walletscope.session import shared_dir
-from walletscope.sinks import commits, messages as message_sink, tables as table_sink
+from walletscope.sinks import colocated, commits, messages as message_sink, tables as table_sink
 from walletscope.sources import holders, messages, pages, plugins, tables
-from walletscope.streaming import counters, keyed, runs
+from walletscope.streaming import counters, keyed, runs, stalls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -328,6 +328,15 @@ def _(s: Sample) -> DataFrame:
             .select(*WALLET, "lt", "tx_hash", "block_time"))
 
 
+@query("fetch_colocated")
+def _(s: Sample) -> DataFrame:
+    """The same from tables bucketed by wallet: neither side is shuffled."""
+    root = shared_dir(s.spark, "bucketed")
+    tx = colocated.write_bucketed(s.chain_tx().select(*WALLET, "lt", "tx_hash", "block_time"), f"{root}/tx", ["lt"], 8)
+    marks = colocated.write_bucketed(s.checkpoints(CUT), f"{root}/marks", buckets=8)
+    return colocated.fetch_colocated(tx, marks)
+
+
 def _discovery(s: Sample) -> list[DataFrame]:
     """The parsed documents of both sources, each parsed once."""
     return [settle(holders.parse_native(s.native_docs()), "native"),
@@ -387,6 +396,33 @@ def _(s: Sample) -> DataFrame:
     return diagnostics.events_summary(s.stored_events())
 
 
+def _stored_days(s: Sample, counted: list[str]) -> DataFrame:
+    """Daily sketches by chain, stored and read back."""
+    return settle(sketches.daily(s.stored_events(), ["chain"], "created_at", counted), "sketches")
+
+
+@query("events_summary_sketch")
+def _(s: Sample) -> DataFrame:
+    """The summary from stored daily sketches; estimates are held against the exact counts by their bound."""
+    summed = sketches.merged(_stored_days(s, ["address", "event_id"]), [], ["address", "event_id"])
+    exact = diagnostics.events_summary(s.stored_events())
+    return exact.select(
+        *(summed.select(c).scalar().alias(n) for c, n in (("rows", "total_events"), ("first_at", "first_event"), ("last_at", "last_event"))),
+        sketches.within(summed.select("address_estimate").scalar(), F.col("addresses_with_events")).alias("addresses_within_bound"),
+        sketches.within(summed.select("event_id_estimate").scalar(), F.col("unique_event_ids")).alias("event_ids_within_bound"))
+
+
+@query("active_addresses_sketch")
+def _(s: Sample) -> DataFrame:
+    """Addresses per chain from the day of the cut on, by merging those days' sketches."""
+    since = F.lit(CUT).cast("timestamp")
+    summed = sketches.merged(_stored_days(s, ["address"]), ["chain"], ["address"], F.col("day") >= F.to_date(since))
+    exact = (s.stored_events().where(F.col("created_at") >= since).groupBy("chain")
+             .agg(F.count_distinct("address").alias("addresses")))
+    return exact.join(summed, "chain").select(
+        "chain", "addresses", "rows", sketches.within(F.col("address_estimate"), F.col("addresses")).alias("within_bound"))
+
+
 @query("events_per_address_top10")
 def _(s: Sample) -> DataFrame:
     return diagnostics.events_per_address(s.stored_events())
@@ -897,6 +933,24 @@ def _(s: Sample) -> DataFrame:
     return rules.sampled_rules(s.samples(), [rules.BREAKER_OPEN])
 
 
+@query("rule_ingestion_stalled_stream")
+def _(s: Sample) -> DataFrame:
+    """The same rule by timers in a stream of three waves; a clock row ends the last one."""
+    root = shared_dir(s.spark, "stalls")
+    tick = F.to_timestamp(F.lit(AS_OF)) + F.expr("INTERVAL 10 MINUTES")
+    clock = s.spark.range(1).select(F.lit(None).cast("string").alias("chain"), F.lit(None).cast("bigint").alias("lt"), tick.alias("block_time"))
+    rows = s.chain_tx().select("chain", "lt", "block_time").unionByName(clock)
+
+    def waves(given: DataFrame) -> list[tuple[str, Column]]:
+        edges = given.agg(F.percentile("lt", F.array(F.lit(0.3), F.lit(0.8)))).first()[0]
+        return [("one", F.col("lt") <= edges[0]), ("one", (F.col("lt") > edges[0]) & (F.col("lt") <= edges[1])),
+                ("one", F.col("lt").isNull() | (F.col("lt") > edges[1]))]
+
+    _waves(s, rows, waves, root, lambda stream, log: runs.append_available(
+        stalls.stalls(stream, "chain", "block_time"), f"{root}/changes", f"{root}/log"))
+    return stalls.firing(s.spark.read.schema(stalls.CHANGE).parquet(f"{root}/changes"), as_of())
+
+
 @query("rule_ingestion_stalled")
 def _(s: Sample) -> DataFrame:
     return rules.rule_ingestion_stalled(s.chain_tx(), as_of())

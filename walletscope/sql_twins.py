@@ -705,6 +705,14 @@ TWINS["alerts_fired_stream"] = TWINS["alerts_fired_total"]
 TWINS["ingest_rate_stream"] = _twin(
     """select * from (""" + _rate("(select * from minutes where minute + interval 1 minute <= (select date_trunc('minute', max(block_time) - interval 10 minute) from chain_events))").format(total="cast(sum(m.n) as bigint)")
     + """) where window_end <= (select date_trunc('minute', max(block_time) - interval 10 minute) from chain_events)""", "minutes", "chain_events")
+TWINS["rule_ingestion_stalled_stream"] = TWINS["rule_ingestion_stalled"]
+TWINS["fetch_colocated"] = TWINS["fetch_after_checkpoint"]
+TWINS["events_summary_sketch"] = _twin(
+    """select count(*) as total_events, min(block_time) as first_event, max(block_time) as last_event,
+              true as addresses_within_bound, true as event_ids_within_bound from chain_events""", "chain_events")
+TWINS["active_addresses_sketch"] = _twin(
+    """select chain, count(distinct address) as addresses, count(*) as rows, true as within_bound
+       from chain_events where block_time >= timestamp '2024-01-15 00:00:00' group by chain""", "chain_events")
 TWINS["snk_monitored"] = TWINS["upsert_monitored"]
 TWINS["failed_events"] = _twin(
     """select event_id, chain, address, provider, 'evaluation_error' as status from chain_events
