@@ -157,6 +157,28 @@ def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def _linked_sql(words: int, percent: int, more: str = "") -> str:
+    """Components of documents whose shingle sets link, by counting common shingles."""
+    run = " || ' ' || ".join(f"ws[i + {k}]" for k in range(words))
+    return f"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS ws FROM documents),
+        sets AS (
+            SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < {words} THEN [array_to_string(ws, ' ')]
+                ELSE [{run} FOR i IN range(1, len(ws) - {words - 2})] END) AS s FROM w),
+        one AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, a.n AS an, b.n AS bn, count(*) AS k
+            FROM one a JOIN one b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM common WHERE 100 * k >= {percent} * (an + bn - k)),
+        ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach AS (SELECT a, b FROM ways UNION SELECT r.a, w.b FROM reach r JOIN ways w ON r.b = w.a),
+        first_of AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+        SELECT doc_id, len(s) AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id{more}
+        FROM sets LEFT JOIN first_of ON a = doc_id"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_packing, op2_personal_data, op3_byte_bpe, op4_url_filter, op5_jaccard_join, op6_top_k, op7_chat_format, op8_toxicity,
@@ -198,4 +220,67 @@ TWINS: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
           doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
         FROM n WINDOW same AS (PARTITION BY t)""",
+    "op5_jaccard_join": _linked_sql(4, 85),
+    "op11_turn_repair": r"""
+        WITH RECURSIVE crc AS (
+            SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+                        ORDER BY i) AS t FROM range(256) r(i)),
+        given AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(
+                list_prepend(4294967295, [ascii(x)::BIGINT FOR x IN string_split(
+                    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')]),
+                lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind
+            FROM conversations, crc),
+        damaged AS (
+            SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+              CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+              unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM given),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
+              rtrim(text, E' \t\n\x0b\f\r') AS bare, left(role, 1) AS letter FROM damaged),
+        faults AS (
+            SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN i > min(i) OVER (PARTITION BY conv_id, role, text) THEN 'duplicate'
+                WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+              coalesce(lag(letter) OVER (PARTITION BY conv_id ORDER BY i) || letter NOT IN ('su', 'ua', 'au'), false) AS jump FROM placed),
+        steps AS (
+            SELECT conv_id, i, role, text, CASE WHEN fault IN ('blank', 'duplicate') THEN 1000000 WHEN fault = 'truncated' THEN 5 ELSE 0 END AS extra,
+              -- the state behind a kept row, by the state before: 0 nothing yet, 1 system, 2 user, 3 a whole pair
+              CASE letter WHEN 's' THEN [1, NULL, NULL, NULL] WHEN 'u' THEN [2, 2, NULL, 2] WHEN 'a' THEN [NULL, NULL, 3, NULL]
+                ELSE [NULL, NULL, NULL, NULL] END AS next FROM faults),
+        ends AS (SELECT conv_id, max(i) AS n FROM steps GROUP BY conv_id),
+        costs AS (
+            SELECT conv_id, n + 1 AS i, [0, 10, 5, 0] AS v FROM ends
+            UNION ALL
+            SELECT conv_id, i, [
+                least(c[1], 5 + least(c[3], 5 + c[4])), least(c[2], 5 + least(c[3], 5 + c[4])), least(c[3], 5 + c[4]), least(c[4], 5 + c[3])]
+            FROM (SELECT s.conv_id, s.i, b.v, [least(2 + b.v[q + 1], s.extra + coalesce(b.v[s.next[q + 1] + 1], 1000000),
+                      s.extra + 1 + b.v[[2, 2, 3, 2][q + 1] + 1]) FOR q IN [0, 1, 2, 3]] AS c
+                  FROM costs b JOIN steps s ON s.conv_id IS NOT DISTINCT FROM b.conv_id AND s.i = b.i - 1)),
+        walk AS (
+            SELECT conv_id, 1::BIGINT AS i, 0 AS q, '' AS audit, []::VARCHAR[] AS lines, false AS done FROM ends
+            UNION ALL
+            SELECT conv_id, CASE WHEN e IN ('', 'I') THEN i ELSE i + 1 END, CASE e WHEN 'D' THEN q WHEN 'K' THEN next[q + 1] WHEN '' THEN q ELSE filled END,
+              audit || e, CASE e WHEN 'K' THEN list_append(lines, role || ':' || text) WHEN 'R' THEN list_append(lines, made || ':' || text)
+                WHEN 'I' THEN list_append(lines, made || ':') ELSE lines END, e = ''
+            FROM (SELECT w.*, s.role, s.text, s.next, [2, 2, 3, 2][q + 1] AS filled, CASE q WHEN 2 THEN 'assistant' ELSE 'user' END AS made,
+                    CASE WHEN s.i IS NULL AND q IN (0, 3) THEN ''
+                      WHEN s.i IS NOT NULL AND here.v[q + 1] = 2 + after.v[q + 1] THEN 'D'
+                      WHEN here.v[q + 1] = 5 + here.v[[2, 2, 3, 2][q + 1] + 1] THEN 'I'
+                      WHEN here.v[q + 1] = s.extra + after.v[s.next[q + 1] + 1] THEN 'K' ELSE 'R' END AS e
+                  FROM walk w JOIN costs here ON here.conv_id IS NOT DISTINCT FROM w.conv_id AND here.i = w.i
+                  LEFT JOIN steps s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.i = w.i
+                  LEFT JOIN costs after ON after.conv_id IS NOT DISTINCT FROM w.conv_id AND after.i = w.i + 1
+                  WHERE NOT w.done)),
+        facts AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+              count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+              count(*) FILTER (jump) AS illegal FROM faults GROUP BY conv_id)
+        SELECT g.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+          coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(c.v[1], 0)::BIGINT AS cost,
+          coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) g
+        LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM g.conv_id
+        LEFT JOIN costs c ON c.conv_id IS NOT DISTINCT FROM g.conv_id AND c.i = 1
+        LEFT JOIN walk w ON w.conv_id IS NOT DISTINCT FROM g.conv_id AND w.done""",
+    "op12_minhash": _linked_sql(4, 80, ", doc_id = least(doc_id, coalesce(b, doc_id)) AS kept"),
 }
