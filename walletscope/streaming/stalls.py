@@ -59,9 +59,14 @@ class Silence(StatefulProcessor):
                 return
         if self.last.exists():
             silent = self.last.get()[0] + self.quiet
-            if silent <= timerValues.getCurrentWatermarkInMs() * 1000 and all(v[0] > silent for v in self.pending.values()):
+            if silent <= timerValues.getCurrentWatermarkInMs() * 1000 and not self._followed(silent):
                 yield Row(key=key[0], starts_us=silent, ends_us=None)
 
+    def _followed(self, silent: int) -> bool:
+        """Whether a row came by the time ``silent``: one that late after the last is in that time's bucket."""
+        bucket = (silent // self.quiet,)
+        return self.pending.containsKey(bucket) and self.pending.getValue(bucket)[0] <= silent
+
     def close(self) -> None:
         pass
 
