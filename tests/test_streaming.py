@@ -259,10 +259,10 @@ def test_a_batch_that_dies_between_two_writes_leaves_nothing_to_see(spark, tmp_p
     step(spark.createDataFrame([arrival("a", 1, 1, lt=1)], SCHEMA), 0)
     second = spark.createDataFrame([arrival("b", 2, 1, lt=2)], SCHEMA)
 
-    def dies(rows, root, table, batch, partition_by=()):
+    def dies(rows, root, table, batch, partition_by=(), also=None):
         if table == broken:
             raise RuntimeError("the driver is gone")
-        return write(rows, root, table, batch, partition_by)
+        return write(rows, root, table, batch, partition_by, also)
 
     with monkeypatch.context() as m:
         for module in (runs, tables):
@@ -305,6 +305,24 @@ def test_state_tables_change_at_once(spark, tmp_path, monkeypatch):
     assert seen() == [[4], ["3"]]
 
 
+def test_observed_metrics_equal_the_tables_of_each_batch(spark, tmp_path):
+    root, rows = str(tmp_path), [*deliveries(120), arrival(None, 500, 1)]
+    step = runs.handle(root, F.col("block_time"), F.to_timestamp(F.lit("2024-02-01 00:00:00")), run="r")
+    for number, part in enumerate((rows[:60], rows[:60], rows[40:], [])):
+        step(spark.createDataFrame(part, SCHEMA), number)
+    got = {(r.batch, r.metric): r.value for r in runs.read_metrics(spark, root).collect()}
+    assert len(got) == 4 * len(runs.OBSERVED)
+    results = runs.read_output(spark, root, "results").collect()
+    for number in range(4):
+        mine = [r for r in results if r.batch == number]
+        assert got[number, "events_stored"] == len(mine)
+        for metric, outcome in (("checkpoints_advanced", "advance"), ("checkpoint_conflicts", "conflict"), ("checkpoints_ignored", "ignore")):
+            assert got[number, metric] == sum(r.outcome == outcome for r in mine)
+        assert got[number, "alerts_fired"] == sum(r.alerts for r in mine)
+        assert got[number, "events_failed"] == sum(r.status == "evaluation_error" for r in mine)
+        assert got[number, "events_unidentified"] == (number == 2)
+
+
 def test_readers_open_two_eras_at_most(spark, tmp_path, monkeypatch):
     root = str(tmp_path)
     monkeypatch.setattr(commits, "ERA", 4)

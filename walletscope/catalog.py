@@ -758,6 +758,14 @@ def _(s: Sample) -> DataFrame:
     return runs.read_output(s.spark, root, "results").drop("run", "batch")
 
 
+@query("handler_metrics")
+def _(s: Sample) -> DataFrame:
+    """Counters that the streaming handler observes while it writes, summed over its batches."""
+    root = shared_dir(s.spark, "observed")
+    _stream_waves(s, root, runs.handle(root, created_at=F.col("block_time"), decided_at=as_of()))
+    return (runs.read_metrics(s.spark, root).groupBy("metric").agg(F.sum("value").cast("bigint").alias("value")))
+
+
 @query("dedupe_stream")
 def _(s: Sample) -> DataFrame:
     root = shared_dir(s.spark, "deduped")

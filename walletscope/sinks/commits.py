@@ -14,10 +14,10 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
 
 #: Commits of an era.
 ERA = 64
@@ -26,11 +26,12 @@ ENTRY = ("seq bigint, run string, batch bigint, attempt string, tables array<str
 
 
 class Batch(NamedTuple):
-    """A batch of a run, and the attempt in hand."""
+    """A batch of a run, and the attempt in hand with what its writes have observed: rows by table, and more."""
 
     run: str
     number: int
     attempt: str = "0"
+    seen: dict[str, int] | None = None
 
     @property
     def name(self) -> str:
@@ -51,7 +52,7 @@ def batch_of(df: DataFrame, number: int, run: str | None = None) -> Batch:
         raise ValueError("name the run: outside a stream nothing else tells its batches from those of other runs")
     if not re.fullmatch(r"[\w.-]+", run):
         raise ValueError(f"a run names a folder: {run!r}")
-    return Batch(run, number, uuid.uuid4().hex)
+    return Batch(run, number, uuid.uuid4().hex, {})
 
 
 def others(batch: Batch) -> Column:
@@ -105,10 +106,20 @@ def commit(spark: SparkSession, root: str, batch: Batch, tables: Sequence[str],
     spark.createDataFrame(rows, ENTRY).coalesce(1).write.mode("append").parquet(folder)
 
 
-def write(rows: DataFrame, root: str, table: str, batch: Batch, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write a table of an attempt, to count from its commit on, and read it back for the steps in between."""
-    path = batch.folder(root, table)
-    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+def write(rows: DataFrame, root: str, table: str, batch: Batch, partition_by: Sequence[str] = (),
+          also: Mapping[str, Column] | None = None) -> DataFrame:
+    """Write a table of an attempt, to count from its commit on, and read it back for the steps in between.
+
+    The number of rows, and ``also`` these aggregates, are observed while the rows are written, so
+    nobody reads them again to know: ``batch.seen[table]`` and ``batch.seen[table.name]``.
+    """
+    path, observed = batch.folder(root, table), Observation()
+    more = [c.alias(n) for n, c in (also or {}).items()]
+    rows.observe(observed, F.count(F.lit(1)).alias("rows"), *more).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    if batch.seen is not None:
+        found = observed.get
+        batch.seen[table] = found["rows"]
+        batch.seen.update({f"{table}.{n}": found[n] or 0 for n in also or {}})
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

@@ -68,15 +68,15 @@ def write_events(fresh: DataFrame, root: str, batch: Batch, created_at: Column |
     return stored
 
 
-def stored_tables(root: str, batch: Batch, spark: SparkSession) -> list[str]:
+def stored_tables(batch: Batch) -> list[str]:
     """The event tables of an attempt; those for odd rows only if there are any, so that nobody reads empty ones."""
-    odd = [t for t in ("foreign_ids", "unidentified")
-           if not spark.read.schema("event_id string, lt bigint").parquet(batch.folder(root, t)).isEmpty()]
-    return ["events", "event_ids", *odd]
+    return ["events", "event_ids", *(t for t in ("foreign_ids", "unidentified") if batch.seen[t])]
 
 
 def spans_of(root: str, batch: Batch, spark: SparkSession) -> list:
     """The lt spans of the ids that an attempt has written: a bounded number per chain."""
+    if not batch.seen["event_ids"]:
+        return []
     ids = spark.read.schema(ID_ROW).parquet(batch.folder(root, "event_ids"))
     return lt_spans(ids).select("chain", "lo", "hi").collect()
 
@@ -187,7 +187,8 @@ def checkpoints_before(arrivals: DataFrame, root: str, batch: Batch) -> DataFram
 
 def write_checkpoints(changed: DataFrame, root: str, batch: Batch) -> int:
     """The checkpoints that a batch has moved; those of other wallets are not written again. Gives their number."""
-    return write(changed.select("chain", "address", "provider", "last_lt", "last_hash", "updated_at"), root, "checkpoints", batch).count()
+    write(changed.select("chain", "address", "provider", "last_lt", "last_hash", "updated_at"), root, "checkpoints", batch)
+    return batch.seen["checkpoints"]
 
 
 def write_base(spark: SparkSession, root: str, batch: Batch) -> int | None:
@@ -202,17 +203,18 @@ def write_base(spark: SparkSession, root: str, batch: Batch) -> int | None:
         return None
     state = _latest(marks.base.drop("bucket").unionByName(marks.moves))
     laid_out = state.withColumn("bucket", _bucket(*WALLET)).hint("rebalance", "bucket")
-    return write(laid_out, root, "checkpoint_base", batch, ["bucket"]).count()
+    write(laid_out, root, "checkpoint_base", batch, ["bucket"])
+    return batch.seen["checkpoint_base"]
 
 
 def compact(spark: SparkSession, root: str, fresh_root: str) -> None:
     """Events, ids and checkpoints in one batch below ``fresh_root``, where a stream may go on."""
-    whole = Batch("compacted", 0)
+    whole = Batch("compacted", 0, seen={})
     columns = [c.split()[0] for c in EVENT_ROW.split(", ")]
     write_events(read_events(spark, root).select(*columns), fresh_root, whole, F.col("created_at"))
     write(read(spark, root, "unidentified", EVENT_ROW).drop("run", "batch", "created_at"), fresh_root, "unidentified", whole)
     moves = write_checkpoints(read_checkpoints(spark, root), fresh_root, whole)
-    commit(spark, fresh_root, whole, [*stored_tables(fresh_root, whole, spark), "checkpoints"], spans_of(fresh_root, whole, spark), moves=moves)
+    commit(spark, fresh_root, whole, [*stored_tables(whole), "checkpoints"], spans_of(fresh_root, whole, spark), moves=moves)
 
 
 # ---- state tables and lines -----------------------------------------------------------------

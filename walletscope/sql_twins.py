@@ -692,6 +692,15 @@ _HANDLED = """
         where nano >= 100000000000 group by lt) a on h.lt = a.lt"""
 TWINS["handle_batch"] = _twin(_HANDLED.format(source="handled", total=_units("cast(sum(nano) as bigint)")), "handled", "transfers")
 TWINS["handle_stream"] = _twin(_HANDLED.format(source="fold", total=_units("cast(sum(nano) as bigint)")), "fold", "transfers")
+TWINS["handler_metrics"] = f"""
+    with h as ({TWINS["handle_stream"]})
+    select unnest(['events_stored', 'events_unidentified', 'checkpoints_advanced', 'checkpoint_conflicts', 'checkpoints_ignored',
+                   'events_evaluated', 'events_failed', 'alerts_fired', 'decisions_logged']) as metric,
+           cast(unnest([count(*), 0, count(*) filter (outcome = 'advance'), count(*) filter (outcome = 'conflict'),
+                   count(*) filter (outcome = 'ignore'), count(*) filter (status <> 'conflict'),
+                   count(*) filter (status = 'evaluation_error'), sum(alerts),
+                   sum(case when status in ('conflict', 'evaluation_error') then 0 else greatest(alerts, 1) end)]) as bigint) as value
+    from h"""
 TWINS["dedupe_stream"] = TWINS["dedupe_stream_watermark"] = TWINS["first_arrival"]
 TWINS["dedupe_stream_bounded"] = _twin(
     "select event_id, chain, address, provider, lt, tx_hash from first_arrivals", "first_arrivals")

@@ -16,6 +16,7 @@ from walletscope.operators.alerts import alert_rows, decision_rows
 from walletscope.operators.checkpoints import checkpoint_conflicts, checkpoint_fold, moved_checkpoints
 from walletscope.operators.handle import event_results, judge
 from walletscope.operators.ingest import first_arrival, new_events, unidentified
+from walletscope.schemas import METRIC_SAMPLES
 from walletscope.sinks.commits import Batch, batch_of, commit, entries, read, write
 from walletscope.sinks.tables import (
     checkpoints_before, ids_near, spans_of, stored_ids, stored_tables, write_base, write_checkpoints, write_events,
@@ -46,7 +47,7 @@ def _store(arrivals: DataFrame, root: str, batch: Batch, fresh: DataFrame, creat
 
 
 def _commit_events(spark: SparkSession, root: str, batch: Batch) -> None:
-    commit(spark, root, batch, stored_tables(root, batch, spark), spans_of(root, batch, spark))
+    commit(spark, root, batch, stored_tables(batch), spans_of(root, batch, spark))
 
 
 def store_new(root: str, created_at: Column | None = None, run: str | None = None) -> Each:
@@ -117,7 +118,8 @@ def _track(arrivals: DataFrame, root: str, batch: Batch, created_at: Column | No
     """
     spark = arrivals.sparkSession
     fresh = _store(arrivals, root, batch, new_events(arrivals, stored_ids(arrivals, root, batch)), created_at)
-    outcomes = write(checkpoint_fold(fresh, checkpoints_before(fresh, root, batch)).select(*_names("outcomes")), root, "outcomes", batch)
+    folded = checkpoint_fold(fresh, checkpoints_before(fresh, root, batch)).select(*_names("outcomes"))
+    outcomes = write(folded, root, "outcomes", batch, also={o: F.count_if(F.col("outcome") == o) for o in ("advance", "conflict", "ignore")})
     moves = write_checkpoints(moved_checkpoints(outcomes), root, batch)
     conflicts = write(checkpoint_conflicts(outcomes), root, "conflicts", batch)
     return fresh, conflicts, write_base(spark, root, batch), moves
@@ -129,7 +131,7 @@ def _names(table: str) -> list[str]:
 
 def _commit_all(spark: SparkSession, root: str, batch: Batch, base_rows: int | None, moves: int, *more: str) -> None:
     base = () if base_rows is None else ("checkpoint_base",)
-    commit(spark, root, batch, [*stored_tables(root, batch, spark), "outcomes", "conflicts", "checkpoints", *base, *more],
+    commit(spark, root, batch, [*stored_tables(batch), "outcomes", "conflicts", "checkpoints", *base, *more],
            spans_of(root, batch, spark), base_rows, moves)
 
 
@@ -156,7 +158,9 @@ def handle(root: str, created_at: Column | None = None, decided_at: Column | Non
         spark, batch = arrivals.sparkSession, batch_of(arrivals, number, run)
         fresh, conflicts, base_rows, moves = _track(arrivals, root, batch, created_at)
         outcomes = spark.read.parquet(batch.folder(root, "outcomes"))
-        judged = write(judge(fresh, conflicts, threshold), root, "judged", batch)
+        judged = write(judge(fresh, conflicts, threshold), root, "judged", batch, also={
+            "alerts": F.sum(F.coalesce(F.size("hits"), F.lit(0)).cast("bigint")),
+            "failed": F.count_if(F.col("status") == params.EVALUATION_ERROR)})
         at = F.current_timestamp() if decided_at is None else decided_at
         write(decision_rows(judged, at), root, "decisions", batch)
         write(judged.where(F.col("status") == params.EVALUATION_ERROR).drop("hits"), root, "failed_events", batch)
@@ -164,11 +168,30 @@ def handle(root: str, created_at: Column | None = None, decided_at: Column | Non
         for name, rule in rules.items():
             for sink in sinks:
                 sink(rule(judged), f"rule={name}/{batch.name}")
-        _commit_all(spark, root, batch, base_rows, moves, "judged", "decisions", "failed_events", "results")
+        write(_metrics(spark, batch, at), root, "metrics", batch)
+        _commit_all(spark, root, batch, base_rows, moves, "judged", "decisions", "failed_events", "results", "metrics")
 
     return each
 
 
+#: Metrics of a batch and where its writes have observed them.
+OBSERVED = {"events_stored": "events", "events_unidentified": "unidentified", "checkpoints_advanced": "outcomes.advance",
+            "checkpoint_conflicts": "outcomes.conflict", "checkpoints_ignored": "outcomes.ignore", "events_evaluated": "judged",
+            "events_failed": "judged.failed", "alerts_fired": "judged.alerts", "decisions_logged": "decisions"}
+
+
+def _metrics(spark: SparkSession, batch: Batch, at: Column) -> DataFrame:
+    """A batch's counters as sample rows, from what its writes have observed: no table is read again."""
+    rows = [(metric, float(batch.seen[name])) for metric, name in OBSERVED.items()]
+    return spark.createDataFrame(rows, "metric string, value double").select(
+        "metric", F.create_map().cast("map<string,string>").alias("labels"), at.alias("ts"), "value")
+
+
+def read_metrics(spark: SparkSession, root: str) -> DataFrame:
+    """Sample rows of all committed batches, with run and batch."""
+    return read(spark, root, "metrics", METRIC_SAMPLES)
+
+
 def run_available(stream: DataFrame, each: Callable[[DataFrame, int], object], checkpoint: str) -> None:
     """Process everything that is there, batch by batch, and stop."""
     def run(batch: DataFrame, number: int) -> None:
