@@ -758,6 +758,14 @@ def _(s: Sample) -> DataFrame:
     return runs.read_output(s.spark, root, "results").drop("run", "batch")
 
 
+@query("handle_stream_compacted")
+def _(s: Sample) -> DataFrame:
+    """The consumer as a stream that compacts its tables as it goes."""
+    root = shared_dir(s.spark, "compacted")
+    _stream_waves(s, root, runs.compacting(root, runs.handle(root, created_at=F.col("block_time")), most=1))
+    return runs.read_output(s.spark, root, "results").drop("run", "batch")
+
+
 @query("handler_metrics")
 def _(s: Sample) -> DataFrame:
     """Counters that the streaming handler observes while it writes, summed over its batches."""

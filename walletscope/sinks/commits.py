@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, funct
 #: Commits of an era.
 ERA = 64
 ENTRY = ("seq bigint, run string, batch bigint, attempt string, tables array<string>, "
-         "spans array<struct<chain: string, lo: bigint, hi: bigint>>, base_rows bigint, moves bigint")
+         "spans array<struct<chain: string, lo: bigint, hi: bigint>>, base_rows bigint, moves bigint, place bigint, weight bigint, "
+         "replaces array<struct<run: string, batch: bigint, attempt: string>>")
 
 
 class Batch(NamedTuple):
@@ -83,7 +84,9 @@ def _era_folders(spark: SparkSession, root: str) -> list[str]:
 def entries(spark: SparkSession, root: str, besides: Batch | None = None) -> list[Row]:
     """One row per batch that counts, with its last attempt; those of other batches only, if one is given.
 
-    The list grows with the number of batches until ``sinks.tables.compact`` makes them one.
+    ``place`` orders them by when their rows were first committed, ``weight`` is how many batches have
+    gone into one. Batches that a compaction has
+    taken up count no longer; streams compact as they go, so the list stays short.
     """
     folders = _era_folders(spark, root)
     if not folders:
@@ -91,17 +94,22 @@ def entries(spark: SparkSession, root: str, besides: Batch | None = None) -> lis
     last: dict[tuple[str, int], Row] = {}
     for e in sorted(spark.read.schema(ENTRY).parquet(*folders).collect(), key=lambda e: (e["seq"], e["attempt"])):
         last[e["run"], e["batch"]] = e
-    return [e for e in last.values() if besides is None or e["run"] != besides.run or e["batch"] < besides.number]
+    taken = {tuple(r) for e in last.values() for r in e["replaces"]}
+    counting = [e for e in last.values() if (e["run"], e["batch"], e["attempt"]) not in taken]
+    return [e for e in counting if besides is None or e["run"] != besides.run or e["batch"] < besides.number]
 
 
 def commit(spark: SparkSession, root: str, batch: Batch, tables: Sequence[str], spans: Sequence = (),
-           base_rows: int | None = None, moves: int = 0) -> None:
-    """Make the tables that this attempt has written count."""
+           base_rows: int | None = None, moves: int = 0, replaces: Sequence[Row] = ()) -> None:
+    """Make the tables that this attempt has written count, in the place of the batches that it ``replaces``."""
     known = entries(spark, root)
     seq = max((e["seq"] for e in known), default=0) + 1
-    row = (seq, batch.run, batch.number, batch.attempt, list(tables), [tuple(s) for s in spans], base_rows, moves)
+    place = max((e["place"] for e in replaces), default=seq)
+    gone = [(e["run"], e["batch"], e["attempt"]) for e in replaces]
+    row = (seq, batch.run, batch.number, batch.attempt, list(tables), [tuple(s) for s in spans], base_rows, moves, place, sum(e["weight"] for e in replaces) or 1, gone)
     folder = f"{root}/manifest/era={seq // ERA}"
     begun = any(n.startswith("part-") for n in _names(spark, folder))
+    # What a new era repeats counts as it stands; what it leaves out, the last era has as well as its replacement.
     rows = [row] if begun else [*map(tuple, known), row]
     spark.createDataFrame(rows, ENTRY).coalesce(1).write.mode("append").parquet(folder)
 

@@ -159,8 +159,8 @@ class Marks(NamedTuple):
 
 def _marks(spark: SparkSession, root: str, known: Sequence[Row]) -> Marks:
     """A base holds what was known before its own batch, so the batch's own moves count as later."""
-    base = max((e for e in known if "checkpoint_base" in e["tables"]), key=lambda e: e["seq"], default=None)
-    later = [e for e in known if base is None or e["seq"] >= base["seq"]]
+    base = max((e for e in known if "checkpoint_base" in e["tables"]), key=lambda e: e["place"], default=None)
+    later = [e for e in known if base is None or e["place"] >= base["place"]]
     columns = [c.split()[0] for c in schemas.CHECKPOINTS.split(", ")]
     held = read(spark, root, "checkpoint_base", f"{schemas.CHECKPOINTS}, bucket int", [base] if base else [])
     return Marks(held.select(*columns, "bucket"), read(spark, root, "checkpoints", schemas.CHECKPOINTS, later).select(*columns),
@@ -207,14 +207,55 @@ def write_base(spark: SparkSession, root: str, batch: Batch) -> int | None:
     return batch.seen["checkpoint_base"]
 
 
-def compact(spark: SparkSession, root: str, fresh_root: str) -> None:
-    """Events, ids and checkpoints in one batch below ``fresh_root``, where a stream may go on."""
-    whole = Batch("compacted", 0, seen={})
-    columns = [c.split()[0] for c in EVENT_ROW.split(", ")]
-    write_events(read_events(spark, root).select(*columns), fresh_root, whole, F.col("created_at"))
-    write(read(spark, root, "unidentified", EVENT_ROW).drop("run", "batch", "created_at"), fresh_root, "unidentified", whole)
-    moves = write_checkpoints(read_checkpoints(spark, root), fresh_root, whole)
-    commit(spark, fresh_root, whole, [*stored_tables(whole), "checkpoints"], spans_of(fresh_root, whole, spark), moves=moves)
+def compact(spark: SparkSession, root: str, most: int = 64) -> bool:
+    """Make the older batches of events one batch, if more than ``most`` count; whether it did.
+
+    The newest batch of each run stays as it is, because a stream may run it again. All tables
+    of the others are written anew, together, and take their place at one commit; a compaction that dies
+    changes nothing. Each compaction takes up the one before only if it is no larger than all the rest, so
+    a row is copied a number of times that grows with the logarithm of the batches.
+    """
+    known = sorted((e for e in entries(spark, root) if "events" in e["tables"]), key=lambda e: e["place"])
+    newest = {run: max(e["batch"] for e in known if e["run"] == run) for run in {e["run"] for e in known} - {"compacted"}}
+    old = [e for e in known if newest.get(e["run"]) != e["batch"]]
+    if len(known) <= most or len(old) < 2:
+        return False
+    while len(old) > 2 and old[0]["weight"] > sum(e["weight"] for e in old[1:]):
+        old = old[1:]  # a large compacted batch rests until the others have grown to its size
+    number = max((e["batch"] for e in known if e["run"] == "compacted"), default=-1) + 1
+    whole = Batch("compacted", number, uuid.uuid4().hex, {})
+    tables = sorted({t for e in old for t in e["tables"]} - {"checkpoints", "checkpoint_base"})
+    for table in tables:
+        _rewrite(spark, root, table, old, whole)
+    base_rows, moves = _compact_checkpoints(spark, root, known, old, whole)
+    marks = ["checkpoints"] + ["checkpoint_base"] * (base_rows is not None)
+    commit(spark, root, whole, [*tables, *marks], spans_of(root, whole, spark), base_rows, moves, old)
+    return True
+
+
+def _rewrite(spark: SparkSession, root: str, table: str, old: Sequence[Row], whole: Batch) -> None:
+    paths = [Batch(e["run"], e["batch"], e["attempt"]).folder(root, table) for e in old if table in e["tables"]]
+    if table == "events":
+        rows = read(spark, root, table, f"{EVENT_ROW}, block_date date", old).drop("run", "batch")
+        write(rows.hint("rebalance", "chain", "block_date"), root, table, whole, ["chain", "block_date"])
+    elif table == "event_ids":
+        rows = read(spark, root, table, ID_ROW, old).drop("run", "batch")
+        write(rows.repartitionByRange("chain", "lt").sortWithinPartitions("chain", "lt"), root, table, whole)
+    else:
+        rows = spark.read.option("basePath", f"{root}/{table}").parquet(*paths).drop("run", "batch", "attempt")
+        write(rows.hint("rebalance"), root, table, whole)
+
+
+def _compact_checkpoints(spark: SparkSession, root: str, known: Sequence[Row], old: Sequence[Row], whole: Batch) -> tuple[int | None, int]:
+    """The rows of the new base, if the old batches hold the one in use, and the moves. Moves before it are in it already."""
+    base = max((e for e in known if "checkpoint_base" in e["tables"]), key=lambda e: e["place"], default=None)
+    marks = _marks(spark, root, [e for e in old if base is None or e["place"] >= base["place"]])
+    state = _latest(marks.base.drop("bucket").unionByName(marks.moves))
+    if base is None or base not in old:
+        return None, write_checkpoints(state, root, whole)
+    write(state.withColumn("bucket", _bucket(*WALLET)).hint("rebalance", "bucket"), root, "checkpoint_base", whole, ["bucket"])
+    write_checkpoints(state.limit(0), root, whole)
+    return whole.seen["checkpoint_base"], 0
 
 
 # ---- state tables and lines -----------------------------------------------------------------

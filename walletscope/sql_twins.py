@@ -692,6 +692,7 @@ _HANDLED = """
         where nano >= 100000000000 group by lt) a on h.lt = a.lt"""
 TWINS["handle_batch"] = _twin(_HANDLED.format(source="handled", total=_units("cast(sum(nano) as bigint)")), "handled", "transfers")
 TWINS["handle_stream"] = _twin(_HANDLED.format(source="fold", total=_units("cast(sum(nano) as bigint)")), "fold", "transfers")
+TWINS["handle_stream_compacted"] = TWINS["handle_stream"]
 TWINS["handler_metrics"] = f"""
     with h as ({TWINS["handle_stream"]})
     select unnest(['events_stored', 'events_unidentified', 'checkpoints_advanced', 'checkpoint_conflicts', 'checkpoints_ignored',

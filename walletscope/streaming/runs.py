@@ -19,7 +19,7 @@ from walletscope.operators.ingest import first_arrival, new_events, unidentified
 from walletscope.schemas import METRIC_SAMPLES
 from walletscope.sinks.commits import Batch, batch_of, commit, entries, read, write
 from walletscope.sinks.tables import (
-    checkpoints_before, ids_near, spans_of, stored_ids, stored_tables, write_base, write_checkpoints, write_events,
+    checkpoints_before, compact, ids_near, spans_of, stored_ids, stored_tables, write_base, write_checkpoints, write_events,
 )
 from walletscope.sources.plugins import AlertRule, AlertSink
 
@@ -192,6 +192,15 @@ def read_metrics(spark: SparkSession, root: str) -> DataFrame:
     return read(spark, root, "metrics", METRIC_SAMPLES)
 
 
+def compacting(root: str, each: Each, most: int = 64) -> Each:
+    """``each``, followed by a compaction of ``root`` whenever more than ``most`` batches have gathered."""
+    def run(rows: DataFrame, number: int) -> None:
+        each(rows, number)
+        compact(rows.sparkSession, root, most)
+
+    return run
+
+
 def run_available(stream: DataFrame, each: Callable[[DataFrame, int], object], checkpoint: str) -> None:
     """Process everything that is there, batch by batch, and stop."""
     def run(batch: DataFrame, number: int) -> None:
