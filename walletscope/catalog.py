@@ -20,7 +20,7 @@ from walletscope.sample import (
 from walletscope.schemas import METRIC_SAMPLES, MONITORED_KEY, WALLET
 from walletscope.session import shared_dir
 from walletscope.sinks import colocated, commits, messages as message_sink, tables as table_sink
-from walletscope.sources import holders, messages, pages, plugins, tables
+from walletscope.sources import holders, landing, messages, pages, plugins, tables
 from walletscope.streaming import counters, keyed, runs, stalls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +85,41 @@ def _(s: Sample) -> DataFrame:
     return plugins.event_transactions(s.spark, made).drop("body")
 
 
+def _land(s: Sample, root: str, landed: DataFrame, drops: range) -> None:
+    """Pages, whole and damaged, as drops: first pages, second pages, and all others."""
+    for drop in drops:
+        mine = F.least(F.col("page_no"), F.lit(2)) == drop
+        landing.land(_damaged(landed.where(mine), "{}").drop("page_no"), root, drop)
+
+
+@query("src_landed_pages")
+def _(s: Sample) -> DataFrame:
+    """Transactions of a landing zone of three drops, read through its data source."""
+    root = shared_dir(s.spark, "landed")
+    _land(s, root, settle(s.tx_pages(), "pages"), range(3))
+    return pages.transactions(landing.read_landed(s.spark, root)).drop("body")
+
+
+@query("src_landed_pages_stream")
+def _(s: Sample) -> DataFrame:
+    """The same as a stream that stops after the first drop and goes on with the others."""
+    root = shared_dir(s.spark, "landed")
+    whole = settle(s.tx_pages(), "pages")
+    for drops in (range(1), range(1, 3)):
+        _land(s, f"{root}/zone", whole, drops)
+        rows = pages.transactions(landing.stream_landed(s.spark, f"{root}/zone")).drop("body")
+        runs.append_available(rows, f"{root}/out", f"{root}/log")
+    return s.spark.read.parquet(f"{root}/out")
+
+
+@query("src_landed_pages_after")
+def _(s: Sample) -> DataFrame:
+    """What one wallet has after a cursor: the source opens the wallet's buckets and skips pages behind the cursor."""
+    root = shared_dir(s.spark, "landed")
+    _land(s, root, settle(s.tx_pages(), "pages"), range(3))
+    return landing.fetch_after(s.spark, root, "ton", "0:000007", "tonapi", 300).drop("body")
+
+
 @query("holder_sources")
 def _(s: Sample) -> DataFrame:
     """Top holders of all holder sources behind one plug-in point; one that cannot be read is left out."""

@@ -16,14 +16,15 @@ SETTINGS = {"spark.sql.session.timeZone": "UTC", "spark.sql.variant.allowDuplica
 STATE_STORE = ("spark.sql.streaming.stateStore.providerClass",
                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
+#: Lets ``sources.landing`` see the filters of a read.
+SOURCE_FILTERS = ("spark.sql.python.filterPushdown.enabled", "true")
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Set what the operators rely on, once per session and before any of them."""
-    for name, value in SETTINGS.items():
+    for name, value in (*SETTINGS.items(), STATE_STORE, SOURCE_FILTERS):
         if spark.conf.get(name, None) != value:
             spark.conf.set(name, value)
-    if spark.conf.get(STATE_STORE[0], None) != STATE_STORE[1]:
-        spark.conf.set(*STATE_STORE)
     return spark
 
 

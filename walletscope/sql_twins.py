@@ -707,7 +707,10 @@ TWINS["dedupe_stream_bounded"] = _twin(
     "select event_id, chain, address, provider, lt, tx_hash from first_arrivals", "first_arrivals")
 TWINS["checkpoint_stream_keyed"] = TWINS["checkpoint_stream"] = TWINS["snk_state_tables"]
 TWINS["checkpoint_stream_keyed_conflicts"] = TWINS["checkpoint_stream_conflicts"] = TWINS["checkpoint_conflicts"]
-TWINS["event_sources"] = TWINS["src_tx_pages"]
+TWINS["event_sources"] = TWINS["src_landed_pages"] = TWINS["src_landed_pages_stream"] = TWINS["src_tx_pages"]
+TWINS["src_landed_pages_after"] = _twin(
+    f"""select {_TX}, utime from numbered where chain = 'ton' and address = '0:000007' and provider = 'tonapi' and lt > 300
+        order by lt, tx_hash limit 100""", "numbered")
 TWINS["holder_sources"] = TWINS["all_asset_holders"]
 TWINS["events_ingested_stream"] = _twin("select chain, count(*) as total from chain_events group by chain", "chain_events")
 TWINS["alerts_fired_stream"] = TWINS["alerts_fired_total"]
