@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from walletscope import functions as fn, params
 from walletscope.operators import (
     alerts, checkpoints, diagnostics, gauges, handle, ingest, lag, metrics, monitored, rates, retries,
-    rules, sketches,
+    rules, sketches, stored_documents,
 )
 from walletscope.plans.settle import settle
 from walletscope.sample import (
@@ -745,6 +745,23 @@ def _(s: Sample) -> DataFrame:
     return alerts.whale_alerts(s.chain_events())
 
 
+def _shredded(s: Sample) -> DataFrame:
+    events, path = s.chain_events(), shared_dir(s.spark, "shredded")
+    stored_documents.store(events, path)
+    return stored_documents.read_stored(s.spark, path, events.schema)
+
+
+@query("stored_alerts")
+def _(s: Sample) -> DataFrame:
+    """The same from documents stored as shredded variants."""
+    return stored_documents.stored_alerts(_shredded(s))
+
+
+@query("stored_decisions")
+def _(s: Sample) -> DataFrame:
+    return alerts.decision_rows(stored_documents.evaluate_stored(_shredded(s)), as_of())
+
+
 @query("page_alerts")
 def _(s: Sample) -> DataFrame:
     """Every event of a page reports all large transfers of the page (the default scope)."""

@@ -734,3 +734,4 @@ TWINS["failed_events"] = _twin(
 TWINS["ingest_rate_counter_5m"] = _twin(
     _rate("""(select 'chain=' || series as series, minute, cast(case when minute = min(minute) over (partition by series)
                      then 0 else n end as double) as n from minutes)""").format(total="sum(m.n)"), "minutes")
+TWINS["stored_alerts"], TWINS["stored_decisions"] = TWINS["whale_alerts"], TWINS["decisions"]
