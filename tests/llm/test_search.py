@@ -226,6 +226,22 @@ def test_shards_repeat_and_mix(spark):
     assert len(set(by_id[:60])) == 10 and abs(np.corrcoef(range(len(by_id)), by_id)[0, 1]) < 0.15
 
 
+def test_shards_of_repeated_rows(spark):
+    same = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"),
+                                       F.lit("a").alias("source"))
+    other = spark.range(500).select("id", F.concat(F.lit("text "), "id"), F.lit("b")).toDF("doc_id", "text", "source")
+    size = 100_000  # bytes: the equal rows hold sixteen buckets
+    out = shard.shard_documents(same.unionByName(other), 7, bucket_bytes=size)
+    rows = out.collect()
+    check_shards(rows, 7)
+    assert Counter(r.doc_id for r in rows) == Counter({None: 100_000} | dict.fromkeys(range(500), 1))
+    keyed = same.select(F.lit(16).cast("long").alias("size"), F.lit(1).alias("_key"), F.lit(2).alias("_id_key"), F.lit(3).alias("_bucket"))
+    spread = shard._spread_repeated(keyed, 17, 20, size)
+    held = [r["count"] for r in spread.groupBy("_bucket").count().collect()]
+    assert len(held) == 20 and sum(held) == 100_000 and max(held) < 6000
+    assert sorted(map(tuple, spread.collect())) == sorted(map(tuple, spread.collect()))
+
+
 def test_shard_query(spark):
     import zlib
 

@@ -7,9 +7,13 @@ in a canonical order and shuffles it by Fisher-Yates with a generator seeded by
 records; it is cut into shards whose row counts differ by one at most. A lost
 executor's tasks give the same rows again, as nothing depends on arrival order.
 
+The hash cannot part rows of equal id and text, so those that would overfill a bucket on their
+own are written once with a bucket for each row, and read from there by both passes.
+
 Defined results
-- NULL text: no bytes. NULL id: hashed as such. Repeated rows keep their own slots; wholly
-  equal rows share a bucket, and may be exchanged for one another.
+- NULL text: no bytes. NULL id: hashed as such. Repeated rows keep their own slots; rows of equal id and
+  text may be exchanged for one another, and share a bucket as long as one can hold them.
+- Very long texts count with all their bytes; a record above ``bucket_bytes`` makes its bucket that large.
 - Fewer rows than shards: the first shards hold one row each. Empty table: empty result.
 - Extra columns pass through, except those named like the outputs, which are replaced.
 """
@@ -22,6 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from walletscope.plans.settle import settle
+
 OUTPUTS = ("size", "shard", "slot")
 
 
@@ -46,6 +52,22 @@ def _shuffled(seed: int) -> Callable[[pa.Table], pa.Table]:
     return shuffle
 
 
+def _spread_repeated(keyed: DataFrame, seed: int, buckets: int, bucket_bytes: int) -> DataFrame:
+    """``keyed`` with rows that repeat beyond a bucket's bytes dealt over all buckets, copy by copy.
+
+    There are at most total bytes / ``bucket_bytes`` such groups. Their rows are written before anything counts
+    them, so a lost task cannot deal them anew.
+    """
+    same = ["_key", "_id_key"]
+    repeated = settle(keyed.groupBy(*same).agg(F.sum("size").alias("_bytes")).where(F.col("_bytes") > bucket_bytes).select(*same),
+                      "repeated")
+    if repeated.isEmpty():
+        return keyed
+    copy = F.xxhash64(F.lit(seed), "_key", F.spark_partition_id(), F.monotonically_increasing_id())
+    dealt = keyed.join(repeated, same, "left_semi").withColumn("_bucket", F.pmod(copy, F.lit(buckets)))
+    return keyed.join(repeated, same, "left_anti").unionByName(settle(dealt, "dealt"))
+
+
 def shard_documents(docs: DataFrame, shards: int, seed: int = 17, bucket_bytes: int = 64 << 20,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with size, shard (from 0) and slot (gapless from 0 in its shard)."""
@@ -55,6 +77,7 @@ def shard_documents(docs: DataFrame, shards: int, seed: int = 17, bucket_bytes:
     key = F.xxhash64(F.lit(seed), id_, text)
     keyed = docs.select(F.struct(*kept).alias("_row"), record_size(text).alias("size"), key.alias("_key"),
                         F.xxhash64(id_, F.lit(seed)).alias("_id_key"), F.pmod(key, F.lit(buckets)).alias("_bucket"))
+    keyed = _spread_repeated(keyed, seed, buckets, bucket_bytes)
 
     counts = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     in_order = Window.orderBy("_bucket")  # over one row per bucket
