@@ -66,7 +66,7 @@ def _made_names(spark: SparkSession, first: int, count: int) -> DataFrame:
 def _hosts(spark: SparkSession, words: tuple[list[str], list[str]], label: int) -> DataFrame:
     """Every qualifier of a class, a short list, with every subject of it and with made names of its own."""
     names = _made_names(spark, NAMES + label * UNKNOWN, UNKNOWN)
-    subjects = spark.createDataFrame([(w,) for w in words[1]], "word string").unionByName(names)
+    subjects = spark.range(1).select(F.explode(F.array(*(F.lit(w) for w in words[1]))).alias("word")).unionByName(names)
     paired = subjects.withColumn("_q", F.explode(F.array(*(F.lit(q) for q in words[0]))))
     forms = F.array(*(F.concat(F.col(a), F.lit(mark), F.col(b)) for a, b in (("_q", "word"), ("word", "_q")) for mark in ("-", "")))
     return paired.select(F.get(forms, F.pmod(F.xxhash64("_q", "word"), F.lit(4)).cast("int")).alias("name"), F.lit(label).alias("label"), "word")
