@@ -4,7 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from walletscope.operators.checkpoints import checkpoint_fold, final_checkpoints
 from walletscope.operators.ingest import first_arrival
@@ -123,3 +123,30 @@ def test_stalls_by_timers_equal_the_batch_rule(spark, tmp_path, seed):
     assert expected.count() > 20 and texts(got) == texts(expected.select(*got.columns))
     opened = changes.where("ends_us IS NULL AND key = 'c'").agg(F.max("starts_us")).first()[0]
     assert opened is not None  # the chain that went quiet for good
+
+
+def test_a_key_of_many_rows_sends_two_times_per_bucket_to_its_task():
+    class Timers:
+        def getCurrentWatermarkInMs(self):  # noqa: N802
+            return 1_500_000
+
+    rng = random.Random(4)
+    times = [rng.randrange(2_000_000_000) for _ in range(5000)] + [1_000_000_000, 1_999_999_999]
+    rows = [Row(at_us=t) for t in times] + [Row(at_us=None)]
+    got = list(stalls.Ends(660).handleInputRows(("a", 0), iter(rows), Timers()))
+    assert len(got) == 4 and all(r.at.timestamp() > 1500 for r in got)
+    for r in got:
+        mine = [t for t in times if t // 660_000_000 == r.first_us // 660_000_000]
+        assert (r.first_us, r.last_us) == (min(mine), max(mine))
+
+
+def test_rows_of_a_key_are_spread_over_slices_before_they_meet(spark, tmp_path, capsys):
+    schema = "chain string, block_time timestamp"
+    rows = [("a", START + timedelta(seconds=17 * i)) for i in range(3000)] + [("a", None), (None, START + timedelta(days=1))]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/in")
+    found = stalls.stalls(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), "chain", "block_time")
+    found.explain()
+    assert "slice" in capsys.readouterr().out
+    runs.append_available(found, f"{tmp_path}/out", f"{tmp_path}/log")
+    opened = spark.read.schema(stalls.CHANGE).parquet(f"{tmp_path}/out").collect()
+    assert [(r.key, r.ends_us) for r in opened] == [("a", None)]

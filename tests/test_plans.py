@@ -105,3 +105,22 @@ def test_sketches_are_merged_and_rows_are_not_read_again(spark, tmp_path):
             assert abs(got[r.k].a_estimate - r.n) <= sketches.error_bound() * r.n
             assert (got[r.k].rows, got[r.k].first_at) == (r.rows, r["first"])
     assert sketches.merged(days.limit(0), ["k"], ["a"]).count() == 0
+
+
+@pytest.mark.parametrize("bits", [3, 14])
+@pytest.mark.parametrize("values", [
+    [5], [None, 2, 2, 9], [-7, 3, 3, 3, 100], [*range(1000), *[17] * 500, 10 ** 12, None], [-2 ** 63, -1, 0, 4, 2 ** 63 - 1]])
+def test_percentiles_equal_those_of_one_task(spark, values, bits):
+    from pyspark.sql import functions as F
+
+    from walletscope.plans.ranks import percentiles
+
+    df, shares = spark.createDataFrame([(v,) for v in values], "lt bigint"), (0.0, 0.3, 0.5, 0.8, 1.0)
+    expected = df.agg(F.percentile("lt", F.array(*map(F.lit, shares)))).first()[0]
+    assert percentiles(df, "lt", shares, bits) == pytest.approx(expected)
+
+
+def test_percentiles_of_nothing(spark):
+    from walletscope.plans.ranks import percentiles
+
+    assert percentiles(spark.createDataFrame([(None,)], "lt bigint"), "lt", (0.3,)) == [None]
