@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from walletscope import schemas
 from walletscope.operators import alerts, diagnostics, monitored
 from walletscope.operators.ingest import normalize_events
-from walletscope.sinks import tables as sinks
+from walletscope.sinks import messages as message_sink, tables as sinks
 from walletscope.sources import messages, pages, tables
 from walletscope.sources.plugins import event_transactions
 from walletscope.streaming import runs
@@ -166,3 +166,17 @@ def test_broken_bodies_become_attempts_and_dead_letters(spark):
     got = {r.message_id: (r.attempts, r.disposition, r.reason) for r in dead_letters(attempts).collect()}
     assert got == {"m1": (1, "dead", "undecodable"), "m2": (3, "dead", "max_retries"), "m3": (1, "retry", None),
                    "m4": (1, "retry", None)}
+
+
+def test_published_files_are_small_whatever_the_messages_repeat(spark, tmp_path, monkeypatch):
+    """Messages of a page all carry its body; what is written grows with the bodies that differ."""
+    monkeypatch.setattr(message_sink, "FILE_ROWS", 40)
+    body = "".join(f'{{"lt":{i * 7919 % 100003}}},' for i in range(500))
+    rows = spark.range(100, numPartitions=1).select(
+        F.col("id").cast("string").alias("message_id"), F.lit("c").alias("correlation_id"),
+        F.lit("application/json").alias("content_type"), F.concat(F.lit(body), F.col("id")).alias("value"))
+    message_sink.write_files(rows, f"{tmp_path}/out")
+    files = list((tmp_path / "out").glob("part-*"))
+    assert len(files) == 3 and sum(f.stat().st_size for f in files) < 10 * len(body)
+    back = spark.read.schema("message_id string, correlation_id string, content_type string, value string").json(f"{tmp_path}/out")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))

@@ -8,6 +8,8 @@ from walletscope import schemas
 from walletscope.functions import correlation_id
 
 _ISO = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+#: Messages per file.
+FILE_ROWS = 50_000
 
 
 def encode(messages: DataFrame) -> DataFrame:
@@ -23,7 +25,11 @@ def encode(messages: DataFrame) -> DataFrame:
 
 
 def write_files(encoded: DataFrame, path: str) -> None:
-    encoded.write.mode("append").json(path)
+    """JSON lines, compressed: every event of a page repeats the page's body.
+
+    Such files are not cut when they are read, so their rows are limited and any task can take one.
+    """
+    (encoded.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", FILE_ROWS).json(path))
 
 
 def stream_kafka(encoded: DataFrame, checkpoint: str, **options: str):
