@@ -150,3 +150,48 @@ def test_rows_of_a_key_are_spread_over_slices_before_they_meet(spark, tmp_path,
     runs.append_available(found, f"{tmp_path}/out", f"{tmp_path}/log")
     opened = spark.read.schema(stalls.CHANGE).parquet(f"{tmp_path}/out").collect()
     assert [(r.key, r.ends_us) for r in opened] == [("a", None)]
+
+
+def test_a_wallet_asks_the_state_a_few_times_per_batch():
+    calls, held = [], {"mark": None, "rivals": {}}
+
+    class Mark:
+        def exists(self):
+            calls.append("exists")
+            return held["mark"] is not None
+
+        def get(self):
+            calls.append("get")
+            return held["mark"]
+
+        def update(self, value):
+            calls.append("update")
+            held["mark"] = value
+
+    class Rivals:
+        def clear(self):
+            calls.append("clear")
+            held["rivals"].clear()
+
+        def containsKey(self, key):  # noqa: N802
+            calls.append("contains")
+            return key in held["rivals"]
+
+        def updateValue(self, key, value):  # noqa: N802
+            calls.append("put")
+            held["rivals"][key] = value
+
+    marks = keyed.Marks()
+    marks.mark, marks.rivals = Mark(), Rivals()
+
+    def batch(*rows):
+        calls.clear()
+        given = [Row(event_id=f"{lt}{h}", lt=lt, tx_hash=h, arrival_seq=i, arrived_at=START) for i, (lt, h) in enumerate(rows)]
+        return [(r.event_id, r.outcome) for r in marks.handleInputRows(("ton", "a", "p"), iter(given), None)]
+
+    assert batch(*((lt, "a") for lt in range(500)), (499, "b"), (499, "b")) == [
+        *((f"{lt}a", "advance") for lt in range(500)), ("499b", "conflict")]
+    assert len(calls) <= 3 and held == {"mark": (499, "a"), "rivals": {("499b",): (True,)}}
+    assert batch((499, "b"), (499, "c"), (7, "a")) == [("499c", "conflict")]
+    assert batch((499, "c"), (600, "a"), (600, "b"), (700, "a")) == [("600a", "advance"), ("600b", "conflict"), ("700a", "advance")]
+    assert held == {"mark": (700, "a"), "rivals": {}}

@@ -31,22 +31,35 @@ class Marks(StatefulProcessor):
             self.rivals.updateValue((event,), (True,))
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        """Rows below the mark can never count and are passed over; the others of this batch are taken by arrival."""
-        mark = self.mark.get() if self.mark.exists() else None
-        before = mark
+        """Rows below the mark can never count and are passed over; the others of this batch are taken by arrival.
+
+        Every call of the state goes to Spark and back, so it is asked once per wallet and batch: a mark of this
+        batch and its rivals are kept aside until the wallet's last row.
+        """
+        stored = mark = self.mark.get()
+        met: set[str] | None = None  # rivals of a mark of this batch; those of the stored mark are in the state
         near = sorted((r for r in rows if mark is None or r.lt >= mark[0]), key=lambda r: r.arrival_seq)
+        chain, address, provider = key
         for r in near:
             outcome = None
             if mark is None or r.lt > mark[0]:
-                mark, outcome = (r.lt, r.tx_hash), "advance"
-                self.rivals.clear()
-            elif r.lt == mark[0] and r.tx_hash != mark[1] and not self.rivals.containsKey((r.event_id,)):
-                self.rivals.updateValue((r.event_id,), (True,))
-                outcome = "conflict"
+                mark, met, outcome = (r.lt, r.tx_hash), set(), "advance"
+            elif r.lt == mark[0] and r.tx_hash != mark[1]:
+                if met is None:
+                    if not self.rivals.containsKey((r.event_id,)):
+                        self.rivals.updateValue((r.event_id,), (True,))
+                        outcome = "conflict"
+                elif r.event_id not in met:
+                    met.add(r.event_id)
+                    outcome = "conflict"
             if outcome:
-                yield Row(**dict(zip(WALLET, key)), event_id=r.event_id, lt=r.lt, tx_hash=r.tx_hash,
+                yield Row(chain=chain, address=address, provider=provider, event_id=r.event_id, lt=r.lt, tx_hash=r.tx_hash,
                           arrival_seq=r.arrival_seq, arrived_at=r.arrived_at, outcome=outcome)
-        if mark != before:
+        if met is not None:
+            if stored is not None:
+                self.rivals.clear()
+            for event in met:
+                self.rivals.updateValue((event,), (True,))
             self.mark.update(mark)
 
     def close(self) -> None:
