@@ -441,3 +441,31 @@ def test_messages_round_trip_and_problems(spark):
     assert back[1].correlation_id == "given" and len(back[0].correlation_id) == 32
     bodies = spark.createDataFrame([("null",), ("oops",), ('{"event_id":"x"}',)], "value string")
     assert sorted(r.problem for r in messages.decode(bodies).collect()) == ["malformed", "malformed", "undecodable"]
+
+
+def test_watermark_state_takes_ids_and_times_only(spark, tmp_path):
+    schema = "event_id string, block_time timestamp, raw_json string"
+    spark.createDataFrame([("a", datetime(2024, 1, 1), "{}")] * 2, schema).write.parquet(f"{tmp_path}/in")
+    stream = runs.within_watermark(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"))
+    runs.append_available(stream, f"{tmp_path}/out", f"{tmp_path}/log")
+    rows = spark.read.schema(stream.schema).parquet(f"{tmp_path}/out").collect()
+    assert sorted((r.event_id, r.fresh, r.raw_json) for r in rows if not r.fresh) == [("a", False, "{}")] * 2
+    assert [(r.event_id, r.raw_json) for r in rows if r.fresh] == [("a", None)]
+
+
+def test_events_of_a_date_lie_in_few_files_without_adaptive_execution(spark, tmp_path):
+    from walletscope.sinks import tables as table_sink
+    from walletscope.sinks.commits import Batch
+
+    rows = spark.range(0, 600, 1, 20).select(
+        F.col("id").cast("string").alias("event_id"), F.lit("ton").alias("chain"), F.lit("a").alias("address"),
+        F.lit("p").alias("provider"), F.col("id").alias("lt"), F.lit("h").alias("tx_hash"),
+        F.timestamp_seconds(1704067200 + 86400 * (F.col("id") % 3)).alias("block_time"), F.lit("{}").alias("raw_json"),
+        F.lit("c").alias("correlation_id"), F.col("id").alias("arrival_seq"), F.timestamp_seconds(F.lit(0)).alias("arrived_at"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stored = table_sink.write_events(rows, f"{tmp_path}", Batch("r", 0, "0", {}), F.col("block_time"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    files = list((tmp_path / "events").rglob("part-*.parquet"))
+    assert stored.count() == 600 and len(files) <= 3 * table_sink.DATE_PARTS
