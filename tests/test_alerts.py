@@ -229,3 +229,35 @@ def test_digits_written_as_escapes_still_count(spark):
     assert found(spark, doc.replace("00000000\"", "0000000000\"")) != []
     assert found(spark, '{"in_msg":{"value":"000000000000001"}}') == []
     assert len(found(spark, '{"in_msg":{"value":"-5"}}', threshold=-10)) == 1
+
+
+def test_only_documents_that_can_qualify_are_searched(spark, monkeypatch):
+    leaves = ['"0:PLAIN"', '{"address":"AB","workchain_id":-1}', '{"address":"","raw_form":"R"}', '{"address":"x:y","workchain_id":0}',
+              '{"workchain_id":"0","address":"A"}', '{"raw_form":7}', "null", "[1]", "17"]
+    values = ['"150000000000"', '"5"', '"\\u0031\\u00350000000000"', f'"{"9" * 40}"', f'"-{"9" * 29}"', '"99999999999"', "{}"]
+    documents = [f'{{"in_msg":{{"source":{a},"value":{v}}},"out_msgs":[{{"destination":{a},"value":{v}}}]}}' for a in leaves for v in values]
+    documents += ["{}", "[]", "{ bad", '{"out_msgs":[null]}', '{"transactions":[{"in_msg":{"value":"1"}}]}']
+    plan = alerts.evaluate(events(spark, *documents))._jdf.queryExecution().optimizedPlan().toString()
+    assert "[0-9]{12}" in plan
+    for threshold in (100, 10**25):
+        with monkeypatch.context() as m:
+            some = sorted(map(repr, alerts.evaluate(events(spark, *documents), threshold).collect()))
+            m.setattr(alerts, "_may_qualify", lambda raw, limit: F.lit(True))
+            assert some == sorted(map(repr, alerts.evaluate(events(spark, *documents), threshold).collect()))
+
+
+def test_few_conflicts_leave_the_documents_in_place(spark, monkeypatch):
+    df = events(spark, *['{"in_msg":{"value":"150000000000"}}'] * 9)
+    conflicts = spark.createDataFrame([("e3",), ("e5",)], "event_id string")
+    monkeypatch.setattr("walletscope.operators.handle.evaluate", lambda rows, threshold: rows.withColumns(
+        {"status": F.lit("ok"), "hits": F.lit(None)}))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most, kind in ((2, "BroadcastHashJoin"), (1, "SortMergeJoin")):
+            monkeypatch.setattr("walletscope.operators.handle.CONFLICT_IDS", most)
+            kept = judge(df, conflicts)
+            assert kind in kept._jdf.queryExecution().executedPlan().toString()
+            assert sorted(r.event_id for r in kept.collect()) == [f"e{i}" for i in (0, 1, 2, 4, 6, 7, 8)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
