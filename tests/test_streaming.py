@@ -8,6 +8,7 @@ from pyspark.sql import Row, functions as F
 from walletscope.operators.checkpoints import checkpoint_conflicts, checkpoint_fold, final_checkpoints
 from walletscope.operators.handle import event_results, judge
 from walletscope.operators.ingest import first_arrival
+from walletscope.sample import REDELIVERED, Sample
 from walletscope.sinks import commits, messages as message_sink, tables
 from walletscope.sinks.commits import Batch, batch_of, commit, entries, read, write
 from walletscope.sinks.tables import (
@@ -469,3 +470,46 @@ def test_events_of_a_date_lie_in_few_files_without_adaptive_execution(spark, tmp
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     files = list((tmp_path / "events").rglob("part-*.parquet"))
     assert stored.count() == 600 and len(files) <= 3 * table_sink.DATE_PARTS
+
+
+def test_deliveries_are_chosen_before_documents_and_digests_are_made(spark, tmp_path):
+    rows = [(lt, START + timedelta(hours=lt), lt % 7, kind, 1.5 * lt, "{}")
+            for lt, kind in enumerate(["purchase", "click", "view", "signup", "error"] * 40)] + [(None, None, None, None, None, None)]
+    spark.createDataFrame(rows, "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
+                          ).write.parquet(f"{tmp_path}/events.parquet")
+    arrivals = Sample(spark, str(tmp_path)).arrivals()
+    chosen = arrivals.where(F.col("arrival_seq") < 400)
+    plan = chosen._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Filter"):]
+    assert "sha2" in plan and "in_msg" in plan and "sha2" not in below and "in_msg" not in below
+    seqs = sorted(r.arrival_seq for r in arrivals.collect() if r.lt is not None)
+    assert seqs == sorted([lt * 4 for lt in range(200)] + [1, 97 * 4 + 1, 194 * 4 + 1] + [lt * 4 + REDELIVERED for lt in range(0, 200, 10)])
+    of = {r.arrival_seq: r for r in chosen.collect()}
+    digest = hashlib.sha256(b"97").hexdigest()[:16]
+    assert (of[97 * 4].tx_hash, of[97 * 4 + 1].tx_hash, of[97 * 4].raw_json) == (digest, "x" + digest, of[97 * 4 + 1].raw_json)
+
+
+def test_digests_of_stored_ids_are_made_once(spark, tmp_path, monkeypatch):
+    plans = {}
+
+    def noted(rows, root, table, batch, partition_by=(), also=None):
+        plans[table] = rows._jdf.queryExecution().optimizedPlan().toString()
+        return write(rows, root, table, batch, partition_by, also)
+
+    monkeypatch.setattr(tables, "write", noted)
+    nameless = list(derived("", 3, 1, lt=3))
+    nameless[0], nameless[1] = hashlib.sha256(b":A:3:h").hexdigest()[:16], ""
+    batches = [([derived("", 1, 1, lt=1), derived("", 2, 1, lt=2)], 0),
+               ([derived("", 4, 1, lt=4), arrival("odd", 5, 1, lt=5)], 1), ([tuple(nameless), derived("", 6, 1, lt=6)], 1)]
+    for number, (rows, foreign) in enumerate(batches):
+        batch = Batch("r", number, f"a{number}", {})
+        tables.write_events(spark.createDataFrame(rows, SCHEMA), str(tmp_path), batch, F.col("block_time"))
+        assert (batch.seen["event_ids"], batch.seen["foreign_ids"]) == (2 - foreign, foreign)
+        assert ("sha2" in plans["event_ids"]) == bool(foreign)
+
+
+def test_tables_without_batches_are_known_to_be_empty(spark, tmp_path):
+    rows = spark.createDataFrame(deliveries(), SCHEMA)
+    none = read(spark, str(tmp_path), "event_ids", tables.ID_ROW)
+    assert none.columns == ["event_id", "chain", "lt", "run", "batch"] and none.count() == 0
+    assert "Join" not in rows.join(none.select("event_id"), "event_id", "left_anti")._jdf.queryExecution().optimizedPlan().toString()
